@@ -85,8 +85,8 @@ SELECT * FROM (
 
 cte("live", """
 SELECT t.project_id, t.dataset_id, t.table_id, st AS lookup_status, st = 'found' AS table_exists,
-       CASE WHEN ok THEN epoch_ms(epoch_ms(c.creationTime)) END AS creation_time,
-       CASE WHEN ok THEN epoch_ms(epoch_ms(c.lastModifiedTime)) END AS last_modified_time,
+       CASE WHEN ok THEN make_timestamp((epoch_us(c.creationTime) // 1000) * 1000) END AS creation_time,
+       CASE WHEN ok THEN make_timestamp((epoch_us(c.lastModifiedTime) // 1000) * 1000) END AS last_modified_time,
        CASE WHEN ok THEN c.numBytes END AS num_bytes,
        CASE WHEN ok THEN c.numRows END AS num_rows,
        CASE WHEN ok THEN c.type END AS type,
@@ -178,3 +178,46 @@ def build(final_sql: str, needs: tuple[str, ...]) -> str:
         return final_sql
     body = ",\n".join(f"{n} AS ({CTES[n][0]}\n)" for n in order)
     return f"WITH {body}\n{final_sql}"
+
+
+# ---------------------------------------------------------------- export / catalog
+cte("table_export", """
+SELECT project_id, dataset_id, table_id, partition_id, last_checked,
+       '"Table", ' || CAST(id AS VARCHAR) AS key_path, id AS key_id
+FROM tables""", ("tables",))
+cte("backup_export", """
+SELECT created, deleted, last_modified, num_bytes AS numBytes, table_id, dataset_id,
+       '"Table", ' || CAST(parent_id AS VARCHAR) || ', "Backup", ' || CAST(id AS VARCHAR) AS key_path,
+       id AS key_id
+FROM backups""", ("backups",))
+cte("last_table_x", """
+SELECT project_id, dataset_id, table_id, coalesce(partition_id, 'None') AS partition_id,
+       last_checked, key_id AS id
+FROM table_export""", ("table_export",))
+cte("last_backup_x", """
+SELECT created, deleted, last_modified, numBytes, table_id, dataset_id,
+       to_base64(encode(key_path)) AS key,
+       TRY_CAST(trim(split_part(key_path, ',', 2)) AS BIGINT) AS parent_id
+FROM backup_export""", ("backup_export",))
+cte("all_backups_x", """
+SELECT t.project_id AS source_project_id, t.dataset_id AS source_dataset_id,
+       t.table_id AS source_table_id, t.partition_id AS source_partition_id,
+       t.last_checked AS source_table_last_checked, t.id AS table_entity_id,
+       b.created AS backup_created, b.deleted AS backup_deleted,
+       b.last_modified AS backup_last_modified, b.numBytes AS backup_num_bytes,
+       b.table_id AS backup_table_id, b.dataset_id AS backup_dataset_id, b.key AS backupBqKey
+FROM last_backup_x b JOIN last_table_x t ON b.parent_id = t.id""", ("last_backup_x", "last_table_x"))
+cte("last_avail_x", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_entity_id
+                               ORDER BY backup_created DESC, backupBqKey DESC) AS rn
+  FROM all_backups_x WHERE backup_deleted IS NULL) WHERE rn = 1""", ("all_backups_x",))
+cte("newest_avail", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY parent_id ORDER BY created DESC, id DESC) AS rn
+  FROM backups WHERE deleted IS NULL) WHERE rn = 1""", ("backups",))
+
+cte("live_copies", """
+SELECT dataset_id, table_id, num_bytes + CASE WHEN id % 7 = 0 THEN 1 ELSE 0 END AS num_bytes FROM (
+  SELECT *, row_number() OVER (PARTITION BY dataset_id, table_id ORDER BY id DESC) AS rn
+  FROM backups WHERE deleted IS NULL) WHERE rn = 1""", ("backups",))

@@ -272,3 +272,15 @@ class TestViews:
         repeat = base.filter(F.col("request_id") % 450 == 0)\
             .withColumn("request_id", -F.col("request_id"))
         return base.unionByName(repeat)
+
+    @cached_property
+    def live_copies(self) -> DataFrame:
+        """Live metadata of the copies in the backup project: every available
+        copy exists; every 7th reports one byte more than its record."""
+        from keepsake.operators.common import latest_by
+        avail = self.backups.filter(F.col("deleted").isNull())
+        one = latest_by(avail.select("dataset_id", "table_id", "id", "num_bytes"),
+                        ["dataset_id", "table_id"], "id")
+        return one.select("dataset_id", "table_id",
+                          (F.col("num_bytes") + F.when(F.col("id") % 7 == 0, 1).otherwise(0))
+                          .alias("num_bytes"))
