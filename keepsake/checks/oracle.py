@@ -106,11 +106,14 @@ JOIN census_latest_n c ON c.n = t.id""", ("tables", "census_latest_n"))
 
 cte("partitions", """
 SELECT l.project_id, l.dataset_id, l.table_id, p.partitionId AS partition_id,
-       min(p.creationTime) AS creation_time, max(p.lastModifiedTime) AS last_modified
-FROM census_partitions p
+       p.creationTime AS creation_time, p.lastModifiedTime AS last_modified,
+       p.numRows AS num_rows, p.numBytes AS num_bytes
+FROM (SELECT *, row_number() OVER (PARTITION BY projectId, datasetId, tableId, partitionId
+        ORDER BY snapshotTime DESC, lastModifiedTime DESC, creationTime DESC, numRows DESC,
+                 numBytes DESC) AS rn
+      FROM census_partitions) p
 JOIN live l ON l.project_id = p.projectId AND l.dataset_id = p.datasetId AND l.table_id = p.tableId
-WHERE l.table_exists AND l.has_time_partitioning
-GROUP BY 1, 2, 3, 4""", ("census_partitions", "live"))
+WHERE p.rn = 1 AND l.table_exists AND l.has_time_partitioning""", ("census_partitions", "live"))
 
 # ---------------------------------------------------------------- retention
 YOUNG_THRESHOLD = f"CAST({AS_OF_DATE} - INTERVAL 7 MONTH AS DATE)"

@@ -45,22 +45,26 @@ def live_catalog(raw: DataFrame) -> DataFrame:
 
 
 def list_partitions(census_partitions: DataFrame, live: DataFrame) -> DataFrame:
-    """Partition id, creation and last-modified time per partition of
-    every live partitioned table (a table that is not found lists nothing).
-
-    A pre-aggregation per partition before the join keeps the shuffle small.
-    """
-    per_part = (census_partitions
-                .groupBy("projectId", "datasetId", "tableId", "partitionId")
-                .agg(F.min("creationTime").alias("creation_time"),
-                     F.max("lastModifiedTime").alias("last_modified")))
+    """Per partition of every live partitioned table: creation time,
+    last-modified time, rows and bytes of its newest snapshot (a table that
+    is not found lists nothing).  The newest row per partition is a partial
+    aggregate, so the join sees one row per partition."""
+    from keepsake.operators.common import latest_by
+    per_part = latest_by(census_partitions.select(
+        "projectId", "datasetId", "tableId", "partitionId", "snapshotTime", "lastModifiedTime",
+        "creationTime", "numRows", "numBytes"),
+        ["projectId", "datasetId", "tableId", "partitionId"], "snapshotTime",
+        ["lastModifiedTime", "creationTime", "numRows", "numBytes"])
     parted = live.filter(F.col("table_exists") & F.col("has_time_partitioning"))\
         .select("project_id", "dataset_id", "table_id")
     return (per_part.join(parted, (per_part.projectId == parted.project_id)
                           & (per_part.datasetId == parted.dataset_id)
                           & (per_part.tableId == parted.table_id), "inner")
             .select("project_id", "dataset_id", "table_id",
-                    F.col("partitionId").alias("partition_id"), "creation_time", "last_modified"))
+                    F.col("partitionId").alias("partition_id"),
+                    F.col("creationTime").alias("creation_time"),
+                    F.col("lastModifiedTime").alias("last_modified"),
+                    F.col("numRows").alias("num_rows"), F.col("numBytes").alias("num_bytes")))
 
 
 def select_projects(df: DataFrame, custom: Iterable[str] = (), skip: Iterable[str] = (),

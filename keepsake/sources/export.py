@@ -80,6 +80,6 @@ def last_backup(export: DataFrame) -> DataFrame:
     """S3: backup records of an export; the parent id is the second element
     of the comma-separated key path, the key is the path in base64."""
     path = F.col("__key__.path")
-    parent = F.trim(F.element_at(F.split(path, ","), 2)).try_cast("long")
+    parent = F.trim(F.try_element_at(F.split(path, ","), F.lit(2))).try_cast("long")
     return export.select("created", "deleted", "last_modified", "numBytes", "table_id", "dataset_id",
                          F.base64(F.encode(path, "UTF-8")).alias("key"), parent.alias("parent_id"))

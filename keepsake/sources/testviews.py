@@ -284,3 +284,34 @@ class TestViews:
         return one.select("dataset_id", "table_id",
                           (F.col("num_bytes") + F.when(F.col("id") % 7 == 0, 1).otherwise(0))
                           .alias("num_bytes"))
+
+    def copy_results(self, plan: DataFrame, as_of: dt.datetime = AS_OF) -> DataFrame:
+        """Copy-job result documents (D12) the warehouse returns for the
+        copies of a backup plan.  k = table number + partition day mod 7
+        decides the outcome: k % 9 = 0 still running, k % 5 = 0 backend error,
+        k % 7 = 0 'duplicate'; the copy ends k seconds after it starts."""
+        k = (F.substring(F.col("table_id"), 2, 10).cast("long")
+             + F.coalesce(F.col("partition_id").try_cast("long") % 7, F.lit(0)))
+        reason = F.when(k % 5 == 0, "backendError").when(k % 7 == 0, "duplicate")
+        err = F.when(reason.isNotNull(), F.struct(reason.alias("reason"),
+                                                  F.lit("copy failed").alias("message")))
+        start_ms = F.lit(int((as_of - dt.datetime(1970, 1, 1)).total_seconds() * 1000))
+        src_tid = F.concat(F.col("table_id"), F.coalesce(F.concat(F.lit("$"), F.col("partition_id")), F.lit("")))
+        ref = lambda p, d, t: F.struct(p.alias("projectId"), d.alias("datasetId"), t.alias("tableId"))
+        return plan.filter(F.col("needs_backup")).select(
+            F.struct(F.lit(BACKUP_PROJECT).alias("projectId"),
+                     F.concat(F.lit("job_"), F.col("target_table_id")).alias("jobId")).alias("jobReference"),
+            F.struct(F.struct(ref(F.col("project_id"), F.col("dataset_id"), src_tid).alias("sourceTable"),
+                              ref(F.lit(BACKUP_PROJECT), F.col("target_dataset_id"),
+                                  F.col("target_table_id")).alias("destinationTable"),
+                              F.lit("CREATE_IF_NEEDED").alias("createDisposition"),
+                              F.lit("WRITE_EMPTY").alias("writeDisposition")).alias("copy"))
+            .alias("configuration"),
+            F.struct(F.when(k % 9 == 0, "RUNNING").otherwise("DONE").alias("state"),
+                     err.alias("errorResult"),
+                     F.when(err.isNotNull(), F.array(err)).alias("errors")).alias("status"),
+            F.struct(start_ms.cast("string").alias("startTime"),
+                     (start_ms + k * 1000).cast("string").alias("endTime")).alias("statistics"),
+            (k % 8).alias("retry_count"),
+            F.col("unit_num_bytes").alias("copied_bytes") if "unit_num_bytes" in plan.columns
+            else F.lit(None).cast("long").alias("copied_bytes"))

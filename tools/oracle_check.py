@@ -27,7 +27,7 @@ def normalise(df: pd.DataFrame) -> pd.DataFrame:
             df[c] = s.astype("datetime64[us]").astype("int64").where(s.notna(), None)
         elif pd.api.types.is_float_dtype(s):
             df[c] = s.round(6)
-        df[c] = df[c].map(lambda x: None if x is None or (isinstance(x, float) and pd.isna(x)) else
+        df[c] = df[c].map(lambda x: None if x is None or x is pd.NA or x is pd.NaT or (isinstance(x, float) and pd.isna(x)) else
                           (pd.Timestamp(x).value // 1000 if hasattr(x, "isoformat") and not isinstance(x, str)
                            else str(x)))
     df = df.astype(str)
