@@ -170,7 +170,7 @@ def json_or_text(s: Column | str) -> tuple[Column, Column]:
     """(is_json, text) — valid JSON is parsed by readers, invalid text
     is passed through unchanged."""
     c = _c(s)
-    return F.try_parse_json(c).isNotNull(), c
+    return F.when(c.isNotNull(), F.try_parse_json(c).isNotNull()), c
 
 
 def copy_errors_message(errors: Column | str) -> Column:
