@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keepsake.config import MAX_BACKUP_TABLE_ID, MAX_COPY_REQUEST_KEY
 
@@ -113,7 +114,7 @@ def backup_key(parent: Column | str, backup_id: Column | str) -> Column:
 
 
 # U5 ---------------------------------------------------------------------------
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkd_ascii(s: pd.Series) -> pd.Series:
     """NFKD then drop non-ASCII: no built-in Spark function normalises
     Unicode, so this one step runs Arrow-batched in Python."""

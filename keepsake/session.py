@@ -27,8 +27,10 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "keepsake") -> SparkSession:
+                app_name: str = "keepsake", checkpoint_dir: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     if master:
         builder = builder.master(master)
     for k, v in {**DEFAULT_CONF, **REQUIRED_CONF}.items():
@@ -48,11 +50,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this is `spark.checkpoint.dir` (a shared file system); it is
     only invented here when unset, which happens in local tests.
     """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        # Only in local runs: a cluster names its shared folder in the conf.
         root = tempfile.mkdtemp(prefix="keepsake-ckpt-", dir=os.environ.get("KEEPSAKE_TMP", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
