@@ -296,3 +296,14 @@ def q5(spark, sf):
     v = TestViews(spark, sf)
     req = v.tables.select("project_id", "dataset_id", "table_id", "partition_id")
     return B.on_demand_backup(v.live, req)
+
+
+@register("f14_copy_errors_message", f"""
+SELECT target_table_id AS tableId,
+       'Copy job finished with errors: ' || error_reason || ':copy failed' AS message
+FROM ({RESULTS_SQL}) WHERE error_reason IS NOT NULL""", PLAN_NEEDS)
+def f14(spark, sf):
+    v = TestViews(spark, sf)
+    r = _results(v, _plan(v)).filter(F.col("status.errors").isNotNull())
+    return r.select(F.col("configuration.copy.destinationTable.tableId").alias("tableId"),
+                    U.copy_errors_message("status.errors").alias("message"))

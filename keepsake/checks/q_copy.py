@@ -1 +1,28 @@
-"""Registered queries."""
+"""Registered copy-verification query (Q19).  Copies themselves write files
+and are checked end to end in tests/test_copy.py."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from keepsake.registry import register
+from keepsake.sources import copy as CP
+from keepsake.sources import export as X
+from keepsake.sources.testviews import TestViews
+
+
+@register("q19_verify_copy")
+def q19(spark, sf):
+    """Q19 over the metadata export: every table's backup records against
+    their round trip through the export (S4 shape → S3), per table; rows,
+    order-free checksums and `equal`.  No oracle: the checksum is Spark's
+    64-bit xxhash."""
+    v = TestViews(spark, sf)
+    src = v.backups.select("id", "parent_id", "created", "deleted", "last_modified", "num_bytes",
+                           "table_id", "dataset_id")
+    back = X.last_backup(X.to_export(v.backups, "Backup")).join(
+        X.to_export(v.backups, "Backup").select(F.col("__key__.id").alias("id"),
+                                                F.base64(F.encode(F.col("__key__.path"), "UTF-8")).alias("key")),
+        "key").select("id", "parent_id", "created", "deleted", "last_modified",
+                      F.col("numBytes").alias("num_bytes"), "table_id", "dataset_id")
+    return CP.verify_copy(src, back, ["parent_id"])

@@ -485,3 +485,11 @@ def m5(spark, sf):
                    F.lit(1).cast("long").alias("items_count"), F.lit("CREATE_IF_NEEDED").alias("create_disposition"),
                    F.lit("WRITE_EMPTY").alias("write_disposition"))
     return RS.create_job(v.restoration_jobs, new)
+
+
+@register("u6_camel_case", f"""
+SELECT DISTINCT status, CASE status WHEN 'In Progress' THEN 'inProgress' ELSE lower(status) END AS key
+FROM ({ITEMS_SQL})""")
+def u6(spark, sf):
+    items = TestViews(spark, sf).restore_items
+    return items.select("status").distinct().select("status", U.camel_case("status").alias("key"))

@@ -474,3 +474,8 @@ def a2(spark, sf):
     qual = S.last_snapshot_time(_history(spark, v, "quality"), AS_OF).select(F.lit("quality").alias("kind"),
                                                                             "snapshotTime")
     return lat.unionByName(qual)
+
+
+@register("s16_typed_sli_rows", sql_latency_typed(4, AS_OF), LAT_NEEDS)
+def s16(spark, sf):
+    return K.typed_latency_rows(_latency(TestViews(spark, sf), 4), AS_OF, 4)

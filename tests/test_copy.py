@@ -99,3 +99,42 @@ def test_backup_verify_restore_delete(spark, scratch):
     assert got == ["deleted", "deleted", "not_found"]
     marked = R.mark_deleted(out.new_backups, outcomes, AS_OF)
     assert marked.filter(F.col("deleted").isNotNull()).count() == 3
+
+
+def test_export_round_trip_verifies(spark):
+    from keepsake.registry import queries
+    out = queries()["q19_verify_copy"](spark, SF)
+    assert out.count() > 0 and out.filter(~F.col("equal")).count() == 0
+
+
+def test_load_export_overwrites_one_day(spark, scratch):
+    from keepsake.sources import export as X
+    from keepsake.sources.testviews import TestViews
+    v = TestViews(spark, SF)
+    X.load_export(X.to_export(v.backups.limit(5), "Backup"), "Backup", dt.date(2024, 1, 29), scratch)
+    X.load_export(X.to_export(v.backups, "Backup"), "Backup", dt.date(2024, 1, 30), scratch)
+    X.load_export(X.to_export(v.backups, "Backup"), "Backup", dt.date(2024, 1, 30), scratch)  # rerun replaces
+    df = X.read_export(spark, scratch, "Backup")
+    assert df.filter(F.col("export_date") == "20240129").count() == 5
+    newest = X.latest_export(df)
+    assert newest.count() == v.backups.count()
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    pf = [line for line in plan.split("\n") if "PartitionFilters" in line][0]
+    assert "20240130" in pf.split("PartitionFilters:")[1]  # older shards are pruned, never read
+
+
+def test_sli_history_sink_and_current_views(spark, scratch):
+    from keepsake.checks.q_sli import _latency_run
+    from keepsake.operators import sli as S
+    from keepsake.sources import sli_sink as K
+    from keepsake.sources.testviews import TestViews
+    v = TestViews(spark, SF)
+    path = scratch + "/latency"
+    for t in (AS_OF, AS_OF + dt.timedelta(hours=6)):
+        K.append_sli(_latency_run(spark, v, t), path, t)
+    hist = spark.read.parquet(path)
+    markers = hist.filter(F.col("projectId") == "SNAPSHOT_MARKER").count()
+    assert markers == 6  # one per run and x
+    cur = S.newest_latency_snapshot(hist, AS_OF)
+    assert cur.filter(F.col("snapshotTime") != F.lit(AS_OF + dt.timedelta(hours=6))).count() == 0
+    assert S.last_snapshot_time(hist, AS_OF).first()["snapshotTime"] == AS_OF + dt.timedelta(hours=6)
