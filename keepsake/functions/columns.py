@@ -130,7 +130,10 @@ def copy_request_key(date: Column | str, source_ref: Column | str, retry: Column
     joined = F.concat_ws("_", F.date_format(_c(date), "yyyy-MM-dd"), _c(source_ref),
                          _c(retry).cast("string"), F.coalesce(_c(suffix).cast("string"), F.lit("None")))
     cleaned = F.regexp_replace(joined, r"[$.: ]", "_")
-    ascii_ = F.when(cleaned.rlike(r"^[\x00-\x7F]*$"), cleaned).otherwise(_nfkd_ascii(cleaned))
+    # Python UDFs are evaluated for every row of the stage, so ASCII rows pass
+    # NULL (no work, nothing but a null crosses to Python).
+    is_ascii = cleaned.rlike(r"^[\x00-\x7F]*$")
+    ascii_ = F.when(is_ascii, cleaned).otherwise(_nfkd_ascii(F.when(~is_ascii, cleaned)))
     return F.when(F.length(ascii_) <= MAX_COPY_REQUEST_KEY, ascii_)
 
 

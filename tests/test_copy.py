@@ -138,3 +138,37 @@ def test_sli_history_sink_and_current_views(spark, scratch):
     cur = S.newest_latency_snapshot(hist, AS_OF)
     assert cur.filter(F.col("snapshotTime") != F.lit(AS_OF + dt.timedelta(hours=6))).count() == 0
     assert S.last_snapshot_time(hist, AS_OF).first()["snapshotTime"] == AS_OF + dt.timedelta(hours=6)
+
+
+def test_retention_apply_and_on_demand(spark, scratch):
+    wh = _setup(spark, scratch)
+    refs = [("p1", "d1", "orders"), ("p1", "d1", "customer")]
+    live, parts = warehouse_catalog(spark, wh, refs)
+    cfg = Config(as_of=AS_OF)
+    out = J.backup_run(spark, live, parts, spark.createDataFrame([], TABLES), spark.createDataFrame([], BACKUPS),
+                       cfg, wh)
+    # an extra, older copy of customer taken the same day: W8 keeps only the newest
+    cust = out.new_backups.join(out.tables.filter(F.col("table_id") == "customer")
+                                .select(F.col("id").alias("parent_id")), "parent_id").first()
+    spark.read.parquet(wh.path(cfg.backup_project, cust["dataset_id"], cust["table_id"])) \
+        .write.parquet(wh.path(cfg.backup_project, cust["dataset_id"], "older_copy"))
+    older = cust["created"] - dt.timedelta(microseconds=1)  # same day, earlier (copies record wall-clock times)
+    extra = spark.createDataFrame([(1, cust["parent_id"], older, older, cust["dataset_id"], "older_copy",
+                                    cust["num_bytes"], None)], BACKUPS)
+    backups = out.new_backups.unionByName(extra)
+    res = J.retention_apply(spark, out.tables, backups, live, cfg, wh)
+    assert [(r["id"], r["outcome"]) for r in res.outcomes.collect()] == [(1, "deleted")]
+    assert res.backups.filter(F.col("deleted").isNotNull()).select("id").first()["id"] == 1
+    assert not CP._FS(spark).exists(wh.path(cfg.backup_project, cust["dataset_id"], "older_copy"))
+
+    # Q5: on-demand copies ignore freshness; a day-partitioned table needs a partition
+    req = spark.createDataFrame([("p1", "d1", "orders", "19950101"), ("p1", "d1", "orders", None),
+                                 ("p1", "d1", "missing", None)],
+                                "project_id string, dataset_id string, table_id string, partition_id string")
+    cfg2 = Config(as_of=AS_OF + dt.timedelta(hours=3))
+    od = J.on_demand_run(spark, live, req, out.tables, res.backups, cfg2, wh)
+    actions = {(r["table_id"], r["partition_id"]): (r["action"], r["error"]) for r in od.plan.collect()}
+    assert actions[("orders", "19950101")] == ("backup", None)
+    assert actions[("orders", None)][0] == "reject"
+    assert actions[("missing", None)][1].startswith("NotFound")
+    assert od.new_backups.count() == 1
