@@ -23,24 +23,24 @@ LIVE_COLS = ("project_id, dataset_id, table_id, lookup_status, table_exists, cre
 
 @register("s9_live_catalog", f"SELECT {LIVE_COLS} FROM live", ("live",))
 def s9(spark, sf):
-    return TestViews(spark, sf).live
+    return TestViews.of(spark, sf).live
 
 
 @register("s8_list_partitions", "SELECT * FROM partitions", ("partitions",))
 def s8(spark, sf):
-    return TestViews(spark, sf).partitions
+    return TestViews.of(spark, sf).partitions
 
 
 @register("s7_enumerate_sources", f"SELECT {LIVE_COLS} FROM live WHERE table_exists", ("live",))
 def s7(spark, sf):
-    return SC.enumerate_sources(TestViews(spark, sf).live)
+    return SC.enumerate_sources(TestViews.of(spark, sf).live)
 
 
 @register("p5_select_projects", f"""
 SELECT {LIVE_COLS} FROM live WHERE table_exists AND project_id IN ('p0', 'p1', 'p3')
   AND project_id NOT IN ('p3')""", ("live",))
 def p5(spark, sf):
-    return SC.enumerate_sources(TestViews(spark, sf).live, custom=("p0", "p1", "p3"), skip=("p3",))
+    return SC.enumerate_sources(TestViews.of(spark, sf).live, custom=("p0", "p1", "p3"), skip=("p3",))
 
 
 UNITS_SQL = """
@@ -91,13 +91,13 @@ def _plan(v):
 
 @register("p4_route_partitions", UNITS_SQL, ("live", "partitions"))
 def p4(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return B.route_partitions(SC.enumerate_sources(v.live), v.partitions)
 
 
 @register("p1_copyable", COPYABLE_SQL, ("live", "partitions"))
 def p1(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return B.copyable(B.route_partitions(SC.enumerate_sources(v.live), v.partitions))
 
 
@@ -105,13 +105,13 @@ def p1(spark, sf):
 SELECT project_id, dataset_id, table_id, partition_id, entity_id, needs_backup FROM ({PLAN_SQL})""",
           PLAN_NEEDS)
 def p2(spark, sf):
-    return _plan(TestViews(spark, sf)).select("project_id", "dataset_id", "table_id", "partition_id",
+    return _plan(TestViews.of(spark, sf)).select("project_id", "dataset_id", "table_id", "partition_id",
                                               "entity_id", "needs_backup")
 
 
 @register("q3_backup_plan", PLAN_SQL, PLAN_NEEDS)
 def q3(spark, sf):
-    return _plan(TestViews(spark, sf))
+    return _plan(TestViews.of(spark, sf))
 
 
 @register("u1_backup_table_id", f"""
@@ -120,7 +120,7 @@ SELECT id, strftime(created, '%Y%m%d_%H%M%S') || '_' || replace(project_id, '-',
 FROM (SELECT b.id, b.created, t.project_id, t.dataset_id, t.table_id, t.partition_id
       FROM backups b JOIN tables t ON t.id = b.parent_id)""", ("backups", "tables"))
 def u1(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     j = v.backups.select("id", "created", "parent_id").join(
         v.tables.select(F.col("id").alias("parent_id"), "project_id", "dataset_id", "table_id", "partition_id"),
         "parent_id")
@@ -134,7 +134,7 @@ SELECT id, replace(CAST(year(created) AS VARCHAR) || '_' || lpad(CAST(weekofyear
        '-', '_') AS backup_dataset_id
 FROM backups""", ("backups",))
 def u2(spark, sf):
-    b = TestViews(spark, sf).backups
+    b = TestViews.of(spark, sf).backups
     loc = F.when(F.col("id") % 2 == 0, "EU").otherwise("europe-west1")
     proj = F.concat(F.lit("p-"), (F.col("parent_id") % 4).cast("string"))
     return b.select("id", U.backup_dataset_id(F.to_date("created"), loc, proj).alias("backup_dataset_id"))
@@ -143,7 +143,7 @@ def u2(spark, sf):
 @register("u5_copy_request_key", f"""
 SELECT project_id, dataset_id, table_id, partition_id, request_key FROM ({PLAN_SQL})""", PLAN_NEEDS)
 def u5(spark, sf):
-    return _plan(TestViews(spark, sf)).select("project_id", "dataset_id", "table_id", "partition_id",
+    return _plan(TestViews.of(spark, sf)).select("project_id", "dataset_id", "table_id", "partition_id",
                                               "request_key")
 
 
@@ -156,7 +156,7 @@ UNION ALL
 SELECT DISTINCT project_id, dataset_id, table_id, partition_id, {AS_OF}, true
 FROM ({PLAN_SQL}) WHERE entity_id IS NULL AND needs_backup""", PLAN_NEEDS)
 def m1(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     out = B.upsert_last_checked(v.tables, _plan(v), CFG.as_of)
     return out.join(v.tables.select(F.col("id"), F.lit(False).alias("_old")), "id", "left").select(
         "project_id", "dataset_id", "table_id", "partition_id", "last_checked",
@@ -175,7 +175,7 @@ def m6(spark, sf):
     """Each copy request once plus a retry of every other one (the same
     idempotency key); after M6 one request per key remains."""
     from pyspark.sql import Window
-    plan = _plan(TestViews(spark, sf)).filter("needs_backup")
+    plan = _plan(TestViews.of(spark, sf)).filter("needs_backup")
     w = Window.orderBy("project_id", "dataset_id", "table_id", "partition_id")
     first = plan.select("request_key", F.row_number().over(w).alias("request_id"))
     again = plan.filter(F.length("table_id") % 2 == 0).select(
@@ -210,7 +210,7 @@ SELECT 'backup' AS projectId, target_dataset_id AS datasetId, target_table_id AS
                           AND retry_count < 6 THEN 1 ELSE 0 END AS next_retry_count
 FROM ({RESULTS_SQL})""", PLAN_NEEDS)
 def p21(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     r = B.copy_result_class(_results(v, _plan(v)))
     d = F.col("configuration.copy.destinationTable")
     return r.select(d.projectId.alias("projectId"), d.datasetId.alias("datasetId"), d.tableId.alias("tableId"),
@@ -228,7 +228,7 @@ FROM (SELECT target_table_id, CAST([500, 403, 404, 409, 503][CAST(k % 5 AS INTEG
       FROM ({RESULTS_SQL}))""", PLAN_NEEDS)
 def p22(spark, sf):
     """Submission errors of every planned copy: HTTP status by rule k % 5."""
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     plan = _plan(v).filter("needs_backup")
     k = (F.substring("table_id", 2, 10).cast("long")
          + F.coalesce(F.col("partition_id").try_cast("long") % 7, F.lit(0)))
@@ -263,7 +263,7 @@ FROM ({RESULTS_SQL}) r JOIN (
  AND t.partition_id IS NOT DISTINCT FROM r.partition_id
 WHERE r.state = 'DONE' AND r.error_reason IS NULL""", PLAN_NEEDS)
 def m2(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     rec, tables, _ = _recorded(v)
     t = tables.select(F.col("id").alias("parent_id"), "project_id", F.col("dataset_id").alias("source_dataset_id"),
                       F.col("table_id").alias("source_table_id"), "partition_id")
@@ -276,7 +276,7 @@ SELECT r.target_dataset_id AS dataset_id, r.target_table_id AS table_id, CAST(NU
 FROM ({RESULTS_SQL}) r WHERE r.state = 'DONE' AND r.error_reason IS NULL AND r.has_partition_expiration""",
           PLAN_NEEDS)
 def s17(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     rec, _, plan = _recorded(v)
     return B.unexpire(rec, plan)
 
@@ -293,7 +293,7 @@ FROM (SELECT r.*, CASE WHEN NOT coalesce(l.table_exists, false) THEN 'NotFound:
         AND l.table_id = r.table_id) r""", ("tables", "live"))
 def q5(spark, sf):
     """Q5: an on-demand request for every table entity."""
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     req = v.tables.select("project_id", "dataset_id", "table_id", "partition_id")
     return B.on_demand_backup(v.live, req)
 
@@ -303,7 +303,7 @@ SELECT target_table_id AS tableId,
        'Copy job finished with errors: ' || error_reason || ':copy failed' AS message
 FROM ({RESULTS_SQL}) WHERE error_reason IS NOT NULL""", PLAN_NEEDS)
 def f14(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     r = _results(v, _plan(v)).filter(F.col("status.errors").isNotNull())
     return r.select(F.col("configuration.copy.destinationTable.tableId").alias("tableId"),
                     U.copy_errors_message("status.errors").alias("message"))

@@ -30,25 +30,25 @@ def _last_backup(v):
 @register("s1_latest_export", """
 SELECT key_id AS id, '20240130' AS export_date FROM backup_export""", ("backup_export",))
 def s1(spark, sf):
-    return X.latest_export(_exports(TestViews(spark, sf))).select(
+    return X.latest_export(_exports(TestViews.of(spark, sf))).select(
         F.col("__key__.id").alias("id"), "export_date")
 
 
 @register("s2_last_table", "SELECT * FROM last_table_x", ("last_table_x",))
 def s2(spark, sf):
-    return _last_table(TestViews(spark, sf))
+    return _last_table(TestViews.of(spark, sf))
 
 
 @register("s3_last_backup_export", "SELECT * FROM last_backup_x", ("last_backup_x",))
 def s3(spark, sf):
-    return _last_backup(TestViews(spark, sf))
+    return _last_backup(TestViews.of(spark, sf))
 
 
 @register("q17_metadata_export", """
 SELECT created, deleted, last_modified, numBytes, table_id, dataset_id, key_path, 'Backup' AS key_kind,
        key_id FROM backup_export""", ("backup_export",))
 def q17(spark, sf):
-    e = X.to_export(TestViews(spark, sf).backups, "Backup")
+    e = X.to_export(TestViews.of(spark, sf).backups, "Backup")
     return e.select("created", "deleted", "last_modified", "numBytes", "table_id", "dataset_id",
                     F.col("__key__.path").alias("key_path"), F.col("__key__.kind").alias("key_kind"),
                     F.col("__key__.id").alias("key_id"))
@@ -56,13 +56,13 @@ def q17(spark, sf):
 
 @register("j1_all_backups", "SELECT * FROM all_backups_x", ("all_backups_x",))
 def j1(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return C.all_backups(_last_backup(v), _last_table(v))
 
 
 @register("w6_last_available_backup", "SELECT * FROM last_avail_x", ("last_avail_x",))
 def w6(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return C.last_available_backup(C.all_backups(_last_backup(v), _last_table(v)))
 
 
@@ -72,7 +72,7 @@ SELECT t.*, n.id AS backup_id, n.created AS backup_created, n.last_modified AS b
        n.table_id AS backup_table_id
 FROM tables t LEFT JOIN newest_avail n ON n.parent_id = t.id""", ("tables", "newest_avail"))
 def w7(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return C.last_backup(v.tables, v.backups)
 
 
@@ -91,7 +91,7 @@ def _census_refs(v):
 
 @register("j12_backups_of_table", _FIND_SQL, ("backups", "tables", "census_base"))
 def j12(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return C.backups_of_tables(v.tables, v.backups, _census_refs(v))
 
 
@@ -103,6 +103,6 @@ SELECT b.* FROM last_backup_x b WHERE b.parent_id IN (
 def q18(spark, sf):
     """Q18: S1 (newest export shard) → S3 → J12 for every table the census
     sees."""
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     shard = X.latest_export(_exports(v)).drop("export_date")
     return C.backups_of_tables(v.tables, X.last_backup(shard), _census_refs(v))

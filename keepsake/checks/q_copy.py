@@ -17,7 +17,7 @@ def q19(spark, sf):
     their round trip through the export (S4 shape → S3), per table; rows,
     order-free checksums and `equal`.  No oracle: the checksum is Spark's
     64-bit xxhash."""
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     src = v.backups.select("id", "parent_id", "created", "deleted", "last_modified", "num_bytes",
                            "table_id", "dataset_id")
     back = X.last_backup(X.to_export(v.backups, "Backup")).join(

@@ -98,7 +98,7 @@ LEFT JOIN (
 
 @register("j7_as_of_backup", J7_SQL, ("tables", "backups"))
 def j7(spark, sf):
-    return _j7(TestViews(spark, sf))
+    return _j7(TestViews.of(spark, sf))
 
 
 @register("q7_table_restore_plan", f"""
@@ -111,7 +111,7 @@ SELECT request_id, error,
 FROM ({J7_SQL})""", ("tables", "backups"))
 def q7(spark, sf):
     """Q7: J7 → one item per request (target: the restoration project)."""
-    j = _j7(TestViews(spark, sf))
+    j = _j7(TestViews.of(spark, sf))
     ok = F.col("error").isNull()
     return j.select("request_id", "error",
                     F.when(ok, U.restore_source(BACKUP_PROJECT, "backup_dataset_id", "backup_table_id",
@@ -125,7 +125,7 @@ def q7(spark, sf):
 SELECT * FROM tables WHERE partition_id >= strftime({AS_OF} - to_days(2), '%Y%m%d')
 UNION ALL SELECT * FROM tables WHERE partition_id IS NULL""", ("tables",))
 def p10(spark, sf):
-    return RS.max_partition_days(TestViews(spark, sf).tables, AS_OF_DT, 3)
+    return RS.max_partition_days(TestViews.of(spark, sf).tables, AS_OF_DT, 3)
 
 
 def _a7_sql():
@@ -153,7 +153,7 @@ FROM (
 
 @register("a7_dataset_restore_check", _a7_sql(), ("tables", "backups", "live"))
 def a7(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return RS.dataset_restore_check(dataset_requests(v), v.tables, v.backups, existing_datasets(v),
                                     backup_datasets(v), AS_OF_DT)
 
@@ -179,7 +179,7 @@ def _q6(v):
 
 @register("q6_dataset_restore_plan", Q6_SQL, ("tables", "newest_avail"))
 def q6(spark, sf):
-    return _q6(TestViews(spark, sf))
+    return _q6(TestViews.of(spark, sf))
 
 
 @register("s15_prepare_targets", f"""
@@ -199,7 +199,7 @@ WHERE i.target_table.partition_id IS NOT NULL AND NOT EXISTS (
     AND l.dataset_id = i.target_table.dataset_id AND l.table_id = i.target_table.table_id)""",
           ("tables", "newest_avail", "live", "backups"))
 def s15(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return RS.prepare_targets(_q6(v), existing_datasets(v), v.live, backup_datasets(v))
 
 
@@ -236,14 +236,14 @@ def _parsed(v):
 @register("u4_parse_backup_key", f"""
 SELECT request_id, table_entity_id, backup_id, error FROM ({PARSED_SQL})""", ("backups",))
 def u4(spark, sf):
-    return _parsed(TestViews(spark, sf)).select("request_id", "table_entity_id", "backup_id", "error")
+    return _parsed(TestViews.of(spark, sf)).select("request_id", "table_entity_id", "backup_id", "error")
 
 
 @register("u_4_duplicate_requests", f"""
 SELECT list_id, backup_id, count(*) AS times FROM ({PARSED_SQL}) WHERE backup_id IS NOT NULL
 GROUP BY 1, 2 HAVING count(*) > 1""", ("backups",))
 def u_4(spark, sf):
-    return RS.duplicate_requests(_parsed(TestViews(spark, sf)))
+    return RS.duplicate_requests(_parsed(TestViews.of(spark, sf)))
 
 
 J8_SQL = f"""
@@ -261,7 +261,7 @@ def _j8(v):
 
 @register("j8_resolve_backup_keys", J8_SQL, ("backups", "tables"))
 def j8(spark, sf):
-    return _j8(TestViews(spark, sf)).select("list_id", "request_id", "backup_id", "backup_dataset_id",
+    return _j8(TestViews.of(spark, sf)).select("list_id", "request_id", "backup_id", "backup_dataset_id",
                                             "backup_table_id", "project_id", "dataset_id", "table_id",
                                             "partition_id", "error")
 
@@ -280,7 +280,7 @@ FROM (SELECT j.*, coalesce(j.error, CASE WHEN d.list_id IS NOT NULL THEN 'Duplic
         SELECT DISTINCT list_id FROM ({J8_SQL}) WHERE backup_id IS NOT NULL
         GROUP BY list_id, backup_id HAVING count(*) > 1) d USING (list_id))""", ("backups", "tables"))
 def q8(spark, sf):
-    return RS.list_restore_items(_j8(TestViews(spark, sf)), BACKUP_PROJECT, "restoration", None)
+    return RS.list_restore_items(_j8(TestViews.of(spark, sf)), BACKUP_PROJECT, "restoration", None)
 
 
 # ------------------------------------------------------------- validation
@@ -322,7 +322,7 @@ FROM (SELECT id AS request_id,
   CASE WHEN id % 4 = 0 THEN 'CREATE_MAYBE' WHEN id % 4 = 1 THEN NULL ELSE 'CREATE_NEVER' END AS create_disposition
   FROM tables)""", ("tables",))
 def p19(spark, sf):
-    return RS.validate_restore_requests(_p19_frame(TestViews(spark, sf)))
+    return RS.validate_restore_requests(_p19_frame(TestViews.of(spark, sf)))
 
 
 REF_TEXT_SQL = """
@@ -344,7 +344,7 @@ FROM (SELECT *, regexp_matches(ref, '^[a-zA-Z1-9\\-]+:\\w+.\\w+(\\$\\d{{8}})?$')
                AND len(string_split(coalesce(string_split(ref, ':')[2], ''), '.')) = 2 AS ok
       FROM ({REF_TEXT_SQL}))""", ("tables",))
 def u3(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     i = F.col("id")
     ref = U.format_table_ref(U.table_ref("project_id", "dataset_id", "table_id", "partition_id"))
     texts = v.tables.select(i, F.when(i % 3 == 0, F.replace(ref, F.lit(":"), F.lit("_"))).otherwise(ref).alias("ref"))
@@ -379,7 +379,7 @@ FROM orders JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON
 
 @register("a6_items_count", f"SELECT job_id, count(*) AS items FROM ({ITEMS_SQL}) GROUP BY 1")
 def a6(spark, sf):
-    return RS.items_count(TestViews(spark, sf).restore_items)
+    return RS.items_count(TestViews.of(spark, sf).restore_items)
 
 
 @register("a3_item_results", f"""
@@ -390,7 +390,7 @@ SELECT j.id, 'unknown', j.items_count - coalesce(c.n, 0) FROM ({JOBS_SQL}) j
 LEFT JOIN (SELECT job_id, count(*) AS n FROM ({ITEMS_SQL}) GROUP BY 1) c ON c.job_id = j.id
 WHERE j.items_count - coalesce(c.n, 0) > 0""")
 def a3(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return RS.item_results(v.restoration_jobs, v.restore_items)
 
 
@@ -409,13 +409,13 @@ LEFT JOIN (SELECT job_id, count(*) FILTER (WHERE status = 'Done') AS done FROM (
 
 @register("a4_job_status", A4_SQL)
 def a4(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return RS.job_status(v.restoration_jobs, v.restore_items)
 
 
 @register("p20_warnings_only", f"SELECT * FROM ({ITEMS_SQL}) WHERE status NOT IN ('Done', 'In Progress')")
 def p20(spark, sf):
-    return RS.warnings_only(TestViews(spark, sf).restore_items)
+    return RS.warnings_only(TestViews.of(spark, sf).restore_items)
 
 
 @register("q10_restore_status", f"""
@@ -433,7 +433,7 @@ WHERE i.status NOT IN ('Done', 'In Progress')""")
 def q10(spark, sf):
     """Q10: per job its state and result (counts taken before the filter),
     then the warnings-only item listing."""
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     st = RS.job_status(v.restoration_jobs, v.restore_items).select("job_id", "state", "result")
     items = RS.item_listing(RS.warnings_only(v.restore_items))
     return st.join(items, "job_id").select("state", "result", "job_id", "id", "status", "statusMessage",
@@ -465,7 +465,7 @@ LEFT JOIN (SELECT item_id, arg_min(status, event_time) AS status, min(event_time
                   arg_min(message, event_time) AS message
            FROM ({EVENTS_SQL}) WHERE status IN ('Done', 'Failed') GROUP BY 1) e ON e.item_id = i.id""")
 def m3(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return RS.fold_item_status(v.restore_items, v.status_events)
 
 
@@ -478,7 +478,7 @@ WHERE n.id NOT IN (SELECT id FROM ({JOBS_SQL}))""")
 def m5(spark, sf):
     """Requests for new jobs (ids o_orderkey + 7 of every 3rd order); ids
     that exist already are ignored."""
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     o = v._read("orders").filter(F.col("o_orderkey") % 3 == 0)
     new = o.select((F.col("o_orderkey") + 7).cast("string").alias("id"),
                    F.date_add(F.col("o_orderdate"), 8218).cast("timestamp_ntz").alias("created"),
@@ -491,5 +491,5 @@ def m5(spark, sf):
 SELECT DISTINCT status, CASE status WHEN 'In Progress' THEN 'inProgress' ELSE lower(status) END AS key
 FROM ({ITEMS_SQL})""")
 def u6(spark, sf):
-    items = TestViews(spark, sf).restore_items
+    items = TestViews.of(spark, sf).restore_items
     return items.select("status").distinct().select("status", U.camel_case("status").alias("key"))

@@ -21,7 +21,7 @@ def _avail(v: TestViews):
 @register("p6_retention_candidates",
           f"SELECT * FROM tables WHERE last_checked >= {CANDIDATE_THRESHOLD}", ("tables",))
 def p6(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return R.retention_candidates(v.tables, CFG.as_of, CFG.grace_months)
 
 
@@ -30,7 +30,7 @@ SELECT parent_id, arg_max(table_id, (c, table_id)) AS table_id, max(c) AS copies
 FROM (SELECT parent_id, table_id, count(*) AS c FROM avail_all GROUP BY 1, 2) WHERE c > 1
 GROUP BY parent_id""", ("avail_all",))
 def a5(spark, sf):
-    return R.duplicate_copies(_avail(TestViews(spark, sf)))
+    return R.duplicate_copies(_avail(TestViews.of(spark, sf)))
 
 
 @register("p9_valid_groups", """
@@ -38,7 +38,7 @@ SELECT id, parent_id, table_id, created FROM avail_all
 WHERE parent_id NOT IN (SELECT parent_id FROM avail_all GROUP BY parent_id, table_id HAVING count(*) > 1)""",
           ("avail_all",))
 def p9(spark, sf):
-    valid, _ = R.valid_groups(_avail(TestViews(spark, sf)))
+    valid, _ = R.valid_groups(_avail(TestViews.of(spark, sf)))
     return valid.select("id", "parent_id", "table_id", "created")
 
 
@@ -51,14 +51,14 @@ SELECT * EXCLUDE (rn) FROM (
 
 @register("w8_most_recent_daily", _DAILY_ALL, ("avail_all",))
 def w8(spark, sf):
-    return R.most_recent_daily(_avail(TestViews(spark, sf))).select("id", "parent_id", "table_id", "created")
+    return R.most_recent_daily(_avail(TestViews.of(spark, sf))).select("id", "parent_id", "table_id", "created")
 
 
 @register("p7_age_split", f"""
 SELECT id, parent_id, table_id, created, CAST(created AS DATE) >= {YOUNG_THRESHOLD} AS young
 FROM avail_all""", ("avail_all",))
 def p7(spark, sf):
-    return R.age_split(_avail(TestViews(spark, sf)), CFG.as_of, CFG.young_months)
+    return R.age_split(_avail(TestViews.of(spark, sf)), CFG.as_of, CFG.young_months)
 
 
 def _ranked_sql(keep: str) -> str:
@@ -70,7 +70,7 @@ WHERE {keep}"""
 
 
 def _daily_young(sf, spark):
-    return R.age_split(R.most_recent_daily(_avail(TestViews(spark, sf))), CFG.as_of, CFG.young_months)
+    return R.age_split(R.most_recent_daily(_avail(TestViews.of(spark, sf))), CFG.as_of, CFG.young_months)
 
 
 @register("w9_keep_n_young", _ranked_sql("NOT young OR rn <= 10"), ("avail_all",))
@@ -95,14 +95,14 @@ g AS (
                    AND l.table_id = t.table_id)
 SELECT kept.* FROM kept JOIN g USING (parent_id) WHERE g.keep)""", ("avail_all", "tables", "live"))
 def p8(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     kept = R.keep_one_old(R.keep_n_young(_daily_young(sf, spark), CFG.keep_young))
     return R.grace_filter(kept, v.tables, v.live, CFG.as_of, CFG.grace_months)
 
 
 @register("q1_retention_plan", "SELECT * FROM retention_plan", ("retention_plan",))
 def q1(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return retention_plan(v.tables, v.backups, v.live, CFG)
 
 
@@ -110,7 +110,7 @@ def q1(spark, sf):
 SELECT id, parent_id, table_id, created FROM avail
 WHERE id NOT IN (SELECT id FROM retention_plan WHERE retained)""", ("avail", "retention_plan"))
 def j10(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     plan = retention_plan(v.tables, v.backups, v.live, CFG)
     cand = R.retention_candidates(v.tables, CFG.as_of, CFG.grace_months)
     avail = _avail(v).join(cand.select(F.col("id").alias("parent_id")), "parent_id", "left_semi")
@@ -127,7 +127,7 @@ SELECT parent_id, count(*) AS copies,
   count(*) FILTER (WHERE reason = 'source_gone') AS source_gone
 FROM retention_plan GROUP BY parent_id""", ("retention_plan",))
 def a8(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return R.retention_report(retention_plan(v.tables, v.backups, v.live, CFG))
 
 
@@ -143,7 +143,7 @@ FROM backups b LEFT JOIN (
   SELECT id, CASE WHEN id % 3 <> 0 THEN 'deleted' WHEN id % 2 = 0 THEN 'not_found' ELSE 'error' END AS outcome
   FROM retention_plan WHERE NOT retained) o USING (id)""", ("backups", "retention_plan"))
 def m4(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     plan = retention_plan(v.tables, v.backups, v.live, CFG)
     outcomes = plan.filter(~F.col("retained")).select("id", _outcome(F.col("id")).alias("outcome"))
     return R.mark_deleted(v.backups, outcomes, CFG.as_of)

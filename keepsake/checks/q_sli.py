@@ -237,7 +237,7 @@ SELECT projectId, datasetId, tableId, snapshotTime, lastModifiedTime, numRows, '
 FROM census_tables WHERE CAST(snapshot_date AS TIMESTAMP) BETWEEN {T(T_LO)} AND {T(T_HI)}
   AND type = 'TABLE' AND tp_type IS NULL""", ("census_tables",))
 def s5(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return S.census_tables_scan(v.census_tables, T_LO, T_HI).select(
         "projectId", "datasetId", "tableId", "snapshotTime", "lastModifiedTime", "numRows", "partitionId")
 
@@ -247,7 +247,7 @@ SELECT projectId, datasetId, tableId, partitionId, snapshotTime, lastModifiedTim
 FROM census_partitions WHERE CAST(snapshot_date AS TIMESTAMP) BETWEEN {T(T_LO)} AND {T(T_HI)}""",
           ("census_partitions",))
 def s6(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return S.census_partitions_scan(v.census_partitions, T_LO, T_HI).select(
         "projectId", "datasetId", "tableId", "partitionId", "snapshotTime", "lastModifiedTime", "numRows")
 
@@ -258,7 +258,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY projectId, datasetId, tableId OR
       FROM census_tables WHERE lastModifiedTime <= {T(AS_OF - dt.timedelta(days=3))}) WHERE rn = 1""",
           ("census_tables",))
 def w1(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     df = v.census_tables.filter(F.col("lastModifiedTime") <= F.lit("2024-01-27").cast("timestamp_ntz"))
     return S.latest_per_table(df.select("projectId", "datasetId", "tableId", "snapshotTime",
                                         "lastModifiedTime", "creationTime", "numRows", "numBytes"))
@@ -271,7 +271,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY projectId, datasetId, tableId, p
                                    ORDER BY {ORDER_TIES}) rn
       FROM census_partitions) WHERE rn = 1""", ("census_partitions",))
 def w2(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return S.latest_per_partition(v.census_partitions.select(
         "projectId", "datasetId", "tableId", "partitionId", "snapshotTime", "lastModifiedTime",
         "creationTime", "numRows", "numBytes"))
@@ -279,20 +279,20 @@ def w2(spark, sf):
 
 @register("w3_quality_sources", sql_quality_sources(AS_OF), ("census_tables", "census_partitions"))
 def w3(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return S.quality_sources(v.census_tables, v.census_partitions, AS_OF, CFG)
 
 
 for _x in (0, 4, 5, 7):
     def _mk_mod(x):
         def q(spark, sf):
-            v = TestViews(spark, sf)
+            v = TestViews.of(spark, sf)
             return S.modified_before(v.census_tables, v.census_partitions, x, AS_OF)
         return q
 
     def _mk_lat(x):
         def q(spark, sf):
-            return _latency(TestViews(spark, sf), x)
+            return _latency(TestViews.of(spark, sf), x)
         return q
 
     register(f"q11_modified_before_{_x}", sql_modified(_x, AS_OF),
@@ -307,7 +307,7 @@ FROM ({sql_modified(0, AS_OF)}) c LEFT JOIN last_avail_x b
   ON c.projectId = b.source_project_id AND c.datasetId = b.source_dataset_id
  AND c.tableId = b.source_table_id AND c.partitionId = b.source_partition_id""", LAT_NEEDS)
 def j2(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     m = S.modified_before(v.census_tables, v.census_partitions, 0, AS_OF)
     lb = _la(v)
     j = m.join(lb, (m.projectId == lb.source_project_id) & (m.datasetId == lb.source_dataset_id)
@@ -320,13 +320,13 @@ def j2(spark, sf):
 
 @register("j3_last_backup_in_census", SQL_IN_CENSUS, ("last_avail_x", "census_copies"))
 def j3(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return S.last_backup_in_census(_la(v), v.census_copies, CFG.backup_project)
 
 
 @register("q13_quality_sli", sql_quality(AS_OF), QUAL_NEEDS)
 def q13(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return PS.quality_sli(v.census_tables, v.census_partitions, _la(v), v.census_copies, AS_OF, CFG)
 
 
@@ -341,26 +341,26 @@ SQL_J6 = _ORPH + """ AND NOT EXISTS (SELECT 1 FROM all_backups_x a WHERE a.backu
 
 @register("j5_orphans_deleted", SQL_J5, ("census_copies", "all_backups_x"))
 def j5(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return S.orphans_deleted(v.census_copies, PS.all_backups(v.tables, v.backups), AS_OF, CFG.backup_project)
 
 
 @register("j6_orphans_unrecorded", SQL_J6, ("census_copies", "all_backups_x"))
 def j6(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return S.orphans_unrecorded(v.census_copies, PS.all_backups(v.tables, v.backups), AS_OF,
                                 CFG.backup_project)
 
 
 @register("q16_orphaned_backups", f"{SQL_J5}\nUNION ALL\n{SQL_J6}", ("census_copies", "all_backups_x"))
 def q16(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return PS.orphaned_backups(v.census_copies, v.tables, v.backups, AS_OF, CFG)
 
 
 @register("p17_confirm_latency", sql_confirm_latency(4, AS_OF), RUN_NEEDS)
 def p17(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     rows = K.typed_latency_rows(_latency(v, 4), AS_OF, 4)
     return S.confirm_latency(rows, v.live, v.partitions)
 
@@ -387,7 +387,7 @@ _PREDICATES = {
 for _name, (_expr, _col) in _PREDICATES.items():
     def _mk_pred(name, col):
         def q(spark, sf):
-            j = _predicate_frame(TestViews(spark, sf))
+            j = _predicate_frame(TestViews.of(spark, sf))
             return j.select("projectId", "datasetId", "tableId", "partitionId", col().alias(name))
         return q
     register(_name, _PRED_SQL.format(expr=_expr, name=_name), RUN_NEEDS)(_mk_pred(_name, _col))
@@ -401,7 +401,7 @@ FROM ({sql_quality_typed(AS_OF)}) s
 LEFT JOIN live_copies lc ON lc.dataset_id = s.backupDatasetId AND lc.table_id = s.backupTableId""",
           QUAL_NEEDS + ("live_copies",))
 def p16(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     rows = K.typed_quality_rows(PS.quality_sli(v.census_tables, v.census_partitions, _la(v),
                                                v.census_copies, AS_OF, CFG), AS_OF)
     lc = v.live_copies.select(F.col("dataset_id").alias("lc_dataset_id"),
@@ -415,7 +415,7 @@ def p16(spark, sf):
 
 @register("p18_confirm_quality", sql_confirm_quality(AS_OF), RUN_NEEDS)
 def p18(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     rows = K.typed_quality_rows(PS.quality_sli(v.census_tables, v.census_partitions, _la(v),
                                                v.census_copies, AS_OF, CFG), AS_OF)
     return S.confirm_quality(rows, v.live, v.partitions, v.live_copies)
@@ -423,12 +423,12 @@ def p18(spark, sf):
 
 @register("q12_latency_run", sql_latency_run(AS_OF), RUN_NEEDS)
 def q12(spark, sf):
-    return _latency_run(spark, TestViews(spark, sf), AS_OF)
+    return _latency_run(spark, TestViews.of(spark, sf), AS_OF)
 
 
 @register("q14_quality_run", sql_quality_run(AS_OF), RUN_NEEDS)
 def q14(spark, sf):
-    return _quality_run(spark, TestViews(spark, sf), AS_OF)
+    return _quality_run(spark, TestViews.of(spark, sf), AS_OF)
 
 
 @register("w4_newest_latency_snapshot", f"""
@@ -437,7 +437,7 @@ SELECT {LAT_COLS} FROM (
   FROM ({sql_history('latency')}) WHERE ingest_date = {D(AS_OF)})
 WHERE rk = 1 AND projectId <> 'SNAPSHOT_MARKER'""", RUN_NEEDS)
 def w4(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return S.newest_latency_snapshot(_history(spark, v, "latency"), AS_OF)
 
 
@@ -447,7 +447,7 @@ SELECT {QUAL_COLS} FROM (
   FROM ({sql_history('quality')}) WHERE ingest_date = {D(AS_OF)})
 WHERE rk = 1 AND projectId <> 'SNAPSHOT_MARKER'""", RUN_NEEDS)
 def w5(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return S.newest_quality_snapshot(_history(spark, v, "quality"), AS_OF)
 
 
@@ -457,7 +457,7 @@ SELECT CAST(xDays AS INTEGER) AS xDays, count(*) AS count FROM (
   FROM ({sql_history('latency')}) WHERE ingest_date = {D(AS_OF)})
 WHERE rk = 1 AND projectId <> 'SNAPSHOT_MARKER' GROUP BY 1""", RUN_NEEDS)
 def a1(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     return S.latency_by_count(S.newest_latency_snapshot(_history(spark, v, "latency"), AS_OF))
 
 
@@ -468,7 +468,7 @@ UNION ALL
 SELECT 'quality', max(snapshotTime) FROM ({sql_history('quality')}) WHERE ingest_date = {D(AS_OF)}""",
           RUN_NEEDS)
 def a2(spark, sf):
-    v = TestViews(spark, sf)
+    v = TestViews.of(spark, sf)
     lat = S.last_snapshot_time(_history(spark, v, "latency"), AS_OF).select(F.lit("latency").alias("kind"),
                                                                            "snapshotTime")
     qual = S.last_snapshot_time(_history(spark, v, "quality"), AS_OF).select(F.lit("quality").alias("kind"),
@@ -478,4 +478,4 @@ def a2(spark, sf):
 
 @register("s16_typed_sli_rows", sql_latency_typed(4, AS_OF), LAT_NEEDS)
 def s16(spark, sf):
-    return K.typed_latency_rows(_latency(TestViews(spark, sf), 4), AS_OF, 4)
+    return K.typed_latency_rows(_latency(TestViews.of(spark, sf), 4), AS_OF, 4)

@@ -50,12 +50,26 @@ def is_partitioned_rule(i: Column) -> Column:
 
 
 class TestViews:
-    """Lazily built catalog frames over one scale-factor directory."""
+    """Lazily built catalog frames over one scale-factor directory.
+
+    `TestViews.of(spark, dir)` returns one instance per session and
+    directory, so the view DataFrames (logical plans, like temp views) are
+    defined once per session; every execution still reads the files.
+    """
+
+    _instances: dict = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "TestViews":
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in cls._instances:
+            cls._instances[key] = cls(spark, sf_dir)
+        return cls._instances[key]
+
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
