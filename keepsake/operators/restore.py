@@ -347,3 +347,20 @@ def list_restore_items(resolved: DataFrame, backup_project: str, target_project:
         F.when(ok, F.lit(STATUS_IN_PROGRESS)).alias("status"),
         F.concat(F.lit('{"list_id": '), F.col("list_id").cast("string"), F.lit(', "request_id": '),
                  F.col("request_id").cast("string"), F.lit("}")).alias("custom_parameters"))
+
+
+# ---------------------------------------------------------------- orderings
+def backups_newest_first(backups: DataFrame) -> DataFrame:
+    """L1: copies by created descending (ties: id descending)."""
+    return backups.orderBy(F.col("created").desc(), F.col("id").desc())
+
+
+def retention_order(tables: DataFrame) -> DataFrame:
+    """L2: retention visits tables by (last_checked, id)."""
+    return tables.orderBy(F.col("last_checked").asc(), F.col("id").asc())
+
+
+def partitions_first(tables: DataFrame) -> DataFrame:
+    """L3: partitions by partition id descending, then non-partitioned
+    tables (NULL last)."""
+    return tables.orderBy(F.col("partition_id").desc_nulls_last())

@@ -114,7 +114,8 @@ def restore_run(spark: SparkSession, jobs: DataFrame, new_job: DataFrame, items:
     counts = RS.items_count(its)
     job = created.join(counts.withColumnRenamed("job_id", "id"), "id", "left")\
         .withColumn("items_count", F.coalesce(F.col("items"), F.lit(0)).cast("long")).drop("items")
-    targets = RS.prepare_targets(its, datasets, live, source_datasets)
+    targets = materialize(spark, RS.prepare_targets(its, datasets, live, source_datasets))
+    CP.create_targets(spark, targets, its, warehouse)
     work = its.join(job.select(F.col("id").alias("job_id"), "create_disposition", "write_disposition"), "job_id")
     results = materialize(spark, CP.restore_copy(spark, work, warehouse, parallelism))
     folded = RS.fold_item_status(its, CP.restore_events(results))

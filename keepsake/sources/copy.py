@@ -73,6 +73,21 @@ class _FS:
         return any(s.getPath().getName().endswith(".parquet") or "=" in s.getPath().getName()
                    for s in fs.listStatus(p))
 
+    def touch(self, path: str) -> None:
+        p, fs = self._p(path)
+        fs.create(p, True).close()
+
+    def data_files(self, path: str) -> bool:
+        """Any parquet data file under path (recursively)?"""
+        p, fs = self._p(path)
+        if not fs.exists(p):
+            return False
+        it = fs.listFiles(p, True)
+        while it.hasNext():
+            if it.next().getPath().getName().endswith(".parquet"):
+                return True
+        return False
+
     def size(self, path: str) -> int:
         p, fs = self._p(path)
         return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
@@ -241,8 +256,8 @@ def restore_copy(spark: SparkSession, items: DataFrame | Iterable[Row], warehous
                     continue
                 part = t["partition_id"]
                 if r["write_disposition"] == "WRITE_EMPTY" and exists:
-                    existing = read_table(spark, dst, part) if part is not None else spark.read.parquet(dst)
-                    if not existing.isEmpty():
+                    where = dst if part is None else f"{dst}/{PARTITION_COLUMN}={part}"
+                    if fs.data_files(where) and not spark.read.parquet(where).isEmpty():
                         out.append(dict(**base, error_reason="duplicate",
                                         error_message=f"Already Exists: Table {dst}", end_time=_now()))
                         continue
@@ -278,6 +293,39 @@ def restore_copy(spark: SparkSession, items: DataFrame | Iterable[Row], warehous
     return _results_frame(spark, results)
 
 
+def create_targets(spark: SparkSession, targets: DataFrame | Iterable[Row], items: DataFrame,
+                   warehouse: Warehouse) -> int:
+    """Apply S15's actions before a restore: datasets are directories that
+    appear with their first table; a partition target whose table does not
+    exist is created empty with the schema and partitioning of the source
+    copy (so CREATE_NEVER partition restores find it, as in the
+    reference).  Returns the number of tables created."""
+    fs = _FS(spark)
+    src = (items.filter(F.col("target_table.partition_id").isNotNull())
+           .select(F.col("target_table.project_id").alias("project_id"),
+                   F.col("target_table.dataset_id").alias("dataset_id"),
+                   F.col("target_table.table_id").alias("table_id"),
+                   F.col("source_table.project_id").alias("s_project"),
+                   F.col("source_table.dataset_id").alias("s_dataset"),
+                   F.col("source_table.table_id").alias("s_table"))
+           .dropDuplicates(["project_id", "dataset_id", "table_id"]))
+    todo = (targets if isinstance(targets, DataFrame) else spark.createDataFrame(list(targets)))
+    todo = todo.filter(F.col("action") == "create_table").join(src, ["project_id", "dataset_id", "table_id"])
+    created = 0
+    for r in _iter_rows(todo):
+        dst = warehouse.path(r["project_id"], r["dataset_id"], r["table_id"])
+        if fs.committed(dst):
+            continue
+        schema = spark.read.parquet(warehouse.path(r["s_project"], r["s_dataset"], r["s_table"])).schema
+        empty = spark.createDataFrame([], schema)
+        if PARTITION_COLUMN not in empty.columns:
+            empty = empty.withColumn(PARTITION_COLUMN, F.lit(None).cast("string"))
+        empty.write.partitionBy(PARTITION_COLUMN).mode("overwrite").parquet(dst)
+        fs.touch(dst + "/_SUCCESS")  # an empty partitioned table has no files to show it exists
+        created += 1
+    return created
+
+
 def restore_events(results: DataFrame) -> DataFrame:
     """Restore results as status events for M3 (first terminal one wins)."""
     failed = F.col("error_reason").isNotNull()

@@ -67,6 +67,8 @@ class TestViews:
     def of(cls, spark: SparkSession, sf_dir: str) -> "TestViews":
         key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         if key not in cls._instances:
+            # every timestamp is naive UTC (see session.REQUIRED_CONF)
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             cls._instances[key] = cls(spark, sf_dir)
         return cls._instances[key]
 

@@ -120,3 +120,12 @@ def test_validate_restore_requests_order(spark):
     assert errs[0].startswith("Invalid project value: 'bad_project!'")
     assert errs[1].startswith("Invalid write disposition: 'WRITE_X'")
     assert errs[2] is None
+
+
+def test_orderings(spark):
+    t = tables_df(spark, [(1, "p", "d", "t", None, D(2017, 1, 2)), (2, "p", "d", "t", "20180214", D(2017, 1, 1)),
+                          (3, "p", "d", "t", "20180215", D(2017, 1, 1))])
+    assert [r["id"] for r in RS.partitions_first(t).collect()] == [3, 2, 1]
+    assert [r["id"] for r in RS.retention_order(t).collect()] == [2, 3, 1]
+    bs = backups_df(spark, [backup(1, D(2017, 2, d), id=d) for d in (3, 5, 4)])
+    assert [r["id"] for r in RS.backups_newest_first(bs).collect()] == [5, 4, 3]

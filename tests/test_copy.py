@@ -172,3 +172,29 @@ def test_retention_apply_and_on_demand(spark, scratch):
     assert actions[("orders", None)][0] == "reject"
     assert actions[("missing", None)][1].startswith("NotFound")
     assert od.new_backups.count() == 1
+
+
+def test_restore_creates_partition_target_for_create_never(spark, scratch):
+    wh = _setup(spark, scratch)
+    live, parts = warehouse_catalog(spark, wh, [("p1", "d1", "orders")])
+    cfg = Config(as_of=AS_OF)
+    out = J.backup_run(spark, live, parts, spark.createDataFrame([], TABLES), spark.createDataFrame([], BACKUPS),
+                       cfg, wh)
+    b = out.new_backups.orderBy("table_id").first()
+    t = out.tables.filter(F.col("id") == b["parent_id"]).first()
+    items = spark.createDataFrame(
+        [(7, "jobN", "In Progress", None, None, (cfg.backup_project, b["dataset_id"], b["table_id"], t["partition_id"]),
+          ("fresh", "ds", "orders", t["partition_id"]), None)],
+        "id long, job_id string, status string, status_message string, completed timestamp_ntz, "
+        "source_table struct<project_id:string,dataset_id:string,table_id:string,partition_id:string>, "
+        "target_table struct<project_id:string,dataset_id:string,table_id:string,partition_id:string>, "
+        "custom_parameters string")
+    jobs = spark.createDataFrame([], "id string, created timestamp_ntz, items_count long, "
+                                     "create_disposition string, write_disposition string")
+    new_job = spark.createDataFrame([("jobN", AS_OF, 0, "CREATE_NEVER", "WRITE_EMPTY")], jobs.schema)
+    rr = J.restore_run(spark, jobs, new_job, items, spark.createDataFrame([], "project_id string, dataset_id string, location string"),
+                       live, spark.createDataFrame([], "dataset_id string, location string"), wh)
+    assert rr.targets.filter(F.col("action") == "create_table").count() == 1
+    assert [r["status"] for r in rr.items.collect()] == ["Done"]
+    src = CP.read_table(spark, wh.path("p1", "d1", "orders"), t["partition_id"])
+    assert CP.verify_copy(src, spark.read.parquet(wh.path("fresh", "ds", "orders"))).first()["equal"]
