@@ -25,4 +25,7 @@ def q19(spark, sf):
                                                 F.base64(F.encode(F.col("__key__.path"), "UTF-8")).alias("key")),
         "key").select("id", "parent_id", "created", "deleted", "last_modified",
                       F.col("numBytes").alias("num_bytes"), "table_id", "dataset_id")
-    return CP.verify_copy(src, back, ["parent_id"])
+    out = CP.verify_copy(src, back, ["parent_id"])
+    # checksums as text: exact 38-digit sums, readable by any client
+    return out.select("parent_id", "source_rows", F.col("source_checksum").cast("string").alias("source_checksum"),
+                      "copy_rows", F.col("copy_checksum").cast("string").alias("copy_checksum"), "equal")

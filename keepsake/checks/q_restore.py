@@ -493,3 +493,31 @@ FROM ({ITEMS_SQL})""")
 def u6(spark, sf):
     items = TestViews.of(spark, sf).restore_items
     return items.select("status").distinct().select("status", U.camel_case("status").alias("key"))
+
+
+# ------------------------------------------------------------- flat output
+# Registered outputs carry table references as flat columns, so results
+# compare as plain values in any client (structs stay inside the library).
+_REF_FIELDS = ("project_id", "dataset_id", "table_id", "partition_id")
+
+
+def _flat_df(df):
+    cols = [c for c in df.columns if c not in ("source_table", "target_table")]
+    refs = [F.col(f"{side}_table.{f}").alias(f"{side}_{f}") for side in ("source", "target") for f in _REF_FIELDS]
+    return df.select(*cols, *refs)
+
+
+def _flat_sql(sql):
+    refs = ", ".join(f"{side}_table.{f} AS {side}_{f}" for side in ("source", "target") for f in _REF_FIELDS)
+    return f"SELECT * EXCLUDE (source_table, target_table), {refs} FROM ({sql})"
+
+
+def _flatten(name):
+    from keepsake.registry import REGISTRY
+    fn, sql = REGISTRY[name]
+    REGISTRY[name] = ((lambda spark, sf, _fn=fn: _flat_df(_fn(spark, sf))), _flat_sql(sql) if sql else None)
+
+
+for _n in ("m3_fold_item_status", "p20_warnings_only", "q6_dataset_restore_plan", "q7_table_restore_plan",
+           "q8_list_restore_plan"):
+    _flatten(_n)
