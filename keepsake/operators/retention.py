@@ -68,22 +68,26 @@ def age_split(backups: DataFrame, as_of: dt.datetime, months: int) -> DataFrame:
     return backups.withColumn("young", F.to_date("created") >= date_lit(threshold))
 
 
-def _rank_by_age(backups: DataFrame) -> DataFrame:
-    w = Window.partitionBy("parent_id", "young").orderBy(F.col("created").desc(), F.col("id").desc())
-    return backups.withColumn("_rn", F.row_number().over(w))
+def _newest_first(df: DataFrame, n: int) -> DataFrame:
+    """Newest n rows per table.  A bare `row_number() <= n` filter lets Spark
+    insert a partial WindowGroupLimit before the shuffle, so each map task
+    forwards at most n rows per table even for a table holding a third of
+    all rows."""
+    w = Window.partitionBy("parent_id").orderBy(F.col("created").desc(), F.col("id").desc())
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
 def keep_n_young(backups: DataFrame, n: int) -> DataFrame:
     """The newest n young copies per table and every old one (input
     carries `young`)."""
-    r = _rank_by_age(backups)
-    return r.filter(~F.col("young") | (F.col("_rn") <= n)).drop("_rn")
+    young = backups.filter(F.col("young"))
+    return _newest_first(young, n).unionByName(backups.filter(~F.col("young")))
 
 
 def keep_one_old(backups: DataFrame) -> DataFrame:
     """Every young copy and the newest old one per table."""
-    r = _rank_by_age(backups)
-    return r.filter(F.col("young") | (F.col("_rn") == 1)).drop("_rn")
+    old = backups.filter(~F.col("young"))
+    return backups.filter(F.col("young")).unionByName(_newest_first(old, 1))
 
 
 def source_exists_column(partition_id: str = "partition_id") -> F.Column:

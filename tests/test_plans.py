@@ -32,10 +32,25 @@ def test_python_only_for_nfkd(plans):
 
 
 def test_retention_windows_rank_daily_rows_only(plans):
-    for name in ("q1_retention_plan", "w9_keep_n_young", "w10_keep_one_old", "p8_grace_filter"):
-        specs = re.findall(r"windowspecdefinition\(([^)]*)", plans[name])
-        assert specs and all("young" in s for s in specs), name
-        assert "SortAggregate" in plans[name]  # the per-day reduction feeding the window
+    specs = re.findall(r"windowspecdefinition\(([^)]*)", plans["q1_retention_plan"])
+    assert specs and all("young" in s for s in specs)
+    assert "SortAggregate" in plans["q1_retention_plan"]  # the per-day reduction feeding the window
+    for name in ("w9_keep_n_young", "w10_keep_one_old", "p8_grace_filter"):
+        # top-k per table: a partial group limit runs before the shuffle
+        assert "WindowGroupLimit" in plans[name], name
+
+
+def test_census_partition_pruning(spark, scratch):
+    from keepsake.operators import sli as S
+    from keepsake.sources.testviews import AS_OF, TestViews
+    v = TestViews.of(spark, SF)
+    v.census_tables.write.partitionBy("snapshot_date").parquet(scratch + "/census_tables")
+    v.census_partitions.write.partitionBy("snapshot_date").parquet(scratch + "/census_partitions")
+    ct = spark.read.parquet(scratch + "/census_tables")
+    cp = spark.read.parquet(scratch + "/census_partitions")
+    p = physical_plan(S.modified_before(ct, cp, 4, AS_OF))
+    pf = re.findall(r"PartitionFilters: \[(isnotnull\(snapshot_date[^,]*, \(snapshot_date#\d+ >= [0-9-]+)", p)
+    assert len(pf) == 2 and all(f.endswith(">= 2024-01-25") for f in pf), p
 
 
 def test_scans_are_pruned_and_filtered(plans):
