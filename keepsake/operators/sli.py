@@ -71,29 +71,60 @@ _MODIFIED_COLS = ["projectId", "datasetId", "tableId", "partitionId", "creationT
                   "lastModifiedTime", "numRows"]
 
 
-def modified_before(census_tables: DataFrame, census_partitions: DataFrame, x: int,
-                    as_of: dt.datetime) -> DataFrame:
-    """Q11 first half: tables and partitions whose newest snapshot in the
-    window shows a modification at least d days old.  Filter first, then rank
-    (W1, W2), then UNION ALL (U-1)."""
+def _x_windows(x: int, as_of: dt.datetime):
     d = latency_days(x)
     lo = as_of - dt.timedelta(days=d + 2)
     hi = min(as_of, as_of - dt.timedelta(days=d - 2))
-    cutoff = ts_lit(as_of - dt.timedelta(days=d))
-    cols = _MODIFIED_COLS + ["snapshotTime", "numBytes"]
-    t = census_tables_scan(census_tables, lo, hi).filter(F.col("lastModifiedTime") <= cutoff).select(*cols)
-    p = census_partitions_scan(census_partitions, lo, hi).filter(F.col("lastModifiedTime") <= cutoff)\
-        .select(*cols)
-    return (latest_per_table(t).select(*_MODIFIED_COLS)
-            .unionByName(latest_per_partition(p).select(*_MODIFIED_COLS)))
+    return d, lo, hi, as_of - dt.timedelta(days=d)
+
+
+def _tag_windows(df: DataFrame, xs, as_of: dt.datetime) -> DataFrame:
+    """Keep each snapshot once per x whose window it falls in (snapshot day
+    in [lo, hi], modified by the cut-off): one scan serves every x.  The
+    scan itself is limited to the union of the windows (partition pruning)."""
+    bounds = {x: _x_windows(x, as_of) for x in xs}
+    days = [partition_day_bounds(b[1], b[2]) for b in bounds.values()]
+    first, last = min(d[0] for d in days), max(d[1] for d in days)
+    df = df.filter((F.col("snapshot_date") >= F.lit(first)) & (F.col("snapshot_date") <= F.lit(last)))
+    tags = []
+    for x, (d, lo, hi, cut) in bounds.items():
+        f, l = partition_day_bounds(lo, hi)
+        cond = ((F.col("snapshot_date") >= F.lit(f)) & (F.col("snapshot_date") <= F.lit(l))
+                & (F.col("lastModifiedTime") <= ts_lit(cut)))
+        tags.append(F.when(cond, F.lit(x)))
+    tagged = df.withColumn("_x", F.explode(F.array(*tags)))
+    return tagged.filter(F.col("_x").isNotNull())
+
+
+def modified_before_multi(census_tables: DataFrame, census_partitions: DataFrame, xs,
+                          as_of: dt.datetime) -> DataFrame:
+    """Q11 first half for several x at once (+ `x`): filter first, then the
+    newest snapshot per (x, table) and per (x, partition) (W1, W2), UNION ALL
+    (U-1)."""
+    cols = _MODIFIED_COLS + ["snapshotTime", "numBytes", "_x"]
+    t = (_tag_windows(census_tables, xs, as_of)
+         .filter((F.col("type") == "TABLE") & F.col("timePartitioning.type").isNull())
+         .withColumn("partitionId", F.lit(NONE_SENTINEL)).select(*cols))
+    p = _tag_windows(census_partitions, xs, as_of).select(*cols)
+    out = (latest_by(t, ["_x"] + TABLE_KEYS, "snapshotTime", CENSUS_TIES).select("_x", *_MODIFIED_COLS)
+           .unionByName(latest_by(p, ["_x"] + PARTITION_KEYS, "snapshotTime", CENSUS_TIES)
+                        .select("_x", *_MODIFIED_COLS)))
+    return out.withColumnRenamed("_x", "x")
 
 
-def latency_sli(modified: DataFrame, last_available: DataFrame, x: int, as_of: dt.datetime,
-                cfg: Config) -> DataFrame:
-    """Q11 second half (J2): census ⟕ last available copy on the four keys
-    ('None' sentinel on both sides); no copy = epoch 0.  A violation: the
-    newest copy is older than the cut-off and older than the change."""
-    d = latency_days(x)
+def modified_before(census_tables: DataFrame, census_partitions: DataFrame, x: int,
+                    as_of: dt.datetime) -> DataFrame:
+    """Q11 first half: tables and partitions whose newest snapshot in the
+    window shows a modification at least d days old."""
+    return modified_before_multi(census_tables, census_partitions, [x], as_of).drop("x")
+
+
+def latency_sli_multi(modified: DataFrame, last_available: DataFrame, as_of: dt.datetime,
+                      cfg: Config) -> DataFrame:
+    """Q11 second half for the frame of `modified_before_multi` (J2, one join
+    for every x): census ⟕ last available copy on the four keys ('None'
+    sentinel on both sides); no copy = epoch 0.  A violation: the newest
+    copy is older than the x cut-off and older than the change."""
     lb = last_available.select(
         F.col("source_project_id"), F.col("source_dataset_id"), F.col("source_table_id"),
         F.col("source_partition_id"), F.col("backup_created"), F.col("backup_last_modified"))
@@ -104,16 +135,24 @@ def latency_sli(modified: DataFrame, last_available: DataFrame, x: int, as_of: d
     epoch = ts_lit(EPOCH)
     created = F.coalesce(F.col("backup_created"), epoch)
     last_mod = F.coalesce(F.col("backup_last_modified"), epoch)
+    cutoff = ts_lit(as_of) - F.make_dt_interval(days=F.when(F.col("x") == 0, F.lit(0))
+                                                 .otherwise(F.col("x") - 1).cast("int"))
     return (j.filter(~F.col("projectId").isin(cfg.backup_project, cfg.restoration_project)
                      & (F.col("partitionId") != UNPARTITIONED)
                      & (F.col("numRows") != 0)
-                     & (created < ts_lit(as_of - dt.timedelta(days=d)))
+                     & (created < cutoff)
                      & (last_mod < F.col("lastModifiedTime")))
-            .select("projectId", "datasetId", "tableId", "partitionId", "creationTime",
+            .select("x", "projectId", "datasetId", "tableId", "partitionId", "creationTime",
                     "lastModifiedTime", created.alias("backup_created"),
                     last_mod.alias("backup_last_modified")))
 
 
+def latency_sli(modified: DataFrame, last_available: DataFrame, x: int, as_of: dt.datetime,
+                cfg: Config) -> DataFrame:
+    """Q11 second half for one x (`modified` from `modified_before`)."""
+    return latency_sli_multi(modified.withColumn("x", F.lit(x)), last_available, as_of, cfg).drop("x")
+
+
 def _datediff_ge(as_of: dt.datetime, col: str, days: int) -> F.Column:
     return F.datediff(F.lit(as_of.date()), F.to_date(col)) >= days
 

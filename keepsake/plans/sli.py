@@ -40,17 +40,17 @@ def latency_run(spark: SparkSession, census_tables: DataFrame, census_partitions
                 last_available: DataFrame, live: DataFrame, partitions: DataFrame,
                 run_time: dt.datetime, cfg: Config,
                 x_days: Sequence[int] = LATENCY_X_DAYS) -> DataFrame:
-    """Q12: for each x: Q11 → skip list (P5) → typed rows (S16); one marker
-    (S11) per run; violations confirmed against the live catalog (P17).
-    Returns the D10 rows the run appends."""
-    parts = []
-    for x in x_days:
-        sli = latency_sli(census_tables, census_partitions, last_available, x, run_time, cfg)
-        sli = select_projects(sli, (), cfg.projects_to_skip, column="projectId")
-        rows = K.typed_latency_rows(sli, run_time, x)
-        parts.append(K.conform(K.snapshot_marker(spark, "latency", run_time, x), "latency"))
-        parts.append(K.conform(S.confirm_latency(rows, live, partitions), "latency"))
-    return reduce(DataFrame.unionByName, parts)
+    """Q12: Q11 for every x in one plan (one census scan, one aggregation
+    keyed by (x, table), one join with the last copies) → skip list (P5) →
+    typed rows (S16); one marker (S11) per run and x; violations confirmed
+    against the live catalog (P17).  Returns the D10 rows the run appends."""
+    modified = S.modified_before_multi(census_tables, census_partitions, list(x_days), run_time)
+    sli = S.latency_sli_multi(modified, last_available, run_time, cfg)
+    sli = select_projects(sli, (), cfg.projects_to_skip, column="projectId")
+    rows = K.typed_latency_rows(sli, run_time, None)
+    markers = reduce(DataFrame.unionByName,
+                     [K.conform(K.snapshot_marker(spark, "latency", run_time, x), "latency") for x in x_days])
+    return markers.unionByName(K.conform(S.confirm_latency(rows, live, partitions), "latency"))
 
 
 def quality_sli(census_tables: DataFrame, census_partitions: DataFrame, last_available: DataFrame,

@@ -14,13 +14,15 @@ from keepsake.schemas import LATENCY_SLI, QUALITY_SLI
 EPOCH = dt.datetime(1970, 1, 1)
 
 
-def typed_latency_rows(sli: DataFrame, snapshot_time: dt.datetime, x_days: int) -> DataFrame:
-    """S16 (latency): view columns → D10 rows with snapshotTime and xDays."""
+def typed_latency_rows(sli: DataFrame, snapshot_time: dt.datetime, x_days: int | None) -> DataFrame:
+    """S16 (latency): view columns → D10 rows with snapshotTime and xDays
+    (from the frame's `x` column when x_days is None)."""
+    x = F.col("x").cast("string") if x_days is None else F.lit(str(x_days))
     return sli.select(ts_lit(snapshot_time).alias("snapshotTime"), "projectId", "datasetId", "tableId",
                       "partitionId", "creationTime", "lastModifiedTime",
                       F.col("backup_created").alias("backupCreated"),
                       F.col("backup_last_modified").alias("backupLastModified"),
-                      F.lit(str(x_days)).alias("xDays"))
+                      x.alias("xDays"))
 
 
 def typed_quality_rows(sli: DataFrame, snapshot_time: dt.datetime) -> DataFrame:
