@@ -69,14 +69,17 @@ def _j7(v: TestViews):
     r = table_requests(v)
     r = r.withColumn("not_newer_than", RS.request_time(F.col("date_text"), AS_OF_DT))
     out = RS.as_of_backup(r, v.tables, v.backups)
-    date_err = F.when(F.col("date_text").isNotNull() & F.col("not_newer_than").isNull(), "Invalid date")
+    date_err = F.when(F.col("date_text").isNotNull() & F.col("not_newer_than").isNull(), RS.WRONG_DATE)
     return out.withColumn("error", F.coalesce(date_err, F.col("error")))
 
 
 J7_SQL = f"""
 SELECT r.*, t.id AS entity_id, b.backup_created, b.backup_id, b.backup_dataset_id, b.backup_table_id,
-  CASE WHEN r.date_text IS NOT NULL AND r.not_newer_than IS NULL THEN 'Invalid date'
-       WHEN t.id IS NULL THEN 'Table not found' WHEN b.backup_id IS NULL THEN 'Backup not found' END AS error
+  CASE WHEN r.date_text IS NOT NULL AND r.not_newer_than IS NULL
+         THEN 'Wrong date value format for parameter ''restoration_date''. Should be ''YYYY-mm-dd'''
+       WHEN t.id IS NULL THEN 'Table not found in datastore: ' || r.project_id || ':' || r.dataset_id || '.' || r.table_id || coalesce('$' || r.partition_id, '')
+       WHEN b.backup_id IS NULL THEN 'Backup not found for ' || r.project_id || ':' || r.dataset_id || '.' || r.table_id || coalesce('$' || r.partition_id, '') || ' before '
+         || strftime(r.not_newer_than, '%Y-%m-%d %H:%M:%S') END AS error
 FROM (SELECT *, CASE WHEN date_text IS NULL THEN {AS_OF}
                      ELSE CAST(TRY_STRPTIME(date_text, '%Y-%m-%d') AS TIMESTAMP) + {EOD} END AS not_newer_than
       FROM ({TABLE_REQ_SQL})) r
@@ -132,13 +135,15 @@ def _a7_sql():
     return f"""
 SELECT request_id, tables,
   CASE WHEN target_project_id IS NULL THEN 'Required target project id parameter is None'
-       WHEN tables = 0 THEN 'No Tables was found in Datastore'
-       WHEN any_backup_dataset IS NULL THEN 'No Backups was found in Datastore'
+       WHEN tables = 0 THEN 'No Tables was found in Datastore for project ' || r_project || ', dataset ' || r_dataset
+       WHEN any_backup_dataset IS NULL
+         THEN 'No Backups was found in Datastore for project ' || r_project || ', dataset ' || r_dataset
        WHEN target_location IS NOT NULL AND target_location IS DISTINCT FROM backup_location
          THEN 'Target dataset already exist and has different location than backup dataset' END AS error
 FROM (
   SELECT p.*, d.location AS target_location, bl.location AS backup_location FROM (
-    SELECT r.request_id, r.target_project_id, r.target_dataset_id, count(t.id) AS tables,
+    SELECT r.request_id, r.project_id AS r_project, r.dataset_id AS r_dataset, r.target_project_id,
+           r.target_dataset_id, count(t.id) AS tables,
            min(a.any_backup_dataset) AS any_backup_dataset
     FROM ({DS_REQ_SQL}) r
     LEFT JOIN tables t ON t.project_id = r.project_id AND t.dataset_id = r.dataset_id
@@ -146,7 +151,7 @@ FROM (
                WHERE deleted IS NULL GROUP BY 1) a ON a.parent_id = t.id
     WHERE t.id IS NULL OR r.max_partition_days IS NULL OR t.partition_id IS NULL
        OR t.partition_id >= strftime({AS_OF} - to_days(CAST(r.max_partition_days - 1 AS INTEGER)), '%Y%m%d')
-    GROUP BY 1, 2, 3) p
+    GROUP BY 1, 2, 3, 4, 5) p
   LEFT JOIN ({DATASETS_SQL}) d ON d.project_id = p.target_project_id AND d.dataset_id = p.target_dataset_id
   LEFT JOIN ({BK_DATASETS_SQL}) bl ON bl.dataset_id = p.any_backup_dataset)"""
 
@@ -219,12 +224,16 @@ PARSED_SQL = f"""
 SELECT *, CASE WHEN err IS NULL THEN TRY_CAST(parts[2] AS BIGINT) END AS table_entity_id,
        CASE WHEN err IS NULL THEN TRY_CAST(parts[4] AS BIGINT) END AS backup_id, err AS error
 FROM (SELECT *, CASE
-    WHEN (backupBqKey IS NOT NULL AND backupUrlSafeKey IS NOT NULL) OR (backupBqKey IS NULL AND backupUrlSafeKey IS NULL)
-      THEN 'Exactly one of backupUrlSafeKey and backupBqKey must be given'
+    WHEN backupBqKey IS NULL AND backupUrlSafeKey IS NULL
+      THEN 'There are missing ''backupUrlSafeKey'' or ''backupBqKey'' variables in request body.'
+    WHEN backupBqKey IS NOT NULL AND backupUrlSafeKey IS NOT NULL
+      THEN 'Please specify either ''backupUrlSafeKey'' or ''backupBqKey'' element in single item.'
     WHEN backupBqKey IS NULL THEN 'Url-safe store keys are not supported'
     WHEN parts IS NULL OR len(parts) <> 4 OR TRY_CAST(parts[2] AS BIGINT) IS NULL
          OR TRY_CAST(parts[4] AS BIGINT) IS NULL
-      THEN 'Unable to parse backup BQ key: ' || backupBqKey END AS err
+      THEN 'Unable to parse backup BQ key: ' || backupBqKey
+           || CASE WHEN parts IS NOT NULL AND len(parts) <> 4 THEN ', key doesn''t consist of 4 parts' ELSE '' END
+    END AS err
   FROM (SELECT *, string_split(regexp_replace(decode(TRY(from_base64(backupBqKey))), '["\\s]', '', 'g'), ',') AS parts
         FROM ({LIST_ALL_SQL})))"""
 
@@ -249,8 +258,10 @@ def u_4(spark, sf):
 J8_SQL = f"""
 SELECT p.list_id, p.request_id, p.backup_id, b.dataset_id AS backup_dataset_id, b.table_id AS backup_table_id,
        t.project_id, t.dataset_id, t.table_id, t.partition_id,
-       coalesce(p.error, CASE WHEN b.id IS NULL THEN 'Backup not found: ' || CAST(p.backup_id AS VARCHAR)
-                              WHEN t.id IS NULL THEN 'Table of backup not found: ' || CAST(p.backup_id AS VARCHAR)
+       coalesce(p.error, CASE WHEN b.id IS NULL THEN 'Backup entity (key=' || CAST(p.backup_id AS VARCHAR)
+                                                       || ') doesn''t exist in datastore.'
+                              WHEN t.id IS NULL THEN 'Backup ancestor doesn''t exists: ''' || b.dataset_id || ':'
+                                                     || b.table_id || '''. '
                          END) AS error
 FROM ({PARSED_SQL}) p LEFT JOIN backups b ON b.id = p.backup_id LEFT JOIN tables t ON t.id = b.parent_id"""
 
@@ -275,10 +286,13 @@ SELECT list_id, request_id, e AS error,
   CASE WHEN e IS NULL THEN 'In Progress' END AS status,
   '{{"list_id": ' || CAST(list_id AS VARCHAR) || ', "request_id": ' || CAST(request_id AS VARCHAR) || '}}'
     AS custom_parameters
-FROM (SELECT j.*, coalesce(j.error, CASE WHEN d.list_id IS NOT NULL THEN 'Duplicated backup in the list' END) AS e
+FROM (SELECT j.*, coalesce(j.error, CASE WHEN d.list_id IS NOT NULL THEN 'There are duplicated backup items - '
+          || 'more than one ''backupUrlSafeKey'' or ''backupBqKey'' are pointing to the same backup. '
+          || 'Duplicated backup item: ' || CAST(d.dup AS VARCHAR) END) AS e
       FROM ({J8_SQL}) j LEFT JOIN (
-        SELECT DISTINCT list_id FROM ({J8_SQL}) WHERE backup_id IS NOT NULL
-        GROUP BY list_id, backup_id HAVING count(*) > 1) d USING (list_id))""", ("backups", "tables"))
+        SELECT list_id, min(backup_id) AS dup FROM (
+          SELECT list_id, backup_id FROM ({J8_SQL}) WHERE backup_id IS NOT NULL
+          GROUP BY list_id, backup_id HAVING count(*) > 1) GROUP BY list_id) d USING (list_id))""", ("backups", "tables"))
 def q8(spark, sf):
     return RS.list_restore_items(_j8(TestViews.of(spark, sf)), BACKUP_PROJECT, "restoration", None)
 

@@ -21,6 +21,30 @@ from keepsake.operators.catalog import newest_available
 
 KEYS = ["project_id", "dataset_id", "table_id", "partition_id"]
 
+# Error texts of the reference's restore requests.
+TABLE_NOT_FOUND = "Table not found in datastore: "
+BACKUP_NOT_FOUND = "Backup not found for "
+WRONG_DATE = "Wrong date value format for parameter 'restoration_date'. Should be 'YYYY-mm-dd'"
+NO_TABLES = "No Tables was found in Datastore for project {}, dataset {}"
+NO_BACKUPS = "No Backups was found in Datastore for project {}, dataset {}"
+MISSING_KEY = "There are missing 'backupUrlSafeKey' or 'backupBqKey' variables in request body."
+BOTH_KEYS = "Please specify either 'backupUrlSafeKey' or 'backupBqKey' element in single item."
+BAD_KEY = "Unable to parse backup BQ key: {}"
+BAD_KEY_PARTS = ", key doesn't consist of 4 parts"
+DUPLICATED = ("There are duplicated backup items - more than one 'backupUrlSafeKey' or 'backupBqKey' are "
+              "pointing to the same backup. Duplicated backup item: {}")
+NO_BACKUP_ENTITY = "Backup entity (key={}) doesn't exist in datastore."
+NO_ANCESTOR = "Backup ancestor doesn't exists: '{}:{}'. "
+
+
+def _fmt(template: str, *cols) -> F.Column:
+    """Fill the `{}` slots of a fixed message with column values."""
+    parts = template.split("{}")
+    out = [F.lit(parts[0])]
+    for c, text in zip(cols, parts[1:]):
+        out += [c.cast("string"), F.lit(text)]
+    return F.concat(*out)
+
 
 def max_partition_days(tables: DataFrame, as_of: dt.datetime, n: int) -> DataFrame:
     """P10: partitions of the last n days (string compare with
@@ -65,12 +89,15 @@ def attach_entity(requests: DataFrame, tables: DataFrame) -> DataFrame:
 def as_of_backup(requests: DataFrame, tables: DataFrame, backups: DataFrame) -> DataFrame:
     """Newest available copy with created <= `not_newer_than` per
     request (request_id + 4-part reference + not_newer_than).  Errors as
-    rows: 'Table not found', 'Backup not found'."""
+    rows: table not found, backup not found (texts below)."""
     r = attach_entity(requests, tables)
     newest = _newest_per_request(r.filter(F.col("entity_id").isNotNull()), backups, "not_newer_than")
     out = r.join(newest, "request_id", "left")
-    err = (F.when(F.col("entity_id").isNull(), "Table not found")
-           .when(F.col("backup_id").isNull(), "Backup not found"))
+    ref = U.format_table_ref(U.table_ref("project_id", "dataset_id", "table_id", "partition_id"))
+    err = (F.when(F.col("entity_id").isNull(), F.concat(F.lit(TABLE_NOT_FOUND), ref))
+           .when(F.col("backup_id").isNull(),
+                 F.concat(F.lit(BACKUP_NOT_FOUND), ref, F.lit(" before "),
+                          F.date_format("not_newer_than", "yyyy-MM-dd HH:mm:ss"))))
     return out.withColumn("error", err)
 
 
@@ -188,7 +215,7 @@ def dataset_restore_check(requests: DataFrame, tables: DataFrame, backups: DataF
     avail = backups.filter(F.col("deleted").isNull()).select(F.col("parent_id").alias("id"), "dataset_id")\
         .groupBy("id").agg(F.min("dataset_id").alias("any_backup_dataset"))
     j = j.join(avail, "id", "left")
-    per = j.groupBy("request_id", "target_project_id", "target_dataset_id").agg(
+    per = j.groupBy("request_id", "r_project", "r_dataset", "target_project_id", "target_dataset_id").agg(
         F.count("id").alias("tables"), F.min("any_backup_dataset").alias("any_backup_dataset"))
     ds = datasets.select(F.col("project_id").alias("d_project"), F.col("dataset_id").alias("d_dataset"),
                          F.col("location").alias("target_location"))
@@ -196,8 +223,8 @@ def dataset_restore_check(requests: DataFrame, tables: DataFrame, backups: DataF
     per = (per.join(ds, (per.target_project_id == ds.d_project) & (per.target_dataset_id == ds.d_dataset), "left")
            .join(bl, per.any_backup_dataset == bl.b_dataset, "left"))
     err = (F.when(F.col("target_project_id").isNull(), "Required target project id parameter is None")
-           .when(F.col("tables") == 0, "No Tables was found in Datastore")
-           .when(F.col("any_backup_dataset").isNull(), "No Backups was found in Datastore")
+           .when(F.col("tables") == 0, _fmt(NO_TABLES, F.col("r_project"), F.col("r_dataset")))
+           .when(F.col("any_backup_dataset").isNull(), _fmt(NO_BACKUPS, F.col("r_project"), F.col("r_dataset")))
            .when(F.col("target_location").isNotNull()
                  & ~F.col("target_location").eqNullSafe(F.col("backup_location")),
                  "Target dataset already exist and has different location than backup dataset"))
@@ -246,9 +273,12 @@ def parse_list_requests(requests: DataFrame) -> DataFrame:
     key = U.parse_backup_key("backupBqKey")
     both = F.col("backupBqKey").isNotNull() & F.col("backupUrlSafeKey").isNotNull()
     none = F.col("backupBqKey").isNull() & F.col("backupUrlSafeKey").isNull()
-    err = (F.when(both | none, "Exactly one of backupUrlSafeKey and backupBqKey must be given")
+    parts = F.size(F.split(F.regexp_replace(F.try_to_binary(F.col("backupBqKey"), F.lit("base64")).cast("string"),
+                                            r'["\s]', ""), ","))
+    err = (F.when(none, MISSING_KEY).when(both, BOTH_KEYS)
            .when(F.col("backupBqKey").isNull(), "Url-safe store keys are not supported")
-           .when(key.isNull(), F.concat(F.lit("Unable to parse backup BQ key: "), F.col("backupBqKey"))))
+           .when(key.isNull(), F.concat(_fmt(BAD_KEY, F.col("backupBqKey")),
+                                        F.when(parts != 4, F.lit(BAD_KEY_PARTS)).otherwise(F.lit("")))))
     return requests.select("*", F.when(err.isNull(), key.getField("table_id")).alias("table_entity_id"),
                            F.when(err.isNull(), key.getField("backup_id")).alias("backup_id"),
                            err.alias("error"))
@@ -263,10 +293,9 @@ def resolve_backup_keys(parsed: DataFrame, backups: DataFrame, tables: DataFrame
     j = parsed.join(b, parsed.backup_id == b.b_id, "left")
     j = j.join(t, j.b_parent == t.t_id, "left")
     err = F.coalesce(F.col("error"),
-                     F.when(F.col("b_id").isNull(), F.concat(F.lit("Backup not found: "),
-                                                             F.col("backup_id").cast("string")))
-                     .when(F.col("t_id").isNull(), F.concat(F.lit("Table of backup not found: "),
-                                                            F.col("backup_id").cast("string"))))
+                     F.when(F.col("b_id").isNull(), _fmt(NO_BACKUP_ENTITY, F.col("backup_id")))
+                     .when(F.col("t_id").isNull(), _fmt(NO_ANCESTOR, F.col("backup_dataset_id"),
+                                                        F.col("backup_table_id"))))
     return j.withColumn("error", err).drop("b_id", "t_id")
 
 
@@ -332,9 +361,9 @@ def list_restore_items(resolved: DataFrame, backup_project: str, target_project:
     """Q8 items: lists naming a copy twice are rejected whole (U-4); other
     requests with an error are reported; the rest become 'In Progress'
     items (U7) with the request row kept as custom_parameters."""
-    dup_lists = duplicate_requests(resolved).select("list_id", F.lit(True).alias("_dup")).distinct()
+    dup_lists = duplicate_requests(resolved).groupBy("list_id").agg(F.min("backup_id").alias("_dup"))
     j = resolved.join(dup_lists, "list_id", "left")
-    err = F.coalesce(F.col("error"), F.when(F.col("_dup"), "Duplicated backup in the list"))
+    err = F.coalesce(F.col("error"), F.when(F.col("_dup").isNotNull(), _fmt(DUPLICATED, F.col("_dup"))))
     tp = F.lit(target_project) if target_project else F.lit(None).cast("string")
     td = F.lit(target_dataset) if target_dataset else F.lit(None).cast("string")
     ok = err.isNull()

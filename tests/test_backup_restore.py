@@ -62,8 +62,8 @@ def test_last_copy_not_newer_than(spark):
                                 "partition_id string, not_newer_than timestamp_ntz")
     out = {r["request_id"]: r for r in RS.as_of_backup(req, t, bs).collect()}
     assert out[1]["backup_created"] == D(2017, 2, 6) and out[1]["error"] is None
-    assert out[2]["error"] == "Table not found"
-    assert out[3]["error"] == "Backup not found"
+    assert out[2]["error"] == "Table not found in datastore: p:d.x"
+    assert out[3]["error"] == "Backup not found for p:d.t before 2017-02-01 00:00:00"
 
 
 def test_restore_status_unknown_items(spark):
