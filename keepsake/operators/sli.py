@@ -186,6 +186,11 @@ def last_backup_in_census(last_available: DataFrame, census_copies: DataFrame,
                  F.col("lastModifiedTime").alias("c_last_modified"),
                  F.col("numBytes").alias("c_num_bytes"), F.col("numRows").alias("c_num_rows")))
     lb = last_available
+    # The census of copies has a row per copy, the last copies one per table:
+    # keep only census rows of last copies first (semi join, broadcast when
+    # the key set is small), so the outer join never shuffles the whole census.
+    keys = lb.select(F.col("backup_dataset_id").alias("c_dataset"), F.col("backup_table_id").alias("c_table"))
+    c = c.join(keys, ["c_dataset", "c_table"], "left_semi")
     return lb.join(c, (c.c_dataset == lb.backup_dataset_id) & (c.c_table == lb.backup_table_id), "left")\
         .select("source_project_id", "source_dataset_id", "source_table_id", "source_partition_id",
                 F.col("c_last_modified").alias("backup_last_modified"),
@@ -246,9 +251,17 @@ def orphans_unrecorded(census_copies: DataFrame, all_backups_df: DataFrame, as_o
 
 def orphaned_backups(census_copies: DataFrame, all_backups_df: DataFrame, as_of: dt.datetime,
                      backup_project: str) -> DataFrame:
-    """Q16: J5 UNION ALL J6 (U-2)."""
-    return (orphans_deleted(census_copies, all_backups_df, as_of, backup_project)
-            .unionByName(orphans_unrecorded(census_copies, all_backups_df, as_of, backup_project)))
+    """Q16 = J5 UNION ALL J6 (U-2).  The branches exclude each other (J5
+    needs a record, J6 none), so both come from one left join of the census
+    copies with one row per recorded copy id (`recorded`, `deleted_long_ago`
+    — a partial aggregate): one scan and one shuffle instead of two."""
+    limit = ts_lit(dt.datetime.combine(as_of.date() - dt.timedelta(days=7), dt.time(0)))
+    facts = (all_backups_df.groupBy(F.col("backup_table_id").alias("tableId"))
+             .agg(F.max(F.col("backup_deleted").isNotNull() & (F.col("backup_deleted") < limit))
+                  .alias("_deleted_long_ago")))
+    j = _orphan_base(census_copies, as_of, backup_project).join(facts, "tableId", "left")
+    return (j.filter(F.col("_deleted_long_ago").isNull() | F.col("_deleted_long_ago"))
+            .select("tableId", "datasetId", "projectId"))
 
 
 # ----------------------------------------------------------------- live checks
