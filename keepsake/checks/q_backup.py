@@ -163,23 +163,24 @@ def m1(spark, sf):
         F.col("_old").isNull().alias("is_new"))
 
 
+_REQ_K = "(CAST(substr(table_id, 2) AS BIGINT) * 1000000000 + coalesce(TRY_CAST(partition_id AS BIGINT), 0))"
+
+
 @register("m6_dedupe_copy_requests", f"""
 SELECT request_key, min(request_id) AS request_id, count(*) AS requests FROM (
-  SELECT request_key, row_number() OVER (ORDER BY project_id, dataset_id, table_id, partition_id) AS request_id
-  FROM ({PLAN_SQL}) WHERE needs_backup
+  SELECT request_key, 2 * {_REQ_K} AS request_id FROM ({PLAN_SQL}) WHERE needs_backup
   UNION ALL
-  SELECT request_key, 1000000 + row_number() OVER (ORDER BY project_id, dataset_id, table_id, partition_id)
-  FROM ({PLAN_SQL}) WHERE needs_backup AND length(table_id) % 2 = 0)
+  SELECT request_key, 2 * {_REQ_K} + 1 FROM ({PLAN_SQL}) WHERE needs_backup AND length(table_id) % 2 = 0)
 WHERE request_key IS NOT NULL GROUP BY request_key""", PLAN_NEEDS)
 def m6(spark, sf):
     """Each copy request once plus a retry of every other one (the same
-    idempotency key); after M6 one request per key remains."""
-    from pyspark.sql import Window
+    idempotency key, a later request id); after M6 one request per key
+    remains, the earliest."""
     plan = _plan(TestViews.of(spark, sf)).filter("needs_backup")
-    w = Window.orderBy("project_id", "dataset_id", "table_id", "partition_id")
-    first = plan.select("request_key", F.row_number().over(w).alias("request_id"))
-    again = plan.filter(F.length("table_id") % 2 == 0).select(
-        "request_key", (F.row_number().over(w) + 1000000).alias("request_id"))
+    k = (F.substring("table_id", 2, 10).cast("long") * 1000000000
+         + F.coalesce(F.col("partition_id").try_cast("long"), F.lit(0)))
+    first = plan.select("request_key", (k * 2).alias("request_id"))
+    again = plan.filter(F.length("table_id") % 2 == 0).select("request_key", (k * 2 + 1).alias("request_id"))
     reqs = first.unionByName(again)
     deduped = B.dedupe_copy_requests(reqs.withColumn("n", F.lit(1)), "request_key", "request_id")
     counts = reqs.groupBy("request_key").agg(F.count(F.lit(1)).alias("requests"))

@@ -60,3 +60,10 @@ def test_scans_are_pruned_and_filtered(plans):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,2024-01-25", p)
     q16 = plans["q16_orphaned_backups"]
     assert all("o_orderpriority" not in s for s in re.findall(r"ReadSchema: (struct<[^>]*>)", q16))
+
+
+def test_no_global_window(plans):
+    """A window without partition keys would run in one task."""
+    for name, p in plans.items():
+        for node in re.findall(r"Window \[.*", p):
+            assert "], [], [" not in node, (name, node[:200])
