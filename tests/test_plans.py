@@ -62,8 +62,28 @@ def test_scans_are_pruned_and_filtered(plans):
     assert all("o_orderpriority" not in s for s in re.findall(r"ReadSchema: (struct<[^>]*>)", q16))
 
 
+def _bracket_groups(text: str) -> int:
+    depth = groups = 0
+    for ch in text:
+        if ch == "[":
+            groups += depth == 0
+            depth += 1
+        elif ch == "]":
+            depth -= 1
+    return groups
+
+
 def test_no_global_window(plans):
-    """A window without partition keys would run in one task."""
+    """A window without partition keys would run in one task.  Spark prints
+    a window as `Window [functions], [partition keys], [order]`; a global one
+    has no partition group."""
     for name, p in plans.items():
-        for node in re.findall(r"Window \[.*", p):
-            assert "], [], [" not in node, (name, node[:200])
+        for node in re.findall(r"Window (\[.*)", p):
+            assert _bracket_groups(node) == 3, (name, node[:200])
+
+
+def test_global_window_detector(spark):
+    from pyspark.sql import Window, functions as F
+    df = spark.range(10)
+    g = physical_plan(df.withColumn("r", F.row_number().over(Window.orderBy("id"))))
+    assert [_bracket_groups(n) for n in re.findall(r"Window (\[.*)", g)] == [2]
