@@ -68,6 +68,30 @@ def latest_export(df: DataFrame) -> DataFrame:
     return df.filter(F.col("export_date") == F.lit(newest))
 
 
+def latest_shard(spark: SparkSession, root: str, kind: str) -> str | None:
+    """S1 on storage: the newest committed `export_date=` directory of a
+    kind, found by listing the kind's directory (one listing, no file is
+    opened); None when there is no shard."""
+    from keepsake.sources.copy import _FS
+    fs = _FS(spark)
+    base = f"{root.rstrip('/')}/{kind}"
+    p, hfs = fs._p(base)
+    if not hfs.exists(p):
+        return None
+    dates = [st.getPath().getName().split("=", 1)[1] for st in hfs.listStatus(p)
+             if st.isDirectory() and st.getPath().getName().startswith("export_date=")]
+    return max(dates) if dates else None
+
+
+def read_latest_export(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """The newest shard only, read with its `export_date` column: a static
+    partition filter, so older shards are never listed beyond their names."""
+    newest = latest_shard(spark, root, kind)
+    if newest is None:
+        raise FileNotFoundError(f"no {kind} export under {root}")
+    return read_export(spark, root, kind).filter(F.col("export_date") == F.lit(newest))
+
+
 def last_table(export: DataFrame) -> DataFrame:
     """Table entities of an export; NULL partition → 'None' so it can be
     equi-joined."""

@@ -118,6 +118,8 @@ def test_load_export_overwrites_one_day(spark, scratch):
     assert df.filter(F.col("export_date") == "20240129").count() == 5
     newest = X.latest_export(df)
     assert newest.count() == v.backups.count()
+    assert X.latest_shard(spark, scratch, "Backup") == "20240130"
+    assert X.read_latest_export(spark, scratch, "Backup").count() == v.backups.count()
     plan = newest._jdf.queryExecution().executedPlan().toString()
     pf = [line for line in plan.split("\n") if "PartitionFilters" in line][0]
     assert "20240130" in pf.split("PartitionFilters:")[1]  # older shards are pruned, never read
