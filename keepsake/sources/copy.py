@@ -92,6 +92,10 @@ class _FS:
         p, fs = self._p(path)
         return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
+    def rename(self, src: str, dst: str) -> bool:
+        p, fs = self._p(src)
+        return bool(fs.rename(p, self._jvm.org.apache.hadoop.fs.Path(dst)))
+
     def delete(self, path: str) -> bool:
         p, fs = self._p(path)
         return bool(fs.delete(p, True))
@@ -151,35 +155,104 @@ def snapshot_copy(spark: SparkSession, plan: DataFrame | Iterable[Row], warehous
     `<backup_project>/<target_dataset_id>/<target_table_id>` with
     CREATE_IF_NEEDED + WRITE_EMPTY.  A target that is already committed is a
     'duplicate' (not retried); a target left half-written by a lost job is
-    overwritten, so a rerun converges.  Returns one result row per copy."""
+    overwritten, so a rerun converges.  Returns one result row per copy.
+
+    The plan is streamed sorted by source table; all changed partitions of
+    one table are copied by one Spark job (10 tables × 500 partitions are 10
+    jobs, not 5,000), whole tables by one job each; tables run in parallel."""
     fs = _FS(spark)
+    if isinstance(plan, DataFrame):
+        plan = plan.orderBy("project_id", "dataset_id", "table_id", "partition_id")
+
+    def base_of(r) -> dict:
+        return dict(source_project_id=r["project_id"], source_dataset_id=r["dataset_id"],
+                    source_table_id=r["table_id"], source_partition_id=r["partition_id"],
+                    target_project_id=backup_project, target_dataset_id=r["target_dataset_id"],
+                    target_table_id=r["target_table_id"], target_partition_id=None, start_time=_now(),
+                    item_id=None, state="DONE")
+
+    def failed(base: dict, e: Exception) -> dict:
+        reason = "notFound" if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) else "internalError"
+        return dict(**base, error_reason=reason, error_message=str(e)[:500], end_time=_now(),
+                    num_rows=None, num_bytes=None)
 
     def one(r) -> dict:
         src = warehouse.path(r["project_id"], r["dataset_id"], r["table_id"])
         dst = warehouse.path(backup_project, r["target_dataset_id"], r["target_table_id"])
-        start = _now()
-        base = dict(source_project_id=r["project_id"], source_dataset_id=r["dataset_id"],
-                    source_table_id=r["table_id"], source_partition_id=r["partition_id"],
-                    target_project_id=backup_project, target_dataset_id=r["target_dataset_id"],
-                    target_table_id=r["target_table_id"], target_partition_id=None, start_time=start,
-                    item_id=None)
+        base = base_of(r)
         try:
             if fs.committed(dst):
-                return dict(**base, state="DONE", error_reason="duplicate",
-                           error_message="Already Exists: " + dst, end_time=_now(), num_rows=None,
-                           num_bytes=None)
+                return dict(**base, error_reason="duplicate", error_message="Already Exists: " + dst,
+                            end_time=_now(), num_rows=None, num_bytes=None)
             data = read_table(spark, src, r["partition_id"])
             size = data_bytes(data)  # a block copy has the source's size
             data.write.mode("overwrite").parquet(dst)
-            end = _now()
-            return dict(**base, state="DONE", error_reason=None, error_message=None, end_time=end,
+            return dict(**base, error_reason=None, error_message=None, end_time=_now(),
                         num_rows=_rows(spark, dst), num_bytes=size)
         except Exception as e:  # noqa: BLE001 - a failed copy is a result row
-            reason = "notFound" if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) else "internalError"
-            return dict(**base, state="DONE", error_reason=reason, error_message=str(e)[:500],
-                       end_time=_now(), num_rows=None, num_bytes=None)
+            return failed(base, e)
+
+    def partitions_together(group: list) -> list[dict]:
+        """One job for every changed partition of one table: write them to a
+        staging directory split by target, then rename each target into
+        place (a metadata operation on HDFS-like stores)."""
+        import uuid
+        r0 = group[0]
+        src = warehouse.path(r0["project_id"], r0["dataset_id"], r0["table_id"])
+        out, todo = [], []
+        for r in group:
+            dst = warehouse.path(backup_project, r["target_dataset_id"], r["target_table_id"])
+            if fs.committed(dst):
+                out.append(dict(**base_of(r), error_reason="duplicate", error_message="Already Exists: " + dst,
+                                end_time=_now(), num_rows=None, num_bytes=None))
+            else:
+                todo.append((r, dst))
+        if not todo:
+            return out
+        try:
+            mapping = spark.createDataFrame([(r["partition_id"], r["target_table_id"]) for r, _ in todo],
+                                            f"{PARTITION_COLUMN}_key string, _target string")
+            data = read_table(spark, src).filter(
+                F.col(PARTITION_COLUMN).cast("string").isin([r["partition_id"] for r, _ in todo]))
+            # per-partition sizes and row counts from file metadata and row-group counts only
+            stats = {row["p"]: (row["b"], row["n"]) for row in
+                     data.select(F.col(PARTITION_COLUMN).cast("string").alias("p"),
+                                 F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
+                     .groupBy("p", "f").agg(F.max("s").alias("s"), F.count(F.lit(1)).alias("n"))
+                     .groupBy("p").agg(F.sum("s").alias("b"), F.sum("n").alias("n")).collect()}
+            # the mapping has one row per partition of this one table: a known, small bound
+            tagged = data.join(F.broadcast(mapping),
+                               F.col(PARTITION_COLUMN).cast("string") == F.col(f"{PARTITION_COLUMN}_key"))\
+                .drop(f"{PARTITION_COLUMN}_key")
+            dataset_dir = warehouse.path(backup_project, r0["target_dataset_id"], "")
+            staging = f"{dataset_dir.rstrip('/')}/_staging_{uuid.uuid4().hex}"
+            tagged.write.partitionBy("_target").parquet(staging)
+            for r, dst in todo:
+                moved = f"{staging}/_target={r['target_table_id']}"
+                if fs.exists(dst):
+                    fs.delete(dst)  # half-written by an earlier, lost attempt
+                if fs.exists(moved):
+                    fs.rename(moved, dst)
+                else:  # a partition without rows: an empty copy with the source schema
+                    spark.createDataFrame([], data.schema).write.mode("overwrite").parquet(dst)
+                fs.touch(dst + "/_SUCCESS")
+                b, n = stats.get(r["partition_id"], (0, 0))
+                out.append(dict(**base_of(r), error_reason=None, error_message=None, end_time=_now(),
+                                num_rows=int(n), num_bytes=int(b)))
+            fs.delete(staging)
+        except Exception as e:  # noqa: BLE001
+            out += [failed(base_of(r), e) for r, _ in todo]
+        return out
+
+    def one_group(group: list) -> list[dict]:
+        if len(group) > 1 and all(r["partition_id"] is not None for r in group):
+            return partitions_together(group)
+        return [one(r) for r in group]
 
-    results = _run_pool(one, _iter_rows(plan), parallelism)
+    import itertools
+    key = lambda r: (r["project_id"], r["dataset_id"], r["table_id"])
+    groups = (list(g) for _, g in itertools.groupby(_iter_rows(plan), key=key))
+    results = [r for rs in _run_pool(one_group, groups, parallelism) for r in rs]
     return _results_frame(spark, results)
 
 
