@@ -3,6 +3,7 @@ organisation walk as one frame (S7)."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -91,56 +92,58 @@ def enumerate_sources(live: DataFrame, custom: Iterable[str] = (),
 
 def warehouse_catalog(spark, warehouse, refs) -> tuple[DataFrame, DataFrame]:
     """S7–S9 over a file warehouse: live metadata and partition listing of
-    the given tables (project, dataset, table), computed from the hidden
-    `_metadata` file columns only (no data column is read).  Returns
-    (live, partitions) in the shapes `live_catalog` / `list_partitions`
-    produce.  A table that does not exist yields a 'not_found' row."""
-    from functools import reduce
-
+    the given tables (project, dataset, table) in ONE Spark job over all
+    their files, reading only the hidden `_metadata` columns and parquet row
+    counts (no data column).  Table and partition come from each file's
+    path.  Returns (live, partitions) in the shapes `live_catalog` /
+    `list_partitions` produce; a table without files is 'not_found'."""
     from keepsake.sources.copy import PARTITION_COLUMN, _FS
 
     fs = _FS(spark)
-    lives, parts = [], []
-    for project, dataset, table in refs:
-        path = warehouse.path(project, dataset, table)
-        key = [F.lit(project).alias("project_id"), F.lit(dataset).alias("dataset_id"),
-               F.lit(table).alias("table_id")]
-        if not fs.committed(path):
-            lives.append(spark.range(1).select(*key, F.lit("not_found").alias("lookup_status")))
-            continue
-        df = spark.read.parquet(path)
-        partitioned = PARTITION_COLUMN in df.columns
-        pcol = [F.col(PARTITION_COLUMN).cast("string").alias(PARTITION_COLUMN)] if partitioned else [F.lit(None).cast("string").alias(PARTITION_COLUMN)]
-        files = (df.select(*pcol, F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"),
-                           F.col("_metadata.file_modification_time").alias("m"))
-                 .groupBy(PARTITION_COLUMN, "f").agg(F.count(F.lit(1)).alias("rows"), F.max("s").alias("bytes"),
-                                                     F.min("m").alias("created"), F.max("m").alias("modified")))
-        per_part = files.groupBy(PARTITION_COLUMN).agg(
+    refs = [tuple(r) for r in refs]
+    present = [r for r in refs if fs.committed(warehouse.path(*r))]
+    key_schema = "project_id string, dataset_id string, table_id string"
+    wanted = spark.createDataFrame(refs, key_schema)
+    root = warehouse.root.rstrip("/")
+    pattern = r"^(?:file:)?" + re.escape(root.replace("file:", "")) + \
+        r"/([^/]+)/([^/]+)/([^/]+)/(?:" + PARTITION_COLUMN + r"=([^/]+)/)?[^/]+$"
+    empty_parts = spark.createDataFrame([], key_schema + ", partition_id string, creation_time timestamp_ntz, "
+                                                         "last_modified timestamp_ntz, num_rows long, num_bytes long")
+    if present:
+        files = (spark.read.option("recursiveFileLookup", "true")
+                 .parquet(*[warehouse.path(*r) for r in present])
+                 .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"),
+                         F.col("_metadata.file_modification_time").alias("m"))
+                 .groupBy("f").agg(F.count(F.lit(1)).alias("rows"), F.max("s").alias("bytes"),
+                                   F.max("m").alias("m")))
+        path = F.regexp_replace(F.col("f"), "^file:(//)?", "")
+        parsed = files.select(*[F.regexp_extract(path, pattern.replace("^(?:file:)?", "^"), i).alias(c)
+                                for i, c in ((1, "project_id"), (2, "dataset_id"), (3, "table_id"),
+                                             (4, "partition_id"))], "rows", "bytes", "m")
+        parsed = parsed.withColumn("partition_id", F.when(F.col("partition_id") != "", F.col("partition_id")))
+        per_part = parsed.groupBy("project_id", "dataset_id", "table_id", "partition_id").agg(
             F.sum("rows").alias("num_rows"), F.sum("bytes").alias("num_bytes"),
-            F.min("created").cast("timestamp_ntz").alias("creation_time"),
-            F.max("modified").cast("timestamp_ntz").alias("last_modified"))
-        whole = per_part.agg(F.sum("num_rows").alias("num_rows"), F.sum("num_bytes").alias("num_bytes"),
-                             F.min("creation_time").alias("creation_time"),
-                             F.max("last_modified").alias("last_modified_time"))
-        lives.append(whole.select(*key, F.lit("found").alias("lookup_status"), "creation_time",
-                                  "last_modified_time", "num_bytes", "num_rows",
-                                  F.lit(partitioned).alias("partitioned")))
-        if partitioned:
-            parts.append(per_part.select(*key, F.col(PARTITION_COLUMN).alias("partition_id"), "creation_time",
-                                         "last_modified", "num_rows", "num_bytes"))
-    live = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lives)
+            F.min("m").cast("timestamp_ntz").alias("creation_time"),
+            F.max("m").cast("timestamp_ntz").alias("last_modified"))
+        per_table = per_part.groupBy("project_id", "dataset_id", "table_id").agg(
+            F.sum("num_rows").alias("num_rows"), F.sum("num_bytes").alias("num_bytes"),
+            F.min("creation_time").alias("creation_time"), F.max("last_modified").alias("last_modified_time"),
+            F.max(F.col("partition_id").isNotNull()).alias("partitioned"))
+        partitions = per_part.filter(F.col("partition_id").isNotNull()).select(*empty_parts.columns)
+    else:
+        per_table = spark.createDataFrame([], key_schema + ", num_rows long, num_bytes long, creation_time "
+                                          "timestamp_ntz, last_modified_time timestamp_ntz, partitioned boolean")
+        partitions = empty_parts
+    j = wanted.join(per_table, ["project_id", "dataset_id", "table_id"], "left")
+    found = F.col("num_rows").isNotNull()
     partitioned = F.coalesce(F.col("partitioned"), F.lit(False))
-    live = live.select(
-        "project_id", "dataset_id", "table_id", "lookup_status",
-        (F.col("lookup_status") == "found").alias("table_exists"), "creation_time", "last_modified_time",
-        "num_bytes", "num_rows", F.lit("TABLE").alias("type"), F.lit(DEFAULT_LOCATION).alias("location"),
+    live = j.select(
+        "project_id", "dataset_id", "table_id", F.when(found, "found").otherwise("not_found").alias("lookup_status"),
+        found.alias("table_exists"), "creation_time", "last_modified_time", "num_bytes", "num_rows",
+        F.when(found, "TABLE").alias("type"), F.lit(DEFAULT_LOCATION).alias("location"),
         F.when(partitioned, "DAY").alias("time_partitioning_type"),
         F.lit(None).cast("long").alias("partition_expiration_ms"), (F.col("num_rows") == 0).alias("is_empty"),
-        F.lit(False).alias("is_external_or_view"), (F.col("lookup_status") == "found").alias("is_schema_defined"),
+        F.lit(False).alias("is_external_or_view"), found.alias("is_schema_defined"),
         partitioned.alias("is_daily_partitioned"), partitioned.alias("has_time_partitioning"),
         F.lit(False).alias("has_partition_expiration"))
-    empty_parts = spark.createDataFrame([], "project_id string, dataset_id string, table_id string, "
-                                            "partition_id string, creation_time timestamp_ntz, "
-                                            "last_modified timestamp_ntz, num_rows long, num_bytes long")
-    partitions = reduce(DataFrame.unionByName, parts, empty_parts)
     return live, partitions
