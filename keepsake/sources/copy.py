@@ -7,11 +7,12 @@ column `_partition_id` (yyyymmdd), so one partition is one directory and
 copying or restoring it touches nothing else (partition pruning on read,
 dynamic partition overwrite on write).
 
-Each table copy is its own Spark job: schemas differ from table to table,
-so they cannot share one plan.  The plan frame is streamed to the driver
-with `toLocalIterator()` (one partition at a time, never whole) and the
-jobs are submitted from a bounded thread pool; each job is a plain
-read → write that Spark parallelises over the table's files.
+Each source table is its own Spark job (schemas differ from table to table,
+so tables cannot share one plan); all changed partitions of one table share
+that job.  The plan frame is streamed to the driver with `toLocalIterator()`
+(one partition at a time, never whole) and the jobs are submitted from a
+bounded thread pool; each job is a plain read → write that Spark
+parallelises over the table's files.
 """
 
 from __future__ import annotations
