@@ -92,3 +92,46 @@ def test_max_partition_days_cases(spark, n, partitions, expected):
     t = tables_df(spark, [(i, "p1", "d1", "t", p, None) for i, p in enumerate(partitions)])
     got = sorted((r["partition_id"] or "") for r in RS.max_partition_days(t, D(2018, 2, 15), n).collect())
     assert got == sorted((p or "") for p in expected)
+
+
+JOB_SCHEMA = "id string, created timestamp_ntz, items_count long, create_disposition string, write_disposition string"
+ITEM_SCHEMA = ("id long, job_id string, status string, status_message string, completed timestamp_ntz, "
+               "source_table struct<project_id:string,dataset_id:string,table_id:string,partition_id:string>, "
+               "target_table struct<project_id:string,dataset_id:string,table_id:string,partition_id:string>, "
+               "custom_parameters string")
+SRC, TGT = ("bp", "bk", "copy1", None), ("p", "d", "t", "20180101")
+
+
+def _status(spark, items_count, items):
+    jobs = spark.createDataFrame([("j", D(2018, 1, 1), items_count, "CREATE_IF_NEEDED", "WRITE_EMPTY")], JOB_SCHEMA)
+    its = spark.createDataFrame([(i, "j", st, None, comp, SRC, TGT, cp) for i, (st, comp, cp) in enumerate(items)],
+                                ITEM_SCHEMA)
+    st = RS.job_status(jobs, its).first()
+    res = {r["result"]: r["count"] for r in RS.item_results(jobs, its).collect()}
+    listing = RS.item_listing(its).orderBy("id").collect()
+    return st, res, listing
+
+
+def test_status_without_items(spark):
+    st, res, _ = _status(spark, 1, [])
+    assert (st["state"], st["result"]) == ("In progress", None) and res == {"unknown": 1}
+
+
+def test_status_done_with_and_without_completed(spark):
+    st, res, listing = _status(spark, 2, [("Done", D(2018, 1, 2, 3, 4, 5), None), ("Done", None, None)])
+    assert (st["state"], st["result"]) == ("Done", "Success") and res == {"done": 2}
+    assert [r["completed"] for r in listing] == ["2018-01-02T03:04:05", None]
+    assert listing[0]["sourceTable"] == "bp:bk.copy1" and listing[0]["targetTable"] == "p:d.t$20180101"
+
+
+def test_status_custom_parameters(spark):
+    _, res, listing = _status(spark, 3, [("In Progress", None, '{"a": 1}'), ("Done", None, "not json {"),
+                                         ("Done", None, None)])
+    assert res == {"inProgress": 1, "done": 2}
+    assert [(r["customParameters"], r["customParametersIsJson"]) for r in listing] == \
+        [('{"a": 1}', True), ("not json {", False), (None, None)]
+
+
+def test_status_finished_with_failures(spark):
+    st, res, _ = _status(spark, 2, [("Done", None, None), ("Failed", None, None)])
+    assert (st["state"], st["result"]) == ("Done", "Failed") and res == {"done": 1, "failed": 1}
