@@ -135,3 +135,35 @@ def test_status_custom_parameters(spark):
 def test_status_finished_with_failures(spark):
     st, res, _ = _status(spark, 2, [("Done", None, None), ("Failed", None, None)])
     assert (st["state"], st["result"]) == ("Done", "Failed") and res == {"done": 1, "failed": 1}
+
+
+def test_dataset_restore_items(spark):
+    t = tables_df(spark, [(1, "src", "ds", "plain", None, None), (2, "src", "ds", "nobackup", None, None),
+                          (3, "src", "ds", "part", "20171206", None), (4, "src", "ds", "part", "20171205", None),
+                          (5, "src", "ds", "part", "20171203", None), (6, "src", "other", "x", None, None)])
+    bs = backups_df(spark, [backup(1, D(2017, 12, 1), table_id="b1_old", dataset="bk0", id=11),
+                            backup(1, D(2017, 12, 2), table_id="b1_gone", dataset="bk0", id=12,
+                                   deleted=D(2017, 12, 3)),
+                            backup(3, D(2017, 12, 6), table_id="b3", dataset="bk1", id=13),
+                            backup(4, D(2017, 12, 5), table_id="b4", dataset="bk1", id=14),
+                            backup(5, D(2017, 12, 3), table_id="b5", dataset="bk1", id=15),
+                            backup(6, D(2017, 12, 3), table_id="b6", dataset="bk1", id=16)])
+    req = spark.createDataFrame([("r1", "src", "ds", "TARGET-PROJECT", None, None),
+                                 ("r2", "src", "ds", "restoration", "custom_target_dataset_id", 2)],
+                                "request_id string, project_id string, dataset_id string, target_project_id string, "
+                                "target_dataset_id string, max_partition_days int")
+    out = RS.dataset_restore_items(req, t, bs, D(2017, 12, 6), "bbq")
+    got = sorted((r["request_id"], r["backup_id"], tuple(r["source_table"]), tuple(r["target_table"]))
+                 for r in out.collect())
+    assert got == sorted([
+        # newest *available* copy per table; tables without one yield nothing
+        ("r1", 11, ("bbq", "bk0", "b1_old", None), ("TARGET-PROJECT", "ds", "plain", None)),
+        ("r1", 13, ("bbq", "bk1", "b3", "20171206"), ("TARGET-PROJECT", "ds", "part", "20171206")),
+        ("r1", 14, ("bbq", "bk1", "b4", "20171205"), ("TARGET-PROJECT", "ds", "part", "20171205")),
+        ("r1", 15, ("bbq", "bk1", "b5", "20171203"), ("TARGET-PROJECT", "ds", "part", "20171203")),
+        # max_partition_days = 2: partitions of the last two days and every non-partitioned table
+        ("r2", 11, ("bbq", "bk0", "b1_old", None), ("restoration", "custom_target_dataset_id", "plain", None)),
+        ("r2", 13, ("bbq", "bk1", "b3", "20171206"), ("restoration", "custom_target_dataset_id", "part", "20171206")),
+        ("r2", 14, ("bbq", "bk1", "b4", "20171205"), ("restoration", "custom_target_dataset_id", "part", "20171205")),
+    ])
+    assert {r["status"] for r in out.collect()} == {"In Progress"}
