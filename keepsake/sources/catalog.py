@@ -38,7 +38,8 @@ def live_catalog(raw: DataFrame) -> DataFrame:
         tp.getField("expirationMs").alias("partition_expiration_ms"),
         (F.col("d.numRows") == "0").alias("is_empty"),
         F.coalesce(F.col("d.type").isin("VIEW", "EXTERNAL"), F.lit(False)).alias("is_external_or_view"),
-        F.coalesce(F.size(F.col("d.schema.fields")) > 0, F.lit(False)).alias("is_schema_defined"),
+        # a schema object counts even with an empty field list; a missing one does not
+        F.col("d.schema.fields").isNotNull().alias("is_schema_defined"),
         F.coalesce(tp.getField("type") == "DAY", F.lit(False)).alias("is_daily_partitioned"),
         tp.isNotNull().alias("has_time_partitioning"),
         F.coalesce(tp.getField("expirationMs").isNotNull(), F.lit(False)).alias("has_partition_expiration"),

@@ -167,3 +167,74 @@ def test_dataset_restore_items(spark):
         ("r2", 14, ("bbq", "bk1", "b4", "20171205"), ("restoration", "custom_target_dataset_id", "part", "20171205")),
     ])
     assert {r["status"] for r in out.collect()} == {"In Progress"}
+
+
+def _live_from_docs(spark, docs):
+    """Typed live rows from raw metadata documents."""
+    import json
+    from keepsake.sources.catalog import live_catalog
+    rows = [("p", "d", "t", status, json.dumps(doc) if doc is not None else None) for status, doc in docs]
+    return live_catalog(spark.createDataFrame(rows, "project_id string, dataset_id string, table_id string, "
+                                                    "lookup_status string, document string"))
+
+
+def test_schema_defined_like_the_reference(spark):
+    live = _live_from_docs(spark, [("found", {"schema": {"fields": []}}), ("found", {}),
+                                   ("found", {"schema": {"fields": [{"name": "a", "type": "STRING"}]}})])
+    assert [r["is_schema_defined"] for r in live.collect()] == [True, False, True]
+
+
+EXISTS_CASES = [
+    # name, lookup doc (None = not found), partition asked, partitions listed, exists
+    ("not existing table", None, None, [], False),
+    ("existing table", {"schema": {"fields": []}}, None, [], True),
+    ("missing partition", {"schema": {"fields": []}, "timePartitioning": {"type": "DAY"}}, "20180808", [], False),
+    ("existing partition", {"schema": {"fields": []}, "timePartitioning": {"type": "DAY"}}, "20180808",
+     ["20180808"], True),
+    ("no schema", {}, None, [], False),
+    ("partition of a non-partitioned table is not looked up", {"schema": {"fields": []}}, "20180808", [], True),
+]
+
+
+@pytest.mark.parametrize("name,doc,partition,listed,exists", EXISTS_CASES, ids=[c[0] for c in EXISTS_CASES])
+def test_source_exists_cases(spark, name, doc, partition, listed, exists):
+    from keepsake.operators import sli as S
+    live = _live_from_docs(spark, [("found" if doc is not None else "not_found", doc)])
+    sli = spark.createDataFrame([("p", "d", "t", partition)],
+                                "projectId string, datasetId string, tableId string, partitionId string")
+    parts = spark.createDataFrame([("p", "d", "t", x, None) for x in listed],
+                                  "project_id string, dataset_id string, table_id string, partition_id string, "
+                                  "last_modified timestamp_ntz")
+    j = S.with_partition(S.with_live(sli, live), parts, "partitionId")
+    assert j.select(S.source_exists("partitionId").alias("e")).first()["e"] is exists
+
+
+LATENCY_CONFIRM = [
+    # name, exists, recreated, has backup, empty, lookup error, kept
+    ("exists, not recreated, no backup, empty", True, False, False, True, False, True),
+    ("exists, not recreated, has backup, empty", True, False, True, True, False, False),
+    ("lookup error keeps the row", True, False, True, True, True, True),
+    ("gone", False, False, False, False, False, False),
+    ("recreated", True, True, False, False, False, False),
+]
+
+
+@pytest.mark.parametrize("name,exists,recreated,has_backup,empty,error,kept", LATENCY_CONFIRM,
+                         ids=[c[0] for c in LATENCY_CONFIRM])
+def test_latency_confirmation_cases(spark, name, exists, recreated, has_backup, empty, error, kept):
+    from keepsake.operators import sli as S
+    census_created = D(2018, 1, 1)
+    doc = {"schema": {"fields": []}, "numRows": "0" if empty else "5",
+           "creationTime": str(int(((D(2018, 2, 1) if recreated else D(2017, 12, 1)) - D(1970, 1, 1))
+                                   .total_seconds() * 1000))}
+    status = "error" if error else ("found" if exists else "not_found")
+    live = _live_from_docs(spark, [(status, doc if status == "found" else None)])
+    rows = spark.createDataFrame(
+        [(D(2018, 3, 1), "p", "d", "t", "None", census_created, D(2018, 2, 20),
+          D(2018, 2, 10) if has_backup else D(1970, 1, 1), D(1970, 1, 1), "4")],
+        "snapshotTime timestamp_ntz, projectId string, datasetId string, tableId string, partitionId string, "
+        "creationTime timestamp_ntz, lastModifiedTime timestamp_ntz, backupCreated timestamp_ntz, "
+        "backupLastModified timestamp_ntz, xDays string")
+    parts = spark.createDataFrame([], "project_id string, dataset_id string, table_id string, partition_id string, "
+                                      "last_modified timestamp_ntz")
+    assert (S.confirm_latency(rows, live, parts).count() == 1) is kept
