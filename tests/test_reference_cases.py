@@ -238,3 +238,27 @@ def test_latency_confirmation_cases(spark, name, exists, recreated, has_backup,
     parts = spark.createDataFrame([], "project_id string, dataset_id string, table_id string, partition_id string, "
                                       "last_modified timestamp_ntz")
     assert (S.confirm_latency(rows, live, parts).count() == 1) is kept
+
+
+@pytest.mark.parametrize("live_ms,expected", [(1618522714837, True), (1518522714837, False), (1418522714837, False)])
+def test_newer_modification_cases(spark, live_ms, expected):
+    from keepsake.operators import sli as S
+    live = _live_from_docs(spark, [("found", {"schema": {"fields": []}, "lastModifiedTime": str(live_ms)})])
+    census_lm = D(1970, 1, 1) + dt.timedelta(milliseconds=1518522714837)
+    sli = spark.createDataFrame([("p", "d", "t", None, census_lm)],
+                                "projectId string, datasetId string, tableId string, partitionId string, "
+                                "lastModifiedTime timestamp_ntz")
+    parts = spark.createDataFrame([], "project_id string, dataset_id string, table_id string, partition_id string, "
+                                      "last_modified timestamp_ntz")
+    j = S.with_partition(S.with_live(sli, live), parts, "partitionId")
+    assert j.select(S.is_newer("partitionId").alias("n")).first()["n"] is expected
+
+
+@pytest.mark.parametrize("copy_bytes,census_time,expected", [
+    (100, None, True), (12345, None, False), (12345, D(2017, 7, 14), False), (None, None, False)])
+def test_copy_not_seen_by_census_cases(spark, copy_bytes, census_time, expected):
+    from keepsake.operators import sli as S
+    rows = spark.createDataFrame([(census_time, 100, copy_bytes is not None, copy_bytes)],
+                                 "backupLastModifiedTime timestamp_ntz, backupEntityNumBytes long, "
+                                 "lc_exists boolean, lc_num_bytes long")
+    assert rows.select(S.copy_not_in_census().alias("x")).first()["x"] is expected
