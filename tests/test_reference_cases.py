@@ -262,3 +262,40 @@ def test_copy_not_seen_by_census_cases(spark, copy_bytes, census_time, expected)
                                  "backupLastModifiedTime timestamp_ntz, backupEntityNumBytes long, "
                                  "lc_exists boolean, lc_num_bytes long")
     assert rows.select(S.copy_not_in_census().alias("x")).first()["x"] is expected
+
+
+T15 = D(2016, 11, 13, 15)
+NEEDS = [
+    # name, exists, schema, view, source modified, bytes, rows, last copy (modified, bytes) or None, expected
+    ("no schema", True, False, False, T15, 123, 5, None, False),
+    ("empty, no copies", True, True, False, T15, 0, 0, None, True),
+    ("table gone", False, True, False, T15, 123, 5, None, False),
+    ("view", True, True, True, T15, 123, 5, None, False),
+    ("no copies", True, True, False, T15, 123, 5, None, True),
+    ("changed after last copy", True, True, False, D(2016, 11, 13, 16), 123, 5, (T15, 123), True),
+    ("changed at the copy time, same size", True, True, False, T15, 123, 5, (T15, 123), False),
+    ("changed before the copy", True, True, False, D(2016, 11, 13, 14), 123, 5, (T15, 123), False),
+    ("changed before, size differs", True, True, False, D(2016, 11, 13, 14), 456, 5, (T15, 123), True),
+    ("now empty, copy not empty", True, True, False, D(2018, 11, 13, 17), 0, 0, (T15, 123), False),
+    ("now empty, copy empty too", True, True, False, D(2018, 11, 13, 17), 0, 0, (T15, 0), True),
+]
+
+
+@pytest.mark.parametrize("name,exists,schema,view,modified,nbytes,nrows,last,expected", NEEDS,
+                         ids=[c[0] for c in NEEDS])
+def test_needs_backup_cases(spark, name, exists, schema, view, modified, nbytes, nrows, last, expected):
+    from keepsake.operators import backup as B
+    units = spark.createDataFrame(
+        [("p", "d", "t", None, exists, schema, view, "US", False, "found", modified, nbytes, nrows, False)],
+        "project_id string, dataset_id string, table_id string, partition_id string, table_exists boolean, "
+        "is_schema_defined boolean, is_external_or_view boolean, location string, "
+        "has_partition_expiration boolean, lookup_status string, unit_last_modified timestamp_ntz, "
+        "unit_num_bytes long, unit_num_rows long, non_day_partitioning boolean")
+    t = tables_df(spark, [(1, "p", "d", "t", None, D(2016, 1, 1))])
+    copies = []
+    if last:
+        b = list(backup(1, last[0] + dt.timedelta(minutes=10), num_bytes=last[1]))
+        b[2] = last[0]  # last_modified = copy start = the source state it holds
+        copies = [tuple(b)]
+    j = B.attach_last_backup(B.copyable(units), t, backups_df(spark, copies))
+    assert j.select(B.needs_backup(j).alias("n")).first()["n"] is expected
