@@ -210,13 +210,13 @@ def s15(spark, sf):
 
 # ------------------------------------------------------------- list restore
 LIST_REQ_SQL = """
-SELECT id % 7 AS list_id, id AS request_id,
+SELECT id % 1000 AS list_id, id AS request_id,
   CASE WHEN id % 350 = 0 THEN '!!not-base64!!'
        WHEN id % 200 = 0 THEN to_base64(encode('"Table", ' || CAST(parent_id AS VARCHAR) || ', "Backup"'))
        ELSE to_base64(encode('"Table", ' || CAST(parent_id AS VARCHAR) || ', "Backup", ' || CAST(id AS VARCHAR)))
   END AS backupBqKey,
   CASE WHEN id % 300 = 0 THEN 'ahFzfmJhY2t1cA' END AS backupUrlSafeKey
-FROM backups WHERE id % 50 = 0"""
+FROM backups"""
 LIST_ALL_SQL = f"""
 SELECT * FROM ({LIST_REQ_SQL})
 UNION ALL SELECT list_id, -request_id, backupBqKey, backupUrlSafeKey FROM ({LIST_REQ_SQL}) WHERE request_id % 450 = 0"""
@@ -485,16 +485,17 @@ def m3(spark, sf):
 
 @register("m5_create_job", f"""
 SELECT n.* FROM (
-  SELECT CAST(o_orderkey + 7 AS VARCHAR) AS id, o_orderdate + to_days(8218) AS created, CAST(1 AS BIGINT) AS items_count,
-         'CREATE_IF_NEEDED' AS create_disposition, 'WRITE_EMPTY' AS write_disposition
-  FROM orders WHERE o_orderkey % 3 = 0) n
+  SELECT CAST(o_orderkey * 2 + 1 AS VARCHAR) AS id, o_orderdate + to_days(8218) AS created,
+         CAST(1 AS BIGINT) AS items_count, 'CREATE_IF_NEEDED' AS create_disposition,
+         'WRITE_EMPTY' AS write_disposition
+  FROM orders) n
 WHERE n.id NOT IN (SELECT id FROM ({JOBS_SQL}))""")
 def m5(spark, sf):
-    """Requests for new jobs (ids o_orderkey + 7 of every 3rd order); ids
-    that exist already are ignored."""
+    """A new-job request per order (id 2·o_orderkey + 1, so about half
+    collide with existing job ids); ids that exist already are ignored."""
     v = TestViews.of(spark, sf)
-    o = v._read("orders").filter(F.col("o_orderkey") % 3 == 0)
-    new = o.select((F.col("o_orderkey") + 7).cast("string").alias("id"),
+    o = v._read("orders")
+    new = o.select((F.col("o_orderkey") * 2 + 1).cast("string").alias("id"),
                    F.date_add(F.col("o_orderdate"), 8218).cast("timestamp_ntz").alias("created"),
                    F.lit(1).cast("long").alias("items_count"), F.lit("CREATE_IF_NEEDED").alias("create_disposition"),
                    F.lit("WRITE_EMPTY").alias("write_disposition"))

@@ -272,9 +272,10 @@ class TestViews:
 
     @cached_property
     def list_requests(self) -> DataFrame:
-        """Backup-list restore requests: every 50th backup, grouped in 7
-        lists, with malformed keys, both-keys rows and a repeated request."""
-        b = self.backups.filter(F.col("id") % 50 == 0)
+        """Backup-list restore requests: one per backup record, in lists of
+        `id % 1000`, with malformed keys, both-keys rows and repeated
+        requests (a rule on the key decides which)."""
+        b = self.backups
         idc = F.col("id")
         good = F.base64(F.encode(F.concat(F.lit('"Table", '), _str(F.col("parent_id")),
                                           F.lit(', "Backup", '), _str(idc)), "UTF-8"))
@@ -282,7 +283,7 @@ class TestViews:
                                            F.lit(', "Backup"')), "UTF-8"))
         key = (F.when(idc % 350 == 0, F.lit("!!not-base64!!"))
                .when(idc % 200 == 0, three).otherwise(good))
-        base = b.select((idc % 7).alias("list_id"), idc.alias("request_id"),
+        base = b.select((idc % 1000).alias("list_id"), idc.alias("request_id"),
                         key.alias("backupBqKey"),
                         F.when(idc % 300 == 0, F.lit("ahFzfmJhY2t1cA")).alias("backupUrlSafeKey"))
         repeat = base.filter(F.col("request_id") % 450 == 0)\
