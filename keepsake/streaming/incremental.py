@@ -84,6 +84,13 @@ def stream_dedupe_requests(requests: DataFrame, key: str = "request_key", time_c
                            delay: str = "1 day") -> DataFrame:
     """M6 on a stream: one request per idempotency key within the watermark
     delay; NULL keys are never deduplicated (they bypass the state)."""
-    keyed = (requests.filter(F.col(key).isNotNull()).withWatermark(time_col, delay)
-             .dropDuplicatesWithinWatermark([key]))
+    # event time must be TIMESTAMP; NTZ request times are read in the session zone (UTC)
+    ntz = dict(requests.dtypes)[time_col] == "timestamp_ntz"
+    event = "_event_time" if ntz else time_col
+    keyed = requests.filter(F.col(key).isNotNull())
+    if ntz:
+        keyed = keyed.withColumn(event, F.col(time_col).cast("timestamp"))
+    keyed = keyed.withWatermark(event, delay).dropDuplicatesWithinWatermark([key])
+    if ntz:
+        keyed = keyed.drop(event)
     return keyed.unionByName(requests.filter(F.col(key).isNull()))

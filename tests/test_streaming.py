@@ -54,12 +54,17 @@ def test_sli_stream_append_equals_batch(spark, scratch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_dedupe_stream_keeps_null_keys(spark, scratch):
+import pytest
+
+
+@pytest.mark.parametrize("ts_type", ["timestamp", "timestamp_ntz"])
+def test_dedupe_stream_keeps_null_keys(spark, scratch, ts_type):
     src = os.path.join(scratch, "reqs")
     t0 = dt.datetime(2024, 1, 1)
+    schema = f"request_key string, requested_at {ts_type}"
     spark.createDataFrame([("k1", t0), ("k1", t0 + dt.timedelta(minutes=5)), (None, t0), (None, t0),
-                           ("k2", t0)], "request_key string, requested_at timestamp").write.parquet(src)
-    stream = spark.readStream.schema("request_key string, requested_at timestamp").parquet(src)
+                           ("k2", t0)], schema).write.parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
     out = os.path.join(scratch, "out")
     q = (INC.stream_dedupe_requests(stream).writeStream.format("parquet")
          .option("checkpointLocation", os.path.join(scratch, "ck")).option("path", out)
