@@ -16,7 +16,7 @@ D = dt.datetime
 
 ACCEPTED = ["proj321:dataset123.tableabc$20180226", "proj321:dataset123.tableabc", "proj321:dataset123.tableabc_123",
             "proj321:datas_et123.tableabc123", "proj-321:dataset123.tableabc123",
-            "dev-project-bbq:smoke_test_EU.epd_none_direct___cpd_indirect___rm_manual___sharded_20170804"]
+            "dev-project-x:smoke_test_EU.epd_none_direct___cpd_indirect___rm_manual___sharded_20170804"]
 REJECTED = ["proj321dataset123.tableabc", "proj321dataset123tableabc", "proj321:dataset123.tableabc$dsfsf",
             "proj321dataset123tableabc$20180501", "proj321:dataset123.table-abc$20180501",
             "proj321:datase-t123.tableabc$20180501", "proj_321:dataset123.tableabc$20180501"]
@@ -152,19 +152,19 @@ def test_dataset_restore_items(spark):
                                  ("r2", "src", "ds", "restoration", "custom_target_dataset_id", 2)],
                                 "request_id string, project_id string, dataset_id string, target_project_id string, "
                                 "target_dataset_id string, max_partition_days int")
-    out = RS.dataset_restore_items(req, t, bs, D(2017, 12, 6), "bbq")
+    out = RS.dataset_restore_items(req, t, bs, D(2017, 12, 6), "backup-project")
     got = sorted((r["request_id"], r["backup_id"], tuple(r["source_table"]), tuple(r["target_table"]))
                  for r in out.collect())
     assert got == sorted([
         # newest *available* copy per table; tables without one yield nothing
-        ("r1", 11, ("bbq", "bk0", "b1_old", None), ("TARGET-PROJECT", "ds", "plain", None)),
-        ("r1", 13, ("bbq", "bk1", "b3", "20171206"), ("TARGET-PROJECT", "ds", "part", "20171206")),
-        ("r1", 14, ("bbq", "bk1", "b4", "20171205"), ("TARGET-PROJECT", "ds", "part", "20171205")),
-        ("r1", 15, ("bbq", "bk1", "b5", "20171203"), ("TARGET-PROJECT", "ds", "part", "20171203")),
+        ("r1", 11, ("backup-project", "bk0", "b1_old", None), ("TARGET-PROJECT", "ds", "plain", None)),
+        ("r1", 13, ("backup-project", "bk1", "b3", "20171206"), ("TARGET-PROJECT", "ds", "part", "20171206")),
+        ("r1", 14, ("backup-project", "bk1", "b4", "20171205"), ("TARGET-PROJECT", "ds", "part", "20171205")),
+        ("r1", 15, ("backup-project", "bk1", "b5", "20171203"), ("TARGET-PROJECT", "ds", "part", "20171203")),
         # max_partition_days = 2: partitions of the last two days and every non-partitioned table
-        ("r2", 11, ("bbq", "bk0", "b1_old", None), ("restoration", "custom_target_dataset_id", "plain", None)),
-        ("r2", 13, ("bbq", "bk1", "b3", "20171206"), ("restoration", "custom_target_dataset_id", "part", "20171206")),
-        ("r2", 14, ("bbq", "bk1", "b4", "20171205"), ("restoration", "custom_target_dataset_id", "part", "20171205")),
+        ("r2", 11, ("backup-project", "bk0", "b1_old", None), ("restoration", "custom_target_dataset_id", "plain", None)),
+        ("r2", 13, ("backup-project", "bk1", "b3", "20171206"), ("restoration", "custom_target_dataset_id", "part", "20171206")),
+        ("r2", 14, ("backup-project", "bk1", "b4", "20171205"), ("restoration", "custom_target_dataset_id", "part", "20171205")),
     ])
     assert {r["status"] for r in out.collect()} == {"In Progress"}
 
