@@ -46,3 +46,35 @@ def test_hot_table_retention_matches_oracle(spark):
     # raw copies reach the hot table only through partial aggregates and id-keyed joins
     specs = __import__("re").findall(r"windowspecdefinition\(([^)]*)", p)
     assert all("young" in s for s in specs)
+
+
+class HotCensusViews(TestViews):
+    """The driver's tables with every third census snapshot moved to table 0."""
+
+    def _read(self, name):
+        df = super()._read(name)
+        if name == "events":
+            df = df.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+        return df
+
+
+def test_hot_census_table_sli_matches_oracle(spark):
+    from keepsake.checks.oracle import build
+    from keepsake.checks.q_sli import LAT_NEEDS, QUAL_NEEDS, sql_latency, sql_quality
+    from keepsake.plans import sli as PS
+    from keepsake.sources.testviews import AS_OF
+    v = HotCensusViews(spark, SF)
+    cfg = default_config()
+    la = PS.last_available_backups(v.tables, v.backups)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{SF}/orders.parquet')")
+    con.execute(f"CREATE VIEW events AS SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END "
+                f"AS user_id) FROM read_parquet('{SF}/events.parquet')")
+    assert con.execute("SELECT avg(CAST(user_id = 0 AS INTEGER)) FROM events").fetchone()[0] > 0.3
+    cases = [(PS.latency_sli(v.census_tables, v.census_partitions, la, x, AS_OF, cfg),
+              build(sql_latency(x, AS_OF), LAT_NEEDS)) for x in (0, 4)]
+    cases.append((PS.quality_sli(v.census_tables, v.census_partitions, la, v.census_copies, AS_OF, cfg),
+                  build(sql_quality(AS_OF), QUAL_NEEDS)))
+    for df, sql in cases:
+        a, b = normalise(df.toPandas()), normalise(con.execute(sql).df())
+        assert len(a) == len(b) and a.equals(b)
