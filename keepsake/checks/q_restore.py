@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from keepsake.checks.oracle import AS_OF
 from keepsake.functions import columns as U
 from keepsake.operators import restore as RS
+from keepsake.plans import restore as PR
 from keepsake.registry import register
 from keepsake.sources.testviews import AS_OF as AS_OF_DT, BACKUP_PROJECT, TestViews
 
@@ -114,14 +115,8 @@ SELECT request_id, error,
 FROM ({J7_SQL})""", ("tables", "backups"))
 def q7(spark, sf):
     """Q7: J7 → one item per request (target: the restoration project)."""
-    j = _j7(TestViews.of(spark, sf))
-    ok = F.col("error").isNull()
-    return j.select("request_id", "error",
-                    F.when(ok, U.restore_source(BACKUP_PROJECT, "backup_dataset_id", "backup_table_id",
-                                                "partition_id")).alias("source_table"),
-                    F.when(ok, U.restore_target(F.lit("restoration"), F.lit(None).cast("string"), "project_id",
-                                                "dataset_id", "table_id", "partition_id")).alias("target_table"),
-                    F.when(ok, F.lit("In Progress")).alias("status"))
+    v = TestViews.of(spark, sf)
+    return PR.table_restore_plan(table_requests(v), v.tables, v.backups, AS_OF_DT, BACKUP_PROJECT, "restoration")
 
 
 @register("p10_max_partition_days", f"""
@@ -294,7 +289,8 @@ FROM (SELECT j.*, coalesce(j.error, CASE WHEN d.list_id IS NOT NULL THEN 'There
           SELECT list_id, backup_id FROM ({J8_SQL}) WHERE backup_id IS NOT NULL
           GROUP BY list_id, backup_id HAVING count(*) > 1) GROUP BY list_id) d USING (list_id))""", ("backups", "tables"))
 def q8(spark, sf):
-    return RS.list_restore_items(_j8(TestViews.of(spark, sf)), BACKUP_PROJECT, "restoration", None)
+    v = TestViews.of(spark, sf)
+    return PR.list_restore_plan(v.list_requests, v.backups, v.tables, BACKUP_PROJECT, "restoration", None)
 
 
 # ------------------------------------------------------------- validation
@@ -448,11 +444,11 @@ def q10(spark, sf):
     """Q10: per job its state and result (counts taken before the filter),
     then the warnings-only item listing."""
     v = TestViews.of(spark, sf)
-    st = RS.job_status(v.restoration_jobs, v.restore_items).select("job_id", "state", "result")
-    items = RS.item_listing(RS.warnings_only(v.restore_items))
-    return st.join(items, "job_id").select("state", "result", "job_id", "id", "status", "statusMessage",
-                                           "completed", "customParameters", "customParametersIsJson",
-                                           "sourceTable", "targetTable")
+    status = PR.restore_status(v.restoration_jobs, v.restore_items, warnings_only=True)
+    st = status.jobs.select("job_id", "state", "result")
+    return st.join(status.items, "job_id").select("state", "result", "job_id", "id", "status", "statusMessage",
+                                                  "completed", "customParameters", "customParametersIsJson",
+                                                  "sourceTable", "targetTable")
 
 
 EVENTS_SQL = f"""

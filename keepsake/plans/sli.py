@@ -77,3 +77,14 @@ def orphaned_backups(census_copies: DataFrame, tables: DataFrame, backups: DataF
                      as_of: dt.datetime, cfg: Config) -> DataFrame:
     """Q16."""
     return S.orphaned_backups(census_copies, all_backups(tables, backups), as_of, cfg.backup_project)
+
+
+def sli_current(latency_history: DataFrame, quality_history: DataFrame, as_of: dt.datetime) -> dict:
+    """Q15: the 'current' views over today's ingest partition of the SLI
+    history tables: newest latency snapshot per x (W4), violations per x
+    (A1), newest quality snapshot (W5) and the last snapshot times (A2)."""
+    latency = S.newest_latency_snapshot(latency_history, as_of)
+    return {"latency": latency, "latency_by_count": S.latency_by_count(latency),
+            "quality": S.newest_quality_snapshot(quality_history, as_of),
+            "latency_last_snapshot": S.last_snapshot_time(latency_history, as_of),
+            "quality_last_snapshot": S.last_snapshot_time(quality_history, as_of)}

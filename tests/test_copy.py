@@ -224,3 +224,31 @@ def test_incremental_backup_copies_only_changed_partition(spark, scratch):
     src = CP.read_table(spark, wh.path("p1", "d1", "orders"), "19950101")
     cp = spark.read.parquet(wh.path(cfg.backup_project, r["target_dataset_id"], r["target_table_id"]))
     assert CP.verify_copy(src, cp).first()["equal"]
+
+
+def test_dataset_restore_plan_skips_invalid_requests(spark):
+    from keepsake.checks.q_restore import backup_datasets, dataset_requests, existing_datasets
+    from keepsake.plans import restore as PR
+    from keepsake.sources.testviews import BACKUP_PROJECT, TestViews
+    v = TestViews.of(spark, "/root/testdata/sf0.01")
+    plan = PR.dataset_restore_plan(dataset_requests(v), v.tables, v.backups, existing_datasets(v),
+                                   backup_datasets(v), AS_OF, BACKUP_PROJECT)
+    bad = {r["request_id"] for r in plan.checks.filter(F.col("error").isNotNull()).collect()}
+    got = {r["request_id"] for r in plan.items.select("request_id").distinct().collect()}
+    assert bad and not (bad & got) and got
+
+
+def test_sli_current_from_written_history(spark, scratch):
+    from keepsake.checks.q_sli import _latency_run, _quality_run
+    from keepsake.plans.sli import sli_current
+    from keepsake.sources import sli_sink as K
+    from keepsake.sources.testviews import TestViews
+    v = TestViews.of(spark, SF)
+    for t in (AS_OF, AS_OF + dt.timedelta(hours=6)):
+        K.append_sli(_latency_run(spark, v, t), scratch + "/lat", t)
+        K.append_sli(_quality_run(spark, v, t), scratch + "/qual", t)
+    cur = sli_current(spark.read.parquet(scratch + "/lat"), spark.read.parquet(scratch + "/qual"), AS_OF)
+    assert cur["latency_last_snapshot"].first()["snapshotTime"] == AS_OF + dt.timedelta(hours=6)
+    assert cur["quality"].filter(F.col("projectId") == "SNAPSHOT_MARKER").count() == 0
+    counts = {r["xDays"]: r["count"] for r in cur["latency_by_count"].collect()}
+    assert sum(counts.values()) == cur["latency"].count()
