@@ -3,7 +3,6 @@ M3, M5, S15, U3, U4, U6, Q6–Q8, Q10."""
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 

@@ -3,7 +3,6 @@ restore status and SLI checks (inputs → expected from the reference's tests)."
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from keepsake.operators import backup as B
 from keepsake.operators import restore as RS

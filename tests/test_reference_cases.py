@@ -5,7 +5,6 @@ import base64
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from keepsake.functions import columns as U
 from keepsake.operators import restore as RS
