@@ -199,8 +199,12 @@ def record_backups(backups: DataFrame, results: DataFrame, tables: DataFrame,
         F.col("c_table_id").alias("table_id"), F.col("lc_bytes").alias("num_bytes"),
         F.lit(None).cast("timestamp_ntz").alias("deleted"))
     rec = latest_by(rec, ["parent_id", "dataset_id", "table_id"], "created", ["id"])
-    existing = backups.select("parent_id", "dataset_id", "table_id")
-    return rec.join(existing, ["parent_id", "dataset_id", "table_id"], "left_anti").select(*backups.columns)
+    keys = ["parent_id", "dataset_id", "table_id"]
+    # New records are few, the record table is large: narrow it to the new
+    # keys first (semi join, the small side is the build side when its
+    # measured size allows), so the anti join never shuffles every record.
+    existing = backups.select(*keys).join(rec.select(*keys), keys, "left_semi")
+    return rec.join(existing, keys, "left_anti").select(*backups.columns)
 
 
 def unexpire(new_records: DataFrame, plan: DataFrame) -> DataFrame:

@@ -328,7 +328,8 @@ def fold_item_status(items: DataFrame, events: DataFrame) -> DataFrame:
 def create_job(jobs: DataFrame, new: DataFrame) -> DataFrame:
     """M5: a job id that exists already is ignored (nothing restored for
     it); returns the jobs actually created."""
-    return new.join(jobs.select("id"), "id", "left_anti").dropDuplicates(["id"])
+    known = jobs.select("id").join(new.select("id"), "id", "left_semi")  # narrow the job table first
+    return new.join(known, "id", "left_anti").dropDuplicates(["id"])
 
 
 def prepare_targets(items: DataFrame, datasets: DataFrame, live: DataFrame, source_live: DataFrame) -> DataFrame:
