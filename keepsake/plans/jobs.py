@@ -120,3 +120,12 @@ def restore_run(spark: SparkSession, jobs: DataFrame, new_job: DataFrame, items:
     results = materialize(spark, CP.restore_copy(spark, work, warehouse, parallelism))
     folded = RS.fold_item_status(its, CP.restore_events(results))
     return RestoreOutcome(job, folded, targets, results)
+
+
+def write_metadata(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Replace a metadata table (entities or backup records) with a job's
+    result.  The result usually derives from the table it replaces, so the
+    lineage is cut first with a reliable checkpoint in the shared checkpoint
+    folder; the overwrite then never reads the files it is deleting, and a
+    lost executor during the write recomputes from the checkpoint."""
+    materialize(spark, df).write.mode("overwrite").parquet(path)

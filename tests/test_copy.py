@@ -252,3 +252,21 @@ def test_sli_current_from_written_history(spark, scratch):
     assert cur["quality"].filter(F.col("projectId") == "SNAPSHOT_MARKER").count() == 0
     counts = {r["xDays"]: r["count"] for r in cur["latency_by_count"].collect()}
     assert sum(counts.values()) == cur["latency"].count()
+
+
+def test_retention_apply_writes_back_in_place(spark, scratch):
+    from keepsake.sources.testviews import TestViews, default_config
+    v = TestViews.of(spark, SF)
+    cfg = default_config()
+    tables_path, backups_path = scratch + "/meta/tables", scratch + "/meta/backups"
+    v.tables.write.parquet(tables_path)
+    v.backups.write.parquet(backups_path)
+    backups = spark.read.parquet(backups_path)
+    res = J.retention_apply(spark, spark.read.parquet(tables_path), backups, v.live, cfg, CP.Warehouse(scratch + "/wh"))
+    doomed = res.plan.filter(~F.col("retained")).count()
+    assert doomed > 0 and {r["outcome"] for r in res.outcomes.collect()} == {"not_found"}
+    J.write_metadata(spark, res.backups, backups_path)  # overwrite the table the job read
+    after = spark.read.parquet(backups_path)
+    assert after.count() == v.backups.count()
+    newly = after.filter(F.col("deleted") == F.lit(cfg.as_of).cast("timestamp_ntz")).count()
+    assert newly == doomed
