@@ -270,3 +270,34 @@ def test_retention_apply_writes_back_in_place(spark, scratch):
     assert after.count() == v.backups.count()
     newly = after.filter(F.col("deleted") == F.lit(cfg.as_of).cast("timestamp_ntz")).count()
     assert newly == doomed
+
+
+def test_cli_daily_jobs(spark, scratch):
+    from keepsake import cli
+    from keepsake.sources.testviews import TestViews
+    wh = _setup(spark, scratch + "/wh")
+    meta = scratch + "/meta"
+    assert cli.main(["backup", "--meta", meta, "--warehouse", scratch + "/wh", "--as-of", "2024-01-30T00:00:00"]) == 0
+    assert spark.read.parquet(meta + "/backups").count() == 8
+    assert spark.read.parquet(meta + "/tables").count() == 8
+    # a second run the next day: nothing changed, nothing copied; retention keeps every copy
+    assert cli.main(["backup", "--meta", meta, "--warehouse", scratch + "/wh", "--as-of", "2024-01-31T00:00:00"]) == 0
+    assert spark.read.parquet(meta + "/backups").count() == 8
+    assert cli.main(["retention", "--meta", meta, "--warehouse", scratch + "/wh",
+                     "--as-of", "2024-01-31T00:00:00"]) == 0
+    assert spark.read.parquet(meta + "/backups").filter(F.col("deleted").isNotNull()).count() == 0
+    # SLI runs over a census stored partitioned by snapshot day
+    v = TestViews.of(spark, SF)
+    census = scratch + "/census"
+    v.census_tables.write.partitionBy("snapshot_date").parquet(census + "/census_tables")
+    v.census_partitions.write.partitionBy("snapshot_date").parquet(census + "/census_partitions")
+    v.census_copies.write.parquet(census + "/census_copies")
+    assert cli.main(["sli", "--meta", meta, "--warehouse", scratch + "/wh", "--census", census,
+                     "--history", scratch + "/hist", "--as-of", "2024-01-30T00:00:00"]) == 0
+    lat = spark.read.parquet(scratch + "/hist/latency")
+    assert lat.filter(F.col("projectId") == "SNAPSHOT_MARKER").count() == 3
+    # restore status report
+    v.restoration_jobs.write.parquet(meta + "/restoration_jobs")
+    v.restore_items.write.parquet(meta + "/restore_items")
+    assert cli.main(["status", "--meta", meta, "--out", scratch + "/status", "--warnings-only"]) == 0
+    assert spark.read.parquet(scratch + "/status/items").filter(F.col("status") == "Done").count() == 0
