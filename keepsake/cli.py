@@ -6,6 +6,8 @@ warehouse.
     python -m keepsake.cli retention --meta M --warehouse W --as-of ...
     python -m keepsake.cli sli       --meta M --census C --history H --as-of ...
     python -m keepsake.cli status    --meta M --out O [--warnings-only]
+    python -m keepsake.cli restore-dataset --meta M --warehouse W --project P --dataset D \
+        --target-project TP [--target-dataset TD] [--max-partition-days N] --job-id J
 
 `M` holds the metadata tables `tables/` and `backups/` (and `restoration_jobs/`,
 `restore_items/` for status); `C` holds `census_tables/`, `census_partitions/`
@@ -25,7 +27,7 @@ from keepsake.schemas import BACKUPS, TABLES
 
 def _args(argv):
     p = argparse.ArgumentParser(prog="keepsake")
-    p.add_argument("job", choices=["backup", "retention", "sli", "status"])
+    p.add_argument("job", choices=["backup", "retention", "sli", "status", "restore-dataset"])
     p.add_argument("--meta", required=True)
     p.add_argument("--warehouse")
     p.add_argument("--census")
@@ -38,6 +40,14 @@ def _args(argv):
     p.add_argument("--skip-projects", default="")
     p.add_argument("--warnings-only", action="store_true")
     p.add_argument("--parallelism", type=int, default=8)
+    p.add_argument("--project")
+    p.add_argument("--dataset")
+    p.add_argument("--target-project")
+    p.add_argument("--target-dataset")
+    p.add_argument("--max-partition-days", type=int)
+    p.add_argument("--job-id")
+    p.add_argument("--create-disposition", default="CREATE_IF_NEEDED")
+    p.add_argument("--write-disposition", default="WRITE_EMPTY")
     return p.parse_args(argv)
 
 
@@ -111,6 +121,41 @@ def main(argv=None) -> int:
         K.append_sli(PS.quality_run(spark, ct, cp, la, copies, live, parts, lc, as_of, cfg),
                      f"{a.history}/quality", as_of)
         print("sli appended")
+    elif a.job == "restore-dataset":
+        from pyspark.sql import functions as F
+
+        from keepsake.operators import restore as RS
+        from keepsake.plans import restore as PR
+        from keepsake.schemas import RESTORATION_JOBS, RESTORE_ITEMS
+        from keepsake.sources.catalog import warehouse_catalog
+        wh = CP.Warehouse(a.warehouse)
+        refs = _warehouse_tables(spark, wh, set())
+        live, _ = warehouse_catalog(spark, wh, refs)
+        datasets = live.filter("table_exists").groupBy("project_id", "dataset_id").agg(F.min("location").alias("location"))
+        bk = live.filter(live.project_id == cfg.backup_project).select("dataset_id", "location").distinct()
+        req = spark.createDataFrame([(a.job_id, a.project, a.dataset, a.target_project, a.target_dataset,
+                                      a.max_partition_days)],
+                                    "request_id string, project_id string, dataset_id string, target_project_id "
+                                    "string, target_dataset_id string, max_partition_days int")
+        plan = PR.dataset_restore_plan(req, tables, backups, datasets, bk, as_of, cfg.backup_project)
+        err = plan.checks.filter("error IS NOT NULL").select("error").first()
+        if err is not None:
+            print(f"rejected: {err['error']}")
+            return 2
+        items = plan.items.select(F.monotonically_increasing_id().alias("id"), F.col("request_id").alias("job_id"),
+                                  "status", F.lit(None).cast("string").alias("status_message"),
+                                  F.lit(None).cast("timestamp_ntz").alias("completed"), "source_table",
+                                  "target_table", F.lit(None).cast("string").alias("custom_parameters"))
+        jobs = _read_or_empty(spark, f"{meta}/restoration_jobs", RESTORATION_JOBS)
+        new_job = spark.createDataFrame([(a.job_id, as_of, 0, a.create_disposition, a.write_disposition)],
+                                        RESTORATION_JOBS)
+        run = J.restore_run(spark, jobs, new_job, items, datasets, live, bk, wh, a.parallelism)
+        J.write_metadata(spark, jobs.unionByName(run.job.select(*RESTORATION_JOBS.fieldNames())),
+                         f"{meta}/restoration_jobs")
+        old = _read_or_empty(spark, f"{meta}/restore_items", RESTORE_ITEMS)
+        J.write_metadata(spark, old.unionByName(run.items.select(*RESTORE_ITEMS.fieldNames())),
+                         f"{meta}/restore_items")
+        print(f"restore items: {run.items.count()}")
     else:
         from keepsake.plans import restore as PR
         st = PR.restore_status(spark.read.parquet(f"{meta}/restoration_jobs"),

@@ -301,3 +301,26 @@ def test_cli_daily_jobs(spark, scratch):
     v.restore_items.write.parquet(meta + "/restore_items")
     assert cli.main(["status", "--meta", meta, "--out", scratch + "/status", "--warnings-only"]) == 0
     assert spark.read.parquet(scratch + "/status/items").filter(F.col("status") == "Done").count() == 0
+
+
+def test_cli_restore_dataset(spark, scratch):
+    from keepsake import cli
+    _setup(spark, scratch + "/wh")
+    meta = scratch + "/meta"
+    args = ["--meta", meta, "--warehouse", scratch + "/wh", "--as-of", "2024-01-30T00:00:00"]
+    assert cli.main(["backup"] + args) == 0
+    assert cli.main(["restore-dataset"] + args + ["--project", "p1", "--dataset", "d1", "--target-project", "rp",
+                                                  "--target-dataset", "rd", "--job-id", "job-1"]) == 0
+    items = spark.read.parquet(meta + "/restore_items")
+    assert items.count() == 8 and {r["status"] for r in items.collect()} == {"Done"}
+    jobs = spark.read.parquet(meta + "/restoration_jobs")
+    assert [(r["id"], r["items_count"]) for r in jobs.collect()] == [("job-1", 8)]
+    v = CP.verify_copy(spark.read.parquet(scratch + "/wh/p1/d1/orders"), spark.read.parquet(scratch + "/wh/rp/rd/orders"),
+                       [CP.PARTITION_COLUMN])
+    assert all(r["equal"] for r in v.collect())
+    # the same job id again restores nothing; an unknown dataset is rejected by validation
+    assert cli.main(["restore-dataset"] + args + ["--project", "p1", "--dataset", "d1", "--target-project", "rp",
+                                                  "--job-id", "job-1"]) == 0
+    assert spark.read.parquet(meta + "/restore_items").count() == 8
+    assert cli.main(["restore-dataset"] + args + ["--project", "p1", "--dataset", "nope", "--target-project", "rp",
+                                                  "--job-id", "job-2"]) == 2
