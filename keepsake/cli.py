@@ -8,6 +8,8 @@ warehouse.
     python -m keepsake.cli status    --meta M --out O [--warnings-only]
     python -m keepsake.cli restore-dataset --meta M --warehouse W --project P --dataset D \
         --target-project TP [--target-dataset TD] [--max-partition-days N] --job-id J
+    python -m keepsake.cli export       --meta M --export-root E --as-of ...
+    python -m keepsake.cli find-backups --meta M --export-root E --project P --dataset D [--table T] --out O
 
 `M` holds the metadata tables `tables/` and `backups/` (and `restoration_jobs/`,
 `restore_items/` for status); `C` holds `census_tables/`, `census_partitions/`
@@ -27,7 +29,10 @@ from keepsake.schemas import BACKUPS, TABLES
 
 def _args(argv):
     p = argparse.ArgumentParser(prog="keepsake")
-    p.add_argument("job", choices=["backup", "retention", "sli", "status", "restore-dataset"])
+    p.add_argument("job", choices=["backup", "retention", "sli", "status", "restore-dataset", "export",
+                                   "find-backups"])
+    p.add_argument("--export-root")
+    p.add_argument("--table")
     p.add_argument("--meta", required=True)
     p.add_argument("--warehouse")
     p.add_argument("--census")
@@ -156,6 +161,25 @@ def main(argv=None) -> int:
         J.write_metadata(spark, old.unionByName(run.items.select(*RESTORE_ITEMS.fieldNames())),
                          f"{meta}/restore_items")
         print(f"restore items: {run.items.count()}")
+    elif a.job == "export":
+        from keepsake.sources import export as X
+        for kind, df in (("Table", tables), ("Backup", backups)):
+            X.load_export(X.to_export(df, kind), kind, as_of.date(), a.export_root)
+        print(f"exported {as_of:%Y%m%d}")
+    elif a.job == "find-backups":
+        from pyspark.sql import functions as F
+
+        from keepsake.operators import catalog as C
+        from keepsake.sources import export as X
+        shard_t = X.read_latest_export(spark, a.export_root, "Table")
+        shard_b = X.read_latest_export(spark, a.export_root, "Backup")
+        refs = X.last_table(shard_t).filter((F.col("project_id") == a.project) & (F.col("dataset_id") == a.dataset))
+        if a.table:
+            refs = refs.filter(F.col("table_id") == a.table)
+        found = C.all_backups(X.last_backup(shard_b), X.last_table(shard_t)).join(
+            refs.select(F.col("id").alias("table_entity_id")), "table_entity_id", "left_semi")
+        found.write.mode("overwrite").parquet(a.out)
+        print(f"backups: {spark.read.parquet(a.out).count()}")
     else:
         from keepsake.plans import restore as PR
         st = PR.restore_status(spark.read.parquet(f"{meta}/restoration_jobs"),

@@ -324,3 +324,17 @@ def test_cli_restore_dataset(spark, scratch):
     assert spark.read.parquet(meta + "/restore_items").count() == 8
     assert cli.main(["restore-dataset"] + args + ["--project", "p1", "--dataset", "nope", "--target-project", "rp",
                                                   "--job-id", "job-2"]) == 2
+
+
+def test_cli_export_and_find(spark, scratch):
+    from keepsake import cli
+    _setup(spark, scratch + "/wh")
+    meta, ex = scratch + "/meta", scratch + "/export"
+    args = ["--meta", meta, "--warehouse", scratch + "/wh", "--as-of", "2024-01-30T00:00:00"]
+    assert cli.main(["backup"] + args) == 0
+    assert cli.main(["export", "--meta", meta, "--export-root", ex, "--as-of", "2024-01-29T06:00:00"]) == 0
+    assert cli.main(["export", "--meta", meta, "--export-root", ex, "--as-of", "2024-01-30T06:00:00"]) == 0
+    assert cli.main(["find-backups", "--meta", meta, "--export-root", ex, "--project", "p1", "--dataset", "d1",
+                     "--table", "orders", "--out", scratch + "/found"]) == 0
+    found = spark.read.parquet(scratch + "/found")
+    assert found.count() == 7 and {r["source_table_id"] for r in found.collect()} == {"orders"}
