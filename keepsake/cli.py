@@ -8,6 +8,10 @@ warehouse.
     python -m keepsake.cli status    --meta M --out O [--warnings-only]
     python -m keepsake.cli restore-dataset --meta M --warehouse W --project P --dataset D \
         --target-project TP [--target-dataset TD] [--max-partition-days N] --job-id J
+    python -m keepsake.cli backup-table  --meta M --warehouse W --project P --dataset D --table T [--partition X]
+    python -m keepsake.cli restore-table --meta M --warehouse W --project P --dataset D --table T [--partition X] \
+        [--date YYYY-MM-DD] [--target-project TP] [--target-dataset TD] --job-id J
+    python -m keepsake.cli restore-list  --meta M --warehouse W --requests R.jsonl [--target-project TP] --job-id J
     python -m keepsake.cli export       --meta M --export-root E --as-of ...
     python -m keepsake.cli find-backups --meta M --export-root E --project P --dataset D [--table T] --out O
 
@@ -30,7 +34,10 @@ from keepsake.schemas import BACKUPS, TABLES
 def _args(argv):
     p = argparse.ArgumentParser(prog="keepsake")
     p.add_argument("job", choices=["backup", "retention", "sli", "status", "restore-dataset", "export",
-                                   "find-backups"])
+                                   "find-backups", "backup-table", "restore-table", "restore-list"])
+    p.add_argument("--partition")
+    p.add_argument("--date", help="restore as of this day (YYYY-MM-DD, end of day)")
+    p.add_argument("--requests", help="JSON lines: backupBqKey / backupUrlSafeKey per line")
     p.add_argument("--export-root")
     p.add_argument("--table")
     p.add_argument("--meta", required=True)
@@ -79,6 +86,39 @@ def _warehouse_tables(spark, wh, skip_projects):
     return refs
 
 
+def _run_restore(spark, a, cfg, planned, tables, meta) -> int:
+    """Q9 for a planned restore (items with source/target or an error)."""
+    from pyspark.sql import functions as F
+
+    from keepsake.plans import jobs as J
+    from keepsake.schemas import RESTORATION_JOBS, RESTORE_ITEMS
+    from keepsake.sources import copy as CP
+    from keepsake.sources.catalog import warehouse_catalog
+    err = planned.filter("error IS NOT NULL").select("error").first()
+    if err is not None:
+        print(f"rejected: {err['error']}")
+        return 2
+    wh = CP.Warehouse(a.warehouse)
+    live, _ = warehouse_catalog(spark, wh, _warehouse_tables(spark, wh, set()))
+    datasets = live.filter("table_exists").groupBy("project_id", "dataset_id").agg(F.min("location").alias("location"))
+    bk = live.filter(live.project_id == cfg.backup_project).select("dataset_id", "location").distinct()
+    items = planned.select(F.monotonically_increasing_id().alias("id"), F.lit(a.job_id).alias("job_id"), "status",
+                           F.lit(None).cast("string").alias("status_message"),
+                           F.lit(None).cast("timestamp_ntz").alias("completed"), "source_table", "target_table",
+                           (F.col("custom_parameters") if "custom_parameters" in planned.columns
+                            else F.lit(None).cast("string")).alias("custom_parameters"))
+    jobs = _read_or_empty(spark, f"{meta}/restoration_jobs", RESTORATION_JOBS)
+    new_job = spark.createDataFrame([(a.job_id, cfg.as_of, 0, a.create_disposition, a.write_disposition)],
+                                    RESTORATION_JOBS)
+    run = J.restore_run(spark, jobs, new_job, items, datasets, live, bk, wh, a.parallelism)
+    J.write_metadata(spark, jobs.unionByName(run.job.select(*RESTORATION_JOBS.fieldNames())),
+                     f"{meta}/restoration_jobs")
+    old = _read_or_empty(spark, f"{meta}/restore_items", RESTORE_ITEMS)
+    J.write_metadata(spark, old.unionByName(run.items.select(*RESTORE_ITEMS.fieldNames())), f"{meta}/restore_items")
+    print(f"restore items: {run.items.count()}")
+    return 0
+
+
 def main(argv=None) -> int:
     a = _args(sys.argv[1:] if argv is None else argv)
     from keepsake.plans import jobs as J
@@ -161,6 +201,35 @@ def main(argv=None) -> int:
         J.write_metadata(spark, old.unionByName(run.items.select(*RESTORE_ITEMS.fieldNames())),
                          f"{meta}/restore_items")
         print(f"restore items: {run.items.count()}")
+    elif a.job == "backup-table":
+        from keepsake.sources.catalog import warehouse_catalog
+        wh = CP.Warehouse(a.warehouse)
+        live, _ = warehouse_catalog(spark, wh, [(a.project, a.dataset, a.table)])
+        req = spark.createDataFrame([(a.project, a.dataset, a.table, a.partition)],
+                                    "project_id string, dataset_id string, table_id string, partition_id string")
+        out = J.on_demand_run(spark, live, req, tables, backups, cfg, wh)
+        err = out.plan.filter("error IS NOT NULL").select("error").first()
+        if err is not None:
+            print(f"rejected: {err['error']}")
+            return 2
+        J.write_metadata(spark, out.tables, f"{meta}/tables")
+        J.write_metadata(spark, backups.unionByName(out.new_backups), f"{meta}/backups")
+        print(f"recorded: {out.new_backups.count()}")
+    elif a.job in ("restore-table", "restore-list"):
+        from keepsake.plans import restore as PR
+        if a.job == "restore-table":
+            req = spark.createDataFrame([(0, a.project, a.dataset, a.table, a.partition, a.date)],
+                                        "request_id long, project_id string, dataset_id string, table_id string, "
+                                        "partition_id string, date_text string")
+            planned = PR.table_restore_plan(req, tables, backups, as_of, cfg.backup_project, a.target_project,
+                                            a.target_dataset)
+        else:
+            from pyspark.sql import functions as F
+            raw = spark.read.schema("backupBqKey string, backupUrlSafeKey string").json(a.requests)
+            req = raw.select(F.lit(0).alias("list_id"), F.monotonically_increasing_id().alias("request_id"), "*")
+            planned = PR.list_restore_plan(req, backups, tables, cfg.backup_project, a.target_project,
+                                           a.target_dataset)
+        return _run_restore(spark, a, cfg, planned, tables, meta)
     elif a.job == "export":
         from keepsake.sources import export as X
         for kind, df in (("Table", tables), ("Backup", backups)):

@@ -87,11 +87,12 @@ def on_demand_run(spark: SparkSession, live: DataFrame, requests: DataFrame, tab
     existing = tables.select("project_id", "dataset_id", "table_id", "partition_id", F.col("id").alias("_id"))
     plan = (entity.join(existing, B.KEYS, "left")
             .select(F.when(F.col("_id").isNotNull(), F.col("_id")).alias("entity_id"), *B.KEYS, "needs_backup"))
-    new_tables = B.upsert_last_checked(tables, plan, cfg.as_of)
+    new_tables = materialize(spark, B.upsert_last_checked(tables, plan, cfg.as_of))
     results = materialize(spark, CP.snapshot_copy(spark, todo, warehouse, cfg.backup_project))
     docs = CP.as_job_documents(results)
-    new = B.record_backups(backups, docs, new_tables, CP.copies_catalog(results))
-    return BackupOutcome(checked, new_tables, results, B.copy_result_class(docs), new,
+    # materialized: callers overwrite the metadata tables these derive from
+    new = materialize(spark, B.record_backups(backups, docs, new_tables, CP.copies_catalog(results)))
+    return BackupOutcome(materialize(spark, checked), new_tables, results, B.copy_result_class(docs), new,
                          spark.createDataFrame([], "dataset_id string, table_id string, expiration_ms long"))
 
 

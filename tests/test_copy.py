@@ -338,3 +338,36 @@ def test_cli_export_and_find(spark, scratch):
                      "--table", "orders", "--out", scratch + "/found"]) == 0
     found = spark.read.parquet(scratch + "/found")
     assert found.count() == 7 and {r["source_table_id"] for r in found.collect()} == {"orders"}
+
+
+def test_cli_on_demand_and_table_and_list_restores(spark, scratch):
+    import base64
+    import json
+    from keepsake import cli
+    _setup(spark, scratch + "/wh")
+    meta = scratch + "/meta"
+    args = ["--meta", meta, "--warehouse", scratch + "/wh", "--as-of", "2024-01-30T00:00:00"]
+    # on demand: a day-partitioned table needs a partition; with one it is copied regardless of freshness
+    assert cli.main(["backup-table"] + args + ["--project", "p1", "--dataset", "d1", "--table", "orders"]) == 2
+    assert cli.main(["backup-table"] + args + ["--project", "p1", "--dataset", "d1", "--table", "orders",
+                                               "--partition", "19950101"]) == 0
+    assert cli.main(["backup-table"] + args + ["--project", "p1", "--dataset", "d1", "--table", "customer"]) == 0
+    b = spark.read.parquet(meta + "/backups")
+    assert b.count() == 2
+    # table restore as of a day, then a list restore of the other copy by its key
+    assert cli.main(["restore-table"] + args + ["--project", "p1", "--dataset", "d1", "--table", "customer",
+                                                "--date", "2099-01-01", "--target-project", "r1",
+                                                "--job-id", "t-1"]) == 0
+    cust = spark.read.parquet(scratch + "/wh/r1/d1/customer")
+    assert CP.verify_copy(spark.read.parquet(scratch + "/wh/p1/d1/customer"), cust).first()["equal"]
+    assert cli.main(["restore-table"] + args + ["--project", "p1", "--dataset", "d1", "--table", "customer",
+                                                "--date", "2000-01-01", "--job-id", "t-2"]) == 2
+    row = b.filter(F.col("table_id").contains("orders")).first()
+    key = base64.b64encode(f'"Table", {row["parent_id"]}, "Backup", {row["id"]}'.encode()).decode()
+    with open(scratch + "/req.jsonl", "w") as f:
+        f.write(json.dumps({"backupBqKey": key}) + "\n")
+    assert cli.main(["restore-list"] + args + ["--requests", scratch + "/req.jsonl", "--target-project", "r2",
+                                               "--job-id", "l-1"]) == 0
+    src = CP.read_table(spark, scratch + "/wh/p1/d1/orders", "19950101")
+    got = CP.read_table(spark, scratch + "/wh/r2/d1/orders", "19950101")
+    assert CP.verify_copy(src, got).first()["equal"]
