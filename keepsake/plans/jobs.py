@@ -61,13 +61,34 @@ def backup_run(spark: SparkSession, live: DataFrame, partitions: DataFrame, tabl
     new_tables = materialize(spark, B.upsert_last_checked(tables, plan, cfg.as_of))
     requests = copy_plan(plan).withColumn("request_id", F.monotonically_increasing_id())
     requests = B.dedupe_copy_requests(requests, "request_key", "request_id")
-    results = materialize(spark, CP.snapshot_copy(spark, requests, warehouse, cfg.backup_project, parallelism))
+    results = copy_with_retries(spark, materialize(spark, requests), warehouse, cfg.backup_project, parallelism)
     docs = CP.as_job_documents(results)
     classes = B.copy_result_class(docs)
     new = materialize(spark, B.record_backups(backups, docs, new_tables, CP.copies_catalog(results)))
     return BackupOutcome(plan, new_tables, results, classes, new, B.unexpire(new, plan))
 
 
+def copy_with_retries(spark: SparkSession, requests: DataFrame, warehouse: CP.Warehouse, backup_project: str,
+                      parallelism: int = 4) -> DataFrame:
+    """S12 → P21 → S12 …: copies whose result is retryable (backend or
+    internal error, quota) are submitted again, at most COPY_RETRY_LIMIT
+    times; every other outcome is final.  Returns one final result per
+    copy with `retry_count`."""
+    from keepsake.config import COPY_RETRY_LIMIT, RETRYABLE_COPY_REASONS
+    keys = ["target_dataset_id", "target_table_id"]
+    results = materialize(spark, CP.snapshot_copy(spark, requests, warehouse, backup_project, parallelism)
+                          .withColumn("retry_count", F.lit(0)))
+    for attempt in range(1, COPY_RETRY_LIMIT + 1):
+        again = results.filter(F.col("error_reason").isin(*RETRYABLE_COPY_REASONS)).select(*keys)
+        if again.isEmpty():
+            break
+        redo = requests.join(again, keys, "left_semi")
+        fresh = CP.snapshot_copy(spark, redo, warehouse, backup_project, parallelism)\
+            .withColumn("retry_count", F.lit(attempt))
+        results = materialize(spark, results.join(again, keys, "left_anti").unionByName(fresh))
+    return results
+
+
 def on_demand_run(spark: SparkSession, live: DataFrame, requests: DataFrame, tables: DataFrame,
                   backups: DataFrame, cfg: Config, warehouse: CP.Warehouse) -> BackupOutcome:
     """Q5: P3 → S12 → M2 for explicitly requested tables (freshness is

@@ -277,7 +277,7 @@ def as_job_documents(results: DataFrame) -> DataFrame:
         F.struct(F.col("state").alias("state"), err.alias("errorResult"),
                  F.when(err.isNotNull(), F.array(err)).alias("errors")).alias("status"),
         F.struct(ms("start_time").alias("startTime"), ms("end_time").alias("endTime")).alias("statistics"),
-        F.lit(0).alias("retry_count"))
+        (F.col("retry_count") if "retry_count" in results.columns else F.lit(0)).alias("retry_count"))
 
 
 def copies_catalog(results: DataFrame) -> DataFrame:

@@ -371,3 +371,24 @@ def test_cli_on_demand_and_table_and_list_restores(spark, scratch):
     src = CP.read_table(spark, scratch + "/wh/p1/d1/orders", "19950101")
     got = CP.read_table(spark, scratch + "/wh/r2/d1/orders", "19950101")
     assert CP.verify_copy(src, got).first()["equal"]
+
+
+def test_transient_copy_failures_are_retried(spark, scratch, monkeypatch):
+    wh = _setup(spark, scratch)
+    live, parts = warehouse_catalog(spark, wh, [("p1", "d1", "customer")])
+    real = CP.read_table
+    calls = {"n": 0}
+
+    def flaky(spark_, path, partition_id=None):
+        calls["n"] += 1
+        if calls["n"] <= 2:
+            raise RuntimeError("backend hiccup")
+        return real(spark_, path, partition_id)
+
+    monkeypatch.setattr(CP, "read_table", flaky)
+    out = J.backup_run(spark, live, parts, spark.createDataFrame([], TABLES), spark.createDataFrame([], BACKUPS),
+                       Config(as_of=AS_OF), wh)
+    r = out.results.collect()
+    assert len(r) == 1 and r[0]["error_reason"] is None and r[0]["retry_count"] == 2
+    assert out.new_backups.count() == 1
+    assert {c["result_class"] for c in out.classes.collect()} == {"done"}
