@@ -139,7 +139,7 @@ def restore_run(spark: SparkSession, jobs: DataFrame, new_job: DataFrame, items:
     targets = materialize(spark, RS.prepare_targets(its, datasets, live, source_datasets))
     CP.create_targets(spark, targets, its, warehouse)
     work = its.join(job.select(F.col("id").alias("job_id"), "create_disposition", "write_disposition"), "job_id")
-    results = materialize(spark, CP.restore_copy(spark, work, warehouse, parallelism))
+    results = restore_with_retries(spark, materialize(spark, work), warehouse, parallelism)
     folded = RS.fold_item_status(its, CP.restore_events(results))
     return RestoreOutcome(job, folded, targets, results)
 
@@ -151,3 +151,20 @@ def write_metadata(spark: SparkSession, df: DataFrame, path: str) -> None:
     folder; the overwrite then never reads the files it is deleting, and a
     lost executor during the write recomputes from the checkpoint."""
     materialize(spark, df).write.mode("overwrite").parquet(path)
+
+
+def restore_with_retries(spark: SparkSession, work: DataFrame, warehouse: CP.Warehouse,
+                         parallelism: int = 4) -> DataFrame:
+    """S13 with the same retry rule as copies: retryable failures are run
+    again (at most COPY_RETRY_LIMIT times), other outcomes are final."""
+    from keepsake.config import COPY_RETRY_LIMIT, RETRYABLE_COPY_REASONS
+    results = materialize(spark, CP.restore_copy(spark, work, warehouse, parallelism)
+                          .withColumn("retry_count", F.lit(0)))
+    for attempt in range(1, COPY_RETRY_LIMIT + 1):
+        again = results.filter(F.col("error_reason").isin(*RETRYABLE_COPY_REASONS)).select("item_id")
+        if again.isEmpty():
+            break
+        redo = work.join(again.withColumnRenamed("item_id", "id"), "id", "left_semi")
+        fresh = CP.restore_copy(spark, redo, warehouse, parallelism).withColumn("retry_count", F.lit(attempt))
+        results = materialize(spark, results.join(again, "item_id", "left_anti").unionByName(fresh))
+    return results
