@@ -355,6 +355,9 @@ def confirm_quality(sli: DataFrame, live: DataFrame, partitions: DataFrame,
     s = sli.withColumn("_part", F.when(F.col("partitionId") != NONE_SENTINEL, F.col("partitionId")))
     lc = live_copies.select(F.col("dataset_id").alias("lc_dataset_id"), F.col("table_id").alias("lc_table_id"),
                             F.lit(True).alias("lc_exists"), F.col("num_bytes").alias("lc_num_bytes"))
+    # one live row per copy, few violations: keep only the copies asked about
+    asked = s.select(F.col("backupDatasetId").alias("lc_dataset_id"), F.col("backupTableId").alias("lc_table_id"))
+    lc = lc.join(asked, ["lc_dataset_id", "lc_table_id"], "left_semi")
     j = with_partition(with_live(s, live), partitions, "_part")
     j = j.join(lc, (j.backupDatasetId == lc.lc_dataset_id) & (j.backupTableId == lc.lc_table_id), "left")
     keep = lookup_error() | (source_exists("_part") & ~is_newer("_part") & ~copy_not_in_census())
