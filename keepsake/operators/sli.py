@@ -273,9 +273,13 @@ def _live_table_cols(live: DataFrame, prefix: str = "lv_") -> DataFrame:
 
 def with_live(sli: DataFrame, live: DataFrame) -> DataFrame:
     """One left join with the live catalog instead of a lookup per row.
-    The live catalog has one row per table; Catalyst broadcasts it when its
-    measured size is under the threshold, and shuffles it otherwise."""
+    The live catalog (one row per table) is first narrowed to the tables
+    asked about by a semi join whose small side is the build side; Catalyst
+    broadcasts sides by their measured size and shuffles otherwise."""
     lv = _live_table_cols(live)
+    asked = sli.select(F.col("projectId").alias("lv_project_id"), F.col("datasetId").alias("lv_dataset_id"),
+                       F.col("tableId").alias("lv_table_id"))
+    lv = lv.join(asked, ["lv_project_id", "lv_dataset_id", "lv_table_id"], "left_semi")
     return sli.join(lv, (sli.projectId == lv.lv_project_id) & (sli.datasetId == lv.lv_dataset_id)
                     & (sli.tableId == lv.lv_table_id), "left")
 
@@ -287,6 +291,9 @@ def with_partition(sli: DataFrame, partitions: DataFrame, partition_col: str) ->
                           F.col("table_id").alias("lp_table_id"),
                           F.col("partition_id").alias("lp_partition_id"),
                           F.col("last_modified").alias("lp_last_modified"))
+    asked = sli.select(F.col("projectId").alias("lp_project_id"), F.col("datasetId").alias("lp_dataset_id"),
+                       F.col("tableId").alias("lp_table_id"))
+    p = p.join(asked, ["lp_project_id", "lp_dataset_id", "lp_table_id"], "left_semi")
     return sli.join(p, (sli.projectId == p.lp_project_id) & (sli.datasetId == p.lp_dataset_id)
                     & (sli.tableId == p.lp_table_id) & (F.col(partition_col) == p.lp_partition_id), "left")
 
