@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import mixing, sharding
+from keepsake.llm import mixing, sharding, simhash
 from keepsake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +58,12 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_shard": (op5_shard, None),
+    "op9_simhash_near_dedup": (op9_simhash_near_dedup, None),
 }
