@@ -7,12 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import mixing, sharding, simhash
+from keepsake.llm import decontaminate, mixing, sharding, simhash
 from keepsake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = decontaminate.matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return hit.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP2_SQL = f"""
+WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+phrase AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i + 1:i + 10], ' ') AS p
+           FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 9, 1))) AS i FROM item WHERE len(w) > 0)),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+size_ AS (SELECT DISTINCT k FROM phrase),
+place AS (SELECT r, k, s, array_to_string(w[s + 1:s + k], ' ') AS p
+          FROM (SELECT r, w, k, unnest(range(0, len(w) - k + 1)) AS s FROM doc, size_ WHERE len(w) >= k)),
+hit AS (SELECT DISTINCT r, place.k, s, item_id FROM place JOIN phrase USING (k, p)),
+word AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS pos FROM hit) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+          FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)
+"""
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -63,6 +90,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
+    "op2_decontaminate": (op2_decontaminate, OP2_SQL),
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_shard": (op5_shard, None),
     "op9_simhash_near_dedup": (op9_simhash_near_dedup, None),
