@@ -3,11 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keepsake.llm import mixing, sharding
+from keepsake.llm import decontaminate, mixing, sharding, simhash, toxicity
 from keepsake.llm.common import stored, table
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from the folds that op7 learns from."""
+    learn = toxicity.fold(F.col("doc_id"), 3) != 1
+    return toxicity.remove_toxic(docs, table(spark, sf_dir, "labels"), learn)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints stays."""
+    return simhash.deduplicate(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.repeat(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with size, shard and slot."""
+    return sharding.shard(docs)
+
+
+STAGES = [("toxicity", drop_toxic), ("simhash", drop_near_copies), ("decontamination", drop_contaminated),
+          ("mixing", mix_sources), ("sharding", shard)]
+#: A trained classifier decides the first stage, which SQL cannot express; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 

@@ -103,6 +103,19 @@ def thresholds(rows: DataFrame, goals: DataFrame, step_bits: int = STEP_BITS) ->
         F.when((F.col("source_size") == 0) | (F.col("budget") <= 0), F.lit(0)).otherwise(F.coalesce("threshold", full)).cast("long").alias("threshold"))
 
 
+def plan(docs: DataFrame, weights: tuple[int, ...], share: float, cap: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The narrow rows (doc_id, source, size, draw) of `docs`, and (s, source_size, target, copies, threshold) for each source s."""
+    require(docs, "doc_id", "text", "source")
+    rows = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+                              draw(F.col("doc_id"), seed).alias("draw")), "mix-rows")
+    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    return rows, stored(thresholds(rows, targets(sources, weights, share, cap)), "mix-plan").withColumnRenamed("source", "s")
+
+
+def _copies(own_draw: Column) -> Column:
+    return F.col("copies") + (own_draw < F.col("threshold")).cast("long")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, seed: int = 7) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies (0 to cap), taken.
 
@@ -111,12 +124,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     repeated rows are rows of their own with the same draw; an empty table gives
     an empty table. Other columns of `docs` are ignored.
     """
-    require(docs, "doc_id", "text", "source")
-    rows = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                              draw(F.col("doc_id"), seed).alias("draw")), "mix-rows")
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = stored(thresholds(rows, targets(sources, weights, share, cap)), "mix-plan").withColumnRenamed("source", "s")
-    out = rows.join(plan, rows["source"].eqNullSafe(plan["s"]))
-    copies = F.col("copies") + (F.col("draw") < F.col("threshold")).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-                      (copies * F.col("size")).alias("taken"))
+    rows, goals = plan(docs, weights, share, cap, seed)
+    out = rows.join(goals, rows["source"].eqNullSafe(goals["s"])).withColumn("copies", _copies(F.col("draw")))
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def repeat(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, seed: int = 7) -> DataFrame:
+    """The mix itself: every row of `docs`, unchanged, as many times as it is taken (perhaps not at all)."""
+    _, goals = plan(docs, weights, share, cap, seed)
+    goals = goals.select(F.col("s").alias("_s"), "copies", "threshold").withColumnsRenamed({"copies": "_copies", "threshold": "_threshold"})
+    times = F.col("_copies") + (draw(docs["doc_id"], seed) < F.col("_threshold")).cast("long")
+    out = docs.join(goals, docs["source"].eqNullSafe(goals["_s"])).withColumn("_times", times).filter("_times > 0")
+    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")).select(*docs.columns)

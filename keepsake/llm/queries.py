@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import decontaminate, mixing, sharding, simhash
+from keepsake.llm import decontaminate, langid, mixing, sharding, simhash, toxicity
 from keepsake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,20 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    part = toxicity.fold(F.col("doc_id"), 3)
+    return toxicity.scored(docs, labels, part != 1).select(
+        "doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = toxicity.fold(F.col("doc_id"), 4)
+    found = langid.identify(docs, langid.dictionaries(docs, part != 2))
+    return found.select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), F.col("lang_best").alias("lang_pred"), "score", "rejected")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -93,5 +107,7 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_shard": (op5_shard, None),
+    "op7_toxicity": (op7_toxicity, None),
+    "op8_language": (op8_language, None),
     "op9_simhash_near_dedup": (op9_simhash_near_dedup, None),
 }
