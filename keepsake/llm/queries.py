@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import decontaminate, langid, mixing, sharding, simhash, toxicity
+from keepsake.llm import decontaminate, langid, mixing, sharding, simhash, substrings, toxicity
 from keepsake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,25 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP6_SQL = """
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+spot AS (SELECT r, s, array_to_string(w[s + 1:s + 35], ' ') AS p
+         FROM (SELECT r, w, unnest(range(0, len(w) - 34)) AS s FROM doc WHERE len(w) >= 35)),
+twice AS (SELECT p FROM spot GROUP BY p HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 35)) AS i FROM spot JOIN twice USING (p)),
+word AS (SELECT r, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM doc),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS body FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     part = toxicity.fold(F.col("doc_id"), 3)
@@ -107,6 +126,7 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_shard": (op5_shard, None),
+    "op6_substring_dedup": (op6_substring_dedup, OP6_SQL),
     "op7_toxicity": (op7_toxicity, None),
     "op8_language": (op8_language, None),
     "op9_simhash_near_dedup": (op9_simhash_near_dedup, None),
