@@ -7,12 +7,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import decontaminate, langid, mixing, sharding, simhash, substrings, toxicity
+from keepsake.llm import decontaminate, langid, licences, mixing, sharding, simhash, substrings, toxicity
 from keepsake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
+
+
+OP1_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+tpl (template, label, base, grams, length, pos_, gram) AS (VALUES {", ".join(str(x) for x in licences.templates())}),
+gram AS (SELECT r, i, w[i + 1] || ' ' || w[i + 2] AS gram FROM (SELECT r, w, unnest(range(0, len(w) - 1)) AS i FROM doc WHERE len(w) > 1)),
+line AS (SELECT r, template, label, base, grams, length, i - pos_ AS diagonal, list(pos_) AS seen FROM gram JOIN tpl USING (gram) GROUP BY ALL),
+exact AS (SELECT r, diagonal AS start_, label, base, 1.0::DOUBLE AS score FROM line WHERE base AND len(seen) = grams),
+strong AS (SELECT *, coalesce(CAST(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licences.DRIFT} AS INT), 0) AS far
+           FROM line WHERE NOT base AND len(seen) >= least(2, grams)),
+run AS (SELECT *, sum(far) OVER (PARTITION BY r, template ORDER BY diagonal) AS run FROM strong),
+merged AS (SELECT r, template, run, label, base, grams, length, min(diagonal + list_min(seen)) AS start_,
+                  max(diagonal + list_max(seen)) + {licences.GRAM} AS end_, len(list_distinct(flatten(list(seen)))) AS hits
+           FROM run GROUP BY r, template, run, label, base, grams, length),
+span AS (SELECT * FROM exact UNION ALL
+         SELECT r, start_, label, base, hits::DOUBLE / grams FROM merged
+         WHERE hits::DOUBLE / grams >= {licences.COVER} AND end_ - start_ <= length * {licences.STRETCH}),
+tot AS (SELECT r, count(*) FILTER (base) AS n_base, min(start_) FILTER (base) AS first_word, max(start_) FILTER (base) AS last_word,
+               string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+               string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM span GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+       CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM doc LEFT JOIN tot USING (r)
+"""
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = decontaminate.matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
@@ -21,7 +51,6 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 OP2_SQL = f"""
 WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 phrase AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i + 1:i + 10], ' ') AS p
@@ -123,6 +152,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
+    "op1_license_scan": (op1_license_scan, OP1_SQL),
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_shard": (op5_shard, None),
