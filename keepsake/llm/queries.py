@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import decontaminate, langid, licences, mixing, sharding, simhash, substrings, toxicity
+from keepsake.llm import decontaminate, embeddings, langid, licences, mixing, sharding, simhash, substrings, toxicity
 from keepsake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +151,23 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ok AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN comp USING (vec_id)
+"""
+
+
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op1_license_scan": (op1_license_scan, OP1_SQL),
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
@@ -160,4 +177,5 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op7_toxicity": (op7_toxicity, None),
     "op8_language": (op8_language, None),
     "op9_simhash_near_dedup": (op9_simhash_near_dedup, None),
+    "op10_embedding_near_dedup": (op10_embedding_near_dedup, OP10_SQL),
 }
