@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import decontaminate, embeddings, langid, licences, mixing, sharding, simhash, substrings, toxicity
+from keepsake.llm import decontaminate, embeddings, langid, licences, lines, mixing, sharding, simhash, substrings, toxicity
 from keepsake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,13 @@ FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)
 """
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that go, per document, by number."""
+    return lines.mark(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -171,6 +178,7 @@ FROM v JOIN comp USING (vec_id)
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op1_license_scan": (op1_license_scan, OP1_SQL),
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
+    "op3_line_dedup": (op3_line_dedup, None),
     "op4_mix_sources": (op4_mix_sources, OP4_SQL),
     "op5_shard": (op5_shard, None),
     "op6_substring_dedup": (op6_substring_dedup, OP6_SQL),

@@ -97,18 +97,23 @@ def _budget(l: int) -> int:
     return l * MAX_BITS // SEGMENTS
 
 
-def _masks() -> list[list[tuple[int, int, int, int]]]:
-    """For each level the (id, parent, start segment, mask) of its keys."""
+def _chain_keys() -> list[tuple[int, int]]:
+    """(start segment, mask) of the bits on which fingerprints agree that some chain lets through."""
     width = 64 // SEGMENTS
     agree = max(l for l in range(SEGMENTS + 1) if _budget(l) < 1)
     once = max(l for l in range(SEGMENTS + 1) if _budget(l) < 2)
-    first = []
+    keys = []
     for start in range(SEGMENTS):
         at = start * width
         sure, rest = range(at, at + agree * width), range(at + agree * width, at + once * width)
         for half in (rest[:len(rest) // 2], rest[len(rest) // 2:]):
-            first.append((len(first), -1, start, _bits(sure) | _bits(half)))
-    levels = [first]
+            keys.append((start, _bits(sure) | _bits(half)))
+    return keys
+
+
+def _levels(keys: list[tuple[int, int]]) -> list[list[tuple[int, int, int, int]]]:
+    """For each level the (id, parent, start, mask) of its keys; each splits the open bits of the level above."""
+    levels = [[(i, -1, start, mask) for i, (start, mask) in enumerate(keys)]]
     while len(levels) < LEVELS:
         nxt: list = []
         for i, _, start, mask in levels[-1]:
@@ -123,13 +128,13 @@ def _signed(mask: int) -> int:
 
 
 def _forest(fps, start: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links among `fps` that the chain from segment `start` lets through."""
+    """Edges of a spanning forest of the links among `fps` that the chain from segment `start` lets through (-1: all links)."""
     import numpy as np
 
     width = 64 // SEGMENTS
     # budgets rise at these lengths only: the longest prefix with each budget implies the shorter ones
     ends = [max(l for l in range(1, SEGMENTS + 1) if _budget(l) == b) for b in range(MAX_BITS + 1)]
-    prefixes = [(np.uint64(_bits(range(start * width, (start + l) * width))), b) for b, l in enumerate(ends)]
+    prefixes = [(np.uint64(_bits(range(start * width, (start + l) * width))), b) for b, l in enumerate(ends) if start >= 0 or l == SEGMENTS]
     left, edges = np.unique(np.asarray(fps, np.int64)).view(np.uint64), []
     while len(left):
         queue, left = [left[0]], left[1:]
@@ -146,16 +151,20 @@ def _forest(fps, start: int) -> list[tuple[int, int]]:
     return edges
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """(a, b): edges that connect exactly the fingerprints of `distinct` (fp) that links of MAX_BITS bits connect."""
+def links(distinct: DataFrame, keys: list[tuple[int, int]] | None = None) -> DataFrame:
+    """(a, b): edges that connect exactly the fingerprints of `distinct` (fp) that links of MAX_BITS bits connect.
+
+    keys: (start segment, mask) such that linked fingerprints agree on a mask at
+    least; start -1 does without the chain test. By default the chains' keys.
+    """
     spark = distinct.sparkSession
     found = None
     rows = distinct
-    levels = _masks()
+    levels = _levels(keys or _chain_keys())
     for level, masks in enumerate(levels):
         if level:
             below = spark.createDataFrame([(p, i, s, _signed(m)) for i, p, s, m in masks], "parent int, id int, start int, mask long")
-            keyed = rows.withColumnRenamed("id", "parent").join(F.broadcast(below), "parent")  # at most 16 * 4**level rows
+            keyed = rows.withColumnRenamed("id", "parent").join(F.broadcast(below), "parent")  # a few keys, times 4 for each level
         else:
             keyed = rows.select("fp", F.inline(F.array(*[F.struct(F.lit(i).alias("id"), F.lit(s).alias("start"), F.lit(_signed(m)).alias("mask"))
                                                          for i, _, s, m in masks])))
