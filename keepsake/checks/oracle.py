@@ -99,8 +99,8 @@ SELECT t.project_id, t.dataset_id, t.table_id, st AS lookup_status, st = 'found'
        coalesce(ok AND part, false) AS is_daily_partitioned,
        coalesce(ok AND part, false) AS has_time_partitioning,
        coalesce(ok AND part AND t.id % 3 = 0, false) AS has_partition_expiration
-FROM (SELECT *, CASE WHEN id % 23 = 0 THEN 'error' ELSE 'found' END AS st,
-             id % 23 <> 0 AS ok, (id % 5 = 0 OR id % 2 = 0) AS part
+FROM (SELECT *, CASE WHEN id % 23 = 0 OR id % 50 = 29 THEN 'error' ELSE 'found' END AS st,
+             id % 23 <> 0 AND id % 50 <> 29 AS ok, (id % 5 = 0 OR id % 2 = 0) AS part
       FROM tables WHERE id % 4 <> 2) t
 JOIN census_latest_n c ON c.n = t.id""", ("tables", "census_latest_n"))
 
@@ -147,20 +147,23 @@ EXISTS_SQL = ("((coalesce(l.table_exists, false) AND (t.partition_id IS NULL "
 cte("grace", f"""
 SELECT s.parent_id,
        (NOT s.has_old) OR coalesce(CAST(t.last_checked AS DATE) >= {GRACE_THRESHOLD}, false)
-       OR {EXISTS_SQL} AS keep
+       OR {EXISTS_SQL} AS keep,
+       s.has_old AND NOT coalesce(CAST(t.last_checked AS DATE) >= {GRACE_THRESHOLD}, false)
+       AND coalesce(l.lookup_status = 'error', false) AS lookup_failed
 FROM (SELECT parent_id, bool_or(CAST(created AS DATE) < {GRACE_THRESHOLD}) AS has_old
       FROM stepped WHERE step IS NULL GROUP BY 1) s
 LEFT JOIN cand t ON t.id = s.parent_id
 LEFT JOIN live l ON l.project_id = t.project_id AND l.dataset_id = t.dataset_id
                  AND l.table_id = t.table_id""", ("stepped", "cand", "live"))
 cte("retention_plan", """
-SELECT f.id, f.parent_id, f.table_id, f.created, r IN ('kept', 'duplicate_table_id') AS retained,
+SELECT f.id, f.parent_id, f.table_id, f.created, r IN ('kept', 'duplicate_table_id', 'lookup_failed') AS retained,
        r AS reason
-FROM (SELECT f.*, coalesce(d.reason, CASE WHEN f.dup THEN 'duplicate_table_id' END,
+FROM (SELECT f.*, coalesce(CASE WHEN lf.lookup_failed THEN 'lookup_failed' END, d.reason, CASE WHEN f.dup THEN 'duplicate_table_id' END,
                            'not_newest_of_day') AS r
       FROM flagged f LEFT JOIN (
         SELECT s.id, coalesce(s.step, CASE WHEN NOT g.keep THEN 'source_gone' END, 'kept') AS reason
-        FROM stepped s LEFT JOIN grace g USING (parent_id)) d USING (id)) f""",
+        FROM stepped s LEFT JOIN grace g USING (parent_id)) d USING (id)
+      LEFT JOIN grace lf ON lf.parent_id = f.parent_id) f""",
     ("flagged", "stepped", "grace"))
 
 

@@ -207,7 +207,8 @@ LIST_REQ_SQL = """
 SELECT id % 1000 AS list_id, id AS request_id,
   CASE WHEN id % 350 = 0 THEN '!!not-base64!!'
        WHEN id % 200 = 0 THEN to_base64(encode('"Table", ' || CAST(parent_id AS VARCHAR) || ', "Backup"'))
-       ELSE to_base64(encode('"Table", ' || CAST(parent_id AS VARCHAR) || ', "Backup", ' || CAST(id AS VARCHAR)))
+       ELSE to_base64(encode('"Table", ' || CAST(parent_id + CASE WHEN id % 130 = 0 THEN 1 ELSE 0 END AS VARCHAR)
+                            || ', "Backup", ' || CAST(id AS VARCHAR)))
   END AS backupBqKey,
   CASE WHEN id % 300 = 0 THEN 'ahFzfmJhY2t1cA' END AS backupUrlSafeKey
 FROM backups"""
@@ -243,30 +244,31 @@ def u4(spark, sf):
 
 
 @register("u_4_duplicate_requests", f"""
-SELECT list_id, backup_id, count(*) AS times FROM ({PARSED_SQL}) WHERE backup_id IS NOT NULL
-GROUP BY 1, 2 HAVING count(*) > 1""", ("backups",))
+SELECT list_id, table_entity_id, backup_id, count(*) AS times FROM ({PARSED_SQL}) WHERE backup_id IS NOT NULL
+GROUP BY 1, 2, 3 HAVING count(*) > 1""", ("backups",))
 def u_4(spark, sf):
     return RS.duplicate_requests(_parsed(TestViews.of(spark, sf)))
 
 
 J8_SQL = f"""
-SELECT p.list_id, p.request_id, p.backup_id, b.dataset_id AS backup_dataset_id, b.table_id AS backup_table_id,
+SELECT p.list_id, p.request_id, p.backupBqKey, p.backupUrlSafeKey, p.table_entity_id, p.backup_id, b.dataset_id AS backup_dataset_id, b.table_id AS backup_table_id,
        t.project_id, t.dataset_id, t.table_id, t.partition_id,
        coalesce(p.error, CASE WHEN b.id IS NULL THEN 'Backup entity (key=' || CAST(p.backup_id AS VARCHAR)
                                                        || ') doesn''t exist in datastore.'
                               WHEN t.id IS NULL THEN 'Backup ancestor doesn''t exists: ''' || b.dataset_id || ':'
                                                      || b.table_id || '''. '
                          END) AS error
-FROM ({PARSED_SQL}) p LEFT JOIN backups b ON b.id = p.backup_id LEFT JOIN tables t ON t.id = b.parent_id"""
+FROM ({PARSED_SQL}) p LEFT JOIN backups b ON b.id = p.backup_id AND b.parent_id = p.table_entity_id
+LEFT JOIN tables t ON t.id = b.parent_id"""
 
 
 def _j8(v):
     return RS.resolve_backup_keys(_parsed(v), v.backups, v.tables)
 
 
-@register("j8_resolve_backup_keys", J8_SQL, ("backups", "tables"))
+@register("j8_resolve_backup_keys", f"SELECT * EXCLUDE (backupBqKey, backupUrlSafeKey) FROM ({J8_SQL})", ("backups", "tables"))
 def j8(spark, sf):
-    return _j8(TestViews.of(spark, sf)).select("list_id", "request_id", "backup_id", "backup_dataset_id",
+    return _j8(TestViews.of(spark, sf)).select("list_id", "request_id", "table_entity_id", "backup_id", "backup_dataset_id",
                                             "backup_table_id", "project_id", "dataset_id", "table_id",
                                             "partition_id", "error")
 
@@ -278,15 +280,15 @@ SELECT list_id, request_id, e AS error,
   CASE WHEN e IS NULL THEN {{'project_id': 'restoration', 'dataset_id': dataset_id, 'table_id': table_id,
        'partition_id': partition_id}} END AS target_table,
   CASE WHEN e IS NULL THEN 'In Progress' END AS status,
-  '{{"list_id": ' || CAST(list_id AS VARCHAR) || ', "request_id": ' || CAST(request_id AS VARCHAR) || '}}'
-    AS custom_parameters
+  CAST(to_json({{'list_id': list_id, 'request_id': request_id, 'backupBqKey': backupBqKey,
+                'backupUrlSafeKey': backupUrlSafeKey}}) AS VARCHAR) AS custom_parameters
 FROM (SELECT j.*, coalesce(j.error, CASE WHEN d.list_id IS NOT NULL THEN 'There are duplicated backup items - '
           || 'more than one ''backupUrlSafeKey'' or ''backupBqKey'' are pointing to the same backup. '
           || 'Duplicated backup item: ' || CAST(d.dup AS VARCHAR) END) AS e
       FROM ({J8_SQL}) j LEFT JOIN (
         SELECT list_id, min(backup_id) AS dup FROM (
-          SELECT list_id, backup_id FROM ({J8_SQL}) WHERE backup_id IS NOT NULL
-          GROUP BY list_id, backup_id HAVING count(*) > 1) GROUP BY list_id) d USING (list_id))""", ("backups", "tables"))
+          SELECT list_id, table_entity_id, backup_id FROM ({J8_SQL}) WHERE backup_id IS NOT NULL
+          GROUP BY list_id, table_entity_id, backup_id HAVING count(*) > 1) GROUP BY list_id) d USING (list_id))""", ("backups", "tables"))
 def q8(spark, sf):
     v = TestViews.of(spark, sf)
     return PR.list_restore_plan(v.list_requests, v.backups, v.tables, BACKUP_PROJECT, "restoration", None)

@@ -124,7 +124,8 @@ SELECT parent_id, count(*) AS copies,
   count(*) FILTER (WHERE reason = 'not_newest_of_day') AS not_newest_of_day,
   count(*) FILTER (WHERE reason = 'young_over_limit') AS young_over_limit,
   count(*) FILTER (WHERE reason = 'old_not_newest') AS old_not_newest,
-  count(*) FILTER (WHERE reason = 'source_gone') AS source_gone
+  count(*) FILTER (WHERE reason = 'source_gone') AS source_gone,
+  count(*) FILTER (WHERE reason = 'lookup_failed') AS lookup_failed
 FROM retention_plan GROUP BY parent_id""", ("retention_plan",))
 def a8(spark, sf):
     v = TestViews.of(spark, sf)

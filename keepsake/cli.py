@@ -4,7 +4,7 @@ warehouse.
 
     python -m keepsake.cli backup    --meta M --warehouse W --as-of 2024-01-30T00:00:00
     python -m keepsake.cli retention --meta M --warehouse W --as-of ...
-    python -m keepsake.cli sli       --meta M --census C --history H --as-of ...
+    python -m keepsake.cli sli       --meta M --warehouse W --census C --history H --as-of ...
     python -m keepsake.cli status    --meta M --out O [--warnings-only]
     python -m keepsake.cli restore-dataset --meta M --warehouse W --project P --dataset D \
         --target-project TP [--target-dataset TD] [--max-partition-days N] --job-id J
@@ -60,7 +60,22 @@ def _args(argv):
     p.add_argument("--job-id")
     p.add_argument("--create-disposition", default="CREATE_IF_NEEDED")
     p.add_argument("--write-disposition", default="WRITE_EMPTY")
-    return p.parse_args(argv)
+    a = p.parse_args(argv)
+    needs = {"status": ("out",), "export": ("export_root",), "find-backups": ("export_root", "out"),
+             "sli": ("warehouse", "census", "history"), "restore-list": ("warehouse", "requests")}
+    missing = [n for n in needs.get(a.job, ("warehouse",)) if getattr(a, n) is None]
+    if missing:
+        p.error(f"{a.job} needs " + ", ".join("--" + n.replace("_", "-") for n in missing))
+    return a
+
+
+def _item_id(job_id):
+    """Of a restore item: the same job, place and copy always give the same id."""
+    from pyspark.sql import functions as F
+    t, s = "target_table.", "source_table."
+    part = F.coalesce(F.col(t + "partition_id"), F.lit(""))
+    return F.abs(F.xxhash64(job_id, F.col(t + "project_id"), F.col(t + "dataset_id"), F.col(t + "table_id"), part,
+                            F.col(s + "dataset_id"), F.col(s + "table_id")))
 
 
 def _read_or_empty(spark, path, schema):
@@ -102,7 +117,7 @@ def _run_restore(spark, a, cfg, planned, tables, meta) -> int:
     live, _ = warehouse_catalog(spark, wh, _warehouse_tables(spark, wh, set()))
     datasets = live.filter("table_exists").groupBy("project_id", "dataset_id").agg(F.min("location").alias("location"))
     bk = live.filter(live.project_id == cfg.backup_project).select("dataset_id", "location").distinct()
-    items = planned.select(F.monotonically_increasing_id().alias("id"), F.lit(a.job_id).alias("job_id"), "status",
+    items = planned.select(_item_id(F.lit(a.job_id)).alias("id"), F.lit(a.job_id).alias("job_id"), "status",
                            F.lit(None).cast("string").alias("status_message"),
                            F.lit(None).cast("timestamp_ntz").alias("completed"), "source_table", "target_table",
                            (F.col("custom_parameters") if "custom_parameters" in planned.columns
@@ -187,7 +202,7 @@ def main(argv=None) -> int:
         if err is not None:
             print(f"rejected: {err['error']}")
             return 2
-        items = plan.items.select(F.monotonically_increasing_id().alias("id"), F.col("request_id").alias("job_id"),
+        items = plan.items.select(_item_id(F.col("request_id")).alias("id"), F.col("request_id").alias("job_id"),
                                   "status", F.lit(None).cast("string").alias("status_message"),
                                   F.lit(None).cast("timestamp_ntz").alias("completed"), "source_table",
                                   "target_table", F.lit(None).cast("string").alias("custom_parameters"))
@@ -225,7 +240,9 @@ def main(argv=None) -> int:
                                             a.target_dataset)
         else:
             from pyspark.sql import functions as F
-            raw = spark.read.schema("backupBqKey string, backupUrlSafeKey string").json(a.requests)
+            raw = spark.read.json(a.requests)  # every field of a request stays with its item
+            for c in ("backupBqKey", "backupUrlSafeKey"):
+                raw = raw if c in raw.columns else raw.withColumn(c, F.lit(None).cast("string"))
             req = raw.select(F.lit(0).alias("list_id"), F.monotonically_increasing_id().alias("request_id"), "*")
             planned = PR.list_restore_plan(req, backups, tables, cfg.backup_project, a.target_project,
                                            a.target_dataset)

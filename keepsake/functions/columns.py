@@ -108,11 +108,6 @@ def parse_backup_key(key: Column | str) -> Column:
                                F.try_element_at(parts, F.lit(3)).alias("backup_kind"), bid.alias("backup_id")))
 
 
-def backup_key(parent: Column | str, backup_id: Column | str) -> Column:
-    return F.base64(F.encode(F.concat(F.lit('"Table", '), _c(parent).cast("string"),
-                                      F.lit(', "Backup", '), _c(backup_id).cast("string")), "UTF-8"))
-
-
 # U5 ---------------------------------------------------------------------------
 @F.pandas_udf(T.StringType())
 def _nfkd_ascii(s: pd.Series) -> pd.Series:

@@ -64,17 +64,16 @@ def _newest_per_request(requests: DataFrame, backups: DataFrame, time_col: str |
     b = backups.filter(F.col("deleted").isNull()).select(
         F.col("parent_id"), F.col("id").alias("backup_id"), F.col("created").alias("backup_created"),
         F.col("dataset_id").alias("backup_dataset_id"), F.col("table_id").alias("backup_table_id"))
-    r = requests.select("request_id", "entity_id", *([time_col] if time_col else []))
+    keys = ["entity_id", *([time_col] if time_col else [])]
+    # requests for one table and time are answered once: copies meet distinct times, not requests
+    r = requests.select(*keys).distinct()
     cond = b.parent_id == r.entity_id
     if time_col:
         cond = cond & (b.backup_created <= r[time_col])
-    j = b.join(r, cond, "inner")
-    return (j.groupBy("request_id")
-            .agg(F.max(F.struct("backup_created", "backup_id", "backup_dataset_id", "backup_table_id"))
-                 .alias("_b"))
-            .select("request_id", *[F.col("_b").getField(c).alias(c)
-                                    for c in ("backup_created", "backup_id", "backup_dataset_id",
-                                              "backup_table_id")]))
+    found = ("backup_created", "backup_id", "backup_dataset_id", "backup_table_id")
+    newest = b.join(r, cond, "inner").groupBy(*keys).agg(F.max(F.struct(*found)).alias("_b"))
+    newest = newest.select(*keys, *[F.col("_b").getField(c).alias(c) for c in found])
+    return requests.select("request_id", *keys).join(newest, keys).select("request_id", *found)
 
 
 def attach_entity(requests: DataFrame, tables: DataFrame) -> DataFrame:
@@ -260,16 +259,17 @@ def dataset_restore_items(requests: DataFrame, tables: DataFrame, backups: DataF
 
 def duplicate_requests(requests: DataFrame) -> DataFrame:
     """U-4: lists that name the same copy twice (in either key format) are
-    rejected whole: list_id, backup_id, times."""
+    rejected whole: list_id, table_entity_id, backup_id, times (an id names a
+    copy below its parent only)."""
     return (requests.filter(F.col("backup_id").isNotNull())
-            .groupBy("list_id", "backup_id").agg(F.count(F.lit(1)).alias("times"))
+            .groupBy("list_id", "table_entity_id", "backup_id").agg(F.count(F.lit(1)).alias("times"))
             .filter(F.col("times") > 1))
 
 
 def parse_list_requests(requests: DataFrame) -> DataFrame:
     """U4 over a list of requests: exactly one of the two key columns must
     be given; base64 keys are parsed; url-safe store keys are not supported.
-    + table_entity_id, backup_id, error."""
+    + table_entity_id, backup_id, error and request_row (the row as JSON)."""
     key = U.parse_backup_key("backupBqKey")
     both = F.col("backupBqKey").isNotNull() & F.col("backupUrlSafeKey").isNotNull()
     none = F.col("backupBqKey").isNull() & F.col("backupUrlSafeKey").isNull()
@@ -279,18 +279,19 @@ def parse_list_requests(requests: DataFrame) -> DataFrame:
            .when(F.col("backupBqKey").isNull(), "Url-safe store keys are not supported")
            .when(key.isNull(), F.concat(_fmt(BAD_KEY, F.col("backupBqKey")),
                                         F.when(parts != 4, F.lit(BAD_KEY_PARTS)).otherwise(F.lit("")))))
-    return requests.select("*", F.when(err.isNull(), key.getField("table_id")).alias("table_entity_id"),
+    row = F.to_json(F.struct(*requests.columns), {"ignoreNullFields": "false"})
+    return requests.select("*", row.alias("request_row"), F.when(err.isNull(), key.getField("table_id")).alias("table_entity_id"),
                            F.when(err.isNull(), key.getField("backup_id")).alias("backup_id"),
                            err.alias("error"))
 
 
 def resolve_backup_keys(parsed: DataFrame, backups: DataFrame, tables: DataFrame) -> DataFrame:
-    """Key → copy → parent table entity; a missing copy or parent is a
-    validation error for that request."""
+    """Key → copy → parent table entity, by the whole key (parent and id);
+    a missing copy or parent is a validation error for that request."""
     b = backups.select(F.col("id").alias("b_id"), F.col("parent_id").alias("b_parent"),
                        F.col("dataset_id").alias("backup_dataset_id"), F.col("table_id").alias("backup_table_id"))
     t = tables.select(F.col("id").alias("t_id"), *KEYS)
-    j = parsed.join(b, parsed.backup_id == b.b_id, "left")
+    j = parsed.join(b, (parsed.backup_id == b.b_id) & (parsed.table_entity_id == b.b_parent), "left")
     j = j.join(t, j.b_parent == t.t_id, "left")
     err = F.coalesce(F.col("error"),
                      F.when(F.col("b_id").isNull(), _fmt(NO_BACKUP_ENTITY, F.col("backup_id")))
@@ -375,8 +376,7 @@ def list_restore_items(resolved: DataFrame, backup_project: str, target_project:
         F.when(ok, U.restore_target(tp, td, "project_id", "dataset_id", "table_id", "partition_id"))
         .alias("target_table"),
         F.when(ok, F.lit(STATUS_IN_PROGRESS)).alias("status"),
-        F.concat(F.lit('{"list_id": '), F.col("list_id").cast("string"), F.lit(', "request_id": '),
-                 F.col("request_id").cast("string"), F.lit("}")).alias("custom_parameters"))
+        F.col("request_row").alias("custom_parameters"))
 
 
 # ---------------------------------------------------------------- orderings

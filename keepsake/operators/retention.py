@@ -18,7 +18,7 @@ from keepsake.functions.timeutil import date_lit, months_before, months_before_d
 from keepsake.operators.common import latest_by
 
 REASONS = ("kept", "duplicate_table_id", "not_newest_of_day", "young_over_limit",
-           "old_not_newest", "source_gone")
+           "old_not_newest", "source_gone", "lookup_failed")
 
 
 def available(backups: DataFrame) -> DataFrame:
@@ -93,8 +93,7 @@ def keep_one_old(backups: DataFrame) -> DataFrame:
 def source_exists_column(partition_id: str = "partition_id") -> F.Column:
     """Existence of a table reference in the live catalog, from a left join
     with it.  A partition asked of a table that is not partitioned does not
-    exist.  A failed lookup counts as existing: the reference aborts the
-    table's retention and deletes nothing."""
+    exist.  A failed lookup counts as existing."""
     found = F.coalesce(F.col("table_exists"), F.lit(False)) & (
         F.col(partition_id).isNull() | F.coalesce(F.col("has_time_partitioning"), F.lit(False)))
     return found | F.coalesce(F.col("lookup_status") == "error", F.lit(False))
@@ -102,10 +101,12 @@ def source_exists_column(partition_id: str = "partition_id") -> F.Column:
 
 def grace_keep_tables(retained: DataFrame, tables: DataFrame, live: DataFrame,
                       as_of: dt.datetime, months: int) -> DataFrame:
-    """P8 decision per table: `parent_id, keep`.
+    """P8 decision per table: `parent_id, keep, lookup_failed`.
 
     keep iff no remaining copy is older than the threshold, or the source was
-    seen on/after the threshold day, or the source still exists."""
+    seen on/after the threshold day, or the source still exists.
+    lookup_failed: the decision needs the lookup, and the lookup failed; then
+    retention of the whole table is abandoned and none of its copies goes."""
     threshold = date_lit(months_before_date(as_of.date(), months))
     per_table = (retained.groupBy("parent_id")
                  .agg(F.max(F.to_date("created") < threshold).alias("has_old")))
@@ -115,10 +116,9 @@ def grace_keep_tables(retained: DataFrame, tables: DataFrame, live: DataFrame,
                      "has_time_partitioning")
     j = (per_table.join(t, "parent_id", "left")
          .join(lv, ["project_id", "dataset_id", "table_id"], "left"))
-    keep = (~F.col("has_old")
-            | F.coalesce(F.to_date("last_checked") >= threshold, F.lit(False))
-            | source_exists_column())
-    return j.select("parent_id", keep.alias("keep"))
+    sure = ~F.col("has_old") | F.coalesce(F.to_date("last_checked") >= threshold, F.lit(False))
+    failed = ~sure & F.coalesce(F.col("lookup_status") == "error", F.lit(False))
+    return j.select("parent_id", (sure | source_exists_column()).alias("keep"), failed.alias("lookup_failed"))
 
 
 def grace_filter(retained: DataFrame, tables: DataFrame, live: DataFrame,

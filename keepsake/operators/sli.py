@@ -186,11 +186,6 @@ def last_backup_in_census(last_available: DataFrame, census_copies: DataFrame,
                  F.col("lastModifiedTime").alias("c_last_modified"),
                  F.col("numBytes").alias("c_num_bytes"), F.col("numRows").alias("c_num_rows")))
     lb = last_available
-    # The census of copies has a row per copy, the last copies one per table:
-    # keep only census rows of last copies first (semi join, broadcast when
-    # the key set is small), so the outer join never shuffles the whole census.
-    keys = lb.select(F.col("backup_dataset_id").alias("c_dataset"), F.col("backup_table_id").alias("c_table"))
-    c = c.join(keys, ["c_dataset", "c_table"], "left_semi")
     return lb.join(c, (c.c_dataset == lb.backup_dataset_id) & (c.c_table == lb.backup_table_id), "left")\
         .select("source_project_id", "source_dataset_id", "source_table_id", "source_partition_id",
                 F.col("c_last_modified").alias("backup_last_modified"),
@@ -273,13 +268,9 @@ def _live_table_cols(live: DataFrame, prefix: str = "lv_") -> DataFrame:
 
 def with_live(sli: DataFrame, live: DataFrame) -> DataFrame:
     """One left join with the live catalog instead of a lookup per row.
-    The live catalog (one row per table) is first narrowed to the tables
-    asked about by a semi join whose small side is the build side; Catalyst
-    broadcasts sides by their measured size and shuffles otherwise."""
+    The candidates are planned once; AQE broadcasts a side by its measured
+    size and shuffles both otherwise."""
     lv = _live_table_cols(live)
-    asked = sli.select(F.col("projectId").alias("lv_project_id"), F.col("datasetId").alias("lv_dataset_id"),
-                       F.col("tableId").alias("lv_table_id"))
-    lv = lv.join(asked, ["lv_project_id", "lv_dataset_id", "lv_table_id"], "left_semi")
     return sli.join(lv, (sli.projectId == lv.lv_project_id) & (sli.datasetId == lv.lv_dataset_id)
                     & (sli.tableId == lv.lv_table_id), "left")
 
@@ -291,9 +282,6 @@ def with_partition(sli: DataFrame, partitions: DataFrame, partition_col: str) ->
                           F.col("table_id").alias("lp_table_id"),
                           F.col("partition_id").alias("lp_partition_id"),
                           F.col("last_modified").alias("lp_last_modified"))
-    asked = sli.select(F.col("projectId").alias("lp_project_id"), F.col("datasetId").alias("lp_dataset_id"),
-                       F.col("tableId").alias("lp_table_id"))
-    p = p.join(asked, ["lp_project_id", "lp_dataset_id", "lp_table_id"], "left_semi")
     return sli.join(p, (sli.projectId == p.lp_project_id) & (sli.datasetId == p.lp_dataset_id)
                     & (sli.tableId == p.lp_table_id) & (F.col(partition_col) == p.lp_partition_id), "left")
 
@@ -362,9 +350,6 @@ def confirm_quality(sli: DataFrame, live: DataFrame, partitions: DataFrame,
     s = sli.withColumn("_part", F.when(F.col("partitionId") != NONE_SENTINEL, F.col("partitionId")))
     lc = live_copies.select(F.col("dataset_id").alias("lc_dataset_id"), F.col("table_id").alias("lc_table_id"),
                             F.lit(True).alias("lc_exists"), F.col("num_bytes").alias("lc_num_bytes"))
-    # one live row per copy, few violations: keep only the copies asked about
-    asked = s.select(F.col("backupDatasetId").alias("lc_dataset_id"), F.col("backupTableId").alias("lc_table_id"))
-    lc = lc.join(asked, ["lc_dataset_id", "lc_table_id"], "left_semi")
     j = with_partition(with_live(s, live), partitions, "_part")
     j = j.join(lc, (j.backupDatasetId == lc.lc_dataset_id) & (j.backupTableId == lc.lc_table_id), "left")
     keep = lookup_error() | (source_exists("_part") & ~is_newer("_part") & ~copy_not_in_census())
@@ -403,9 +388,3 @@ def last_snapshot_time(history: DataFrame, as_of: dt.datetime) -> DataFrame:
     """A2: newest snapshot time of today's partition, markers included."""
     return (history.filter(F.col("ingest_date") == F.lit(as_of.date()))
             .agg(F.max("snapshotTime").alias("snapshotTime")))
-
-
-def epoch_seconds(c: F.Column) -> F.Column:
-    """SLI rows carry float epoch seconds at the edge."""
-    return F.unix_micros(c.cast("timestamp")) / 1e6
-

@@ -62,12 +62,19 @@ def backup_run(spark: SparkSession, live: DataFrame, partitions: DataFrame, tabl
     requests = copy_plan(plan).withColumn("request_id", F.monotonically_increasing_id())
     requests = B.dedupe_copy_requests(requests, "request_key", "request_id")
     results = copy_with_retries(spark, materialize(spark, requests), warehouse, cfg.backup_project, parallelism)
-    docs = CP.as_job_documents(results)
-    classes = B.copy_result_class(docs)
-    new = materialize(spark, B.record_backups(backups, docs, new_tables, CP.copies_catalog(results)))
+    classes = B.copy_result_class(CP.as_job_documents(results))
+    new = materialize(spark, record_copies(backups, results, new_tables))
     return BackupOutcome(plan, new_tables, results, classes, new, B.unexpire(new, plan))
 
 
+def record_copies(backups: DataFrame, results: DataFrame, tables: DataFrame) -> DataFrame:
+    """M2 over a run's results.  A copy that an earlier, lost run committed
+    but did not record comes back as 'duplicate': it is recorded now, since
+    its id is the idempotency key of the same copy."""
+    there = results.withColumn("error_reason", F.when(F.col("error_reason") != "duplicate", F.col("error_reason")))
+    return B.record_backups(backups, CP.as_job_documents(there), tables, CP.copies_catalog(there))
+
+
 def copy_with_retries(spark: SparkSession, requests: DataFrame, warehouse: CP.Warehouse, backup_project: str,
                       parallelism: int = 4) -> DataFrame:
     """S12 → P21 → S12 …: copies whose result is retryable (backend or
@@ -96,25 +103,25 @@ def on_demand_run(spark: SparkSession, live: DataFrame, requests: DataFrame, tab
     from keepsake.functions import columns as U
     from keepsake.functions.timeutil import date_lit, ts_lit
     checked = B.on_demand_backup(live, requests)
-    loc = live.select("project_id", "dataset_id", "table_id", "location")
+    loc = live.select("project_id", "dataset_id", "table_id", "location", "has_partition_expiration")
     todo = (checked.filter(F.col("action") == "backup").join(loc, ["project_id", "dataset_id", "table_id"], "left")
             .select("project_id", "dataset_id", "table_id", "partition_id",
                     U.backup_dataset_id(date_lit(cfg.as_of), F.coalesce("location", F.lit("US")), F.col("project_id"))
                     .alias("target_dataset_id"),
                     U.backup_table_id("project_id", "dataset_id", "table_id", ts_lit(cfg.as_of), "partition_id")
-                    .alias("target_table_id")))
+                    .alias("target_table_id"), "has_partition_expiration"))
     todo = materialize(spark, todo)
     entity = todo.select(B.entity_id().alias("entity_id"), *B.KEYS, F.lit(True).alias("needs_backup"))
-    existing = tables.select("project_id", "dataset_id", "table_id", "partition_id", F.col("id").alias("_id"))
-    plan = (entity.join(existing, B.KEYS, "left")
-            .select(F.when(F.col("_id").isNotNull(), F.col("_id")).alias("entity_id"), *B.KEYS, "needs_backup"))
+    existing = tables.select(*[F.col(k).alias("e_" + k) for k in B.KEYS], F.col("id").alias("_id"))
+    # a whole table has a NULL partition: equal to the NULL of its entity
+    plan = (entity.join(existing, B.keys_match(entity, existing, "e_"), "left")
+            .select(F.col("_id").alias("entity_id"), *B.KEYS, "needs_backup"))
     new_tables = materialize(spark, B.upsert_last_checked(tables, plan, cfg.as_of))
     results = materialize(spark, CP.snapshot_copy(spark, todo, warehouse, cfg.backup_project))
-    docs = CP.as_job_documents(results)
     # materialized: callers overwrite the metadata tables these derive from
-    new = materialize(spark, B.record_backups(backups, docs, new_tables, CP.copies_catalog(results)))
-    return BackupOutcome(materialize(spark, checked), new_tables, results, B.copy_result_class(docs), new,
-                         spark.createDataFrame([], "dataset_id string, table_id string, expiration_ms long"))
+    new = materialize(spark, record_copies(backups, results, new_tables))
+    return BackupOutcome(materialize(spark, checked), new_tables, results,
+                         B.copy_result_class(CP.as_job_documents(results)), new, B.unexpire(new, todo))
 
 
 @dataclass
@@ -132,7 +139,8 @@ def restore_run(spark: SparkSession, jobs: DataFrame, new_job: DataFrame, items:
     (targets to create) → S13 (copies with the job's dispositions) → M3
     (first terminal status per item)."""
     created = materialize(spark, RS.create_job(jobs, new_job))
-    its = items.join(created.select(F.col("id").alias("job_id")), "job_id", "left_semi")
+    # fixed before the copies run: a status must land on the item that was copied
+    its = materialize(spark, items.join(created.select(F.col("id").alias("job_id")), "job_id", "left_semi"))
     counts = RS.items_count(its)
     job = created.join(counts.withColumnRenamed("job_id", "id"), "id", "left")\
         .withColumn("items_count", F.coalesce(F.col("items"), F.lit(0)).cast("long")).drop("items")

@@ -18,6 +18,7 @@ def retention_plan(tables: DataFrame, backups: DataFrame, live: DataFrame,
     Order of the rules is the reference's: candidates (P6) → available →
     duplicate check (P9) → newest per day (W8) → ten young (W9) → one old
     (W10) → grace period after deletion (P8) → the rest is deleted (J10).
+    A table whose lookup P8 needs and that failed keeps every copy.
 
     Output: id, parent_id, table_id, created, retained, reason.
     """
@@ -53,15 +54,10 @@ def retention_plan(tables: DataFrame, backups: DataFrame, live: DataFrame,
                                         F.when(~F.col("keep"), "source_gone"),
                                         F.lit("kept")).alias("_reason")))
 
-    reason = F.coalesce(F.col("_reason"),
-                        F.when(F.col("dup"), "duplicate_table_id"),
-                        F.lit("not_newest_of_day"))
-    return (flagged.join(decided, "id", "left")
+    failed = grace.filter("lookup_failed").select("parent_id", F.lit(True).alias("failed"))
+    reason = F.when(F.col("failed"), "lookup_failed").otherwise(F.coalesce(
+        F.col("_reason"), F.when(F.col("dup"), "duplicate_table_id"), F.lit("not_newest_of_day")))
+    return (flagged.join(decided, "id", "left").join(failed, "parent_id", "left")
             .select("id", "parent_id", "table_id", "created",
-                    reason.isin("kept", "duplicate_table_id").alias("retained"),
+                    reason.isin("kept", "duplicate_table_id", "lookup_failed").alias("retained"),
                     reason.alias("reason")))
-
-
-def copies_to_delete(plan: DataFrame) -> DataFrame:
-    """J10 over a plan: the copies retention drops."""
-    return plan.filter(~F.col("retained"))

@@ -49,8 +49,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and job state.
 
-    On a cluster this is `spark.checkpoint.dir` (a shared file system); it is
-    only invented here when unset, which happens in local tests.
+    On a cluster this is `spark.checkpoint.dir` (a shared file system), and
+    its absence is an error; a temporary folder stands in under a local master
+    only, where all tasks share one machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,7 +59,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # Only in local runs: a cluster names its shared folder in the conf.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="keepsake-ckpt-", dir=os.environ.get("KEEPSAKE_TMP", "/tmp"))
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

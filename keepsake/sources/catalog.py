@@ -97,14 +97,16 @@ def warehouse_catalog(spark, warehouse, refs) -> tuple[DataFrame, DataFrame]:
     their files, reading only the hidden `_metadata` columns and parquet row
     counts (no data column).  Table and partition come from each file's
     path.  Returns (live, partitions) in the shapes `live_catalog` /
-    `list_partitions` produce; a table without files is 'not_found'."""
+    `list_partitions` produce.  A table exists if its folder does, so one
+    whose files hold no rows, or that has none yet, is found and empty."""
     from keepsake.sources.copy import PARTITION_COLUMN, _FS
 
     fs = _FS(spark)
     refs = [tuple(r) for r in refs]
-    present = [r for r in refs if fs.committed(warehouse.path(*r))]
+    there = [(*r, fs.folder(warehouse.path(*r))) for r in refs]
+    present = [r[:3] for r in there if r[3] and fs.data_files(warehouse.path(*r[:3]))]
     key_schema = "project_id string, dataset_id string, table_id string"
-    wanted = spark.createDataFrame(refs, key_schema)
+    wanted = spark.createDataFrame(there, key_schema + ", found boolean")
     root = warehouse.root.rstrip("/")
     pattern = r"^(?:file:)?" + re.escape(root.replace("file:", "")) + \
         r"/([^/]+)/([^/]+)/([^/]+)/(?:" + PARTITION_COLUMN + r"=([^/]+)/)?[^/]+$"
@@ -136,14 +138,16 @@ def warehouse_catalog(spark, warehouse, refs) -> tuple[DataFrame, DataFrame]:
                                           "timestamp_ntz, last_modified_time timestamp_ntz, partitioned boolean")
         partitions = empty_parts
     j = wanted.join(per_table, ["project_id", "dataset_id", "table_id"], "left")
-    found = F.col("num_rows").isNotNull()
+    found = F.col("found")
+    count = lambda c: F.when(found, F.coalesce(F.col(c), F.lit(0)))
     partitioned = F.coalesce(F.col("partitioned"), F.lit(False))
     live = j.select(
         "project_id", "dataset_id", "table_id", F.when(found, "found").otherwise("not_found").alias("lookup_status"),
-        found.alias("table_exists"), "creation_time", "last_modified_time", "num_bytes", "num_rows",
+        found.alias("table_exists"), "creation_time", "last_modified_time", count("num_bytes").alias("num_bytes"),
+        count("num_rows").alias("num_rows"),
         F.when(found, "TABLE").alias("type"), F.lit(DEFAULT_LOCATION).alias("location"),
         F.when(partitioned, "DAY").alias("time_partitioning_type"),
-        F.lit(None).cast("long").alias("partition_expiration_ms"), (F.col("num_rows") == 0).alias("is_empty"),
+        F.lit(None).cast("long").alias("partition_expiration_ms"), (count("num_rows") == 0).alias("is_empty"),
         F.lit(False).alias("is_external_or_view"), found.alias("is_schema_defined"),
         partitioned.alias("is_daily_partitioned"), partitioned.alias("has_time_partitioning"),
         F.lit(False).alias("has_partition_expiration"))

@@ -9,24 +9,32 @@ dynamic partition overwrite on write).
 
 Each source table is its own Spark job (schemas differ from table to table,
 so tables cannot share one plan); all changed partitions of one table share
-that job.  The plan frame is streamed to the driver with `toLocalIterator()`
-(one partition at a time, never whole) and the jobs are submitted from a
-bounded thread pool; each job is a plain read → write that Spark
-parallelises over the table's files.
+that job.  The plan frame is streamed to the driver with `toLocalIterator()`;
+only a bounded number of jobs is in flight, and their outcomes are appended
+page by page to a result table in the shared checkpoint folder, so the driver
+holds neither the plan nor the results.  Data is always written to a staging
+directory and renamed into place; only a `_SUCCESS` marker makes a copy count.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Iterator
+import itertools
+import uuid
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keepsake.session import checkpoint_root
+
 PARTITION_COLUMN = "_partition_id"
+#: Outcomes held by the driver before they are appended to the result table.
+PAGE = 1000
 
 COPY_RESULT_SCHEMA = T.StructType([
     T.StructField("source_project_id", T.StringType()), T.StructField("source_dataset_id", T.StringType()),
@@ -65,14 +73,12 @@ class _FS:
         return bool(fs.exists(p))
 
     def committed(self, path: str) -> bool:
-        """A finished table: a `_SUCCESS` marker or committed partition dirs."""
+        """A finished table: its writer left a `_SUCCESS` marker."""
+        return self.exists(path + "/_SUCCESS")
+
+    def folder(self, path: str) -> bool:
         p, fs = self._p(path)
-        if not fs.exists(p):
-            return False
-        if fs.exists(self._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
-            return True
-        return any(s.getPath().getName().endswith(".parquet") or "=" in s.getPath().getName()
-                   for s in fs.listStatus(p))
+        return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isDirectory())
 
     def touch(self, path: str) -> None:
         p, fs = self._p(path)
@@ -119,28 +125,46 @@ def data_bytes(df: DataFrame) -> int:
     return int(r["b"] or 0)
 
 
-def is_partitioned(spark: SparkSession, path: str) -> bool:
-    return PARTITION_COLUMN in spark.read.parquet(path).columns
-
-
-def read_table(spark: SparkSession, path: str, partition_id: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, partition_id: str | list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     if partition_id is not None:
         if PARTITION_COLUMN not in df.columns:
             raise ValueError("Cannot read partition information from a table that is not partitioned")
+        asked = [partition_id] if isinstance(partition_id, str) else partition_id
         # partition values may be inferred as numbers; compare as text
-        df = df.filter(F.col(PARTITION_COLUMN).cast("string") == F.lit(partition_id))
+        df = df.filter(F.col(PARTITION_COLUMN).cast("string").isin(asked))
     return df
 
 
-def _run_pool(fn, rows: Iterable, parallelism: int) -> list:
+def _run_paged(spark: SparkSession, fn: Callable[..., list[tuple]], work: Iterable, parallelism: int,
+               schema: T.StructType) -> DataFrame:
+    """Run `fn` over `work` from a pool and collect its rows in a result table.
+
+    `work` is drawn only as jobs finish (twice the parallelism is in flight),
+    and every PAGE outcomes are appended to Parquet in the checkpoint folder."""
+    path = f"{checkpoint_root(spark)}/outcomes-{uuid.uuid4().hex}"
+    page: list[tuple] = []
+
+    def flush() -> None:
+        spark.createDataFrame(page, schema).coalesce(1).write.mode("append").parquet(path)
+        page.clear()
+
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return list(pool.map(fn, rows))
+        source, running = iter(work), deque()
+        while True:
+            for item in itertools.islice(source, 2 * max(1, parallelism) - len(running)):
+                running.append(pool.submit(fn, item))
+            if not running:
+                break
+            page += running.popleft().result()
+            if len(page) >= PAGE:
+                flush()
+    flush()
+    return spark.read.schema(schema).parquet(path)
 
 
-def _results_frame(spark: SparkSession, results: list[dict]) -> DataFrame:
-    names = COPY_RESULT_SCHEMA.fieldNames()
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in results], COPY_RESULT_SCHEMA)
+def _result(**r) -> tuple:
+    return tuple(r.get(n) for n in COPY_RESULT_SCHEMA.fieldNames())
 
 
 def _iter_rows(plan: DataFrame | Iterable) -> Iterator:
@@ -150,111 +174,105 @@ def _iter_rows(plan: DataFrame | Iterable) -> Iterator:
 
 
 # ---------------------------------------------------------------- S12
+def _reason(e: Exception) -> str:
+    return "notFound" if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) else "internalError"
+
+
 def snapshot_copy(spark: SparkSession, plan: DataFrame | Iterable[Row], warehouse: Warehouse,
                   backup_project: str, parallelism: int = 4) -> DataFrame:
     """Copy each planned table/partition whole to
     `<backup_project>/<target_dataset_id>/<target_table_id>` with
     CREATE_IF_NEEDED + WRITE_EMPTY.  A target that is already committed is a
-    'duplicate' (not retried); a target left half-written by a lost job is
-    overwritten, so a rerun converges.  Returns one result row per copy.
+    'duplicate' (not retried); a target without `_SUCCESS` was left by a lost
+    job and is replaced, so a rerun converges.  Returns one result row per copy.
 
-    The plan is streamed sorted by source table; all changed partitions of
-    one table are copied by one Spark job (10 tables × 500 partitions are 10
-    jobs, not 5,000), whole tables by one job each; tables run in parallel."""
+    The plan is streamed sorted by source table; all changed partitions of one
+    table are copied by one Spark job (10 tables x 500 partitions are 10 jobs).
+    If that job fails, its requests are tried one by one, so that a bad one
+    does not fail its neighbours."""
     fs = _FS(spark)
     if isinstance(plan, DataFrame):
         plan = plan.orderBy("project_id", "dataset_id", "table_id", "partition_id")
 
-    def base_of(r) -> dict:
-        return dict(source_project_id=r["project_id"], source_dataset_id=r["dataset_id"],
-                    source_table_id=r["table_id"], source_partition_id=r["partition_id"],
-                    target_project_id=backup_project, target_dataset_id=r["target_dataset_id"],
-                    target_table_id=r["target_table_id"], target_partition_id=None, start_time=_now(),
-                    item_id=None, state="DONE")
-
-    def failed(base: dict, e: Exception) -> dict:
-        reason = "notFound" if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) else "internalError"
-        return dict(**base, error_reason=reason, error_message=str(e)[:500], end_time=_now(),
-                    num_rows=None, num_bytes=None)
-
-    def one(r) -> dict:
-        src = warehouse.path(r["project_id"], r["dataset_id"], r["table_id"])
-        dst = warehouse.path(backup_project, r["target_dataset_id"], r["target_table_id"])
-        base = base_of(r)
-        try:
-            if fs.committed(dst):
-                return dict(**base, error_reason="duplicate", error_message="Already Exists: " + dst,
-                            end_time=_now(), num_rows=None, num_bytes=None)
-            data = read_table(spark, src, r["partition_id"])
-            size = data_bytes(data)  # a block copy has the source's size
-            data.write.mode("overwrite").parquet(dst)
-            return dict(**base, error_reason=None, error_message=None, end_time=_now(),
-                        num_rows=_rows(spark, dst), num_bytes=size)
-        except Exception as e:  # noqa: BLE001 - a failed copy is a result row
-            return failed(base, e)
+    def outcome(r, started: dt.datetime, **more) -> tuple:
+        return _result(source_project_id=r["project_id"], source_dataset_id=r["dataset_id"],
+                       source_table_id=r["table_id"], source_partition_id=r["partition_id"],
+                       target_project_id=backup_project, target_dataset_id=r["target_dataset_id"],
+                       target_table_id=r["target_table_id"], start_time=started, end_time=_now(),
+                       state="DONE", **more)
+
+    def target(r) -> str:
+        return warehouse.path(backup_project, r["target_dataset_id"], r["target_table_id"])
 
-    def partitions_together(group: list) -> list[dict]:
-        """One job for every changed partition of one table: write them to a
-        staging directory split by target, then rename each target into
-        place (a metadata operation on HDFS-like stores)."""
-        import uuid
+    def staged(group: list, staging: str) -> dict:
+        """Write the requests of one table below `staging`; (bytes, rows) by request position."""
         r0 = group[0]
         src = warehouse.path(r0["project_id"], r0["dataset_id"], r0["table_id"])
-        out, todo = [], []
+        sizes = {}
+        for i, r in enumerate(group):
+            if r["partition_id"] is None:
+                data = read_table(spark, src)
+                data.write.parquet(f"{staging}/_target={i}")
+                sizes[i] = (data_bytes(data), _rows(spark, f"{staging}/_target={i}"))
+        days = [(r["partition_id"], i) for i, r in enumerate(group) if r["partition_id"] is not None]
+        if days:
+            data = read_table(spark, src, [d for d, _ in days])
+            key = F.col(PARTITION_COLUMN).cast("string")
+            # one row for each asked partition of this one table
+            found = {row["p"]: (int(row["b"]), int(row["n"])) for row in
+                     data.select(key.alias("p"), F.col("_metadata.file_path").alias("f"),
+                                 F.col("_metadata.file_size").alias("s"))
+                     .groupBy("p", "f").agg(F.max("s").alias("s"), F.count(F.lit(1)).alias("n"))
+                     .groupBy("p").agg(F.sum("s").alias("b"), F.sum("n").alias("n")).collect()}
+            mapping = spark.createDataFrame(days, "_day string, _target int")
+            data.join(mapping, key == F.col("_day")).drop("_day").write.partitionBy("_target").parquet(f"{staging}/days")
+            for day, i in days:
+                place = f"{staging}/_target={i}"
+                if fs.exists(f"{staging}/days/_target={i}"):
+                    fs.rename(f"{staging}/days/_target={i}", place)
+                else:  # a partition without rows: an empty copy with the source schema
+                    spark.createDataFrame([], data.schema).write.parquet(place)
+                sizes[i] = found.get(day, (0, 0))
+        return sizes
+
+    def one_table(group: list) -> list[tuple]:
+        started, out, todo = _now(), [], []
         for r in group:
-            dst = warehouse.path(backup_project, r["target_dataset_id"], r["target_table_id"])
-            if fs.committed(dst):
-                out.append(dict(**base_of(r), error_reason="duplicate", error_message="Already Exists: " + dst,
-                                end_time=_now(), num_rows=None, num_bytes=None))
+            if fs.committed(target(r)):
+                out.append(outcome(r, started, error_reason="duplicate", error_message="Already Exists: " + target(r),
+                                   num_bytes=fs.size(target(r))))
             else:
-                todo.append((r, dst))
+                todo.append(r)
         if not todo:
             return out
+        dataset_dir = warehouse.path(backup_project, todo[0]["target_dataset_id"], "").rstrip("/")
+        staging = f"{dataset_dir}/_staging_{uuid.uuid4().hex}"
         try:
-            mapping = spark.createDataFrame([(r["partition_id"], r["target_table_id"]) for r, _ in todo],
-                                            f"{PARTITION_COLUMN}_key string, _target string")
-            data = read_table(spark, src).filter(
-                F.col(PARTITION_COLUMN).cast("string").isin([r["partition_id"] for r, _ in todo]))
-            # per-partition sizes and row counts from file metadata and row-group counts only
-            stats = {row["p"]: (row["b"], row["n"]) for row in
-                     data.select(F.col(PARTITION_COLUMN).cast("string").alias("p"),
-                                 F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-                     .groupBy("p", "f").agg(F.max("s").alias("s"), F.count(F.lit(1)).alias("n"))
-                     .groupBy("p").agg(F.sum("s").alias("b"), F.sum("n").alias("n")).collect()}
-            # the mapping has one row per partition of this one table: a known, small bound
-            tagged = data.join(F.broadcast(mapping),
-                               F.col(PARTITION_COLUMN).cast("string") == F.col(f"{PARTITION_COLUMN}_key"))\
-                .drop(f"{PARTITION_COLUMN}_key")
-            dataset_dir = warehouse.path(backup_project, r0["target_dataset_id"], "")
-            staging = f"{dataset_dir.rstrip('/')}/_staging_{uuid.uuid4().hex}"
-            tagged.write.partitionBy("_target").parquet(staging)
-            for r, dst in todo:
-                moved = f"{staging}/_target={r['target_table_id']}"
+            sizes = staged(todo, staging)
+            for i, r in enumerate(todo):
+                dst = target(r)
                 if fs.exists(dst):
-                    fs.delete(dst)  # half-written by an earlier, lost attempt
-                if fs.exists(moved):
-                    fs.rename(moved, dst)
-                else:  # a partition without rows: an empty copy with the source schema
-                    spark.createDataFrame([], data.schema).write.mode("overwrite").parquet(dst)
+                    fs.delete(dst)  # left by an earlier, lost attempt
+                if not fs.rename(f"{staging}/_target={i}", dst):
+                    raise OSError(f"cannot rename into {dst}")
                 fs.touch(dst + "/_SUCCESS")
-                b, n = stats.get(r["partition_id"], (0, 0))
-                out.append(dict(**base_of(r), error_reason=None, error_message=None, end_time=_now(),
-                                num_rows=int(n), num_bytes=int(b)))
-            fs.delete(staging)
-        except Exception as e:  # noqa: BLE001
-            out += [failed(base_of(r), e) for r, _ in todo]
+                out.append(outcome(r, started, num_bytes=sizes[i][0], num_rows=sizes[i][1]))
+        except Exception as e:  # noqa: BLE001 - a failed copy is a result row
+            done = len(out) - (len(group) - len(todo))
+            left = todo[done:]
+            if len(todo) == 1:
+                out.append(outcome(todo[0], started, error_reason=_reason(e), error_message=str(e)))
+            else:
+                out += [x for r in left for x in one_table([r])]
+        finally:
+            if fs.exists(staging):
+                fs.delete(staging)
         return out
 
-    def one_group(group: list) -> list[dict]:
-        if len(group) > 1 and all(r["partition_id"] is not None for r in group):
-            return partitions_together(group)
-        return [one(r) for r in group]
-
-    import itertools
     key = lambda r: (r["project_id"], r["dataset_id"], r["table_id"])
+    # one group is the changed partitions of one table
     groups = (list(g) for _, g in itertools.groupby(_iter_rows(plan), key=key))
-    results = [r for rs in _run_pool(one_group, groups, parallelism) for r in rs]
-    return _results_frame(spark, results)
+    return _run_paged(spark, one_table, groups, parallelism, COPY_RESULT_SCHEMA)
 
 
 def as_job_documents(results: DataFrame) -> DataFrame:
@@ -294,77 +312,111 @@ def restore_copy(spark: SparkSession, items: DataFrame | Iterable[Row], warehous
     """Copy each item's source copy into its target with the job's
     dispositions.  WRITE_EMPTY fails on a target (or target partition) with
     rows, WRITE_APPEND appends, WRITE_TRUNCATE replaces (only the target
-    partitions, by dynamic partition overwrite); CREATE_NEVER fails when the
+    partition, by dynamic partition overwrite); CREATE_NEVER fails when the
     target table is absent.  A failing item is 'Failed' and does not stop
     the others.  Items: id, source_table, target_table (structs),
     create_disposition, write_disposition.
 
-    Items are streamed sorted by target table; all partitions restored into
-    one table are written by one job (concurrent jobs must never write the
-    same table), different tables run in parallel."""
+    Items of one target table run in the order of their ids, each seeing what
+    the ones before it wrote: of two versions for one place WRITE_EMPTY takes
+    the first and WRITE_TRUNCATE leaves the last.  Consecutive items for
+    different partitions with one disposition and one schema are one Spark
+    write; if it fails they are tried one by one.  Different tables run in
+    parallel, one table is never written by two jobs at once."""
     fs = _FS(spark)
     if isinstance(items, DataFrame):
         items = items.orderBy(F.col("target_table.project_id"), F.col("target_table.dataset_id"),
-                              F.col("target_table.table_id"), "write_disposition")
+                              F.col("target_table.table_id"), "id")
 
     def target_of(r) -> tuple:
         t = r["target_table"]
-        return (t["project_id"], t["dataset_id"], t["table_id"], r["write_disposition"])
-
-    def one_table(group: list) -> list[dict]:
-        out, frames = [], []
+        return t["project_id"], t["dataset_id"], t["table_id"]
+
+    def source(r) -> str:
+        s = r["source_table"]
+        return warehouse.path(s["project_id"], s["dataset_id"], s["table_id"])
+
+    def outcome(r, started: dt.datetime, e: Exception | None = None, **more) -> tuple:
+        s, t = r["source_table"], r["target_table"]
+        failed = {"error_reason": _reason(e), "error_message": str(e)} if e else {}
+        return _result(source_project_id=s["project_id"], source_dataset_id=s["dataset_id"],
+                       source_table_id=s["table_id"], source_partition_id=s["partition_id"],
+                       target_project_id=t["project_id"], target_dataset_id=t["dataset_id"],
+                       target_table_id=t["table_id"], target_partition_id=t["partition_id"],
+                       start_time=started, end_time=_now(), item_id=r["id"], state="DONE", **failed, **more)
+
+    def refused(r, dst: str) -> dict | None:
+        exists = fs.folder(dst)
+        if r["create_disposition"] == "CREATE_NEVER" and not exists:
+            return {"error_reason": "notFound", "error_message": f"Not found: Table {dst}"}
+        if r["write_disposition"] == "WRITE_EMPTY" and exists:
+            part = r["target_table"]["partition_id"]
+            where = dst if part is None else f"{dst}/{PARTITION_COLUMN}={part}"
+            if fs.data_files(where) and not spark.read.parquet(where).isEmpty():
+                return {"error_reason": "duplicate", "error_message": f"Already Exists: Table {dst}"}
+        return None
+
+    def write(batch: list, schema: T.StructType, dst: str) -> None:
+        """One write of items with one schema and disposition, each for its own partition (or one whole table)."""
+        data = spark.read.schema(schema).parquet(*[source(r) for r in batch])
+        writer = data.write
+        if batch[0]["target_table"]["partition_id"] is not None:
+            # a row's copy is the folder of its file; copies are flat folders named by their ids
+            folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+            days = spark.createDataFrame([(r["source_table"]["table_id"], r["target_table"]["partition_id"]) for r in batch],
+                                         f"_copy string, {PARTITION_COLUMN} string")
+            data = data.withColumn("_copy", folder).drop(PARTITION_COLUMN).join(days, "_copy").drop("_copy")
+            writer = data.write.partitionBy(PARTITION_COLUMN)
+        if batch[0]["write_disposition"] == "WRITE_TRUNCATE":
+            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        else:
+            writer = writer.mode("append")
+        writer.parquet(dst)
+
+    def run(batch: list, schema: T.StructType, dst: str) -> list[tuple]:
+        started, ready, out = _now(), [], []
+        for r in batch:
+            no = refused(r, dst)
+            if no:
+                out.append(outcome(r, started, **no))
+            else:
+                ready.append(r)
+        if not ready:
+            return out
+        try:
+            write(ready, schema, dst)
+            size = fs.size(dst)
+            return out + [outcome(r, started, num_bytes=size) for r in ready]
+        except Exception as e:  # noqa: BLE001 - a failed item is a result row
+            if len(ready) == 1:
+                return [*out, outcome(ready[0], started, e)]
+            return out + [x for r in ready for x in run([r], schema, dst)]
+
+    def one_table(group: list) -> list[tuple]:
+        dst = warehouse.path(*target_of(group[0]))
+        out: list[tuple] = []
+        batch: list = []
+        shape = None
         for r in group:
-            s, t = r["source_table"], r["target_table"]
-            src = warehouse.path(s["project_id"], s["dataset_id"], s["table_id"])
-            dst = warehouse.path(t["project_id"], t["dataset_id"], t["table_id"])
-            base = dict(source_project_id=s["project_id"], source_dataset_id=s["dataset_id"],
-                        source_table_id=s["table_id"], source_partition_id=s["partition_id"],
-                        target_project_id=t["project_id"], target_dataset_id=t["dataset_id"],
-                        target_table_id=t["table_id"], target_partition_id=t["partition_id"],
-                        start_time=_now(), item_id=r["id"], state="DONE", num_rows=None, num_bytes=None)
+            started = _now()
             try:
-                exists = fs.committed(dst)
-                if r["create_disposition"] == "CREATE_NEVER" and not exists:
-                    out.append(dict(**base, error_reason="notFound", error_message=f"Not found: Table {dst}",
-                                    end_time=_now()))
-                    continue
-                part = t["partition_id"]
-                if r["write_disposition"] == "WRITE_EMPTY" and exists:
-                    where = dst if part is None else f"{dst}/{PARTITION_COLUMN}={part}"
-                    if fs.data_files(where) and not spark.read.parquet(where).isEmpty():
-                        out.append(dict(**base, error_reason="duplicate",
-                                        error_message=f"Already Exists: Table {dst}", end_time=_now()))
-                        continue
-                df = spark.read.parquet(src)
-                if part is not None:
-                    df = df.drop(PARTITION_COLUMN).withColumn(PARTITION_COLUMN, F.lit(part))
-                frames.append((base, df, part is not None, dst))
+                schema = spark.read.parquet(source(r)).schema
             except Exception as e:  # noqa: BLE001
-                out.append(dict(**base, error_reason="internalError", error_message=str(e)[:500],
-                                end_time=_now()))
-        if frames:
-            dst, partitioned = frames[0][3], frames[0][2]
-            try:
-                from functools import reduce
-                data = reduce(lambda a, b: a.unionByName(b), [f[1] for f in frames])
-                writer = data.write.partitionBy(PARTITION_COLUMN) if partitioned else data.write
-                if group[0]["write_disposition"] == "WRITE_TRUNCATE":
-                    writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                else:
-                    writer = writer.mode("append")
-                writer.parquet(dst)
-                size = fs.size(dst)
-                out += [dict(**f[0], error_reason=None, error_message=None, end_time=_now()) | {"num_bytes": size}
-                        for f in frames]
-            except Exception as e:  # noqa: BLE001
-                out += [dict(**f[0], error_reason="internalError", error_message=str(e)[:500], end_time=_now())
-                        for f in frames]
-        return out
-
-    import itertools
+                out.append(outcome(r, started, e))
+                continue
+            part = r["target_table"]["partition_id"]
+            kind = (schema, r["write_disposition"], part is None)
+            taken = {x["target_table"]["partition_id"] for x in batch} | {x["source_table"]["table_id"] for x in batch}
+            if batch and (kind != shape or part is None or part in taken or r["source_table"]["table_id"] in taken):
+                out += run(batch, shape[0], dst)
+                batch = []
+            batch.append(r)
+            shape = kind
+        return out + (run(batch, shape[0], dst) if batch else [])
+
+    # one group is the items of one target table
     groups = (list(g) for _, g in itertools.groupby(_iter_rows(items), key=target_of))
-    results = [r for rs in _run_pool(one_table, groups, parallelism) for r in rs]
-    return _results_frame(spark, results)
+    return _run_paged(spark, one_table, groups, parallelism, COPY_RESULT_SCHEMA)
 
 
 def create_targets(spark: SparkSession, targets: DataFrame | Iterable[Row], items: DataFrame,
@@ -388,7 +440,7 @@ def create_targets(spark: SparkSession, targets: DataFrame | Iterable[Row], item
     created = 0
     for r in _iter_rows(todo):
         dst = warehouse.path(r["project_id"], r["dataset_id"], r["table_id"])
-        if fs.committed(dst):
+        if fs.folder(dst):
             continue
         schema = spark.read.parquet(warehouse.path(r["s_project"], r["s_dataset"], r["s_table"])).schema
         empty = spark.createDataFrame([], schema)
@@ -417,47 +469,66 @@ def delete_copies(spark: SparkSession, to_delete: DataFrame | Iterable[Row], war
     M4 (mark_deleted)."""
     fs = _FS(spark)
 
-    def one(r) -> Row:
+    def one(r) -> list[tuple]:
         p = warehouse.path(backup_project, r["dataset_id"], r["table_id"])
         try:
             if not fs.exists(p):
-                return Row(id=r["id"], outcome="not_found")
-            return Row(id=r["id"], outcome="deleted" if fs.delete(p) else "error")
+                return [(r["id"], "not_found")]
+            return [(r["id"], "deleted" if fs.delete(p) else "error")]
         except Exception:  # noqa: BLE001
-            return Row(id=r["id"], outcome="error")
+            return [(r["id"], "error")]
 
-    out = _run_pool(one, _iter_rows(to_delete), parallelism)
-    return spark.createDataFrame(out, "id long, outcome string")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("outcome", T.StringType())])
+    return _run_paged(spark, one, _iter_rows(to_delete), parallelism, schema)
 
 
 # ---------------------------------------------------------------- Q19
-def fingerprint(df: DataFrame, by: Iterable[str] = ()) -> DataFrame:
-    """Rows and an order-free checksum (exact sum of 64-bit row hashes) of a
-    table, optionally per partition; a partial aggregate, so it scales with
-    the table."""
-    cols = [c for c in df.columns if c not in set(by)]
-    h = F.xxhash64(*[F.col(c) for c in sorted(cols)]).cast("decimal(38,0)")
-    aggs = [F.count(F.lit(1)).alias("rows"), F.sum(h).alias("checksum")]
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+def row_text(df: DataFrame, columns: Iterable[str]) -> Column:
+    """A row as one text: names, lengths and NULL marks, so that different rows have different texts.
+
+    Structs, arrays and maps are written as JSON with their NULLs; maps are
+    sorted by key first."""
+    parts = []
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    for c in sorted(columns):
+        v, t = F.col(f"`{c}`"), kinds[c]
+        if isinstance(t, T.MapType):
+            v = F.array_sort(F.map_entries(v))
+        if isinstance(t, (T.MapType, T.ArrayType, T.StructType)):
+            v = F.to_json(F.struct(v.alias("v")), {"ignoreNullFields": "false"})
+        elif isinstance(t, T.BinaryType):
+            v = F.hex(v)
+        v = v.cast("string")
+        parts.append(F.concat(F.lit(f"{c}="), F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")), F.lit(";")))
+    return F.concat(*parts) if parts else F.lit("")
+
+
+def row_hash(df: DataFrame, columns: Iterable[str]) -> Column:
+    """60 bits of the md5 of `row_text`; summed exactly, an order-free checksum."""
+    return F.conv(F.substring(F.md5(row_text(df, columns)), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
 def verify_copy(source: DataFrame, copy: DataFrame, by: Iterable[str] = ()) -> DataFrame:
-    """Q19: rows and checksum of source and copy side by side, + `equal`.
+    """Q19: rows, bytes of row text and checksum of source and copy side by
+    side, + `same_schema` (names and types) and `equal` (all of them).
     Both sides are hashed in one pass over their union and reduced by one
     partial aggregate (no join)."""
     by = list(by)
+    shape = lambda df: sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name not in by)
+    same = shape(source) == shape(copy)
 
     def hashed(df: DataFrame, side: str) -> DataFrame:
-        cols = sorted(c for c in df.columns if c not in set(by))
-        return df.select(*by, F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)").alias("_h"),
+        cols = [c for c in df.columns if c not in by]
+        return df.select(*by, row_hash(df, cols).alias("_h"), F.octet_length(row_text(df, cols)).cast("long").alias("_b"),
                          F.lit(side).alias("_side"))
 
     u = hashed(source, "source").unionByName(hashed(copy, "copy"))
     aggs = []
     for side in ("source", "copy"):
         on = F.col("_side") == side
-        aggs += [F.count_if(on).alias(f"{side}_rows"),
+        aggs += [F.count_if(on).alias(f"{side}_rows"), F.coalesce(F.sum(F.when(on, F.col("_b"))), F.lit(0)).alias(f"{side}_bytes"),
                  F.sum(F.when(on, F.col("_h"))).alias(f"{side}_checksum")]
     out = u.groupBy(*by).agg(*aggs) if by else u.agg(*aggs)
-    return out.withColumn("equal", (F.col("source_rows") == F.col("copy_rows"))
-                          & F.col("source_checksum").eqNullSafe(F.col("copy_checksum")))
+    return out.withColumn("same_schema", F.lit(same)).withColumn(
+        "equal", F.lit(same) & (F.col("source_rows") == F.col("copy_rows")) & (F.col("source_bytes") == F.col("copy_bytes"))
+        & F.col("source_checksum").eqNullSafe(F.col("copy_checksum")))

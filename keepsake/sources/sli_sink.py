@@ -81,7 +81,3 @@ def with_ingest_date(df: DataFrame, as_of: dt.datetime) -> DataFrame:
 def append_sli(df: DataFrame, path: str, as_of: dt.datetime) -> None:
     """Append rows to today's ingest partition (`ingest_date=`)."""
     with_ingest_date(df, as_of).write.mode("append").partitionBy("ingest_date").parquet(path)
-
-
-def none_to_null(c: str = "partitionId") -> F.Column:
-    return F.when(F.col(c) != NONE_SENTINEL, F.col(c))

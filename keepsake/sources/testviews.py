@@ -167,7 +167,8 @@ class TestViews:
         """One raw metadata document per table that still exists (id % 4 != 2).
 
         Content comes from the newest census row of the same n; lookups of
-        every 23rd table fail (`lookup_status='error'`, no document).
+        every 23rd table and of every 50th from the 29th on fail
+        (`lookup_status='error'`, no document).
         """
         from keepsake.operators.common import latest_by
         latest = latest_by(self._census_base(), ["n"], "snapshotTime")
@@ -193,7 +194,7 @@ class TestViews:
             ms(F.col("lastModifiedTime")).alias("lastModifiedTime"),
             F.col("type").alias("type"),
             F.when(i % 6 == 1, "EU").when(i % 6 != 0, "US").alias("location")))
-        status = F.when(i % 23 == 0, "error").otherwise("found")
+        status = F.when((i % 23 == 0) | (i % 50 == 29), "error").otherwise("found")
         return t.select(F.col("project_id"), F.col("dataset_id"), F.col("table_id"),
                         status.alias("lookup_status"),
                         F.when(status == "found", doc).alias("document"))
@@ -274,10 +275,12 @@ class TestViews:
     def list_requests(self) -> DataFrame:
         """Backup-list restore requests: one per backup record, in lists of
         `id % 1000`, with malformed keys, both-keys rows and repeated
-        requests (a rule on the key decides which)."""
+        requests (a rule on the key decides which); every 130th names a wrong
+        parent."""
         b = self.backups
         idc = F.col("id")
-        good = F.base64(F.encode(F.concat(F.lit('"Table", '), _str(F.col("parent_id")),
+        parent = F.col("parent_id") + F.when(idc % 130 == 0, 1).otherwise(0)
+        good = F.base64(F.encode(F.concat(F.lit('"Table", '), _str(parent),
                                           F.lit(', "Backup", '), _str(idc)), "UTF-8"))
         three = F.base64(F.encode(F.concat(F.lit('"Table", '), _str(F.col("parent_id")),
                                            F.lit(', "Backup"')), "UTF-8"))
