@@ -49,15 +49,12 @@ def retention_plan(tables: DataFrame, backups: DataFrame, live: DataFrame,
     # P8 looks only at what W8–W10 left, then drops all of it.
     survivors = ranked.filter(F.col("_step").isNull())
     grace = R.grace_keep_tables(survivors, cand, live, cfg.as_of, cfg.grace_months)
-    decided = (ranked.join(grace, "parent_id", "left")
-               .select("id", F.coalesce(F.col("_step"),
-                                        F.when(~F.col("keep"), "source_gone"),
-                                        F.lit("kept")).alias("_reason")))
-
-    failed = grace.filter("lookup_failed").select("parent_id", F.lit(True).alias("failed"))
-    reason = F.when(F.col("failed"), "lookup_failed").otherwise(F.coalesce(
-        F.col("_reason"), F.when(F.col("dup"), "duplicate_table_id"), F.lit("not_newest_of_day")))
-    return (flagged.join(decided, "id", "left").join(failed, "parent_id", "left")
+    decided = ranked.select("id", F.coalesce("_step", F.lit("kept")).alias("_reason"))
+
+    gone = (F.col("_reason") == "kept") & ~F.col("keep")
+    reason = (F.when(F.col("lookup_failed"), "lookup_failed").when(gone, "source_gone")
+              .otherwise(F.coalesce("_reason", F.when(F.col("dup"), "duplicate_table_id"), F.lit("not_newest_of_day"))))
+    return (flagged.join(decided, "id", "left").join(grace, "parent_id", "left")
             .select("id", "parent_id", "table_id", "created",
                     reason.isin("kept", "duplicate_table_id", "lookup_failed").alias("retained"),
                     reason.alias("reason")))

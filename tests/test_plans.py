@@ -40,6 +40,13 @@ def test_retention_windows_rank_daily_rows_only(plans):
         assert "WindowGroupLimit" in plans[name], name
 
 
+def test_headline_plans_do_not_grow(plans):
+    """Each job plans its candidates once; a second use of a frame would multiply these."""
+    most = {"q12_latency_run": 10, "q14_quality_run": 15, "q1_retention_plan": 28, "q16_orphaned_backups": 2, "q11_latency_sli_4": 4}
+    for name, n in most.items():
+        assert plans[name].count("Exchange hashpartitioning") <= n, name
+
+
 def test_census_partition_pruning(spark, scratch):
     from keepsake.operators import sli as S
     from keepsake.sources.testviews import AS_OF, TestViews
