@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from keepsake.llm.common import require, stored
 
 #: Bytes of training text in a dictionary, and the rows that it is filled from; bounded for each language.
-DICTIONARY = 1 << 15
+DICTIONARY = 1 << 14
 SAMPLE = 200
 LEVEL = 6
 #: Bytes that are compressed at once; every piece starts from the dictionary alone.
 PIECE = 2000
+#: Goes before every piece: without a run that pays, zstandard stores short texts as they are, whatever the dictionary.
+PAD = b" " * 64
 #: Suffixes of the first piece that break a tie.
 SUFFIXES = 24
 #: Least saving of the best over the next language, as a share of the next one's size.
@@ -37,14 +39,17 @@ def dictionaries(docs: DataFrame, learn: Column, sample: int = SAMPLE, size: int
     require(docs, "doc_id", "text", "lang")
     rows = docs.filter(learn & F.col("lang").isNotNull() & has_letter(F.col("text")))
     h = F.xxhash64("doc_id", "text")
-    picks = rows.select("lang", h.alias("h")).distinct().withColumn(
-        "n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= sample)
+    hashes = stored(rows.select("lang", h.alias("h")), "langid-hashes")
+    # among n hashes the least `sample` lie in the lowest share of the range: others need not meet in one task
+    share = hashes.groupBy("lang").agg((F.lit(4.0 * sample) / F.count("*")).alias("share")).withColumnRenamed("lang", "_lang")
+    low = hashes.join(share, F.col("lang") == F.col("_lang")).filter(F.col("h") / F.lit(2.0 ** 64) + 0.5 <= F.col("share")).select("lang", "h")
+    picks = low.distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= sample)
     picks = stored(picks.select(F.col("lang").alias("_lang"), F.col("h").alias("_h")), "langid-sample")
     texts = rows.select("lang", h.alias("h"), "text").join(
         picks, (F.col("lang") == F.col("_lang")) & (F.col("h") == F.col("_h"))).dropDuplicates(["lang", "h"])
     # each text gives its share from the front; a shorter one leaves room that the dictionary does without
-    share = F.lower(F.substring("text", 1, size // sample * 4))
-    got = texts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("h", share.alias("t")))).alias("ts")).select(
+    part = F.lower(F.substring("text", 1, size // sample * 4))
+    got = texts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("h", part.alias("t")))).alias("ts")).select(
         "lang", F.array_join(F.transform("ts", lambda x: x["t"]), "\n").alias("body")).collect()
     return {r["lang"]: r["body"].encode()[-size:] for r in sorted(got, key=lambda r: r["lang"])}
 
@@ -74,7 +79,7 @@ def identify(docs: DataFrame, dicts: dict[str, bytes], margin: float = MARGIN) -
             d.precompute_compress(level=LEVEL)
             packers.append((name, z.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False)))
         def size(c, body: bytes) -> int:
-            return sum(len(c.compress(body[i:i + PIECE])) for i in range(0, max(len(body), 1), PIECE))
+            return sum(len(c.compress(PAD + body[i:i + PIECE])) for i in range(0, max(len(body), 1), PIECE))
 
         out = []
         for t in texts:
@@ -83,7 +88,7 @@ def identify(docs: DataFrame, dicts: dict[str, bytes], margin: float = MARGIN) -
             if len(sizes) > 1 and sizes[0][0] == sizes[1][0]:
                 head = body[:PIECE]
                 starts = range(1, len(head), max(1, len(head) // SUFFIXES))
-                sizes = sorted((n, sum(len(c.compress(head[i:])) for i in starts) if n == sizes[0][0] else 0, name, c) for n, _, name, c in sizes)
+                sizes = sorted((n, sum(len(c.compress(PAD + head[i:])) for i in starts) if n == sizes[0][0] else 0, name, c) for n, _, name, c in sizes)
             sizes = [(n, name) for n, _, name, _ in sizes]
             best, nxt = sizes[0], sizes[min(1, len(sizes) - 1)]
             out.append((best[1], nxt[0] / (best[0] + nxt[0]) if len(sizes) > 1 else 1.0, len(sizes) > 1 and nxt[0] - best[0] < margin * nxt[0]))
