@@ -1,10 +1,12 @@
-"""Registered catalog/export queries: S1–S3, J1, W6, W7, J12, Q17, Q18."""
+"""Registered catalog/export queries: S1–S3, J1, W6, W7, J12, Q17, Q18; orders L1–L3 as explicit ranks."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from keepsake.operators import catalog as C
+from keepsake.operators import restore as RS
+from keepsake.operators.common import with_rank
 from keepsake.registry import register
 from keepsake.sources import export as X
 from keepsake.sources.testviews import TestViews
@@ -106,3 +108,21 @@ def q18(spark, sf):
     v = TestViews.of(spark, sf)
     shard = X.latest_export(_exports(v)).drop("export_date")
     return C.backups_of_tables(v.tables, X.last_backup(shard), _census_refs(v))
+
+
+@register("l1_backups_newest_first", """
+SELECT id, created, row_number() OVER (ORDER BY created DESC, id DESC) AS rank FROM backups""", ("backups",))
+def l1(spark, sf):
+    return with_rank(TestViews.of(spark, sf).backups.select("id", "created"), RS.ORDERS["L1"]())
+
+
+@register("l2_retention_order", """
+SELECT id, last_checked, row_number() OVER (ORDER BY last_checked, id) AS rank FROM tables""", ("tables",))
+def l2(spark, sf):
+    return with_rank(TestViews.of(spark, sf).tables.select("id", "last_checked"), RS.ORDERS["L2"]())
+
+
+@register("l3_partitions_first", """
+SELECT id, partition_id, row_number() OVER (ORDER BY partition_id DESC NULLS LAST, id) AS rank FROM tables""", ("tables",))
+def l3(spark, sf):
+    return with_rank(TestViews.of(spark, sf).tables.select("id", "partition_id"), RS.ORDERS["L3"]())

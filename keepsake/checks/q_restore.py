@@ -138,11 +138,10 @@ FROM (
   SELECT p.*, d.location AS target_location, bl.location AS backup_location FROM (
     SELECT r.request_id, r.project_id AS r_project, r.dataset_id AS r_dataset, r.target_project_id,
            r.target_dataset_id, count(t.id) AS tables,
-           min(a.any_backup_dataset) AS any_backup_dataset
+           arg_min(a.dataset_id, t.id) FILTER (a.dataset_id IS NOT NULL) AS any_backup_dataset
     FROM ({DS_REQ_SQL}) r
     LEFT JOIN tables t ON t.project_id = r.project_id AND t.dataset_id = r.dataset_id
-    LEFT JOIN (SELECT parent_id, min(dataset_id) AS any_backup_dataset FROM backups
-               WHERE deleted IS NULL GROUP BY 1) a ON a.parent_id = t.id
+    LEFT JOIN newest_avail a ON a.parent_id = t.id
     WHERE t.id IS NULL OR r.max_partition_days IS NULL OR t.partition_id IS NULL
        OR t.partition_id >= strftime({AS_OF} - to_days(CAST(r.max_partition_days - 1 AS INTEGER)), '%Y%m%d')
     GROUP BY 1, 2, 3, 4, 5) p
@@ -150,7 +149,7 @@ FROM (
   LEFT JOIN ({BK_DATASETS_SQL}) bl ON bl.dataset_id = p.any_backup_dataset)"""
 
 
-@register("a7_dataset_restore_check", _a7_sql(), ("tables", "backups", "live"))
+@register("a7_dataset_restore_check", _a7_sql(), ("tables", "newest_avail", "backups", "live"))
 def a7(spark, sf):
     v = TestViews.of(spark, sf)
     return RS.dataset_restore_check(dataset_requests(v), v.tables, v.backups, existing_datasets(v),
@@ -168,15 +167,18 @@ SELECT r.request_id, t.id AS entity_id, n.id AS backup_id,
 FROM ({DS_REQ_SQL}) r
 JOIN tables t ON t.project_id = r.project_id AND t.dataset_id = r.dataset_id
 JOIN newest_avail n ON n.parent_id = t.id
-WHERE coalesce(r.max_partition_days, 0) = 0 OR t.partition_id IS NULL
-   OR t.partition_id >= strftime({AS_OF} - to_days(CAST(r.max_partition_days - 1 AS INTEGER)), '%Y%m%d')"""
+WHERE (coalesce(r.max_partition_days, 0) = 0 OR t.partition_id IS NULL
+   OR t.partition_id >= strftime({AS_OF} - to_days(CAST(r.max_partition_days - 1 AS INTEGER)), '%Y%m%d'))
+  AND r.request_id IN (SELECT request_id FROM ({_a7_sql()}) WHERE error IS NULL)"""
 
 
 def _q6(v):
-    return RS.dataset_restore_items(dataset_requests(v), v.tables, v.backups, AS_OF_DT, BACKUP_PROJECT)
+    """Items of the requests that pass the validation."""
+    return PR.dataset_restore_plan(dataset_requests(v), v.tables, v.backups, existing_datasets(v), backup_datasets(v),
+                                   AS_OF_DT, BACKUP_PROJECT).items
 
 
-@register("q6_dataset_restore_plan", Q6_SQL, ("tables", "newest_avail"))
+@register("q6_dataset_restore_plan", Q6_SQL, ("tables", "newest_avail", "backups", "live"))
 def q6(spark, sf):
     return _q6(TestViews.of(spark, sf))
 

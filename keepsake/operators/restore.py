@@ -200,8 +200,9 @@ def dataset_restore_check(requests: DataFrame, tables: DataFrame, backups: DataF
                           datasets: DataFrame, backup_datasets: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Per dataset-restore request: any table entity? any available copy?
     (two distinct errors), then — when the target dataset exists — its
-    location must equal the location of a copy's dataset.  `max_partition_days`
-    NULL = every table; otherwise P10 (0 included)."""
+    location must equal that of the dataset of an actual copy: the newest copy
+    of the first table (by id) that has one.  `max_partition_days` NULL =
+    every table; otherwise P10 (0 included)."""
     t = tables.select("id", "project_id", "dataset_id", "partition_id")
     r = requests.select("request_id", F.col("project_id").alias("r_project"),
                         F.col("dataset_id").alias("r_dataset"), "target_project_id", "target_dataset_id",
@@ -211,11 +212,11 @@ def dataset_restore_check(requests: DataFrame, tables: DataFrame, backups: DataF
     in_range = (F.col("max_partition_days").isNull() | F.col("partition_id").isNull()
                 | (F.col("partition_id") >= oldest))
     j = j.filter(F.col("id").isNull() | in_range)
-    avail = backups.filter(F.col("deleted").isNull()).select(F.col("parent_id").alias("id"), "dataset_id")\
-        .groupBy("id").agg(F.min("dataset_id").alias("any_backup_dataset"))
+    avail = newest_available(backups).select(F.col("parent_id").alias("id"), F.col("dataset_id").alias("_copy"))
     j = j.join(avail, "id", "left")
+    first = F.min(F.when(F.col("_copy").isNotNull(), F.struct("id", "_copy")))
     per = j.groupBy("request_id", "r_project", "r_dataset", "target_project_id", "target_dataset_id").agg(
-        F.count("id").alias("tables"), F.min("any_backup_dataset").alias("any_backup_dataset"))
+        F.count("id").alias("tables"), first.getField("_copy").alias("any_backup_dataset"))
     ds = datasets.select(F.col("project_id").alias("d_project"), F.col("dataset_id").alias("d_dataset"),
                          F.col("location").alias("target_location"))
     bl = backup_datasets.select(F.col("dataset_id").alias("b_dataset"), F.col("location").alias("backup_location"))
@@ -380,17 +381,24 @@ def list_restore_items(resolved: DataFrame, backup_project: str, target_project:
 
 
 # ---------------------------------------------------------------- orderings
+ORDERS = {
+    "L1": lambda: [F.col("created").desc(), F.col("id").desc()],
+    "L2": lambda: [F.col("last_checked").asc(), F.col("id").asc()],
+    "L3": lambda: [F.col("partition_id").desc_nulls_last(), F.col("id").asc()],
+}
+
+
 def backups_newest_first(backups: DataFrame) -> DataFrame:
     """L1: copies by created descending (ties: id descending)."""
-    return backups.orderBy(F.col("created").desc(), F.col("id").desc())
+    return backups.orderBy(*ORDERS["L1"]())
 
 
 def retention_order(tables: DataFrame) -> DataFrame:
     """L2: retention visits tables by (last_checked, id)."""
-    return tables.orderBy(F.col("last_checked").asc(), F.col("id").asc())
+    return tables.orderBy(*ORDERS["L2"]())
 
 
 def partitions_first(tables: DataFrame) -> DataFrame:
     """L3: partitions by partition id descending, then non-partitioned
-    tables (NULL last)."""
-    return tables.orderBy(F.col("partition_id").desc_nulls_last())
+    tables (NULL last); ties by id."""
+    return tables.orderBy(*ORDERS["L3"]())
