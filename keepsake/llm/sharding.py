@@ -18,7 +18,10 @@ from keepsake.llm.common import require, stored
 
 ROW_BYTES = 8
 #: Digits of the key that each round of probes looks at; 16 digits of text hash come before 16 of doc_id.
-ROUNDS = (3, 6, 9, 12, 14, 16, 19, 22, 25, 28, 30, 32)
+ROUNDS = (3, 5, 7, 9, 11, 13, 16, 18, 20, 22, 24, 26, 28, 30, 32)
+#: Text bytes that one task orders, and the least and most runs that a shard is cut into for that.
+RUN_BYTES = 64 << 20
+RUNS = (8, 128)
 
 
 def sort_key(text: Column, doc_id: Column) -> Column:
@@ -44,8 +47,9 @@ def splitters(rows: DataFrame, cuts: int, slack: float) -> list[tuple[str, int]]
     rows: (key, size). A boundary is met when the bytes below it miss its goal by
     `slack` at most, or when it has reached a single row or key. Boundaries within the
     first 16 digits never part equal texts, so these are parted only if no end
-    of their group is near enough. Each round collects 4,096 counts at most for
-    each open interval and at most `cuts` intervals are open, for any input.
+    of their group is near enough. The first round collects 4,096 counts, later
+    ones 256 (once 4,096) for each open interval, of which there are fewer than
+    `cuts`, for any input.
     """
     spark = rows.sparkSession
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
@@ -86,11 +90,11 @@ def splitters(rows: DataFrame, cuts: int, slack: float) -> list[tuple[str, int]]
     return [met[i] for i in range(len(goals))]
 
 
-def shard(docs: DataFrame, shards: int = 24, tolerance: float = 0.005, ranges: int = 8) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 24, tolerance: float = 0.005, ranges: int | None = None) -> DataFrame:
     """`docs` with columns size, shard and slot; bytes of shards differ by about `tolerance` of a shard.
 
-    `ranges` runs are cut in each shard, so that no task orders a whole shard:
-    slot is the number of rows below a run plus the place within it, gapless
+    `ranges` runs (by default as many as RUN_BYTES asks for, within RUNS) are
+    cut in each shard, so that no task orders a whole shard: slot is the number of rows below a run plus the place within it, gapless
     from 0. Input columns of these names are replaced. Null texts have
     8 bytes. Rows that repeat doc_id and text stay together; an empty table
     gives an empty table.
@@ -99,6 +103,7 @@ def shard(docs: DataFrame, shards: int = 24, tolerance: float = 0.005, ranges: i
     key = sort_key(F.col("text"), F.col("doc_id"))
     narrow = stored(docs.select(key.alias("key"), row_bytes(F.col("text")).alias("size")), "shard-keys")
     total = narrow.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    ranges = ranges or max(RUNS[0], min(RUNS[1], total // shards // RUN_BYTES + 1))
     ends = splitters(narrow, shards * ranges, tolerance * total / shards / 2)
     starts = [("", 0), *ends]
     outer = F.array(*[F.lit(starts[i][0]) for i in range(0, len(starts), ranges)])
