@@ -276,18 +276,24 @@ def with_live(sli: DataFrame, live: DataFrame) -> DataFrame:
 
 
 def with_partition(sli: DataFrame, partitions: DataFrame, partition_col: str) -> DataFrame:
-    """Partition-level lookup: listed? and its last-modified time."""
+    """Partition-level lookup: listed? and its last-modified time.
+
+    A partition whose lookup failed has `lookup_status` 'error'; lookups of
+    frames without that column never fail."""
+    status = F.col("lookup_status") if "lookup_status" in partitions.columns else F.lit("found")
     p = partitions.select(F.col("project_id").alias("lp_project_id"),
                           F.col("dataset_id").alias("lp_dataset_id"),
                           F.col("table_id").alias("lp_table_id"),
                           F.col("partition_id").alias("lp_partition_id"),
-                          F.col("last_modified").alias("lp_last_modified"))
+                          F.col("last_modified").alias("lp_last_modified"), status.alias("lp_lookup_status"))
     return sli.join(p, (sli.projectId == p.lp_project_id) & (sli.datasetId == p.lp_dataset_id)
                     & (sli.tableId == p.lp_table_id) & (F.col(partition_col) == p.lp_partition_id), "left")
 
 
 def lookup_error() -> F.Column:
-    return F.coalesce(F.col("lv_lookup_status") == "error", F.lit(False))
+    """The lookup of the table or, where a partition is asked, of its partitions failed."""
+    return F.coalesce(F.col("lv_lookup_status") == "error", F.lit(False)) | F.coalesce(
+        F.col("lp_lookup_status") == "error", F.lit(False))
 
 
 def source_exists(partition_col: str) -> F.Column:
@@ -345,14 +351,16 @@ def confirm_latency(sli: DataFrame, live: DataFrame, partitions: DataFrame) -> D
 
 def confirm_quality(sli: DataFrame, live: DataFrame, partitions: DataFrame,
                     live_copies: DataFrame) -> DataFrame:
-    """Keep iff exists ∧ ¬newer ∧ ¬copy_not_in_census; a failed lookup
-    keeps the row.  The quality reader maps 'None' back to NULL."""
+    """Keep iff exists ∧ ¬newer ∧ ¬copy_not_in_census; a failed lookup of
+    the table, its partitions or the copy keeps the row.  The quality reader maps 'None' back to NULL."""
     s = sli.withColumn("_part", F.when(F.col("partitionId") != NONE_SENTINEL, F.col("partitionId")))
+    status = F.col("lookup_status") if "lookup_status" in live_copies.columns else F.lit("found")
     lc = live_copies.select(F.col("dataset_id").alias("lc_dataset_id"), F.col("table_id").alias("lc_table_id"),
-                            F.lit(True).alias("lc_exists"), F.col("num_bytes").alias("lc_num_bytes"))
+                            F.lit(True).alias("lc_exists"), (status == "error").alias("lc_failed"), F.col("num_bytes").alias("lc_num_bytes"))
     j = with_partition(with_live(s, live), partitions, "_part")
     j = j.join(lc, (j.backupDatasetId == lc.lc_dataset_id) & (j.backupTableId == lc.lc_table_id), "left")
-    keep = lookup_error() | (source_exists("_part") & ~is_newer("_part") & ~copy_not_in_census())
+    failed = lookup_error() | F.coalesce(F.col("lc_failed"), F.lit(False))
+    keep = failed | (source_exists("_part") & ~is_newer("_part") & ~copy_not_in_census())
     return j.filter(keep).select(*sli.columns)
 
 
