@@ -157,7 +157,8 @@ def _with(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 def duplicate_starts(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
     """(doc_id, th, start, n): runs of window starts whose window also starts elsewhere."""
     table = stored(phrase_table(docs, window, k), "rlz-phrases")
-    twice = table.groupBy("anchor").count().filter("count > 1").select("anchor")
+    # sums are written before they are joined: a join with a fresh exchange on both sides is one that AQE can split
+    twice = stored(table.groupBy("anchor").count().filter("count > 1").select("anchor"), "rlz-anchors")
     shared = stored(table.join(twice, "anchor"), "rlz-shared")
     discard(table)
     first = F.min(F.struct("doc_id", "th", "start")).alias("at")
@@ -165,10 +166,10 @@ def duplicate_starts(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) ->
     whole = shared.join(reference.filter("copies > 1").select("anchor", "phrase", "n"), ["anchor", "phrase", "n"], "left_semi").select(
         "doc_id", "th", "start", "n")
     # blocks in which some phrase stands once: one place of each phrase there is looked at window by window
-    ends = reference.filter("copies = 1").select("anchor").distinct()
+    ends = stored(reference.filter("copies = 1").select("anchor").distinct(), "rlz-ends")
     parts = reference.join(ends, "anchor", "left_semi").select("at.doc_id", "at.th", "at.start", "n", "copies")
     looked = stored(_windows(docs, parts, window), "rlz-windows")
-    seen = looked.groupBy("w1", "w2").agg(F.sum("copies").alias("times")).filter("times > 1").select("w1", "w2")
+    seen = stored(looked.groupBy("w1", "w2").agg(F.sum("copies").alias("times")).filter("times > 1").select("w1", "w2"), "rlz-seen")
     loose = looked.filter("copies = 1").join(seen, ["w1", "w2"], "left_semi").select("doc_id", "th", "start", F.lit(1).alias("n"))
     return whole.unionByName(loose)
 
