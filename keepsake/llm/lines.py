@@ -1,6 +1,7 @@
 """Line dedup over fuzzy lines.
 
-Lines are normalised and get a SimHash of their words. Distinct fingerprints are
+Lines are normalised and get a SimHash of their distinct words (counted once
+each, or a few common words would make unrelated lines alike). Distinct fingerprints are
 joined on pigeonhole blocks: of five blocks, two agree if at most three bits
 differ. What these links connect is a candidate group; its lines are compared
 by edit similarity, in blocks that bound a task, and each group that verified
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from keepsake.llm.common import require, stored, text_key
 from keepsake.llm.components import components
-from keepsake.llm.simhash import MAX_BITS, SEED, SLICE, _bits, fingerprint, links
+from keepsake.llm.simhash import MAX_BITS, SEED, _bits, links
 
 SIMILARITY = 0.8
 BLOCKS = MAX_BITS + 2
@@ -32,26 +33,29 @@ def normalised(line: Column) -> Column:
 
 
 def _fingerprints(lines: list[bytes]):
-    """SimHash of the words of each line; word hashes of many lines are counted together."""
+    """SimHash of the distinct words of each line; word hashes of many lines are counted together."""
     import numpy as np
     import xxhash
 
     out = np.zeros(len(lines), np.uint64)
     digest = xxhash.xxh64_digest
 
+    def hashed(words: list[bytes]):
+        return np.unpackbits(np.frombuffer(b"".join([digest(w, SEED) for w in words]), np.uint8).reshape(-1, 8), axis=1)
+
     def flush(ids: list[int], words: list[bytes], sizes: list[int]) -> None:
-        bits = np.unpackbits(np.frombuffer(b"".join([digest(w, SEED) for w in words]), np.uint8).reshape(-1, 8), axis=1)
+        bits = hashed(words)
         starts = np.r_[0, np.cumsum(sizes)[:-1]]
         ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
         out[ids] = np.packbits(2 * ones > np.array(sizes)[:, None], axis=1).view(">u8").ravel()
 
     ids, words, sizes = [], [], []
     for i, line in enumerate(lines):
-        if len(line) > SLICE:
-            out[i] = fingerprint(line, 1)
-            continue
-        own = line.split()
-        if own:
+        own = list(set(line.split()))
+        if len(own) > CHUNK:  # a very long line: in parts
+            ones = sum(hashed(own[at:at + CHUNK]).sum(axis=0, dtype=np.int64) for at in range(0, len(own), CHUNK))
+            out[i] = np.packbits(2 * ones > len(own)).view(">u8")[0]
+        elif own:
             ids.append(i), sizes.append(len(own)), words.extend(own)
         if len(words) >= CHUNK:
             flush(ids, words, sizes)
@@ -167,7 +171,8 @@ def groups(found: DataFrame, docs: DataFrame) -> DataFrame:
     near = components(links(fps, pigeonhole_keys())).withColumnsRenamed({"node": "fp", "root": "near"})
     placed = each.select("name", "fp").join(near, "fp", "left").withColumn("near", F.coalesce("near", "fp"))
     placed = stored(placed, "line-candidates")
-    crowd = placed.groupBy("near").agg(F.count("*").alias("n")).filter("n > 1").select("near", F.ceil(F.col("n") / GROUP).cast("int").alias("blocks"))
+    crowd = stored(placed.groupBy("near").agg(F.count("*").alias("n")).filter("n > 1").select(
+        "near", F.ceil(F.col("n") / GROUP).cast("int").alias("blocks")), "line-crowds")
     wanted = placed.join(crowd, "near").withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
     texts = _split(docs).filter(F.col("norm").isNotNull()).select(_name(F.col("norm")).alias("name"), "norm")
     texts = texts.join(wanted, "name").groupBy("name").agg(*[F.first(c).alias(c) for c in ("norm", "fp", "near", "block", "blocks")])
