@@ -42,7 +42,8 @@ def dictionaries(docs: DataFrame, learn: Column, sample: int = SAMPLE, size: int
     hashes = stored(rows.select("lang", h.alias("h")), "langid-hashes")
     # among n hashes the least `sample` lie in the lowest share of the range: others need not meet in one task
     share = hashes.groupBy("lang").agg((F.lit(4.0 * sample) / F.count("*")).alias("share")).withColumnRenamed("lang", "_lang")
-    low = hashes.join(share, F.col("lang") == F.col("_lang")).filter(F.col("h") / F.lit(2.0 ** 64) + 0.5 <= F.col("share")).select("lang", "h")
+    # a row for each language, of which the driver gets a whole dictionary: small enough to broadcast
+    low = hashes.join(F.broadcast(share), F.col("lang") == F.col("_lang")).filter(F.col("h") / F.lit(2.0 ** 64) + 0.5 <= F.col("share")).select("lang", "h")
     picks = low.distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= sample)
     picks = stored(picks.select(F.col("lang").alias("_lang"), F.col("h").alias("_h")), "langid-sample")
     texts = rows.select("lang", h.alias("h"), "text").join(
