@@ -1,11 +1,13 @@
 """Line dedup over fuzzy lines.
 
-Lines are normalised and get a SimHash of their distinct words (counted once
-each, or a few common words would make unrelated lines alike). Distinct fingerprints are
-joined on pigeonhole blocks: of five blocks, two agree if at most three bits
-differ. What these links connect is a candidate group; its lines are compared
-by edit similarity, in blocks that bound a task, and each group that verified
-links connect keeps one occurrence.
+Lines are normalised; two are alike if their edit similarity is SIMILARITY or
+more, and each group that such pairs connect keeps one occurrence. Pairs to
+compare come from buckets: lines that share a key. Keys are bands of min-hashes
+of the byte runs of a line (its 8-grams; for short lines also 4-grams); lines of
+up to EXACT characters also have what deletions leave of them as keys, so that
+among them no pair is missed. Edit similarity alone decides on a pair; a bucket
+is compared in blocks that bound a task, and a test on 3-grams that alike lines
+cannot fail spares most comparisons.
 """
 
 from __future__ import annotations
@@ -17,85 +19,127 @@ from pyspark.sql import functions as F
 
 from keepsake.llm.common import require, stored, text_key
 from keepsake.llm.components import components
-from keepsake.llm.simhash import MAX_BITS, SEED, _bits, links
+from keepsake.llm.simhash import MAX_BITS, SEED, _bits
 
 SIMILARITY = 0.8
 BLOCKS = MAX_BITS + 2
-#: Lines of a candidate group that one task compares with as many others.
+#: (bytes in a gram, bands, min-hashes in a band, bytes of the longest line that has them; 0: any)
+BANDS = ((8, 8, 2, 0), (4, 12, 3, 128))
+#: Characters of the lines whose deletions are keys.
+EXACT = 14
+#: Lines of a bucket that one task compares with as many others.
 GROUP = 1000
-#: Words whose hash bits are counted at once.
+#: Bytes of lines hashed at once.
 CHUNK = 1 << 16
+#: Counters of the hashed 3-grams of a line.
+COUNTERS = 256
 
 
-def normalised(line: Column) -> Column:
-    """Lower case, with every run of other characters than letters and digits as one space, none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
-
-
-def _fingerprints(lines: list[bytes]):
-    """SimHash of the distinct words of each line; word hashes of many lines are counted together."""
+def _mixed(h):
     import numpy as np
-    import xxhash
 
-    out = np.zeros(len(lines), np.uint64)
-    digest = xxhash.xxh64_digest
+    h = h * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
 
-    def hashed(words: list[bytes]):
-        return np.unpackbits(np.frombuffer(b"".join([digest(w, SEED) for w in words]), np.uint8).reshape(-1, 8), axis=1)
 
-    def flush(ids: list[int], words: list[bytes], sizes: list[int]) -> None:
-        bits = hashed(words)
-        starts = np.r_[0, np.cumsum(sizes)[:-1]]
-        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-        out[ids] = np.packbits(2 * ones > np.array(sizes)[:, None], axis=1).view(">u8").ravel()
+def _minima(lines: list[bytes], gram: int, n: int):
+    """n min-hashes of the byte runs of length `gram` (8 at most) of each line; a shorter line is one run."""
+    import numpy as np
 
-    ids, words, sizes = [], [], []
+    odd = _mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(SEED)) | np.uint64(1)
+    mask = np.uint64((1 << 8 * gram) - 1)
+    out = np.full((len(lines), n), np.iinfo(np.uint64).max)
+
+    def flush(ids: list[int], parts: list[bytes]) -> None:
+        body = np.frombuffer(b"".join([p + bytes(8) for p in parts]), np.uint8)
+        size = np.array([len(p) for p in parts])
+        starts, count = np.r_[0, np.cumsum(size + 8)[:-1]], np.maximum(size - gram + 1, 1)
+        first = np.r_[0, np.cumsum(count)[:-1]]
+        every = np.lib.stride_tricks.as_strided(body[:8].view("<u8"), (len(body) - 7,), (1,))
+        runs = _mixed(every[np.repeat(starts - first, count) + np.arange(count.sum())] & mask)
+        for k in range(n):
+            out[ids, k] = np.minimum(out[ids, k], np.minimum.reduceat(runs * odd[k], first))
+
+    ids, parts, size = [], [], 0
     for i, line in enumerate(lines):
-        own = list(set(line.split()))
-        if len(own) > CHUNK:  # a very long line: in parts
-            ones = sum(hashed(own[at:at + CHUNK]).sum(axis=0, dtype=np.int64) for at in range(0, len(own), CHUNK))
-            out[i] = np.packbits(2 * ones > len(own)).view(">u8")[0]
-        elif own:
-            ids.append(i), sizes.append(len(own)), words.extend(own)
-        if len(words) >= CHUNK:
-            flush(ids, words, sizes)
-            ids, words, sizes = [], [], []
+        for at in range(0, max(len(line) - gram + 1, 1), CHUNK):  # a very long line: in parts
+            if size and (at or size + len(line) > CHUNK):
+                flush(ids, parts)
+                ids, parts, size = [], [], 0
+            part = line[at:at + CHUNK + gram - 1]
+            ids.append(i), parts.append(part)
+            size += len(part) + 1
     if ids:
-        flush(ids, words, sizes)
+        flush(ids, parts)
     return out
 
 
-def _split(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, line_no, norm): all lines; norm is null where a line has no letter or digit."""
-    each = docs.select("doc_id", text_key(F.col("text")).alias("th"),
-                       F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
-    norm = normalised(F.col("line"))
-    return each.select("doc_id", "th", "line_no", F.when(norm != "", norm).alias("norm"))
+def _deletions(line: str) -> set[str]:
+    """What is left of a short line without any of as many characters as an alike line of up to EXACT characters may differ in."""
+    most = int(min(EXACT, int(len(line) / SIMILARITY + 1e-9)) * (1 - SIMILARITY) + 1e-9)
+    return {"".join(x) for n in range(most + 1) for x in combinations(line, len(line) - n)}
 
 
-def _name(norm: Column) -> Column:
-    return F.unhex(F.md5(norm))
+def keys(lines: list[bytes]) -> list[list[int]]:
+    """Keys of each normalised line, as signed longs: lines that share none are not compared."""
+    import numpy as np
+    import xxhash
+
+    out: list[list[int]] = [[] for _ in lines]
+    for family, (gram, bands, rows, longest) in enumerate(BANDS):
+        ids = [i for i, x in enumerate(lines) if not longest or len(x) <= longest]
+        low = _minima([lines[i] for i in ids], gram, bands * rows).reshape(len(ids), bands, rows)
+        key = np.broadcast_to(np.arange(bands, dtype=np.uint64) + np.uint64(100 * family + 1), low.shape[:2])
+        for r in range(rows):
+            key = _mixed(key ^ low[:, :, r])
+        for i, k in zip(ids, key.view(np.int64).tolist()):
+            out[i] += k
+    for i, x in enumerate(lines):
+        if len(x) <= 4 * EXACT and len(text := x.decode()) <= EXACT:
+            out[i] += np.array([xxhash.xxh64_intdigest(d, SEED) for d in _deletions(text)], np.uint64).view(np.int64).tolist()
+    return [sorted(set(k)) for k in out]
+
+
+def normalised(text: Column) -> Column:
+    """Lower case, with every run of other characters than letters, digits and line ends as one space."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
+
+
+def _lines(body: bytes) -> list[bytes]:
+    """The normalised lines of a normalised text; empty if they have no letter or digit."""
+    return [x.strip(b" ") for x in body.split(b"\n")]
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, line_no, name, fp): name is md5 of the normalised line (null: blank), fp its SimHash."""
+    """(doc_id, th, line_no, name, keys): all lines; name is md5 of the normalised line, null as the keys are where it is empty."""
 
     def run(batches):
-        import numpy as np
+        import hashlib
+
         import pyarrow as pa
 
         for b in batches:
-            norm = [x or b"" for x in b.column(4).to_pylist()]
-            fp = pa.array(_fingerprints(norm).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), fp], ["doc_id", "th", "line_no", "name", "fp"])
+            rows, number, each, seen = [], [], [], {}
+            for i, body in enumerate(b.column(2)):
+                for n, x in enumerate(_lines(body.as_py())):
+                    rows.append(i), number.append(n), each.append(seen.setdefault(x, len(seen)) if x else None)
+            names = pa.array([hashlib.md5(x).digest() for x in seen], pa.binary())
+            found, each, at = pa.array(keys(list(seen)), pa.list_(pa.int64())), pa.array(each, pa.int64()), pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(number, pa.int32()), names.take(each), found.take(each)],
+                                             ["doc_id", "th", "line_no", "name", "keys"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return _split(docs).select("doc_id", "th", "line_no", _name(F.col("norm")).alias("name"), F.col("norm").cast("binary").alias("norm")).mapInArrow(
-        run, f"doc_id {kind}, th long, line_no int, name binary, fp long")
+    return _texts(docs).mapInArrow(run, f"doc_id {kind}, th long, line_no int, name binary, keys array<long>")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", text_key(F.col("text")).alias("th"), normalised(F.coalesce("text", F.lit(""))).cast("binary").alias("text"))
 
 
 def pigeonhole_keys() -> list[tuple[int, int]]:
-    """Masks of two blocks each: fingerprints that differ in at most MAX_BITS bits agree on one."""
+    """Masks of two blocks each: fingerprints that differ in at most MAX_BITS bits agree on one (for `simhash.links`)."""
     ends = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
     blocks = [_bits(range(a, b)) for a, b in zip(ends, ends[1:])]
     return [(-1, a | b) for a, b in combinations(blocks, 2)]
@@ -139,12 +183,23 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return distance(a, b, most) <= most
 
 
+def _counted(text: str):
+    """Numbers of the 3-grams of a line by their hash: an edit changes three grams at most."""
+    import numpy as np
+
+    c = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    grams = (c[:-2] * np.uint32(0x9E3779B1) ^ c[1:-1] * np.uint32(0x85EBCA6B) ^ c[2:] * np.uint32(0xC2B2AE35)) * np.uint32(0x27D4EB2F)
+    return np.bincount(grams >> np.uint32(24), minlength=COUNTERS).astype(np.int32)
+
+
 def _verified(items: list[dict]) -> list[tuple[bytes, bytes]]:
-    """A spanning forest of the verified links; if the lines are of two blocks, of the links across them."""
+    """A spanning forest of the links between alike lines; if the lines are of two blocks, of the links across them."""
     import numpy as np
 
-    items = sorted(items, key=lambda x: x["name"])
-    fps = np.array([x["fp"] for x in items], np.int64).view(np.uint64)
+    items = [x for _, x in sorted({x["name"]: x for x in items}.items())]
+    texts = [x["norm"].decode() for x in items]
+    size = np.array([len(t) for t in texts])
+    counts = np.array([_counted(t) for t in texts])
     side = np.array([x["block"] for x in items])
     cross, left, edges = len(set(side)) > 1, np.ones(len(items), bool), []
     for first in range(len(items)):
@@ -152,33 +207,65 @@ def _verified(items: list[dict]) -> list[tuple[bytes, bytes]]:
         left[first] = False
         while queue:
             at = queue.pop()
-            may = left & (np.bitwise_count(fps ^ fps[at]) <= MAX_BITS)
+            longest = np.maximum(size, size[at])
+            most = (longest * (1 - SIMILARITY) + 1e-9).astype(np.int64)
+            may = left & (longest - np.minimum(size, size[at]) <= most)
             if cross:
                 may &= side != side[at]
-            for k in np.flatnonzero(may):
-                if similar(items[at]["norm"], items[k]["norm"]):
+            may = np.flatnonzero(may)
+            may = may[np.minimum(counts[may], counts[at]).sum(axis=1) >= longest[may] - 2 - 3 * most[may]]
+            for k in may:
+                if similar(texts[at], texts[k]):
                     edges.append((items[at]["name"], items[k]["name"]))
                     left[k] = False
                     queue.append(k)
     return edges
 
 
+def _fetched(docs: DataFrame, spots: DataFrame) -> DataFrame:
+    """`spots` (doc_id, th, line_no, key, block, blocks) as key, block, blocks, name and norm, the normalised line; only texts with a spot are normalised."""
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        seen = set()
+        for b in batches:
+            out = []
+            for doc, th, body, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()):
+                if (doc, th) in seen:  # rows that repeat doc_id and text
+                    continue
+                seen.add((doc, th))
+                each = _lines(body.as_py())
+                out += [(w["key"], w["block"], w["blocks"], hashlib.md5(each[w["line_no"]]).digest(), each[w["line_no"]]) for w in wanted]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], ["key", "block", "blocks", "name", "norm"])
+
+    lists = spots.groupBy("doc_id", "th").agg(F.collect_list(F.struct("line_no", "key", "block", "blocks")).alias("wanted")).withColumnsRenamed(
+        {"doc_id": "_d", "th": "_t"})
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("th"), "text")
+    met = keyed.join(lists, keyed["doc_id"].eqNullSafe(lists["_d"]) & (keyed["th"] == lists["_t"]))
+    text = normalised(F.coalesce("text", F.lit(""))).cast("binary").alias("text")
+    return met.select("doc_id", "th", text, "wanted").mapInArrow(run, "key long, block int, blocks int, name binary, norm binary")
+
+
 def groups(found: DataFrame, docs: DataFrame) -> DataFrame:
     """(name, keep): for each distinct line the occurrence (null_id, doc_id, th, line_no) that its group keeps."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "th", "line_no")).alias("first")
-    each = stored(found.filter(F.col("name").isNotNull()).groupBy("name", "fp").agg(first), "line-distinct")
-    fps = each.select("fp").distinct()
-    near = components(links(fps, pigeonhole_keys())).withColumnsRenamed({"node": "fp", "root": "near"})
-    placed = each.select("name", "fp").join(near, "fp", "left").withColumn("near", F.coalesce("near", "fp"))
-    placed = stored(placed, "line-candidates")
-    crowd = stored(placed.groupBy("near").agg(F.count("*").alias("n")).filter("n > 1").select(
-        "near", F.ceil(F.col("n") / GROUP).cast("int").alias("blocks")), "line-crowds")
-    wanted = placed.join(crowd, "near").withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
-    texts = _split(docs).filter(F.col("norm").isNotNull()).select(_name(F.col("norm")).alias("name"), "norm")
-    texts = texts.join(wanted, "name").groupBy("name").agg(*[F.first(c).alias(c) for c in ("norm", "fp", "near", "block", "blocks")])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "th", "line_no", "keys")).alias("first")
+    each = stored(found.filter(F.col("name").isNotNull()).groupBy("name").agg(first), "line-distinct")
+    keyed = each.select("first.doc_id", "first.th", "first.line_no", F.explode("first.keys").alias("key"))
+    shared = stored(keyed.groupBy("key").count().filter("count > 1").select("key"), "line-keys")
+    spots = stored(keyed.join(shared, "key", "left_semi"), "line-spots")
+    # buckets with the same lines are one
+    h = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "th", "line_no")
+    sets = spots.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y"))
+    buckets = stored(sets.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / GROUP).cast("int").alias("blocks")), "line-buckets")
+    wanted = spots.join(buckets, "key").withColumn("block", F.pmod(h, F.col("blocks")).cast("int"))
+    texts = _fetched(docs, wanted)
     spread = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tasks = spread.groupBy("near", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(
-        F.collect_list(F.struct("name", "fp", "block", "norm")).alias("items"))
+    tasks = spread.groupBy("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(
+        F.collect_list(F.struct("name", "block", "norm")).alias("items"))
 
     def run(batches):
         import pyarrow as pa
@@ -188,7 +275,8 @@ def groups(found: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([e[i] for e in out], pa.binary()) for i in (0, 1)], ["a", "b"])
 
     comp = components(stored(tasks.select("items").mapInArrow(run, "a binary, b binary"), "line-links"))
-    named = each.select("name", "first").join(comp, F.col("name") == F.col("node"), "left").select(
+    place = F.struct("first.null_id", "first.doc_id", "first.th", "first.line_no").alias("first")
+    named = each.select("name", place).join(comp, F.col("name") == F.col("node"), "left").select(
         "name", "first", F.coalesce("root", "name").alias("root"))
     named = stored(named, "line-roots")
     keep = named.groupBy("root").agg(F.min("first").alias("keep"))
@@ -208,7 +296,7 @@ def mark(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     found = stored(occurrences(docs), "line-occurrences")
     keep = groups(found, docs)
-    all_ = found.drop("fp").join(keep, "name", "left")
+    all_ = found.drop("keys").join(keep, "name", "left")
     kept = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("th") == F.col("keep.th")) & (F.col("line_no") == F.col("keep.line_no"))
     gone = F.col("name").isNotNull() & ~kept
     per = all_.groupBy("doc_id", "th").agg(
