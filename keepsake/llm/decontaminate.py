@@ -66,7 +66,7 @@ def candidates(postings: DataFrame, wanted: DataFrame, slop: int = SLOP) -> Data
     block = lambda c: F.floor(c / BLOCK)
     second = lists.filter("rank = 2").select(
         F.col("doc_id").alias("d"), F.col("th").alias("t"), F.col("pid").alias("p"), F.col("start").alias("other"),
-        F.explode(F.array_distinct(F.array(block(F.col("start") - slop), block(F.col("start") + slop)))).alias("b"))
+        F.explode(F.sequence(block(F.col("start") - slop), block(F.col("start") + slop))).alias("b"))
     pairs = first.filter("n > 1").withColumn("b", block(F.col("start")))
     met = pairs.join(second, pairs["doc_id"].eqNullSafe(second["d"]) & (pairs["th"] == second["t"]) & (pairs["pid"] == second["p"])
                      & (pairs["b"] == second["b"]) & (F.abs(pairs["start"] - second["other"]) <= slop))
