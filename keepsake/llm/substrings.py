@@ -1,14 +1,12 @@
-"""Substring dedup by relative Lempel-Ziv parsing against an indexed reference of the whole corpus.
+"""Substring dedup by min-hash anchors and counting of windows, in place of relative Lempel-Ziv parsing.
 
 Every window of WINDOW words has one anchor: the k-gram in it with the least
 hash. Consecutive windows with the same anchor place form a phrase (the words
-that these windows span). The reference is the table of all phrases, blocked by
-anchor hash, so a document need not meet every block: a window's copies can
-only be in the block of its anchor. A document is factored into its phrases
-from left to right; a phrase that the reference holds twice or more extends the
-current factor whole. Where a phrase stands once but its anchor does not, the
-factor ends somewhere inside: there each window is looked up by itself. Runs of
-found windows are the factors of WINDOW words or more, the duplicate spans.
+that these windows span); no reference is looked at for that. Phrases are
+counted by hash: one that stands twice or more is found whole. Where a phrase
+stands once but its anchor does not, each of its windows is counted by itself.
+Runs of found windows are the duplicate spans. Nothing is matched greedily:
+factoring each document against each block of the corpus would be quadratic.
 """
 
 from __future__ import annotations
