@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from keepsake.llm import decontaminate, embeddings, langid, licences, lines, mixing, sharding, simhash, substrings, toxicity
 from keepsake.llm.common import table
+from keepsake.llm.queries_more import QUERIES as MORE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -186,4 +187,5 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op8_language": (op8_language, None),
     "op9_simhash_near_dedup": (op9_simhash_near_dedup, None),
     "op10_embedding_near_dedup": (op10_embedding_near_dedup, OP10_SQL),
+    **MORE,
 }
