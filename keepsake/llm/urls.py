@@ -76,7 +76,9 @@ def _spelled(url: Column, host: Column) -> Column:
 def _grams(text: Column) -> Column:
     """One string of ORDER + 1 characters for each character of `text` and one for its end."""
     padded = F.concat(F.array_repeat(F.lit(START), ORDER), F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), F.array(F.lit(END)))
-    return F.transform(F.sequence(F.lit(1), F.size(padded) - ORDER), lambda i: F.array_join(F.slice(padded, i, ORDER + 1), ""))
+    # an array of one array: its lambda variable holds the characters, which would otherwise be found anew at every position
+    return F.transform(F.array(padded), lambda c: F.transform(
+        F.sequence(F.lit(1), F.size(c) - ORDER), lambda i: F.array_join(F.slice(c, i, ORDER + 1), "")))[0]
 
 
 def _fold(text: Column) -> Column:
@@ -122,23 +124,25 @@ def model(grams: DataFrame) -> DataFrame:
 
 def _scores(texts: DataFrame) -> DataFrame:
     """Of `texts` (text, kind: allow, block or null, rows): h, text, kind, train, rows, score (whole micro-nats a character, rounded down)."""
-    texts = stored(texts.withColumns({"h": F.xxhash64("text"), "train": F.col("kind").isNotNull() & (_fold(F.col("text")) > 0)}), "urls-texts")
-    positions = texts.select("h", "text", "kind", "train", "rows", F.explode(_grams(F.col("text"))).alias("gram"))
+    texts = texts.withColumns({"h": F.xxhash64("text"), "size": F.length("text"), "train": F.col("kind").isNotNull() & (_fold(F.col("text")) > 0)})
+    # texts are small, but what is made of them is not: a stated number of partitions keeps AQE from putting them into one
+    spread = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = stored(texts.repartition(spread, "h"), "urls-texts")
+    # a text is named by its hash and its length: its positions do not carry it
+    positions = texts.select("h", "size", "kind", "train", "rows", F.explode(_grams(F.col("text"))).alias("gram"))
     count = [F.sum(F.when(F.col("train") & (F.col("kind") == k), F.col("rows")).otherwise(F.lit(0))).alias(c) for k, c in ((ALLOW, "a"), (BLOCK, "b"))]
     grams = stored(positions.groupBy("gram").agg(*count, F.count(F.lit(1)).alias("n")), "urls-grams")
     ratios = stored(model(grams).join(grams.select("gram", "n"), "gram"), "urls-ratios")
     total = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     hot = ratios.filter(F.col("n") * HOT > F.lit(total))
-    looked = positions.select("h", "text", "gram").join(
+    looked = positions.select("h", "size", "gram").join(
         F.broadcast(hot.select("gram", F.col("ratio").alias("_hot"))), "gram", "left")
-    # a text is named by its hash and its length; the hot part is added up before anything is shuffled
-    name = ["h", F.length("text").alias("size")]
-    known = looked.filter("_hot IS NOT NULL").select(*name, F.col("_hot").alias("ratio")).groupBy("h", "size").agg(F.sum("ratio").alias("ratio"))
-    rest = looked.filter("_hot IS NULL").select("gram", *name).join(ratios.select("gram", "ratio"), "gram").select("h", "size", "ratio")
+    # the hot part is added up before anything is shuffled
+    known = looked.filter("_hot IS NOT NULL").select("h", "size", F.col("_hot").alias("ratio")).groupBy("h", "size").agg(F.sum("ratio").alias("ratio"))
+    rest = looked.filter("_hot IS NULL").select("gram", "h", "size").join(ratios.select("gram", "ratio"), "gram").select("h", "size", "ratio")
     sums = known.unionByName(rest).groupBy("h", "size").agg(F.sum("ratio").alias("sum"))
-    length = F.col("size") + 1
-    return texts.join(sums.select(F.col("h").alias("_h"), "size", "sum"), (F.col("h") == F.col("_h")) & (F.length("text") == F.col("size"))).select(
-        "h", "text", "kind", "train", "rows", F.floor(F.col("sum") / length).cast("long").alias("score"))
+    return texts.join(sums, ["h", "size"]).select(
+        "h", "text", "kind", "train", "rows", F.floor(F.col("sum") / (F.col("size") + 1)).cast("long").alias("score"))
 
 
 def threshold(scores: DataFrame) -> int | None:
