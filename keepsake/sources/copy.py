@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepsake.session import checkpoint_root
+from keepsake.sources.commit import FileSystem, Ledger
 
 PARTITION_COLUMN = "_partition_id"
 #: Outcomes held by the driver before they are appended to the result table.
@@ -56,56 +57,7 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{project}/{dataset}/{table}"
 
 
-class _FS:
-    """Minimal Hadoop FileSystem access (existence, size, delete) through
-    the session's Hadoop configuration, so it works on any cluster store."""
-
-    def __init__(self, spark: SparkSession):
-        self._jvm = spark.sparkContext._jvm
-        self._conf = spark._jsparkSession.sessionState().newHadoopConf()
-
-    def _p(self, path: str):
-        p = self._jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self._conf)
-
-    def exists(self, path: str) -> bool:
-        p, fs = self._p(path)
-        return bool(fs.exists(p))
-
-    def committed(self, path: str) -> bool:
-        """A finished table: its writer left a `_SUCCESS` marker."""
-        return self.exists(path + "/_SUCCESS")
-
-    def folder(self, path: str) -> bool:
-        p, fs = self._p(path)
-        return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isDirectory())
-
-    def touch(self, path: str) -> None:
-        p, fs = self._p(path)
-        fs.create(p, True).close()
-
-    def data_files(self, path: str) -> bool:
-        """Any parquet data file under path (recursively)?"""
-        p, fs = self._p(path)
-        if not fs.exists(p):
-            return False
-        it = fs.listFiles(p, True)
-        while it.hasNext():
-            if it.next().getPath().getName().endswith(".parquet"):
-                return True
-        return False
-
-    def size(self, path: str) -> int:
-        p, fs = self._p(path)
-        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
-
-    def rename(self, src: str, dst: str) -> bool:
-        p, fs = self._p(src)
-        return bool(fs.rename(p, self._jvm.org.apache.hadoop.fs.Path(dst)))
-
-    def delete(self, path: str) -> bool:
-        p, fs = self._p(path)
-        return bool(fs.delete(p, True))
+_FS = FileSystem
 
 
 def _now() -> dt.datetime:
@@ -312,68 +264,80 @@ def restore_copy(spark: SparkSession, items: DataFrame | Iterable[Row], warehous
     """Copy each item's source copy into its target with the job's
     dispositions.  WRITE_EMPTY fails on a target (or target partition) with
     rows, WRITE_APPEND appends, WRITE_TRUNCATE replaces (only the target
-    partition, by dynamic partition overwrite); CREATE_NEVER fails when the
-    target table is absent.  A failing item is 'Failed' and does not stop
-    the others.  Items: id, source_table, target_table (structs),
-    create_disposition, write_disposition.
+    partition); CREATE_NEVER fails when the target table is absent.  A failing
+    item is 'Failed' and does not stop the others.  Items: id, source_table,
+    target_table (structs), create_disposition, write_disposition, and job_id.
 
     Items of one target table run in the order of their ids, each seeing what
     the ones before it wrote: of two versions for one place WRITE_EMPTY takes
     the first and WRITE_TRUNCATE leaves the last.  Consecutive items for
     different partitions with one disposition and one schema are one Spark
     write; if it fails they are tried one by one.  Different tables run in
-    parallel, one table is never written by two jobs at once."""
+    parallel, one table is never written by two jobs at once.
+
+    Writes are staged and published by `commit.Ledger`: a job that was stopped
+    anywhere and runs again under the same job_id ends what was decided, gives
+    the recorded outcome of each item that has one, and writes nothing twice.
+    Items without a job_id have no record to come back to."""
     fs = _FS(spark)
     if isinstance(items, DataFrame):
         items = items.orderBy(F.col("target_table.project_id"), F.col("target_table.dataset_id"),
                               F.col("target_table.table_id"), "id")
+    once = f"call-{uuid.uuid4().hex}"
 
     def target_of(r) -> tuple:
         t = r["target_table"]
         return t["project_id"], t["dataset_id"], t["table_id"]
 
+    def job_of(r) -> str:
+        job = r["job_id"] if "job_id" in (r.asDict() if isinstance(r, Row) else r) else None
+        return once if job is None else f"job-{job}"
+
     def source(r) -> str:
         s = r["source_table"]
         return warehouse.path(s["project_id"], s["dataset_id"], s["table_id"])
 
-    def outcome(r, started: dt.datetime, e: Exception | None = None, **more) -> tuple:
+    def outcome(r, started: dt.datetime, e: Exception | None = None, **more) -> dict:
         s, t = r["source_table"], r["target_table"]
         failed = {"error_reason": _reason(e), "error_message": str(e)} if e else {}
-        return _result(source_project_id=s["project_id"], source_dataset_id=s["dataset_id"],
-                       source_table_id=s["table_id"], source_partition_id=s["partition_id"],
-                       target_project_id=t["project_id"], target_dataset_id=t["dataset_id"],
-                       target_table_id=t["table_id"], target_partition_id=t["partition_id"],
-                       start_time=started, end_time=_now(), item_id=r["id"], state="DONE", **failed, **more)
+        return dict(source_project_id=s["project_id"], source_dataset_id=s["dataset_id"],
+                    source_table_id=s["table_id"], source_partition_id=s["partition_id"],
+                    target_project_id=t["project_id"], target_dataset_id=t["dataset_id"],
+                    target_table_id=t["table_id"], target_partition_id=t["partition_id"],
+                    start_time=started, end_time=_now(), item_id=r["id"], state="DONE", **failed, **more)
+
+    def recorded(x: dict) -> dict:
+        times = {c: dt.datetime.fromisoformat(x[c]) for c in ("start_time", "end_time")}
+        return x | times
+
+    def place(r) -> str:
+        part = r["target_table"]["partition_id"]
+        return "" if part is None else f"{PARTITION_COLUMN}={part}/"
 
     def refused(r, dst: str) -> dict | None:
         exists = fs.folder(dst)
         if r["create_disposition"] == "CREATE_NEVER" and not exists:
             return {"error_reason": "notFound", "error_message": f"Not found: Table {dst}"}
         if r["write_disposition"] == "WRITE_EMPTY" and exists:
-            part = r["target_table"]["partition_id"]
-            where = dst if part is None else f"{dst}/{PARTITION_COLUMN}={part}"
+            where = f"{dst}/{place(r)}".rstrip("/")
             if fs.data_files(where) and not spark.read.parquet(where).isEmpty():
                 return {"error_reason": "duplicate", "error_message": f"Already Exists: Table {dst}"}
         return None
 
-    def write(batch: list, schema: T.StructType, dst: str) -> None:
+    def stage(batch: list, schema: T.StructType, staging: str) -> None:
         """One write of items with one schema and disposition, each for its own partition (or one whole table)."""
         data = spark.read.schema(schema).parquet(*[source(r) for r in batch])
-        writer = data.write
-        if batch[0]["target_table"]["partition_id"] is not None:
-            # a row's copy is the folder of its file; copies are flat folders named by their ids
-            folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-            days = spark.createDataFrame([(r["source_table"]["table_id"], r["target_table"]["partition_id"]) for r in batch],
-                                         f"_copy string, {PARTITION_COLUMN} string")
-            data = data.withColumn("_copy", folder).drop(PARTITION_COLUMN).join(days, "_copy").drop("_copy")
-            writer = data.write.partitionBy(PARTITION_COLUMN)
-        if batch[0]["write_disposition"] == "WRITE_TRUNCATE":
-            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        else:
-            writer = writer.mode("append")
-        writer.parquet(dst)
-
-    def run(batch: list, schema: T.StructType, dst: str) -> list[tuple]:
+        if batch[0]["target_table"]["partition_id"] is None:
+            data.write.parquet(f"{staging}/data")
+            return
+        # a row's copy is the folder of its file; copies are flat folders named by their ids
+        folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        days = spark.createDataFrame([(r["source_table"]["table_id"], r["target_table"]["partition_id"]) for r in batch],
+                                     f"_copy string, {PARTITION_COLUMN} string")
+        data = data.withColumn("_copy", folder).drop(PARTITION_COLUMN).join(days, "_copy").drop("_copy")
+        data.write.partitionBy(PARTITION_COLUMN).parquet(f"{staging}/data")
+
+    def run(batch: list, schema: T.StructType, dst: str, ledger: Ledger) -> list[dict]:
         started, ready, out = _now(), [], []
         for r in batch:
             no = refused(r, dst)
@@ -381,42 +345,58 @@ def restore_copy(spark: SparkSession, items: DataFrame | Iterable[Row], warehous
                 out.append(outcome(r, started, **no))
             else:
                 ready.append(r)
+        if out:
+            ledger.commit(out)
         if not ready:
             return out
+        staging = ledger.staging()
         try:
-            write(ready, schema, dst)
-            size = fs.size(dst)
-            return out + [outcome(r, started, num_bytes=size) for r in ready]
+            stage(ready, schema, staging)
+            staged = fs.files(f"{staging}/data")
         except Exception as e:  # noqa: BLE001 - a failed item is a result row
             if len(ready) == 1:
                 return [*out, outcome(ready[0], started, e)]
-            return out + [x for r in ready for x in run([r], schema, dst)]
+            return out + [x for r in ready for x in run([r], schema, dst, ledger)]
+        done = [outcome(r, started, num_bytes=sum(n for f, n in staged.items() if f.startswith(place(r)))) for r in ready]
+        replaced = []
+        if ready[0]["write_disposition"] == "WRITE_TRUNCATE":
+            replaced = [place(r) + f for r in ready for f in fs.files(f"{dst}/{place(r)}".rstrip("/"))]
+        ledger.commit(done, dst, staging, [(f"{staging}/data/{f}", f) for f in staged], replaced)
+        return out + done
 
     def one_table(group: list) -> list[tuple]:
         dst = warehouse.path(*target_of(group[0]))
-        out: list[tuple] = []
+        out: list[dict] = []
+        ledgers = {job: Ledger(fs, warehouse.root, job, target_of(group[0])) for job in dict.fromkeys(map(job_of, group))}
+        known = {(job, x["item_id"]): recorded(x) for job, ledger in ledgers.items() for x in ledger.recover()}
         batch: list = []
         shape = None
         for r in group:
-            started = _now()
+            job, started = job_of(r), _now()
+            if (job, r["id"]) in known:
+                out.append(known[job, r["id"]])
+                continue
             try:
                 schema = spark.read.parquet(source(r)).schema
             except Exception as e:  # noqa: BLE001
                 out.append(outcome(r, started, e))
                 continue
             part = r["target_table"]["partition_id"]
-            kind = (schema, r["write_disposition"], part is None)
+            kind = (schema, r["write_disposition"], part is None, job)
             taken = {x["target_table"]["partition_id"] for x in batch} | {x["source_table"]["table_id"] for x in batch}
             if batch and (kind != shape or part is None or part in taken or r["source_table"]["table_id"] in taken):
-                out += run(batch, shape[0], dst)
+                out += run(batch, shape[0], dst, ledgers[shape[3]])
                 batch = []
             batch.append(r)
             shape = kind
-        return out + (run(batch, shape[0], dst) if batch else [])
+        out += run(batch, shape[0], dst, ledgers[shape[3]]) if batch else []
+        return [_result(**x) for x in out]
 
     # one group is the items of one target table
     groups = (list(g) for _, g in itertools.groupby(_iter_rows(items), key=target_of))
-    return _run_paged(spark, one_table, groups, parallelism, COPY_RESULT_SCHEMA)
+    results = _run_paged(spark, one_table, groups, parallelism, COPY_RESULT_SCHEMA)
+    fs.delete(f"{warehouse.root.rstrip('/')}/_restores/{once}")
+    return results
 
 
 def create_targets(spark: SparkSession, targets: DataFrame | Iterable[Row], items: DataFrame,
