@@ -91,7 +91,8 @@ def _warehouse_tables(spark, wh, skip_projects):
     p, hfs = fs._p(wh.root)
     refs = []
     for proj in hfs.listStatus(p):
-        if not proj.isDirectory() or proj.getPath().getName() in skip_projects:
+        name = proj.getPath().getName()
+        if not proj.isDirectory() or name in skip_projects or name.startswith(("_", ".")):
             continue
         for ds in hfs.listStatus(proj.getPath()):
             if ds.isDirectory():
@@ -126,12 +127,21 @@ def _run_restore(spark, a, cfg, planned, tables, meta) -> int:
     new_job = spark.createDataFrame([(a.job_id, cfg.as_of, 0, a.create_disposition, a.write_disposition)],
                                     RESTORATION_JOBS)
     run = J.restore_run(spark, jobs, new_job, items, datasets, live, bk, wh, a.parallelism)
-    J.write_metadata(spark, jobs.unionByName(run.job.select(*RESTORATION_JOBS.fieldNames())),
-                     f"{meta}/restoration_jobs")
+    _record_restore(spark, run, jobs, meta)
+    return 0
+
+
+def _record_restore(spark, run, jobs, meta: str) -> None:
+    """Items first: a job is known (and restores nothing again) only once its items are written."""
+    from keepsake.plans import jobs as J
+    from keepsake.schemas import RESTORATION_JOBS, RESTORE_ITEMS
     old = _read_or_empty(spark, f"{meta}/restore_items", RESTORE_ITEMS)
-    J.write_metadata(spark, old.unionByName(run.items.select(*RESTORE_ITEMS.fieldNames())), f"{meta}/restore_items")
+    items = run.items.select(*RESTORE_ITEMS.fieldNames())
+    # items of a run that stopped before its job was written are written again, not twice
+    kept = old.join(items.select("id", "job_id"), ["id", "job_id"], "left_anti").select(*RESTORE_ITEMS.fieldNames())
+    J.write_metadata(spark, kept.unionByName(items), f"{meta}/restore_items")
+    J.write_metadata(spark, jobs.unionByName(run.job.select(*RESTORATION_JOBS.fieldNames())), f"{meta}/restoration_jobs")
     print(f"restore items: {run.items.count()}")
-    return 0
 
 
 def main(argv=None) -> int:
@@ -210,12 +220,7 @@ def main(argv=None) -> int:
         new_job = spark.createDataFrame([(a.job_id, as_of, 0, a.create_disposition, a.write_disposition)],
                                         RESTORATION_JOBS)
         run = J.restore_run(spark, jobs, new_job, items, datasets, live, bk, wh, a.parallelism)
-        J.write_metadata(spark, jobs.unionByName(run.job.select(*RESTORATION_JOBS.fieldNames())),
-                         f"{meta}/restoration_jobs")
-        old = _read_or_empty(spark, f"{meta}/restore_items", RESTORE_ITEMS)
-        J.write_metadata(spark, old.unionByName(run.items.select(*RESTORE_ITEMS.fieldNames())),
-                         f"{meta}/restore_items")
-        print(f"restore items: {run.items.count()}")
+        _record_restore(spark, run, jobs, meta)
     elif a.job == "backup-table":
         from keepsake.sources.catalog import warehouse_catalog
         wh = CP.Warehouse(a.warehouse)

@@ -72,3 +72,48 @@ def test_dedupe_stream_keeps_null_keys(spark, scratch, ts_type):
     q.awaitTermination(120)
     keys = sorted((r["request_key"] or "") for r in spark.read.parquet(out).collect())
     assert keys == ["", "", "k1", "k2"]
+
+
+def _hour(h):
+    return dt.datetime(2024, 1, 30, h)
+
+
+def _item_frame(spark, n):
+    return spark.createDataFrame([(i, "In Progress", None, None) for i in range(n)],
+                                 "id long, status string, status_message string, completed timestamp_ntz")
+
+
+def test_late_earlier_events_correct_items_already_written(spark, scratch):
+    items = _item_frame(spark, 40)
+    src, state, ckpt = (os.path.join(scratch, x) for x in ("events", "state", "ckpt"))
+    batches = [[(0, _hour(12), "Failed", "late"), (1, _hour(9), "Done", None), (2, _hour(8), "Running", None)],
+               [(0, _hour(10), "Done", None), (1, _hour(11), "Failed", "later"), (3, _hour(5), "Failed", "x")],
+               [(0, _hour(11), "Failed", "between"), (3, _hour(5), "Done", None), (99, _hour(1), "Done", None)]]
+    for rows in batches:
+        spark.createDataFrame(rows, INC.STATUS_EVENT_SCHEMA).write.mode("append").parquet(src)
+        INC.stream_item_status(spark, items, src, state, ckpt).awaitTermination(120)
+    want = RS.fold_item_status(items, spark.read.schema(INC.STATUS_EVENT_SCHEMA).parquet(src))
+    assert _norm(spark.read.parquet(INC.latest_version(spark, state))) == _norm(want)
+    assert _norm(INC.item_status(spark, items, state)) == _norm(want)
+    assert {r["id"]: r["status"] for r in want.filter("id < 4").collect()} == {0: "Done", 1: "Done", 2: "In Progress", 3: "Done"}
+
+
+def test_a_batch_tried_again_changes_nothing(spark, scratch):
+    store = INC.EarliestEvents(spark, scratch, buckets=4)
+    rows = [[(i, _hour(h), "Done", f"{n}") for i in range(n, 30, n + 1)] for n, h in enumerate((9, 7, 11))]
+    frames = [spark.createDataFrame(r, INC.STATUS_EVENT_SCHEMA) for r in rows]
+    for n, f in enumerate(frames):
+        store.merge(f, n)
+        once = sorted(map(tuple, store.read().collect()))
+        store.merge(f, n)  # the driver was lost before the stream took note of the batch
+        assert sorted(map(tuple, store.read().collect())) == once
+    first = {}
+    for i, t, _, m in [x for r in rows for x in r]:
+        first[i] = min(first.get(i, (t, m)), (t, m))
+    assert [(r[0], (r[1], r[3])) for r in once] == sorted(first.items())
+    assert max(len(v) for v in store._versions().values()) <= 2
+    untouched = [b for b, v in store._versions().items() if 2 not in v]
+    store.merge(frames[2].filter("item_id = 2"), 3)
+    assert untouched == [b for b, v in store._versions().items() if 2 not in v and 3 not in v]
+    store.merge(frames[2].limit(0), 4)
+    assert sorted(map(tuple, store.read().collect())) == once
