@@ -83,25 +83,6 @@ def _read_or_empty(spark, path, schema):
     return spark.read.parquet(path) if _FS(spark).committed(path) else spark.createDataFrame([], schema)
 
 
-def _warehouse_tables(spark, wh, skip_projects):
-    """Table references of the warehouse: a listing of the directory names
-    `<root>/<project>/<dataset>/<table>` (metadata only)."""
-    from keepsake.sources.copy import _FS
-    fs = _FS(spark)
-    p, hfs = fs._p(wh.root)
-    refs = []
-    for proj in hfs.listStatus(p):
-        name = proj.getPath().getName()
-        if not proj.isDirectory() or name in skip_projects or name.startswith(("_", ".")):
-            continue
-        for ds in hfs.listStatus(proj.getPath()):
-            if ds.isDirectory():
-                refs += [(proj.getPath().getName(), ds.getPath().getName(), t.getPath().getName())
-                         for t in hfs.listStatus(ds.getPath())
-                         if t.isDirectory() and not t.getPath().getName().startswith(("_", "."))]
-    return refs
-
-
 def _run_restore(spark, a, cfg, planned, tables, meta) -> int:
     """Q9 for a planned restore (items with source/target or an error)."""
     from pyspark.sql import functions as F
@@ -109,13 +90,13 @@ def _run_restore(spark, a, cfg, planned, tables, meta) -> int:
     from keepsake.plans import jobs as J
     from keepsake.schemas import RESTORATION_JOBS, RESTORE_ITEMS
     from keepsake.sources import copy as CP
-    from keepsake.sources.catalog import warehouse_catalog
+    from keepsake.sources.catalog import warehouse_catalog, warehouse_tables
     err = planned.filter("error IS NOT NULL").select("error").first()
     if err is not None:
         print(f"rejected: {err['error']}")
         return 2
     wh = CP.Warehouse(a.warehouse)
-    live, _ = warehouse_catalog(spark, wh, _warehouse_tables(spark, wh, set()))
+    live, _ = warehouse_catalog(spark, wh, warehouse_tables(spark, wh))
     datasets = live.filter("table_exists").groupBy("project_id", "dataset_id").agg(F.min("location").alias("location"))
     bk = live.filter(live.project_id == cfg.backup_project).select("dataset_id", "location").distinct()
     items = planned.select(_item_id(F.lit(a.job_id)).alias("id"), F.lit(a.job_id).alias("job_id"), "status",
@@ -162,9 +143,9 @@ def main(argv=None) -> int:
     backups = _read_or_empty(spark, f"{meta}/backups", BACKUPS)
 
     if a.job in ("backup", "retention"):
-        from keepsake.sources.catalog import warehouse_catalog
+        from keepsake.sources.catalog import warehouse_catalog, warehouse_tables
         wh = CP.Warehouse(a.warehouse)
-        live, parts = warehouse_catalog(spark, wh, _warehouse_tables(spark, wh, set(cfg.projects_to_skip)))
+        live, parts = warehouse_catalog(spark, wh, warehouse_tables(spark, wh, cfg.projects_to_skip))
         if a.job == "backup":
             out = J.backup_run(spark, live, parts, tables, backups, cfg, wh, a.parallelism)
             J.write_metadata(spark, out.tables, f"{meta}/tables")
@@ -182,9 +163,9 @@ def main(argv=None) -> int:
         ct, cp = spark.read.parquet(f"{census}/census_tables"), spark.read.parquet(f"{census}/census_partitions")
         copies = spark.read.parquet(f"{census}/census_copies")
         la = PS.last_available_backups(tables, backups)
-        from keepsake.sources.catalog import warehouse_catalog
+        from keepsake.sources.catalog import warehouse_catalog, warehouse_tables
         wh = CP.Warehouse(a.warehouse)
-        live, parts = warehouse_catalog(spark, wh, _warehouse_tables(spark, wh, set()))
+        live, parts = warehouse_catalog(spark, wh, warehouse_tables(spark, wh))
         lc = live.filter(live.project_id == cfg.backup_project).filter("table_exists")\
             .select("dataset_id", "table_id", "num_bytes")
         K.append_sli(PS.latency_run(spark, ct, cp, la, live, parts, as_of, cfg), f"{a.history}/latency", as_of)
@@ -197,9 +178,9 @@ def main(argv=None) -> int:
         from keepsake.operators import restore as RS
         from keepsake.plans import restore as PR
         from keepsake.schemas import RESTORATION_JOBS, RESTORE_ITEMS
-        from keepsake.sources.catalog import warehouse_catalog
+        from keepsake.sources.catalog import warehouse_catalog, warehouse_tables
         wh = CP.Warehouse(a.warehouse)
-        refs = _warehouse_tables(spark, wh, set())
+        refs = warehouse_tables(spark, wh)
         live, _ = warehouse_catalog(spark, wh, refs)
         datasets = live.filter("table_exists").groupBy("project_id", "dataset_id").agg(F.min("location").alias("location"))
         bk = live.filter(live.project_id == cfg.backup_project).select("dataset_id", "location").distinct()

@@ -3,7 +3,7 @@ organisation walk as one frame (S7)."""
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from keepsake.config import DEFAULT_LOCATION
 from keepsake.schemas import LIVE_DOCUMENT
+from keepsake.session import checkpoint_root
+from keepsake.sources import files
 
 
 def live_catalog(raw: DataFrame) -> DataFrame:
@@ -91,64 +93,73 @@ def enumerate_sources(live: DataFrame, custom: Iterable[str] = (),
     return select_projects(found, custom, skip)
 
 
+def warehouse_tables(spark, warehouse, skip: Iterable[str] = ()) -> DataFrame:
+    """References (project_id, dataset_id, table_id) of all tables of a file warehouse, listed level by level in tasks."""
+    at = spark.createDataFrame([(warehouse.root.rstrip("/"),)], "path string")
+    keys: list[str] = []
+    for key in ("project_id", "dataset_id", "table_id"):
+        found = files.children(files.spread(at, "path")).filter("is_folder").withColumnRenamed("name", key)
+        at = found.select(*keys, key, F.col("child").alias("path"))
+        keys.append(key)
+        if key == "project_id":
+            at = at.filter(~F.col(key).isin(*skip)) if list(skip) else at
+    return at.select(*keys)
+
+
 def warehouse_catalog(spark, warehouse, refs) -> tuple[DataFrame, DataFrame]:
     """S7–S9 over a file warehouse: live metadata and partition listing of
-    the given tables (project, dataset, table) in ONE Spark job over all
-    their files, reading only the hidden `_metadata` columns and parquet row
-    counts (no data column).  Table and partition come from each file's
-    path.  Returns (live, partitions) in the shapes `live_catalog` /
-    `list_partitions` produce.  A table exists if its folder does, so one
-    whose files hold no rows, or that has none yet, is found and empty."""
-    from keepsake.sources.copy import PARTITION_COLUMN, _FS
-
-    fs = _FS(spark)
-    refs = [tuple(r) for r in refs]
-    there = [(*r, fs.folder(warehouse.path(*r))) for r in refs]
-    present = [r[:3] for r in there if r[3] and fs.data_files(warehouse.path(*r[:3]))]
-    key_schema = "project_id string, dataset_id string, table_id string"
-    wanted = spark.createDataFrame(there, key_schema + ", found boolean")
-    root = warehouse.root.rstrip("/")
-    pattern = r"^(?:file:)?" + re.escape(root.replace("file:", "")) + \
-        r"/([^/]+)/([^/]+)/([^/]+)/(?:" + PARTITION_COLUMN + r"=([^/]+)/)?[^/]+$"
-    empty_parts = spark.createDataFrame([], key_schema + ", partition_id string, creation_time timestamp_ntz, "
-                                                         "last_modified timestamp_ntz, num_rows long, num_bytes long")
-    if present:
-        files = (spark.read.option("recursiveFileLookup", "true")
-                 .parquet(*[warehouse.path(*r) for r in present])
-                 .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"),
-                         F.col("_metadata.file_modification_time").alias("m"))
-                 .groupBy("f").agg(F.count(F.lit(1)).alias("rows"), F.max("s").alias("bytes"),
-                                   F.max("m").alias("m")))
-        path = F.regexp_replace(F.col("f"), "^file:(//)?", "")
-        parsed = files.select(*[F.regexp_extract(path, pattern.replace("^(?:file:)?", "^"), i).alias(c)
-                                for i, c in ((1, "project_id"), (2, "dataset_id"), (3, "table_id"),
-                                             (4, "partition_id"))], "rows", "bytes", "m")
-        parsed = parsed.withColumn("partition_id", F.when(F.col("partition_id") != "", F.col("partition_id")))
-        per_part = parsed.groupBy("project_id", "dataset_id", "table_id", "partition_id").agg(
-            F.sum("rows").alias("num_rows"), F.sum("bytes").alias("num_bytes"),
-            F.min("m").cast("timestamp_ntz").alias("creation_time"),
-            F.max("m").cast("timestamp_ntz").alias("last_modified"))
-        per_table = per_part.groupBy("project_id", "dataset_id", "table_id").agg(
-            F.sum("num_rows").alias("num_rows"), F.sum("num_bytes").alias("num_bytes"),
-            F.min("creation_time").alias("creation_time"), F.max("last_modified").alias("last_modified_time"),
-            F.max(F.col("partition_id").isNotNull()).alias("partitioned"))
-        partitions = per_part.filter(F.col("partition_id").isNotNull()).select(*empty_parts.columns)
-    else:
-        per_table = spark.createDataFrame([], key_schema + ", num_rows long, num_bytes long, creation_time "
-                                          "timestamp_ntz, last_modified_time timestamp_ntz, partitioned boolean")
-        partitions = empty_parts
-    j = wanted.join(per_table, ["project_id", "dataset_id", "table_id"], "left")
-    found = F.col("found")
+    the given tables (rows or tuples project, dataset, table).  Table folders
+    are listed in tasks, then their partition folders, then the footers of
+    their files are read, each step dealt anew over the tasks; no row of data
+    is read and the driver lists nothing.  Returns (live, partitions) in the
+    shapes `live_catalog` / `list_partitions` produce.  A table exists if its
+    folder does, so one whose files hold no rows, or that has none yet, is
+    found and empty; one whose folder cannot be listed has lookup_status
+    'error'."""
+    from keepsake.sources.copy import PARTITION_COLUMN
+
+    keys = ["project_id", "dataset_id", "table_id"]
+    wanted = refs if isinstance(refs, DataFrame) else spark.createDataFrame(
+        [tuple(r) for r in refs], "project_id string, dataset_id string, table_id string")
+    wanted = wanted.select(*keys).distinct()
+    folder = F.concat_ws("/", F.lit(warehouse.root.rstrip("/")), *keys)
+    entries = _written(spark, files.children(files.spread(wanted.withColumn("path", folder), "path")))
+    day = F.regexp_extract("name", f"^{PARTITION_COLUMN}=(.*)$", 1)
+    below = files.files_below(files.spread(entries.filter("is_folder").select(*keys, F.when(day != "", day).alias("partition_id"),
+                                                                              F.col("child").alias("path")), "path"))
+    own = entries.filter("NOT is_folder").select(*keys, F.lit(None).cast("string").alias("partition_id"),
+                                                 F.col("child").alias("file"), "bytes", "modified")
+    counted = files.footers(files.spread(own.unionByName(below), "file"))
+    instant = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    per_part = _written(spark, counted.groupBy(*keys, "partition_id").agg(
+        F.sum("num_rows").alias("num_rows"), F.sum("bytes").alias("num_bytes"),
+        instant(F.min("modified")).alias("creation_time"), instant(F.max("modified")).alias("last_modified")))
+    per_table = per_part.groupBy(*keys).agg(
+        F.sum("num_rows").alias("num_rows"), F.sum("num_bytes").alias("num_bytes"),
+        F.min("creation_time").alias("creation_time"), F.max("last_modified").alias("last_modified_time"),
+        F.max(F.col("partition_id").isNotNull()).alias("partitioned"))
+    partitions = per_part.filter(F.col("partition_id").isNotNull()).select(
+        *keys, "partition_id", "creation_time", "last_modified", "num_rows", "num_bytes")
+    j = entries.groupBy(*keys).agg(F.first("status").alias("status")).join(per_table, keys, "left")
+    found = F.col("status") == files.FOUND
+    known = F.when(F.col("status") != files.ERROR, found)
     count = lambda c: F.when(found, F.coalesce(F.col(c), F.lit(0)))
     partitioned = F.coalesce(F.col("partitioned"), F.lit(False))
     live = j.select(
-        "project_id", "dataset_id", "table_id", F.when(found, "found").otherwise("not_found").alias("lookup_status"),
-        found.alias("table_exists"), "creation_time", "last_modified_time", count("num_bytes").alias("num_bytes"),
+        *keys, F.col("status").alias("lookup_status"),
+        known.alias("table_exists"), "creation_time", "last_modified_time", count("num_bytes").alias("num_bytes"),
         count("num_rows").alias("num_rows"),
         F.when(found, "TABLE").alias("type"), F.lit(DEFAULT_LOCATION).alias("location"),
         F.when(partitioned, "DAY").alias("time_partitioning_type"),
         F.lit(None).cast("long").alias("partition_expiration_ms"), (count("num_rows") == 0).alias("is_empty"),
-        F.lit(False).alias("is_external_or_view"), found.alias("is_schema_defined"),
+        F.lit(False).alias("is_external_or_view"), known.alias("is_schema_defined"),
         partitioned.alias("is_daily_partitioned"), partitioned.alias("has_time_partitioning"),
         F.lit(False).alias("has_partition_expiration"))
     return live, partitions
+
+
+def _written(spark, df: DataFrame) -> DataFrame:
+    """A listing is a moment: it is written to the checkpoint folder, so that all that reads it sees the same one."""
+    path = f"{checkpoint_root(spark)}/listing-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepsake.session import checkpoint_root
+from keepsake.sources import files as FT
 from keepsake.sources.commit import FileSystem, Ledger
 
 PARTITION_COLUMN = "_partition_id"
@@ -446,20 +447,17 @@ def delete_copies(spark: SparkSession, to_delete: DataFrame | Iterable[Row], war
                   backup_project: str, parallelism: int = 8) -> DataFrame:
     """Physically drop each chosen copy (rows: id, dataset_id,
     table_id).  Outcome per copy: deleted / not_found / error — the input of
-    M4 (mark_deleted)."""
-    fs = _FS(spark)
-
-    def one(r) -> list[tuple]:
-        p = warehouse.path(backup_project, r["dataset_id"], r["table_id"])
-        try:
-            if not fs.exists(p):
-                return [(r["id"], "not_found")]
-            return [(r["id"], "deleted" if fs.delete(p) else "error")]
-        except Exception:  # noqa: BLE001
-            return [(r["id"], "error")]
-
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("outcome", T.StringType())])
-    return _run_paged(spark, one, _iter_rows(to_delete), parallelism, schema)
+    M4 (mark_deleted).  The folders are removed inside tasks (`files.remove`),
+    their outcomes are the rows that the tasks write; the driver sees neither."""
+    if not isinstance(to_delete, DataFrame):
+        to_delete = spark.createDataFrame([(r["id"], r["dataset_id"], r["table_id"]) for r in to_delete],
+                                          "id long, dataset_id string, table_id string")
+    root = warehouse.path(backup_project, "", "").rstrip("/")
+    # a row without both names would point above the table folders
+    named = F.col("dataset_id").isNotNull() & F.col("table_id").isNotNull() & (F.length("dataset_id") > 0) & (F.length("table_id") > 0)
+    folders = to_delete.filter(named).select("id", F.concat_ws("/", F.lit(root), "dataset_id", "table_id").alias("path"))
+    gone = FT.remove(spark, folders, tasks=max(parallelism, spark.sparkContext.defaultParallelism))
+    return gone.unionByName(to_delete.filter(~F.coalesce(named, F.lit(False))).select("id", F.lit(FT.ERROR).alias("outcome")))
 
 
 # ---------------------------------------------------------------- Q19
