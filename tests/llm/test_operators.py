@@ -111,10 +111,10 @@ def line_groups(rows):
             n = regex.sub(r"[^\p{L}\p{N}]+", " ", x.lower()).strip()
             found[(r[0] is None, r[0] if r[0] is not None else -1, r[1], i)] = n
     names = sorted(set(filter(None, found.values())))
-    fp, u = {n: data.simhash(None, 1, sorted(set(n.split()))) for n in names}, Union(names)
+    u = Union(names)
     for i, a in enumerate(names):
         for b in names[i + 1:]:
-            if bits(fp[a], fp[b]) <= 3 and 1 - data.levenshtein(a, b) / max(len(a), len(b)) >= 0.8 - 1e-12:
+            if lines.similar(a, b):  # itself held against a plain edit distance below
                 u.link(a, b)
     groups = defaultdict(list)
     for o, n in found.items():
