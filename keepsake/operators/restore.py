@@ -17,6 +17,7 @@ from keepsake.config import (CREATE_DISPOSITIONS, STATUS_DONE, STATUS_FAILED, ST
                              WRITE_DISPOSITIONS)
 from keepsake.functions import columns as U
 from keepsake.functions.timeutil import days_before, ts_lit, yyyymmdd
+from keepsake.operators.asof import newest_before
 from keepsake.operators.catalog import newest_available
 
 KEYS = ["project_id", "dataset_id", "table_id", "partition_id"]
@@ -56,23 +57,19 @@ def max_partition_days(tables: DataFrame, as_of: dt.datetime, n: int) -> DataFra
     return recent.unionByName(tables.filter(F.col("partition_id").isNull()))
 
 
-def _newest_per_request(requests: DataFrame, backups: DataFrame, time_col: str | None) -> DataFrame:
-    """Newest available copy per request (`request_id`, `entity_id`), with
-    `created <= time_col` when given.  The copies are the streamed side of
-    an inner join with the (small) request frame, then reduced by a partial
-    aggregate, so a table with a third of all copies is split across tasks."""
+def _newest_per_request(requests: DataFrame, backups: DataFrame, time_col: str) -> DataFrame:
+    """Newest available copy with `created <= time_col` per request
+    (`request_id`, `entity_id`).  The copies of the asked tables and the
+    distinct times are merged in one order (`asof`), so neither a table with a
+    third of all copies nor one with many request times multiplies rows."""
+    found = ("backup_created", "backup_id", "backup_dataset_id", "backup_table_id")
     b = backups.filter(F.col("deleted").isNull()).select(
-        F.col("parent_id"), F.col("id").alias("backup_id"), F.col("created").alias("backup_created"),
+        F.col("parent_id").alias("entity_id"), F.col("created").alias("backup_created"), F.col("id").alias("backup_id"),
         F.col("dataset_id").alias("backup_dataset_id"), F.col("table_id").alias("backup_table_id"))
-    keys = ["entity_id", *([time_col] if time_col else [])]
-    # requests for one table and time are answered once: copies meet distinct times, not requests
-    r = requests.select(*keys).distinct()
-    cond = b.parent_id == r.entity_id
-    if time_col:
-        cond = cond & (b.backup_created <= r[time_col])
-    found = ("backup_created", "backup_id", "backup_dataset_id", "backup_table_id")
-    newest = b.join(r, cond, "inner").groupBy(*keys).agg(F.max(F.struct(*found)).alias("_b"))
-    newest = newest.select(*keys, *[F.col("_b").getField(c).alias(c) for c in found])
+    asked = b.join(requests.select("entity_id").distinct(), "entity_id", "left_semi")
+    keys = ["entity_id", time_col]
+    newest = newest_before(requests.select(*keys).distinct(), asked, "entity_id", time_col, "backup_created")
+    newest = newest.select(*keys, *[F.col("_row").getField(c).alias(c) for c in found])
     return requests.select("request_id", *keys).join(newest, keys).select("request_id", *found)
 
 
