@@ -223,7 +223,8 @@ SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY parent_id ORDER BY created DESC, id DESC) AS rn
   FROM backups WHERE deleted IS NULL) WHERE rn = 1""", ("backups",))
 
-cte("live_copies", """
-SELECT dataset_id, table_id, num_bytes + CASE WHEN id % 7 = 0 THEN 1 ELSE 0 END AS num_bytes FROM (
+cte("listed_copies", """
+SELECT dataset_id, table_id, id, parent_id, created, last_modified, num_bytes + CASE WHEN id % 7 = 0 THEN 1 ELSE 0 END AS num_bytes FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset_id, table_id ORDER BY id DESC) AS rn
   FROM backups WHERE deleted IS NULL) WHERE rn = 1""", ("backups",))
+cte("live_copies", "SELECT dataset_id, table_id, num_bytes FROM listed_copies", ("listed_copies",))

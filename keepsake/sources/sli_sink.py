@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keepsake.config import NONE_SENTINEL, SNAPSHOT_MARKER
 from keepsake.functions.timeutil import ts_lit
@@ -78,6 +80,19 @@ def with_ingest_date(df: DataFrame, as_of: dt.datetime) -> DataFrame:
     return df.withColumn("ingest_date", F.lit(as_of.date()))
 
 
-def append_sli(df: DataFrame, path: str, as_of: dt.datetime) -> None:
-    """Append rows to today's ingest partition (`ingest_date=`)."""
-    with_ingest_date(df, as_of).write.mode("append").partitionBy("ingest_date").parquet(path)
+def append_sli(df: DataFrame, path: str, as_of: dt.datetime, run: str | None = None) -> None:
+    """The rows of one run in today's ingest partition (`ingest_date=`).
+
+    A run has a folder of its own in it (`batch_id=`, named by its time unless a
+    name is given) and replaces that folder only: a run that is tried again
+    leaves the rows as they were, other runs of the day stay."""
+    run = run or as_of.strftime("%Y%m%dT%H%M%S%f")
+    place = f"{path.rstrip('/')}/ingest_date={as_of.date()}/batch_id={quote(run, safe='')}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(place)
+
+
+def read_sli(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The history that `append_sli` (S10) and the stream (M7) wrote: the columns of `kind` and `ingest_date`."""
+    schema = LATENCY_SLI if kind == "latency" else QUALITY_SLI
+    stored = T.StructType([*schema.fields, T.StructField("ingest_date", T.DateType()), T.StructField("batch_id", T.StringType())])
+    return spark.read.schema(stored).parquet(path).drop("batch_id")

@@ -297,13 +297,15 @@ class TestViews:
     def live_copies(self) -> DataFrame:
         """Live metadata of the copies in the backup project: every available
         copy exists; every 7th reports one byte more than its record."""
+        return self.listed_copies.select("dataset_id", "table_id", "num_bytes")
+
+    @cached_property
+    def listed_copies(self) -> DataFrame:
+        """`live_copies` with the rest of what the backup project lists of a copy: whose it is and its times."""
         from keepsake.operators.common import latest_by
-        avail = self.backups.filter(F.col("deleted").isNull())
-        one = latest_by(avail.select("dataset_id", "table_id", "id", "num_bytes"),
-                        ["dataset_id", "table_id"], "id")
-        return one.select("dataset_id", "table_id",
-                          (F.col("num_bytes") + F.when(F.col("id") % 7 == 0, 1).otherwise(0))
-                          .alias("num_bytes"))
+        avail = self.backups.filter(F.col("deleted").isNull()).drop("deleted")
+        one = latest_by(avail, ["dataset_id", "table_id"], "id")
+        return one.withColumn("num_bytes", F.col("num_bytes") + F.when(F.col("id") % 7 == 0, 1).otherwise(0))
 
     def copy_results(self, plan: DataFrame, as_of: dt.datetime = AS_OF) -> DataFrame:
         """Copy-job result documents (D12) the warehouse returns for the

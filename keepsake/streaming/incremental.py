@@ -8,6 +8,8 @@ loss gives the same state.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,7 @@ from keepsake.operators.restore import fold_item_status
 from keepsake.operators.sli import confirm_latency
 from keepsake.config import STATUS_DONE, STATUS_FAILED
 from keepsake.sources.commit import FileSystem
+from keepsake.sources.sli_sink import append_sli
 
 STATUS_EVENT_SCHEMA = T.StructType([T.StructField("item_id", T.LongType()),
                                     T.StructField("event_time", T.TimestampNTZType()),
@@ -122,14 +125,13 @@ def stream_sli_append(spark: SparkSession, rows_dir: str, schema: T.StructType,
                       available_now: bool = True):
     """M7: candidate latency rows are confirmed against the live catalog
     (P17) as they arrive and appended to today's history partition (S10);
-    each batch lands in `ingest_date=<d>/batch_id=<n>` so a replay
-    overwrites rather than duplicates."""
+    each batch is a run of its own (`append_sli`), so a replay overwrites
+    rather than duplicates."""
     rows = spark.readStream.schema(schema).parquet(rows_dir)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         confirmed = confirm_latency(batch, live, partitions)
-        confirmed.write.mode("overwrite").parquet(
-            f"{table_root.rstrip('/')}/ingest_date={ingest_date}/batch_id={batch_id}")
+        append_sli(confirmed, table_root, dt.datetime.combine(ingest_date, dt.time()), f"stream-{batch_id}")
 
     w = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

@@ -117,3 +117,30 @@ def test_a_batch_tried_again_changes_nothing(spark, scratch):
     assert untouched == [b for b, v in store._versions().items() if 2 not in v and 3 not in v]
     store.merge(frames[2].limit(0), 4)
     assert sorted(map(tuple, store.read().collect())) == once
+
+
+def test_an_sli_run_tried_again_leaves_the_rows_as_they_were(spark, scratch):
+    from keepsake.checks.q_sli import _latency
+    from keepsake.sources import sli_sink as K
+    from keepsake.sources.testviews import AS_OF
+    v = TestViews(spark, SF)
+    rows = K.conform(K.typed_latency_rows(_latency(v, 0), AS_OF, 0), "latency")
+    src, table = os.path.join(scratch, "rows"), os.path.join(scratch, "history")
+    rows.write.parquet(src)
+    one = sorted(map(str, rows.collect()))
+    read = lambda: sorted(str(r) for r in K.read_sli(spark, table, "latency").drop("ingest_date").collect())
+    later = AS_OF + dt.timedelta(hours=6)
+    K.append_sli(rows, table, AS_OF)
+    K.append_sli(rows, table, AS_OF)
+    assert read() == one
+    K.append_sli(rows, table, later)
+    K.append_sli(rows.limit(0), table, AS_OF + dt.timedelta(days=1), "nothing to say / yet")
+    assert read() == sorted(one * 2)
+    K.append_sli(rows.limit(1), table, later)  # the run found less this time: its own rows go, no others
+    assert len(read()) == len(one) + 1
+    K.append_sli(rows, table, later)
+    # the stream writes to the same history; its first batch is tried again under a checkpoint that was lost
+    for n in range(2):
+        INC.stream_sli_append(spark, src, LATENCY_SLI, v.live, v.partitions, table, os.path.join(scratch, f"ck{n}"), AS_OF.date()).awaitTermination(120)
+        assert read() == sorted(one * 2 + [str(r) for r in S.confirm_latency(rows, v.live, v.partitions).collect()])
+    assert K.read_sli(spark, table, "latency").select("ingest_date").distinct().count() == 1
