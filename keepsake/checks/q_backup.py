@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from keepsake.checks.oracle import AS_OF
 from keepsake.functions import columns as U
 from keepsake.operators import backup as B
-from keepsake.plans.backup import backup_plan
+from keepsake.plans.backup import backup_plan, on_demand_entities, on_demand_plan
 from keepsake.registry import register
+from keepsake.session import written
 from keepsake.sources import catalog as SC
 from keepsake.sources.testviews import TestViews, default_config
 
@@ -192,14 +193,18 @@ def _results(v, plan):
     return v.copy_results(plan)
 
 
-RESULTS_SQL = f"""
+def _results_sql(plan: str) -> str:
+    return f"""
 SELECT p.*, k, CASE WHEN k % 9 = 0 THEN 'RUNNING' ELSE 'DONE' END AS state,
        CASE WHEN k % 5 = 0 THEN 'backendError' WHEN k % 7 = 0 THEN 'duplicate' END AS error_reason,
        k % 8 AS retry_count,
        CAST({AS_OF} AS TIMESTAMP) AS start_time, {AS_OF} + to_seconds(CAST(k AS BIGINT)) AS end_time
 FROM (SELECT *, CAST(substr(table_id, 2, 10) AS BIGINT)
                 + coalesce(TRY_CAST(partition_id AS BIGINT) % 7, 0) AS k
-      FROM ({PLAN_SQL}) WHERE needs_backup) p"""
+      FROM ({plan}) WHERE needs_backup) p"""
+
+
+RESULTS_SQL = _results_sql(PLAN_SQL)
 
 
 @register("p21_copy_result_class", f"""
@@ -242,13 +247,14 @@ def p22(spark, sf):
 
 
 def _recorded(v):
-    plan = _plan(v)
-    res = _results(v, plan)
+    """M2 as the backup run does it: plan, entities and results are fixed before the records are made."""
+    plan = written(_plan(v), "backup-plan")
+    res = written(_results(v, plan), "copy-results")
     done = res.filter((F.col("status.state") == "DONE") & F.col("status.errorResult").isNull())
     copies = done.select(F.col("configuration.copy.destinationTable.datasetId").alias("dataset_id"),
                          F.col("configuration.copy.destinationTable.tableId").alias("table_id"),
                          F.col("copied_bytes").alias("num_bytes"))
-    tables = B.upsert_last_checked(v.tables, plan, CFG.as_of)
+    tables = written(B.upsert_last_checked(v.tables, plan, CFG.as_of), "entities")
     return B.record_backups(v.backups, res, tables, copies), tables, plan
 
 
@@ -299,6 +305,40 @@ def q5(spark, sf):
     return B.on_demand_backup(v.live, req)
 
 
+ON_DEMAND_SQL = f"""
+SELECT r.project_id, r.dataset_id, r.table_id, r.partition_id, true AS needs_backup, l.num_bytes AS unit_num_bytes,
+  replace(CAST(year({AS_OF}) AS VARCHAR) || '_' || lpad(CAST(weekofyear({AS_OF}) AS VARCHAR), 2, '0')
+          || '_' || coalesce(l.location, 'US') || '_' || r.project_id, '-', '_') AS target_dataset_id,
+  strftime({AS_OF}, '%Y%m%d_%H%M%S') || '_' || replace(r.project_id, '-', '_') || '_' || r.dataset_id
+    || '_' || r.table_id || coalesce('_partition_' || r.partition_id, '') AS target_table_id
+FROM (SELECT project_id, dataset_id, table_id, partition_id FROM tables
+      UNION SELECT project_id, dataset_id, table_id, NULL FROM live) r
+JOIN live l ON l.project_id = r.project_id AND l.dataset_id = r.dataset_id AND l.table_id = r.table_id
+WHERE l.table_exists AND NOT (l.is_daily_partitioned AND r.partition_id IS NULL) AND l.is_schema_defined AND NOT l.is_external_or_view"""
+
+
+@register("q5_on_demand_run", f"""
+SELECT project_id, dataset_id AS source_dataset_id, table_id AS source_table_id, partition_id, start_time AS last_modified,
+       end_time AS created, target_dataset_id AS dataset_id, target_table_id AS table_id, unit_num_bytes AS num_bytes
+FROM ({_results_sql(ON_DEMAND_SQL)}) WHERE state = 'DONE' AND error_reason IS NULL""", ("tables", "live"))
+def q5_run(spark, sf):
+    """Q5 as a whole: requests for every table entity and every whole live table → P3 → copies → M1 → M2, new records with their tables."""
+    v = TestViews.of(spark, sf)
+    known = v.tables.select("project_id", "dataset_id", "table_id", "partition_id")
+    whole = v.live.select("project_id", "dataset_id", "table_id", F.lit(None).cast("string").alias("partition_id"))
+    _, todo = on_demand_plan(v.live, known.unionByName(whole).distinct(), CFG)
+    size = v.live.select("project_id", "dataset_id", "table_id", F.col("num_bytes").alias("unit_num_bytes"))
+    todo = written(todo.join(size, ["project_id", "dataset_id", "table_id"]), "on-demand")
+    res = written(_results(v, todo.withColumn("needs_backup", F.lit(True))), "copy-results")
+    copies = res.select(F.col("configuration.copy.destinationTable.datasetId").alias("dataset_id"),
+                        F.col("configuration.copy.destinationTable.tableId").alias("table_id"), F.col("copied_bytes").alias("num_bytes"))
+    tables = written(on_demand_entities(v.tables, todo, CFG), "entities")
+    t = tables.select(F.col("id").alias("parent_id"), "project_id", F.col("dataset_id").alias("source_dataset_id"),
+                      F.col("table_id").alias("source_table_id"), "partition_id")
+    return B.record_backups(v.backups, res, tables, copies).join(t, "parent_id").select(
+        "project_id", "source_dataset_id", "source_table_id", "partition_id", "last_modified", "created", "dataset_id", "table_id", "num_bytes")
+
+
 @register("f14_copy_errors_message", f"""
 SELECT target_table_id AS tableId,
        'Copy job finished with errors: ' || error_reason || ':copy failed' AS message

@@ -10,12 +10,10 @@ number at most those of both sides.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepsake.session import checkpoint_root
+from keepsake.session import written
 
 
 def newest_before(times: DataFrame, rows: DataFrame, key: str, time: str, row_time: str) -> DataFrame:
@@ -26,17 +24,13 @@ def newest_before(times: DataFrame, rows: DataFrame, key: str, time: str, row_ti
     out. The merged order is written to the checkpoint folder, as the carried
     rows must see the partitions that the walk saw.
     """
-    spark = times.sparkSession
     value = [row_time, *[c for c in rows.columns if c not in (key, row_time)]]
     right = rows.filter(F.col(key).isNotNull() & F.col(row_time).isNotNull()).select(
         F.col(key).alias("_key"), F.col(row_time).alias("_time"), F.lit(0).alias("_left"), F.struct(*value).alias("_row"))
     left = times.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
         F.col(key).alias("_key"), F.col(time).alias("_time"), F.lit(1).alias("_left"), F.lit(None).cast(right.schema["_row"].dataType).alias("_row"))
     order = ["_key", "_time", "_left", "_row"]
-    path = f"{checkpoint_root(spark)}/as-of-{uuid.uuid4().hex}"
-    merged = right.unionByName(left).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    merged.write.parquet(path)
-    merged = spark.read.schema(merged.schema).parquet(path)
+    merged = written(right.unionByName(left).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "as-of")
     walk = Window.partitionBy("_part", "_key").orderBy("_time", "_left", "_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = merged.withColumn("_row", F.last("_row", ignorenulls=True).over(walk)).filter("_left = 1").drop("_left")
     here = seen.filter(F.col("_row").isNotNull()).drop("_part")

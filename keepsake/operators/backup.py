@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepsake.config import COPY_RETRY_LIMIT, RETRYABLE_COPY_REASONS
@@ -131,10 +131,12 @@ def upsert_last_checked(tables: DataFrame, plan: DataFrame, as_of: dt.datetime)
     updated = (tables.join(seen, tables.id == seen._seen, "left")
                .select(*[F.when(F.col("_seen").isNotNull(), ts_lit(as_of)).otherwise(F.col("last_checked"))
                          .alias("last_checked") if c == "last_checked" else F.col(c) for c in tables.columns]))
-    new = (plan.filter(F.col("entity_id").isNull() & F.col("needs_backup"))
-           .select(entity_id().alias("id"), *KEYS, ts_lit(as_of).alias("last_checked"))
-           .dropDuplicates(["id"]))
-    return updated.unionByName(new.select(*tables.columns))
+    new = plan.filter(F.col("entity_id").isNull() & F.col("needs_backup")).select(entity_id().alias("id"), *KEYS).distinct()
+    # two references with one hash stay two entities: the later ones in their order hash anew; an id has next to always one row
+    nth = F.row_number().over(Window.partitionBy("id").orderBy(*KEYS))
+    again = F.abs(F.xxhash64("id", "_nth", *KEYS))
+    new = new.withColumn("_nth", nth).withColumn("id", F.when(F.col("_nth") == 1, F.col("id")).otherwise(again))
+    return updated.unionByName(new.withColumn("last_checked", ts_lit(as_of)).select(*tables.columns))
 
 
 def dedupe_copy_requests(requests: DataFrame, key: str = "request_key", order: str = "request_id") -> DataFrame:

@@ -193,27 +193,32 @@ def item_listing(items: DataFrame) -> DataFrame:
                         U.format_table_ref("target_table").alias("targetTable"))
 
 
-def dataset_restore_check(requests: DataFrame, tables: DataFrame, backups: DataFrame,
-                          datasets: DataFrame, backup_datasets: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Per dataset-restore request: any table entity? any available copy?
-    (two distinct errors), then — when the target dataset exists — its
-    location must equal that of the dataset of an actual copy: the newest copy
-    of the first table (by id) that has one.  `max_partition_days` NULL =
-    every table; otherwise P10 (0 included)."""
-    t = tables.select("id", "project_id", "dataset_id", "partition_id")
-    r = requests.select("request_id", F.col("project_id").alias("r_project"),
-                        F.col("dataset_id").alias("r_dataset"), "target_project_id", "target_dataset_id",
-                        "max_partition_days")
+def dataset_tables(requests: DataFrame, tables: DataFrame, backups: DataFrame) -> DataFrame:
+    """Per dataset-restore request the table entities of its dataset, each with its newest available copy (NULL if none).
+
+    A request without a table is one row without an entity; partitions are not
+    limited yet.  Both A7 and the items of Q6 are taken from these rows."""
+    r = requests.select("request_id", F.col("project_id").alias("r_project"), F.col("dataset_id").alias("r_dataset"),
+                        "target_project_id", "target_dataset_id", "max_partition_days")
+    t = tables.select(F.col("id").alias("entity_id"), *KEYS)
+    newest = newest_available(backups.select("parent_id", "created", "id", "dataset_id", "table_id", "deleted")).select(
+        F.col("parent_id").alias("entity_id"), F.col("id").alias("backup_id"),
+        F.col("dataset_id").alias("backup_dataset_id"), F.col("table_id").alias("backup_table_id"))
     j = r.join(t, (t.project_id == r.r_project) & (t.dataset_id == r.r_dataset), "left")
+    return j.join(newest, "entity_id", "left")
+
+
+def _recent_enough(as_of: dt.datetime) -> F.Column:
     oldest = yyyymmdd(days_before(ts_lit(as_of), (F.col("max_partition_days") - 1).cast("int")))
-    in_range = (F.col("max_partition_days").isNull() | F.col("partition_id").isNull()
-                | (F.col("partition_id") >= oldest))
-    j = j.filter(F.col("id").isNull() | in_range)
-    avail = newest_available(backups).select(F.col("parent_id").alias("id"), F.col("dataset_id").alias("_copy"))
-    j = j.join(avail, "id", "left")
-    first = F.min(F.when(F.col("_copy").isNotNull(), F.struct("id", "_copy")))
+    return F.col("partition_id").isNull() | (F.col("partition_id") >= oldest)
+
+
+def dataset_checks(found: DataFrame, datasets: DataFrame, backup_datasets: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """A7 over `dataset_tables`."""
+    j = found.filter(F.col("entity_id").isNull() | F.col("max_partition_days").isNull() | _recent_enough(as_of))
+    first = F.min(F.when(F.col("backup_dataset_id").isNotNull(), F.struct("entity_id", "backup_dataset_id")))
     per = j.groupBy("request_id", "r_project", "r_dataset", "target_project_id", "target_dataset_id").agg(
-        F.count("id").alias("tables"), first.getField("_copy").alias("any_backup_dataset"))
+        F.count("entity_id").alias("tables"), first.getField("backup_dataset_id").alias("any_backup_dataset"))
     ds = datasets.select(F.col("project_id").alias("d_project"), F.col("dataset_id").alias("d_dataset"),
                          F.col("location").alias("target_location"))
     bl = backup_datasets.select(F.col("dataset_id").alias("b_dataset"), F.col("location").alias("backup_location"))
@@ -228,24 +233,23 @@ def dataset_restore_check(requests: DataFrame, tables: DataFrame, backups: DataF
     return per.select("request_id", "tables", err.alias("error"))
 
 
-def dataset_restore_items(requests: DataFrame, tables: DataFrame, backups: DataFrame,
-                          as_of: dt.datetime, backup_project: str) -> DataFrame:
-    """Q6 item generation: per request the dataset's tables (P10 when
-    max_partition_days is set and non-zero, else all), the newest available
-    copy of each (W7; tables without one yield nothing), and source/target
-    references (U7).  Items start 'In Progress'."""
-    r = requests.select("request_id", F.col("project_id").alias("r_project"),
-                        F.col("dataset_id").alias("r_dataset"), "target_project_id", "target_dataset_id",
-                        "max_partition_days")
-    t = tables.select(F.col("id").alias("entity_id"), *KEYS)
-    j = r.join(t, (t.project_id == r.r_project) & (t.dataset_id == r.r_dataset), "inner")
-    oldest = yyyymmdd(days_before(ts_lit(as_of), (F.col("max_partition_days") - 1).cast("int")))
+def dataset_restore_check(requests: DataFrame, tables: DataFrame, backups: DataFrame,
+                          datasets: DataFrame, backup_datasets: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Per dataset-restore request: any table entity? any available copy?
+    (two distinct errors), then — when the target dataset exists — its
+    location must equal that of the dataset of an actual copy: the newest copy
+    of the first table (by id) that has one.  `max_partition_days` NULL =
+    every table; otherwise P10 (0 included)."""
+    return dataset_checks(dataset_tables(requests, tables, backups), datasets, backup_datasets, as_of)
+
+
+def dataset_items(found: DataFrame, as_of: dt.datetime, backup_project: str) -> DataFrame:
+    """Q6 item generation over `dataset_tables`: per request the dataset's
+    tables (P10 when max_partition_days is set and non-zero, else all), the
+    newest available copy of each (tables without one yield nothing), and
+    source/target references (U7).  Items start 'In Progress'."""
     limited = F.coalesce(F.col("max_partition_days"), F.lit(0)) != 0
-    j = j.filter(~limited | F.col("partition_id").isNull() | (F.col("partition_id") >= oldest))
-    newest = newest_available(backups).select(
-        F.col("parent_id").alias("entity_id"), F.col("id").alias("backup_id"),
-        F.col("dataset_id").alias("backup_dataset_id"), F.col("table_id").alias("backup_table_id"))
-    out = j.join(newest, "entity_id", "inner")
+    out = found.filter(F.col("backup_id").isNotNull() & (~limited | _recent_enough(as_of)))
     return out.select(
         "request_id", "entity_id", "backup_id",
         U.restore_source(backup_project, "backup_dataset_id", "backup_table_id", "partition_id")
@@ -255,6 +259,12 @@ def dataset_restore_items(requests: DataFrame, tables: DataFrame, backups: DataF
         F.lit(STATUS_IN_PROGRESS).alias("status"))
 
 
+def dataset_restore_items(requests: DataFrame, tables: DataFrame, backups: DataFrame,
+                          as_of: dt.datetime, backup_project: str) -> DataFrame:
+    """`dataset_items` of requests that need no check."""
+    return dataset_items(dataset_tables(requests, tables, backups), as_of, backup_project)
+
+
 def duplicate_requests(requests: DataFrame) -> DataFrame:
     """U-4: lists that name the same copy twice (in either key format) are
     rejected whole: list_id, table_entity_id, backup_id, times (an id names a

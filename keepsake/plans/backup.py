@@ -42,3 +42,26 @@ def backup_plan(live: DataFrame, partitions: DataFrame, tables: DataFrame, backu
 def copy_plan(plan: DataFrame) -> DataFrame:
     """The rows that get a copy."""
     return plan.filter(F.col("needs_backup"))
+
+
+def on_demand_plan(live: DataFrame, requests: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
+    """Q5, planning: every request with its action and error (P3), and the copies to make for the accepted ones."""
+    checked = B.on_demand_backup(live, requests)
+    loc = live.select("project_id", "dataset_id", "table_id", "location", "has_partition_expiration")
+    todo = (checked.filter(F.col("action") == "backup").join(loc, ["project_id", "dataset_id", "table_id"], "left")
+            .select("project_id", "dataset_id", "table_id", "partition_id",
+                    U.backup_dataset_id(date_lit(cfg.as_of), F.coalesce("location", F.lit("US")), F.col("project_id"))
+                    .alias("target_dataset_id"),
+                    U.backup_table_id("project_id", "dataset_id", "table_id", ts_lit(cfg.as_of), "partition_id")
+                    .alias("target_table_id"), "has_partition_expiration"))
+    return checked, todo
+
+
+def on_demand_entities(tables: DataFrame, todo: DataFrame, cfg: Config) -> DataFrame:
+    """M1 for the accepted requests of Q5: known entities are marked as checked, unknown ones created."""
+    entity = todo.select(*B.KEYS, F.lit(True).alias("needs_backup"))
+    existing = tables.select(*[F.col(k).alias("e_" + k) for k in B.KEYS], F.col("id").alias("_id"))
+    # a whole table has a NULL partition: equal to the NULL of its entity
+    plan = (entity.join(existing, B.keys_match(entity, existing, "e_"), "left")
+            .select(F.col("_id").alias("entity_id"), *B.KEYS, "needs_backup"))
+    return B.upsert_last_checked(tables, plan, cfg.as_of)

@@ -14,7 +14,7 @@ from keepsake.config import Config
 from keepsake.operators import backup as B
 from keepsake.operators import restore as RS
 from keepsake.operators import retention as R
-from keepsake.plans.backup import backup_plan, copy_plan
+from keepsake.plans.backup import backup_plan, copy_plan, on_demand_entities, on_demand_plan
 from keepsake.plans.retention import retention_plan
 from keepsake.session import checkpoint_root
 from keepsake.sources import copy as CP
@@ -100,23 +100,9 @@ def on_demand_run(spark: SparkSession, live: DataFrame, requests: DataFrame, tab
                   backups: DataFrame, cfg: Config, warehouse: CP.Warehouse) -> BackupOutcome:
     """Q5: P3 → S12 → M2 for explicitly requested tables (freshness is
     ignored; rejected requests carry their error)."""
-    from keepsake.functions import columns as U
-    from keepsake.functions.timeutil import date_lit, ts_lit
-    checked = B.on_demand_backup(live, requests)
-    loc = live.select("project_id", "dataset_id", "table_id", "location", "has_partition_expiration")
-    todo = (checked.filter(F.col("action") == "backup").join(loc, ["project_id", "dataset_id", "table_id"], "left")
-            .select("project_id", "dataset_id", "table_id", "partition_id",
-                    U.backup_dataset_id(date_lit(cfg.as_of), F.coalesce("location", F.lit("US")), F.col("project_id"))
-                    .alias("target_dataset_id"),
-                    U.backup_table_id("project_id", "dataset_id", "table_id", ts_lit(cfg.as_of), "partition_id")
-                    .alias("target_table_id"), "has_partition_expiration"))
+    checked, todo = on_demand_plan(live, requests, cfg)
     todo = materialize(spark, todo)
-    entity = todo.select(B.entity_id().alias("entity_id"), *B.KEYS, F.lit(True).alias("needs_backup"))
-    existing = tables.select(*[F.col(k).alias("e_" + k) for k in B.KEYS], F.col("id").alias("_id"))
-    # a whole table has a NULL partition: equal to the NULL of its entity
-    plan = (entity.join(existing, B.keys_match(entity, existing, "e_"), "left")
-            .select(F.col("_id").alias("entity_id"), *B.KEYS, "needs_backup"))
-    new_tables = materialize(spark, B.upsert_last_checked(tables, plan, cfg.as_of))
+    new_tables = materialize(spark, on_demand_entities(tables, todo, cfg))
     results = materialize(spark, CP.snapshot_copy(spark, todo, warehouse, cfg.backup_project))
     # materialized: callers overwrite the metadata tables these derive from
     new = materialize(spark, record_copies(backups, results, new_tables))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from keepsake.config import STATUS_IN_PROGRESS
 from keepsake.functions import columns as U
 from keepsake.operators import restore as RS
+from keepsake.session import written
 
 
 @dataclass
@@ -27,9 +28,11 @@ def dataset_restore_plan(requests: DataFrame, tables: DataFrame, backups: DataFr
     dataset that has an available copy (P10 when max_partition_days is set
     and not 0; W7; U7).  Requests: request_id, project_id, dataset_id,
     target_project_id, target_dataset_id, max_partition_days."""
-    checks = RS.dataset_restore_check(requests, tables, backups, datasets, backup_datasets, as_of)
-    valid = requests.join(checks.filter(F.col("error").isNull()).select("request_id"), "request_id", "left_semi")
-    return DatasetRestorePlan(checks, RS.dataset_restore_items(valid, tables, backups, as_of, backup_project))
+    # requests, entities and newest copies meet once; the checks and the items are both read from that frame
+    found = written(RS.dataset_tables(requests, tables, backups), "restore-tables")
+    checks = RS.dataset_checks(found, datasets, backup_datasets, as_of)
+    valid = found.join(checks.filter(F.col("error").isNull()).select("request_id"), "request_id", "left_semi")
+    return DatasetRestorePlan(checks, RS.dataset_items(valid, as_of, backup_project))
 
 
 def table_restore_plan(requests: DataFrame, tables: DataFrame, backups: DataFrame, as_of: dt.datetime,

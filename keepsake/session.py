@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library's semantics depend on (not tuning): all timestamps are
 # naive UTC, and the driver's parquet timestamps read as TIMESTAMP_NTZ.
@@ -64,3 +65,13 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="keepsake-ckpt-", dir=os.environ.get("KEEPSAKE_TMP", "/tmp"))
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """`df` written once as Parquet to the shared checkpoint folder and read back.
+
+    For a frame that several parts of a plan read: it is computed once, all of
+    them see the same rows, and a lost executor costs a re-read."""
+    path = f"{checkpoint_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

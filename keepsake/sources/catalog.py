@@ -3,7 +3,6 @@ organisation walk as one frame (S7)."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from keepsake.config import DEFAULT_LOCATION
 from keepsake.schemas import LIVE_DOCUMENT
-from keepsake.session import checkpoint_root
+from keepsake.session import written
 from keepsake.sources import files
 
 
@@ -123,7 +122,8 @@ def warehouse_catalog(spark, warehouse, refs) -> tuple[DataFrame, DataFrame]:
         [tuple(r) for r in refs], "project_id string, dataset_id string, table_id string")
     wanted = wanted.select(*keys).distinct()
     folder = F.concat_ws("/", F.lit(warehouse.root.rstrip("/")), *keys)
-    entries = _written(spark, files.children(files.spread(wanted.withColumn("path", folder), "path")))
+    # a listing is a moment: it is written, so that all that reads it sees the same one
+    entries = written(files.children(files.spread(wanted.withColumn("path", folder), "path")), "listing")
     day = F.regexp_extract("name", f"^{PARTITION_COLUMN}=(.*)$", 1)
     below = files.files_below(files.spread(entries.filter("is_folder").select(*keys, F.when(day != "", day).alias("partition_id"),
                                                                               F.col("child").alias("path")), "path"))
@@ -131,9 +131,9 @@ def warehouse_catalog(spark, warehouse, refs) -> tuple[DataFrame, DataFrame]:
                                                  F.col("child").alias("file"), "bytes", "modified")
     counted = files.footers(files.spread(own.unionByName(below), "file"))
     instant = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
-    per_part = _written(spark, counted.groupBy(*keys, "partition_id").agg(
+    per_part = written(counted.groupBy(*keys, "partition_id").agg(
         F.sum("num_rows").alias("num_rows"), F.sum("bytes").alias("num_bytes"),
-        instant(F.min("modified")).alias("creation_time"), instant(F.max("modified")).alias("last_modified")))
+        instant(F.min("modified")).alias("creation_time"), instant(F.max("modified")).alias("last_modified")), "listing")
     per_table = per_part.groupBy(*keys).agg(
         F.sum("num_rows").alias("num_rows"), F.sum("num_bytes").alias("num_bytes"),
         F.min("creation_time").alias("creation_time"), F.max("last_modified").alias("last_modified_time"),
@@ -157,9 +157,3 @@ def warehouse_catalog(spark, warehouse, refs) -> tuple[DataFrame, DataFrame]:
         F.lit(False).alias("has_partition_expiration"))
     return live, partitions
 
-
-def _written(spark, df: DataFrame) -> DataFrame:
-    """A listing is a moment: it is written to the checkpoint folder, so that all that reads it sees the same one."""
-    path = f"{checkpoint_root(spark)}/listing-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

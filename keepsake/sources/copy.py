@@ -456,7 +456,7 @@ def delete_copies(spark: SparkSession, to_delete: DataFrame | Iterable[Row], war
     # a row without both names would point above the table folders
     named = F.col("dataset_id").isNotNull() & F.col("table_id").isNotNull() & (F.length("dataset_id") > 0) & (F.length("table_id") > 0)
     folders = to_delete.filter(named).select("id", F.concat_ws("/", F.lit(root), "dataset_id", "table_id").alias("path"))
-    gone = FT.remove(spark, folders, tasks=max(parallelism, spark.sparkContext.defaultParallelism))
+    gone = FT.remove(folders, tasks=max(parallelism, spark.sparkContext.defaultParallelism))
     return gone.unionByName(to_delete.filter(~F.coalesce(named, F.lit(False))).select("id", F.lit(FT.ERROR).alias("outcome")))
 
 

@@ -9,13 +9,12 @@ leave them spread out.
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepsake.session import checkpoint_root
+from keepsake.session import written
 
 FOUND, NOT_FOUND, ERROR = "found", "not_found", "error"
 DELETED = "deleted"
@@ -127,7 +126,7 @@ def footers(df: DataFrame, path: str = "file") -> DataFrame:
     return _mapped(df, path, one, "num_rows long")
 
 
-def remove(spark: SparkSession, folders: DataFrame, path: str = "path", tasks: int | None = None) -> DataFrame:
+def remove(folders: DataFrame, path: str = "path", tasks: int | None = None) -> DataFrame:
     """Remove the folder `path` of each row; the other columns and `outcome`: deleted, not_found or error.
 
     The outcomes are written to the checkpoint folder before they are returned,
@@ -147,7 +146,4 @@ def remove(spark: SparkSession, folders: DataFrame, path: str = "path", tasks: i
         except Exception:  # noqa: BLE001 - a failed deletion is a row
             return [(ERROR,)]
 
-    out = _mapped(spread(folders, path, tasks=tasks), path, one, "outcome string")
-    place = f"{checkpoint_root(spark)}/outcomes-{uuid.uuid4().hex}"
-    out.write.parquet(place)
-    return spark.read.schema(out.schema).parquet(place)
+    return written(_mapped(spread(folders, path, tasks=tasks), path, one, "outcome string"), "outcomes")

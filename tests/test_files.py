@@ -87,4 +87,4 @@ def test_deletions_in_tasks(spark, scratch, monkeypatch):
 def test_a_folder_that_cannot_be_read_is_an_error(spark, scratch, monkeypatch):
     at = spark.createDataFrame([("nowhere://x/y",)], "path string")
     assert [r["status"] for r in files.children(at).collect()] == [files.ERROR]
-    assert [r["outcome"] for r in files.remove(spark, at).collect()] == [files.ERROR]
+    assert [r["outcome"] for r in files.remove(at).collect()] == [files.ERROR]

@@ -94,3 +94,7 @@ def test_global_window_detector(spark):
     df = spark.range(10)
     g = physical_plan(df.withColumn("r", F.row_number().over(Window.orderBy("id"))))
     assert [_bracket_groups(n) for n in re.findall(r"Window (\[.*)", g)] == [2]
+
+
+def test_dataset_restore_meets_requests_tables_and_copies_once(plans):
+    assert len(re.findall(r"\bExchange (?:hash|range|Single|Round)", plans["q6_dataset_restore_plan"])) <= 6
