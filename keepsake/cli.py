@@ -79,8 +79,8 @@ def _item_id(job_id):
 
 
 def _read_or_empty(spark, path, schema):
-    from keepsake.sources.copy import _FS
-    return spark.read.parquet(path) if _FS(spark).committed(path) else spark.createDataFrame([], schema)
+    from keepsake.sources.metadata import read_metadata
+    return read_metadata(spark, path, schema)
 
 
 def _run_restore(spark, a, cfg, planned, tables, meta) -> int:

@@ -18,6 +18,7 @@ from keepsake.plans.backup import backup_plan, copy_plan, on_demand_entities, on
 from keepsake.plans.retention import retention_plan
 from keepsake.session import checkpoint_root
 from keepsake.sources import copy as CP
+from keepsake.sources.metadata import write_metadata  # noqa: F401 - jobs write their results back with it
 
 
 def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -138,15 +139,6 @@ def restore_run(spark: SparkSession, jobs: DataFrame, new_job: DataFrame, items:
     return RestoreOutcome(job, folded, targets, results)
 
 
-def write_metadata(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Replace a metadata table (entities or backup records) with a job's
-    result.  The result usually derives from the table it replaces, so the
-    lineage is cut first with a reliable checkpoint in the shared checkpoint
-    folder; the overwrite then never reads the files it is deleting, and a
-    lost executor during the write recomputes from the checkpoint."""
-    materialize(spark, df).write.mode("overwrite").parquet(path)
-
-
 def restore_with_retries(spark: SparkSession, work: DataFrame, warehouse: CP.Warehouse,
                          parallelism: int = 4) -> DataFrame:
     """S13 with the same retry rule as copies: retryable failures are run

@@ -1,4 +1,4 @@
-"""Publishing restored files so that a job can stop anywhere and be run again.
+"""Publishing written files so that a job can stop anywhere and be run again.
 
 A write goes to a staging folder first. Its manifest (files to move in, files
 they replace, outcome of each item) then appears in one rename: from there on
@@ -7,9 +7,9 @@ ones in; every move is done once at most, so publishing a manifest again ends
 what an earlier run began. A published manifest stays as the record of its
 items' outcomes. A write without a manifest never happened.
 
-    <root>/_restores/<job>/<project>.<dataset>.<table>/<n>.json        decided
-                                                       <n>.done.json   published
-                                                       staging-<uuid>/ files on their way
+    <folder>/<n>.json          decided
+             <n>.done.json     published
+             staging-<uuid>/   files on their way
 """
 
 from __future__ import annotations
@@ -109,12 +109,16 @@ class FileSystem:
             stream.close()
 
 
+def restore_ledger(fs: FileSystem, root: str, job: str, target: tuple[str, str, str]) -> "Ledger":
+    """What one restore job has decided for one target table."""
+    return Ledger(fs, f"{root.rstrip('/')}/_restores/{quote(job, safe='')}/{'.'.join(quote(x, safe='') for x in target)}")
+
+
 class Ledger:
-    """What one job has decided for one target table; one ledger of a (job, table) is used at a time."""
+    """What was decided for one target; a folder is used by one ledger at a time."""
 
-    def __init__(self, fs: FileSystem, root: str, job: str, target: tuple[str, str, str]):
-        self.fs = fs
-        self.folder = f"{root.rstrip('/')}/_restores/{quote(job, safe='')}/{'.'.join(quote(x, safe='') for x in target)}"
+    def __init__(self, fs: FileSystem, folder: str):
+        self.fs, self.folder = fs, folder
 
     def recover(self) -> list[dict[str, Any]]:
         """Outcomes recorded by earlier runs; what was decided and not published is published, what was not decided goes."""
@@ -130,6 +134,12 @@ class Ledger:
                 self.fs.delete(f"{self.folder}/{name}")
         return found
 
+    def forget(self) -> None:
+        """Drop the records of what was published."""
+        for name in self.fs.names(self.folder):
+            if name.endswith(".done.json"):
+                self.fs.delete(f"{self.folder}/{name}")
+
     def staging(self) -> str:
         return f"{self.folder}/staging-{uuid.uuid4().hex}"
 

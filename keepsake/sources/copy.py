@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from keepsake.session import checkpoint_root
 from keepsake.sources import files as FT
-from keepsake.sources.commit import FileSystem, Ledger
+from keepsake.sources.commit import FileSystem, Ledger, restore_ledger
 
 PARTITION_COLUMN = "_partition_id"
 #: Outcomes held by the driver before they are appended to the result table.
@@ -368,7 +368,7 @@ def restore_copy(spark: SparkSession, items: DataFrame | Iterable[Row], warehous
     def one_table(group: list) -> list[tuple]:
         dst = warehouse.path(*target_of(group[0]))
         out: list[dict] = []
-        ledgers = {job: Ledger(fs, warehouse.root, job, target_of(group[0])) for job in dict.fromkeys(map(job_of, group))}
+        ledgers = {job: restore_ledger(fs, warehouse.root, job, target_of(group[0])) for job in dict.fromkeys(map(job_of, group))}
         known = {(job, x["item_id"]): recorded(x) for job, ledger in ledgers.items() for x in ledger.recover()}
         batch: list = []
         shape = None
