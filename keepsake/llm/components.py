@@ -1,7 +1,9 @@
 """Connected components of an edge table by alternating star contraction.
 
-Every round is two grouped minima and a join, so a hub is reduced by partial
-aggregates and its join side is split by AQE; no neighbour list is ever built.
+Every round is two grouped minima and a join. A hub is reduced by partial
+aggregates; the minima are stored before they are joined back, as AQE can split
+the hub's side of the join only if both sides are plain. No neighbour list is
+ever built.
 """
 
 from __future__ import annotations
@@ -14,12 +16,12 @@ from keepsake.llm.common import discard, stored
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
     return both.join(low, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    low = e.groupBy("u").agg(F.min("v").alias("m"))
+    low = stored(e.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
     kept = low.select("u", F.col("m").alias("v"))
     moved = e.join(low, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return kept.unionByName(moved)
@@ -36,7 +38,9 @@ def components(edges: DataFrame, left: str = "a", right: str = "b", max_rounds:
     e = stored(e, "cc")
     seen = None
     for _ in range(max_rounds):
-        nxt = stored(_small_star(_large_star(e).distinct()).distinct(), "cc")
+        wide = stored(_large_star(e).distinct(), "cc")
+        nxt = stored(_small_star(wide).distinct(), "cc")
+        discard(wide)
         n, roots = nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         discard(e)
         e = nxt

@@ -116,7 +116,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
         length = F.greatest(x["start"] + F.size(x["words"]) + slop - low, F.lit(0))
         return ~there(x) & (F.size(F.array_except(x["words"], F.slice("_words", low + 1, length))) == 0)
 
-    spots_or_none = F.coalesce("_spots", F.expr("cast(array() as array<struct<start:int,exact:boolean,words:array<string>,items:array<bigint>>>)"))
+    spots_or_none = F.coalesce("_spots", F.array().cast(spots.schema["_spots"].dataType))
     out = out.withColumn("_hits", F.filter(spots_or_none, there))
     spans = F.transform("_hits", lambda x: F.struct(x["start"].alias("s"), (x["start"] + F.size(x["words"])).alias("e")))
     return out.withColumn("n_words", F.size("_words").cast("long")).withColumn("n_hit", _covered(spans).cast("long")).withColumn(

@@ -255,7 +255,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     named = each.join(degree, "gid", "left").join(comp, F.col("gid") == F.col("node"), "left").select(
         "gid", "h", "embedding", "low", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "gid").alias("root"))
     named = stored(named, "ego-named")
-    low = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    # stored before it is joined back: a component may hold most rows, and AQE can split only plain exchanges
+    low = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "ego-low")
     facts = named.join(low, "root").select(F.col("h").alias("_h"), F.col("embedding").alias("_e"), F.col("n_links"), "component_id")
     keyed = rows.withColumn("_k", h)
     out = keyed.join(facts, (F.col("_k") == F.col("_h")) & (F.col("embedding") == F.col("_e")), "left")

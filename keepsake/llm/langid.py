@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from keepsake.llm.common import require, stored
 
-#: Bytes of training text in a dictionary, and the rows that it is filled from; bounded for each language.
+#: Bytes of training text in a dictionary, and the texts that it is filled from; bounded for each language.
 DICTIONARY = 1 << 14
 SAMPLE = 200
+#: Languages that can be learned at once: every text is compressed with each, and the driver holds all dictionaries.
+LANGUAGES = 64
 LEVEL = 6
 #: Bytes that are compressed at once; every piece starts from the dictionary alone.
 PIECE = 2000
@@ -30,16 +32,21 @@ UNKNOWN = "und"
 
 
 def dictionaries(docs: DataFrame, learn: Column, sample: int = SAMPLE, size: int = DICTIONARY) -> dict[str, bytes]:
-    """language -> the bytes of `sample` training texts, equal numbers of bytes from each until `size` is full.
+    """language -> `size` bytes at most: a slice of the same length of each of `sample` training texts.
 
-    Rows: `learn` holds, lang is not null and the text has a letter; those with
-    the least hash of (doc_id, text) are taken. What reaches the driver is
-    bounded by the number of languages times `size`.
+    Rows: `learn` holds, lang is not null and the text has a letter; the
+    distinct texts with the least hash are taken, and of each a slice from a
+    place in the whole text that its hash chooses (a shorter text whole). All
+    slices fit. What reaches the driver is bounded by LANGUAGES times `size`;
+    more languages than that are an error.
     """
     require(docs, "doc_id", "text", "lang")
     rows = docs.filter(learn & F.col("lang").isNotNull() & has_letter(F.col("text")))
-    h = F.xxhash64("doc_id", "text")
-    hashes = stored(rows.select("lang", h.alias("h")), "langid-hashes")
+    n = rows.select("lang").distinct().limit(LANGUAGES + 1).count()
+    if n > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    h = F.xxhash64("text")
+    hashes = stored(rows.select("lang", h.alias("h")).distinct(), "langid-hashes")
     # among n hashes the least `sample` lie in the lowest share of the range: others need not meet in one task
     share = hashes.groupBy("lang").agg((F.lit(4.0 * sample) / F.count("*")).alias("share")).withColumnRenamed("lang", "_lang")
     # a row for each language, of which the driver gets a whole dictionary: small enough to broadcast
@@ -48,11 +55,11 @@ def dictionaries(docs: DataFrame, learn: Column, sample: int = SAMPLE, size: int
     picks = stored(picks.select(F.col("lang").alias("_lang"), F.col("h").alias("_h")), "langid-sample")
     texts = rows.select("lang", h.alias("h"), "text").join(
         picks, (F.col("lang") == F.col("_lang")) & (F.col("h") == F.col("_h"))).dropDuplicates(["lang", "h"])
-    # each text gives its share from the front; a shorter one leaves room that the dictionary does without
-    part = F.lower(F.substring("text", 1, size // sample * 4))
-    got = texts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("h", part.alias("t")))).alias("ts")).select(
-        "lang", F.array_join(F.transform("ts", lambda x: x["t"]), "\n").alias("body")).collect()
-    return {r["lang"]: r["body"].encode()[-size:] for r in sorted(got, key=lambda r: r["lang"])}
+    share = size // sample - 1  # characters, of which as many bytes are kept; a line feed goes between
+    start = F.pmod(F.shiftright("h", 7), F.greatest(F.length("text") - share, F.lit(0)) + 1).cast("int") + 1
+    part = F.lower(F.substring(F.col("text"), start, F.lit(share)))
+    got = texts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("h", part.alias("t")))).alias("ts")).collect()
+    return {r["lang"]: b"\n".join(x["t"].encode()[:share] for x in r["ts"]) for r in sorted(got, key=lambda r: r["lang"])}
 
 
 def has_letter(text: Column) -> Column:

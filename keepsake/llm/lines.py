@@ -281,7 +281,8 @@ def groups(found: DataFrame, docs: DataFrame) -> DataFrame:
     named = each.select("name", place).join(comp, F.col("name") == F.col("node"), "left").select(
         "name", "first", F.coalesce("root", "name").alias("root"))
     named = stored(named, "line-roots")
-    keep = named.groupBy("root").agg(F.min("first").alias("keep"))
+    # stored before it is joined back: a group may hold most rows, and AQE can split only plain exchanges
+    keep = stored(named.groupBy("root").agg(F.min("first").alias("keep")), "line-keep")
     return stored(named.select("name", "root").join(keep, "root").select("name", "keep"), "line-groups")
 
 

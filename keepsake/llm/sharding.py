@@ -13,6 +13,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from keepsake.llm.common import require, stored
 
@@ -24,10 +25,13 @@ RUN_BYTES = 64 << 20
 RUNS = (8, 128)
 
 
-def sort_key(text: Column, doc_id: Column) -> Column:
-    """Equal texts are neighbours and, among them, ids ascend; a null id comes first, a null text counts as empty."""
+def sort_key(text: Column, doc_id: Column, integral: bool = True) -> Column:
+    """Equal texts are neighbours and, among them, whole-number ids ascend; a null id comes first, a null text counts as empty.
+
+    Other ids (`integral` False) stand in the order of their md5.
+    """
     body = F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 16)
-    order = F.lower(F.hex(doc_id.cast("long").bitwiseXOR(F.lit(-2 ** 63))))
+    order = F.lower(F.hex(doc_id.cast("long").bitwiseXOR(F.lit(-2 ** 63)))) if integral else F.substring(F.md5(doc_id.cast("string")), 1, 16)
     return F.concat(body, F.lpad(F.coalesce(order, F.lit("")), 16, "0"))
 
 
@@ -100,7 +104,7 @@ def shard(docs: DataFrame, shards: int = 24, tolerance: float = 0.005, ranges: i
     gives an empty table.
     """
     require(docs, "doc_id", "text")
-    key = sort_key(F.col("text"), F.col("doc_id"))
+    key = sort_key(F.col("text"), F.col("doc_id"), isinstance(docs.schema["doc_id"].dataType, IntegralType))
     narrow = stored(docs.select(key.alias("key"), row_bytes(F.col("text")).alias("size")), "shard-keys")
     total = narrow.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     ranges = ranges or max(RUNS[0], min(RUNS[1], total // shards // RUN_BYTES + 1))

@@ -201,7 +201,8 @@ def groups(fps: DataFrame) -> DataFrame:
     comp = components(links(each.select("fp")))
     named = stored(each.join(comp, each["fp"] == comp["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "low"), "simhash-roots")
-    low = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    # stored before it is joined back: a component may hold most rows, and AQE can split only plain exchanges
+    low = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-low")
     return stored(named.select("fp", "root").join(low, "root").select("fp", "root", "component_id"), "simhash-groups")
 
 

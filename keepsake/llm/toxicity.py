@@ -58,8 +58,12 @@ def _grams(text: str):
 def fit(texts: list[str], labels: list[int], rounds: int = 300) -> Model:
     import numpy as np
 
-    rows, known = [], dict(zip(texts, labels))  # copies count once
-    texts, labels = list(known), list(known.values())
+    rows, known = [], {}
+    for t, c in zip(texts, labels):
+        known.setdefault(t or "", set()).add(c)
+    # copies count once, a text with both labels not at all; the order does not depend on how the rows came
+    texts = sorted(t for t, c in known.items() if len(c) == 1)
+    labels = [next(iter(known[t])) for t in texts]
     for t in texts:
         parts = list(_grams(t or ""))
         ids, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
@@ -104,19 +108,23 @@ def predict(model: Model, weights, text: str) -> float:
 def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     """A model from the rows of `docs` that `learn` (over doc_id) admits and that `labels` marks 0 or 1.
 
-    At most about `sample` rows of each class are used, chosen by a hash of
-    doc_id; their ids are broadcast (2 * sample at most) so that no text moves
-    but theirs. Without rows of both classes every score is near the one seen.
+    At most `sample` ids of each class are used, those with the least hash (an
+    id that is marked both ways is not); they are broadcast, so that no text
+    moves but theirs. Of the texts of one id the one with the least hash counts,
+    a text that ends up with both labels does not. Without rows of both classes
+    every score is near the one seen.
     """
     require(docs, "doc_id", "text")
     require(labels, "doc_id", "toxic")
     spark = docs.sparkSession
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).filter(learn)
     rank = F.xxhash64("doc_id")
-    per_class = known.dropDuplicates(["doc_id"]).select("doc_id", "toxic", rank.alias("h"))
-    chosen = [per_class.filter(F.col("toxic") == c).orderBy("h").limit(sample) for c in (0, 1)]
+    sure = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most")).filter("toxic = _most")
+    per_class = sure.select("doc_id", "toxic", rank.alias("h"))
+    chosen = [per_class.filter(F.col("toxic") == c).orderBy("h", "doc_id").limit(sample) for c in (0, 1)]
     ids = stored(chosen[0].unionByName(chosen[1]).select(F.col("doc_id").alias("_id"), "toxic"), "toxic-sample")
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), docs["doc_id"] == ids["_id"]).select("text", "toxic").limit(4 * sample)
+    own = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), docs["doc_id"] == ids["_id"]).groupBy("_id", "toxic").agg(own).select("x.text", "toxic")
 
     def run(batches):
         import pandas as pd
