@@ -79,5 +79,5 @@ def test_stages_on_empty_documents(spark, folder, tmp_path):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert toxicity.THRESHOLD == 0.7
