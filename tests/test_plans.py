@@ -98,3 +98,12 @@ def test_global_window_detector(spark):
 
 def test_dataset_restore_meets_requests_tables_and_copies_once(plans):
     assert len(re.findall(r"\bExchange (?:hash|range|Single|Round)", plans["q6_dataset_restore_plan"])) <= 6
+
+
+@pytest.mark.parametrize("name, exchanges", [("w4_newest_latency_snapshot", 4), ("w5_newest_quality_snapshot", 4), ("a1_latency_by_count", 4), ("a2_last_snapshot_time", 4),
+                                             ("m2_record_backups", 6)])
+def test_current_views_read_one_day_of_the_stored_history(plans, name, exchanges):
+    p = plans[name]
+    assert len(re.findall(r"\bExchange (?:hash|range|Single|Round)", p)) <= exchanges, p
+    if name[0] in "wa":
+        assert set(re.findall(r"ingest_date#\d+ = ([0-9-]+)", p)) == {"2024-01-30"} and "events" not in p
