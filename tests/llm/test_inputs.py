@@ -105,3 +105,12 @@ def test_query(spark, name):
         assert all(r["fingerprint"] == f"{data.simhash(docs[r['doc_id']]['text'], 3):016x}" for r in rows)
     if name == "op11_ranked_search":
         assert max(Counter(r["item_id"] for r in rows).values()) <= 50
+
+
+def test_words_are_the_matches_of_the_pattern(spark):
+    from keepsake.llm.common import alnum_words
+
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("aZ09 .,\n\t\x00\x7f@`{é😀ß ") for _ in range(rng.randrange(40))) for _ in range(400)] + ["", " ", "a", None, " a ", "..a..b"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string").select("i", alnum_words(F.col("text")).alias("w"))
+    assert {r["i"]: r["w"] for r in got.collect()} == {i: data.alnum(t) for i, t in enumerate(texts)}
