@@ -9,6 +9,7 @@ from keepsake.operators import restore as RS
 from keepsake.operators.common import with_rank
 from keepsake.registry import register
 from keepsake.sources import export as X
+from keepsake.sources.bucketed import over_parts, stored_parts
 from keepsake.sources.testviews import TestViews
 
 
@@ -68,11 +69,14 @@ def w6(spark, sf):
     return C.last_available_backup(C.all_backups(_last_backup(v), _last_table(v)))
 
 
-@register("w7_last_backup", """
+_LAST_SQL = """
 SELECT t.*, n.id AS backup_id, n.created AS backup_created, n.last_modified AS backup_last_modified,
        n.num_bytes AS backup_num_bytes, n.dataset_id AS backup_dataset_id,
        n.table_id AS backup_table_id
-FROM tables t LEFT JOIN newest_avail n ON n.parent_id = t.id""", ("tables", "newest_avail"))
+FROM tables t LEFT JOIN newest_avail n ON n.parent_id = t.id"""
+
+
+@register("w7_last_backup", _LAST_SQL, ("tables", "newest_avail"))
 def w7(spark, sf):
     v = TestViews.of(spark, sf)
     return C.last_backup(v.tables, v.backups)
@@ -97,6 +101,28 @@ def j12(spark, sf):
     return C.backups_of_tables(v.tables, v.backups, _census_refs(v))
 
 
+@register("j1_stored_backups", "SELECT * FROM all_backups_x", ("all_backups_x",))
+def j1_stored(spark, sf):
+    """J1 over frames stored by table (`sources.bucketed`)."""
+    v = TestViews.of(spark, sf)
+    return over_parts(stored_parts(spark, _last_table(v), _last_backup(v)), lambda tables, backups: C.all_backups(backups, tables))
+
+
+@register("w7_stored_last_backup", _LAST_SQL, ("tables", "newest_avail"))
+def w7_stored(spark, sf):
+    """W7 over frames stored by table."""
+    v = TestViews.of(spark, sf)
+    return over_parts(stored_parts(spark, v.tables, v.backups), C.last_backup)
+
+
+@register("j12_stored_backups_of_table", _FIND_SQL, ("backups", "tables", "census_base"))
+def j12_stored(spark, sf):
+    """J12 over frames stored by table."""
+    v = TestViews.of(spark, sf)
+    refs = _census_refs(v)
+    return over_parts(stored_parts(spark, v.tables, v.backups), lambda tables, backups: C.backups_of_tables(tables, backups, refs))
+
+
 @register("q18_find_backups", """
 SELECT b.* FROM last_backup_x b WHERE b.parent_id IN (
   SELECT t.id FROM tables t WHERE EXISTS (

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from keepsake.checks.oracle import (CANDIDATE_THRESHOLD, GRACE_THRESHOLD, YOUNG_THRESHOLD, AS_OF,
                                     EXISTS_SQL)
 from keepsake.operators import retention as R
-from keepsake.plans.retention import retention_plan
+from keepsake.plans.retention import retention_plan, stored_retention_plan
 from keepsake.registry import register
+from keepsake.sources.bucketed import stored_parts
 from keepsake.sources.testviews import TestViews, default_config
 
 CFG = default_config()
@@ -106,6 +107,13 @@ def q1(spark, sf):
     return retention_plan(v.tables, v.backups, v.live, CFG)
 
 
+@register("q1_stored_retention_plan", "SELECT * FROM retention_plan", ("retention_plan",))
+def q1_stored(spark, sf):
+    """Q1 over entities and records stored by table (`sources.bucketed`)."""
+    v = TestViews.of(spark, sf)
+    return stored_retention_plan(stored_parts(spark, v.tables, v.backups), v.live, CFG)
+
+
 @register("j10_not_retained", """
 SELECT id, parent_id, table_id, created FROM avail
 WHERE id NOT IN (SELECT id FROM retention_plan WHERE retained)""", ("avail", "retention_plan"))

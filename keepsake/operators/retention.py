@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepsake.functions.timeutil import date_lit, months_before, months_before_date, ts_lit
-from keepsake.operators.common import latest_by
+from keepsake.operators.common import latest_by, newest_id
 
 REASONS = ("kept", "duplicate_table_id", "not_newest_of_day", "young_over_limit",
            "old_not_newest", "source_gone", "lookup_failed")
@@ -61,6 +61,13 @@ def most_recent_daily(backups: DataFrame) -> DataFrame:
     return latest_by(with_day, ["parent_id", "_day"], "created", ["id"]).drop("_day")
 
 
+def newest_daily_ids(backups: DataFrame) -> DataFrame:
+    """W8 for plans that go on with ids: parent_id, created, id of each
+    table's newest copy of a day, aggregated by hashing."""
+    with_day = backups.withColumn("_day", F.to_date("created"))
+    return newest_id(with_day, ["parent_id", "_day"], "created", "id").drop("_day")
+
+
 def age_split(backups: DataFrame, as_of: dt.datetime, months: int) -> DataFrame:
     """`young` iff date(created) >= date(as_of) - months (calendar
     months, month-end clamped); the threshold day itself is young."""
@@ -121,6 +128,16 @@ def grace_keep_tables(retained: DataFrame, tables: DataFrame, live: DataFrame,
     return j.select("parent_id", (sure | source_exists_column()).alias("keep"), failed.alias("lookup_failed"))
 
 
+def grace_lookup(tables: DataFrame, live: DataFrame, as_of: dt.datetime, months: int) -> DataFrame:
+    """What P8 asks of each table, whatever copies it has: `parent_id, seen`
+    (on/after the threshold day), `exists, error` (of the lookup)."""
+    threshold = date_lit(months_before_date(as_of.date(), months))
+    lv = live.select("project_id", "dataset_id", "table_id", "lookup_status", "table_exists", "has_time_partitioning")
+    return tables.join(lv, ["project_id", "dataset_id", "table_id"], "left").select(
+        F.col("id").alias("parent_id"), F.coalesce(F.to_date("last_checked") >= threshold, F.lit(False)).alias("seen"),
+        source_exists_column().alias("exists"), F.coalesce(F.col("lookup_status") == "error", F.lit(False)).alias("error"))
+
+
 def grace_filter(retained: DataFrame, tables: DataFrame, live: DataFrame,
                  as_of: dt.datetime, months: int) -> DataFrame:
     """Drop every remaining copy of tables whose source is gone for

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepsake.config import Config
 from keepsake.functions.timeutil import date_lit, months_before_date
 from keepsake.operators import retention as R
+from keepsake.sources.bucketed import Part
 
 
 def retention_plan(tables: DataFrame, backups: DataFrame, live: DataFrame,
@@ -38,7 +41,7 @@ def retention_plan(tables: DataFrame, backups: DataFrame, live: DataFrame,
     valid = flagged.filter(F.col("dup").isNull()).drop("dup")
 
     # W8 → at most one row per table and day from here on.
-    daily = R.most_recent_daily(valid)
+    daily = R.newest_daily_ids(valid)
     young = F.to_date("created") >= date_lit(months_before_date(cfg.as_of_date, cfg.young_months))
     w = Window.partitionBy("parent_id", "young").orderBy(F.col("created").desc(), F.col("id").desc())
     ranked = daily.withColumn("young", young).withColumn("_rn", F.row_number().over(w))
@@ -58,3 +61,41 @@ def retention_plan(tables: DataFrame, backups: DataFrame, live: DataFrame,
             .select("id", "parent_id", "table_id", "created",
                     reason.isin("kept", "duplicate_table_id", "lookup_failed").alias("retained"),
                     reason.alias("reason")))
+
+
+def _even_plan(tables: DataFrame, backups: DataFrame, live: DataFrame, cfg: Config) -> DataFrame:
+    """Q1 over records in buckets of their table. The rules are windows on one
+    frame, all partitioned by the table first, so they run where the records
+    lie; no table has more of them than an average bucket."""
+    cand = R.retention_candidates(tables, cfg.as_of, cfg.grace_months)
+    avail = (R.available(backups).select("id", "parent_id", "table_id", "created")
+             .join(cand.select(F.col("id").alias("parent_id")), "parent_id", "left_semi"))
+    newest = (F.col("created").desc(), F.col("id").desc())
+    young = F.to_date("created") >= date_lit(months_before_date(cfg.as_of_date, cfg.young_months))
+    by_table = Window.partitionBy("parent_id")
+    rows = avail.withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy("parent_id", "table_id")))
+    rows = rows.withColumn("dup", F.max(F.col("_same") > 1).over(by_table))
+    rows = rows.withColumn("_of_day", F.row_number().over(Window.partitionBy("parent_id", F.to_date("created")).orderBy(*newest)) == 1)
+    rows = rows.withColumn("young", young)
+    rows = rows.withColumn("_rn", F.row_number().over(Window.partitionBy("parent_id", "young", "_of_day").orderBy(*newest)))
+    step = (F.when(F.col("dup"), "duplicate_table_id").when(~F.col("_of_day"), "not_newest_of_day")
+            .when(F.col("young") & (F.col("_rn") > cfg.keep_young), "young_over_limit")
+            .when(~F.col("young") & (F.col("_rn") > 1), "old_not_newest").otherwise("kept"))
+    before_grace = F.to_date("created") < date_lit(months_before_date(cfg.as_of_date, cfg.grace_months))
+    rows = rows.withColumn("_step", step)
+    rows = rows.withColumn("_old", F.coalesce(F.max((F.col("_step") == "kept") & before_grace).over(by_table), F.lit(False)))
+    # P8 by table: tables are matched with the live catalog, then brought to the buckets
+    asked = rows.join(R.grace_lookup(cand, live, cfg.as_of, cfg.grace_months), "parent_id", "left")
+    needed = F.col("_old") & ~F.col("dup") & ~F.col("seen")
+    reason = (F.when(needed & F.col("error"), "lookup_failed")
+              .when(needed & ~F.col("exists") & (F.col("_step") == "kept"), "source_gone").otherwise(F.col("_step")))
+    return asked.select("id", "parent_id", "table_id", "created",
+                        reason.isin("kept", "duplicate_table_id", "lookup_failed").alias("retained"), reason.alias("reason"))
+
+
+def stored_retention_plan(parts: list[Part], live: DataFrame, cfg: Config) -> DataFrame:
+    """Q1 over `sources.bucketed`: records in buckets are not exchanged; those
+    of hot tables, which lie apart, go through `retention_plan`."""
+    even, hot = ([p for p in parts if p.even == kind] for kind in (True, False))
+    plans = [_even_plan(p.tables, p.backups, live, cfg) for p in even] + [retention_plan(p.tables, p.backups, live, cfg) for p in hot]
+    return reduce(DataFrame.unionByName, plans)

@@ -90,3 +90,15 @@ def test_properties_on_driver_tables(spark):
     after = R.mark_deleted(v.backups, outcomes, cfg.as_of)
     again = retention_plan(v.tables, after, v.live, cfg)
     assert again.filter(~F.col("retained")).count() == 0
+
+
+def test_newest_id_is_latest_by(spark):
+    """Ties in time, NULL times, the ends of both ranges."""
+    from keepsake.operators.common import latest_by, newest_id
+    a, z, t = dt.datetime(1, 1, 1), dt.datetime(9999, 12, 31, 23, 59, 59, 999999), dt.datetime(2024, 1, 1, 0, 0, 0, 1)
+    rows = [(1, None, 5), (1, None, 7), (2, a, -2 ** 63), (2, a, -3), (2, None, 9), (3, t, 2 ** 63 - 1), (3, t, 1),
+            (4, z, 0), (4, t, 8), (None, t, 4), (None, t, 3)]
+    df = spark.createDataFrame(rows, "k long, t timestamp_ntz, id long")
+    want = latest_by(df, ["k"], "t", ["id"]).select("k", "t", "id")
+    assert sorted(map(str, newest_id(df, ["k"], "t", "id").collect())) == sorted(map(str, want.collect()))
+    assert newest_id(df.limit(0), ["k"], "t", "id").count() == 0
