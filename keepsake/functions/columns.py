@@ -62,6 +62,10 @@ def backup_dataset_id(date: Column | str, location: Column | str, project: Colum
     return F.when(ok, F.replace(s, F.lit("-"), F.lit("_")))
 
 
+#: What the text of a JSON value can begin with, and more: signs and words that a lenient parser takes as numbers.
+JSON_BEGINNING = r"\A[ \t\r\n]*(?:[\[{\"0-9+.NI-]|true|false|null)"
+
+
 # U3 ---------------------------------------------------------------------------
 def parse_table_ref(s: Column | str) -> Column:
     """`project:dataset.table[$yyyymmdd]` → struct(project_id, dataset_id,
@@ -169,7 +173,8 @@ def json_or_text(s: Column | str) -> tuple[Column, Column]:
     """(is_json, text) — valid JSON is parsed by readers, invalid text
     is passed through unchanged."""
     c = _c(s)
-    return F.when(c.isNotNull(), F.try_parse_json(c).isNotNull()), c
+    # plain text is told by its beginning: parsing it would throw and catch an exception for each row
+    return F.when(c.isNotNull(), c.rlike(JSON_BEGINNING) & F.try_parse_json(c).isNotNull()), c
 
 
 def copy_errors_message(errors: Column | str) -> Column:

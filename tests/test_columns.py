@@ -82,3 +82,14 @@ def test_copy_errors_message(spark):
                                "e array<struct<reason:string,message:string>>")
     assert df.select(U.copy_errors_message("e").alias("m")).first()["m"] == \
         "Copy job finished with errors: backendError:boom, invalid:No message provided"
+
+
+def test_json_is_told_from_text_as_by_the_parser(spark):
+    """The test on the beginning of a text spares the parser, but never decides otherwise."""
+    values = ['{"a":1}', "[1,2]", '"x"', "1", "-1", "1.5e3", "true", "false", "null", " true ", '\n\t{"a": [ ]}', "note", "tree", "nul", "nan", "NaN",
+              "Infinity", "-Infinity", "+1", ".5", "", "  ", "a:1", "{a:1}", "'x'", "//c\n1", "﻿1", " 1", "\x0b1", "01", "trueish", "x{", "\x001",
+              None, "#c\n1", "/*c*/1", "T", "n", "-", "é", "low priority"]
+    got = spark.createDataFrame([(x,) for x in values], "s string").select(
+        "s", U.json_or_text("s")[0].alias("is_json"), F.when(F.col("s").isNotNull(), F.try_parse_json("s").isNotNull()).alias("parsed")).collect()
+    assert [r.s for r in got if r.is_json != r.parsed] == []
+    assert {r.s for r in got if r.is_json} >= {'{"a":1}', "[1,2]", '"x"', "1", "true", "null", " true "}
