@@ -32,8 +32,7 @@ def backup_table_id(project: Column | str, dataset: Column | str, table: Column
                     ts: Column | str, partition: Column | str | None = None) -> Column:
     """`yyyyMMdd_HHmmss_<project -→_>_<dataset>_<table>[_partition_<p>]`;
     over 1024 characters: the first 1000, `_`, a 20-character checksum, cut
-    to 1024.  NULL when any of the first four is NULL (see
-    `backup_table_id_error`)."""
+    to 1024.  NULL, the mark of an error, when any of the first four is NULL."""
     p = F.lit(None).cast("string") if partition is None else _c(partition)
     name = F.concat(F.concat_ws("_", F.date_format(_c(ts), "yyyyMMdd_HHmmss"),
                                 F.replace(_c(project), F.lit("-"), F.lit("_")), _c(dataset), _c(table)),
@@ -44,13 +43,6 @@ def backup_table_id(project: Column | str, dataset: Column | str, table: Column
     return F.when(ok, F.when(F.length(name) > MAX_BACKUP_TABLE_ID, long_name).otherwise(name))
 
 
-def backup_table_id_error(project, dataset, table, ts) -> Column:
-    return (F.when(_c(project).isNull(), "No project specified, attribute is mandatory.")
-            .when(_c(dataset).isNull(), "No dataset specified, attribute is mandatory.")
-            .when(_c(table).isNull(), "No table specified, attribute is mandatory.")
-            .when(_c(ts).isNull(), "No timestamp specified, attribute is mandatory."))
-
-
 # U2 ---------------------------------------------------------------------------
 def backup_dataset_id(date: Column | str, location: Column | str, project: Column | str) -> Column:
     """`<calendar year>_<ISO week, 2 digits>_<location>_<project>`, every '-'
