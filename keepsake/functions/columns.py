@@ -90,20 +90,29 @@ def table_ref(project, dataset, table, partition=None) -> Column:
 
 
 # U4 ---------------------------------------------------------------------------
-def parse_backup_key(key: Column | str) -> Column:
-    """base64 text → strip quotes and spaces → 4 comma parts → struct(
-    table_kind, table_id LONG, backup_kind, backup_id LONG); NULL if any step
-    fails (bad base64, wrong part count, non-integer id)."""
+def backup_key_parts(key: Column | str) -> Column:
+    """base64 text → strip quotes and spaces → its comma parts; NULL if it is not base64."""
     raw = F.try_to_binary(_c(key), F.lit("base64"))
-    text = F.regexp_replace(raw.cast("string"), r'["\s]', "")
-    parts = F.split(text, ",")
+    return F.split(F.regexp_replace(raw.cast("string"), r'["\s]', ""), ",")
+
+
+def backup_key(parts: Column) -> Column:
+    """4 parts → struct(table_kind, table_id LONG, backup_kind, backup_id LONG);
+    NULL if there are not 4 or an id is no integer."""
     tid = F.try_element_at(parts, F.lit(2)).try_cast("long")
     bid = F.try_element_at(parts, F.lit(4)).try_cast("long")
-    ok = raw.isNotNull() & (F.size(parts) == 4) & tid.isNotNull() & bid.isNotNull()
+    ok = (F.size(parts) == 4) & tid.isNotNull() & bid.isNotNull()
     return F.when(ok, F.struct(F.try_element_at(parts, F.lit(1)).alias("table_kind"), tid.alias("table_id"),
                                F.try_element_at(parts, F.lit(3)).alias("backup_kind"), bid.alias("backup_id")))
 
 
+def parse_backup_key(key: Column | str) -> Column:
+    """base64 text → strip quotes and spaces → 4 comma parts → struct(
+    table_kind, table_id LONG, backup_kind, backup_id LONG); NULL if any step
+    fails (bad base64, wrong part count, non-integer id)."""
+    return backup_key(backup_key_parts(key))
+
+
 # U5 ---------------------------------------------------------------------------
 @F.pandas_udf(T.StringType())
 def _nfkd_ascii(s: pd.Series) -> pd.Series:

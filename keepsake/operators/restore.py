@@ -19,6 +19,7 @@ from keepsake.functions import columns as U
 from keepsake.functions.timeutil import days_before, ts_lit, yyyymmdd
 from keepsake.operators.asof import newest_before
 from keepsake.operators.catalog import newest_available
+from keepsake.session import written
 
 KEYS = ["project_id", "dataset_id", "table_id", "partition_id"]
 
@@ -269,8 +270,8 @@ def duplicate_requests(requests: DataFrame) -> DataFrame:
     """U-4: lists that name the same copy twice (in either key format) are
     rejected whole: list_id, table_entity_id, backup_id, times (an id names a
     copy below its parent only)."""
-    return (requests.filter(F.col("backup_id").isNotNull())
-            .groupBy("list_id", "table_entity_id", "backup_id").agg(F.count(F.lit(1)).alias("times"))
+    # requests without a copy count as none; a filter on backup_id would be pushed into the parsing and repeat it
+    return (requests.groupBy("list_id", "table_entity_id", "backup_id").agg(F.count("backup_id").alias("times"))
             .filter(F.col("times") > 1))
 
 
@@ -278,19 +279,20 @@ def parse_list_requests(requests: DataFrame) -> DataFrame:
     """U4 over a list of requests: exactly one of the two key columns must
     be given; base64 keys are parsed; url-safe store keys are not supported.
     + table_entity_id, backup_id, error and request_row (the row as JSON)."""
-    key = U.parse_backup_key("backupBqKey")
     both = F.col("backupBqKey").isNotNull() & F.col("backupUrlSafeKey").isNotNull()
     none = F.col("backupBqKey").isNull() & F.col("backupUrlSafeKey").isNull()
-    parts = F.size(F.split(F.regexp_replace(F.try_to_binary(F.col("backupBqKey"), F.lit("base64")).cast("string"),
-                                            r'["\s]', ""), ","))
+    key = F.col("_key")
     err = (F.when(none, MISSING_KEY).when(both, BOTH_KEYS)
            .when(F.col("backupBqKey").isNull(), "Url-safe store keys are not supported")
            .when(key.isNull(), F.concat(_fmt(BAD_KEY, F.col("backupBqKey")),
-                                        F.when(parts != 4, F.lit(BAD_KEY_PARTS)).otherwise(F.lit("")))))
+                                        F.when(F.size("_parts") != 4, F.lit(BAD_KEY_PARTS)).otherwise(F.lit("")))))
     row = F.to_json(F.struct(*requests.columns), {"ignoreNullFields": "false"})
-    return requests.select("*", row.alias("request_row"), F.when(err.isNull(), key.getField("table_id")).alias("table_entity_id"),
-                           F.when(err.isNull(), key.getField("backup_id")).alias("backup_id"),
-                           err.alias("error"))
+    # step by step: written into one another these columns would decode each key some twenty times
+    parsed = (requests.withColumn("_parts", U.backup_key_parts("backupBqKey"))
+              .withColumn("_key", U.backup_key(F.col("_parts"))).withColumn("_error", err))
+    ok = F.col("_error").isNull()
+    return parsed.select(*requests.columns, row.alias("request_row"), F.when(ok, key.getField("table_id")).alias("table_entity_id"),
+                         F.when(ok, key.getField("backup_id")).alias("backup_id"), F.col("_error").alias("error"))
 
 
 def resolve_backup_keys(parsed: DataFrame, backups: DataFrame, tables: DataFrame) -> DataFrame:
@@ -372,6 +374,7 @@ def list_restore_items(resolved: DataFrame, backup_project: str, target_project:
     requests with an error are reported; the rest become 'In Progress'
     items (U7) with the request row kept as custom_parameters."""
     dup_lists = duplicate_requests(resolved).groupBy("list_id").agg(F.min("backup_id").alias("_dup"))
+    dup_lists = written(dup_lists, "duplicate-lists")  # known to be small where it is: the requests then stay where they lie
     j = resolved.join(dup_lists, "list_id", "left")
     err = F.coalesce(F.col("error"), F.when(F.col("_dup").isNotNull(), _fmt(DUPLICATED, F.col("_dup"))))
     tp = F.lit(target_project) if target_project else F.lit(None).cast("string")

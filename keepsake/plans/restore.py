@@ -62,7 +62,8 @@ def list_restore_plan(requests: DataFrame, backups: DataFrame, tables: DataFrame
     """Q8: U4 (parse keys) → U-4 (a list naming a copy twice is rejected
     whole) → J8 (copy → parent table) → U7.  Requests: list_id, request_id,
     backupBqKey, backupUrlSafeKey."""
-    resolved = RS.resolve_backup_keys(RS.parse_list_requests(requests), backups, tables)
+    # parsed and resolved once: the check for duplicates and the items both read from that frame
+    resolved = written(RS.resolve_backup_keys(RS.parse_list_requests(requests), backups, tables), "restore-list")
     return RS.list_restore_items(resolved, backup_project, target_project, target_dataset)
 
 

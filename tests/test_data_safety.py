@@ -12,6 +12,7 @@ from keepsake.config import Config
 from keepsake.operators import restore as RS
 from keepsake.operators import retention as R
 from keepsake.plans import jobs as J
+from keepsake.plans import restore as PR
 from keepsake.plans.retention import retention_plan
 from keepsake.schemas import BACKUPS, TABLES
 from keepsake.sources import copy as CP
@@ -150,6 +151,24 @@ def test_backup_key_needs_its_parent(spark):
     assert RS.duplicate_requests(RS.parse_list_requests(req)).count() == 0
 
 
+def test_list_restore_decodes_each_key_once(spark):
+    tables = tables_df(spark, [(1, "p", "d", "t", None, AS_OF)])
+    copies = backups_df(spark, [backup(1, AS_OF, "a", id=5), backup(1, AS_OF, "b", id=6)])
+    key = F.base64(F.encode(F.concat(F.lit('"Table", 1, "Backup", '), F.col("copy").cast("string")), "UTF-8"))
+    rows = [(0, 1, 5), (0, 2, 5), (0, 3, None), (0, 4, None), (1, 5, 6), (1, 6, None), (1, 7, None), (None, 8, 6), (None, 9, 6), (2, 10, 7)]
+    req = spark.createDataFrame(rows, "list_id long, request_id long, copy long").select(
+        "list_id", "request_id", key.alias("backupBqKey"), F.lit(None).cast("string").alias("backupUrlSafeKey"))
+    parsed = RS.parse_list_requests(req)
+    for df in (parsed, RS.duplicate_requests(parsed)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("unbase64") == 1
+    assert sorted(map(tuple, RS.duplicate_requests(parsed).collect()), key=str) == [(0, 1, 5, 2), (None, 1, 6, 2)]
+    got = {r["request_id"]: r for r in PR.list_restore_plan(req, copies, tables, "backup").collect()}
+    assert len(got) == len(rows)
+    assert "Duplicated backup item: 5" in got[1]["error"] and "Duplicated backup item: 5" in got[2]["error"]
+    assert "missing" in got[3]["error"] and "missing" in got[6]["error"] and "doesn't exist" in got[10]["error"]
+    assert [got[i]["source_table"]["table_id"] for i in (5, 8, 9)] == ["b"] * 3 and got[5]["error"] is None
+
+
 def test_verification_tells_nulls_and_names_apart(spark):
     a = spark.createDataFrame([(1, None), (None, 2)], "a int, b int")
     b = spark.createDataFrame([(None, 1), (2, None)], "a int, b int")
