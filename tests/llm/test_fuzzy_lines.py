@@ -72,3 +72,40 @@ def test_long_line_in_parts(monkeypatch):
     whole = lines.keys([line, b"short", line[:100]])
     monkeypatch.setattr(lines, "CHUNK", 64)
     assert lines.keys([line, b"short", line[:100]]) == whole
+
+
+def test_far_lines_are_told_by_place():
+    """No alike pair fails the test on places of 3-grams or the abandoned distance; lines with the same 3-grams elsewhere fail it."""
+    rng, met = random.Random(6), 0
+    for _ in range(400):
+        a = "".join(rng.choice("abcde ") for _ in range(rng.randrange(3, 300)))
+        b = a
+        for _ in range(rng.randrange(int(len(a) * 0.3) + 1)):
+            at = rng.randrange(len(b) + 1)
+            b = b[:at] + rng.choice(("", "x", b[at:at + 1] + "yz")) + b[at + 1:]
+        most, true = int(max(len(a), len(b)) * (1 - lines.SIMILARITY) + 1e-9), data.levenshtein(a, b)
+        got = lines.distance(a, b, most)
+        assert (got == true) if true <= most else got > most
+        if true <= most and min(len(a), len(b)) > 2:
+            met += 1
+            for x, y in ((a, b), (b, a)):
+                assert lines._near(lines._grams(x), lines._placed(lines._grams(y)), len(y) - len(x), most)
+    assert met > 150
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(60)]
+    a, b = " ".join(words), " ".join(words[30:] + words[:30])
+    assert not lines._near(lines._grams(a), lines._placed(lines._grams(b)), 0, int(len(a) * 0.2))
+
+
+def test_buckets_of_two_sizes_are_not_compared(spark, monkeypatch):
+    """Two lines that share a key and differ too much in size are told apart before their texts are fetched."""
+    sent = []
+    fetched = lines._fetched
+    monkeypatch.setattr(lines, "_fetched", lambda docs, spots: sent.append(spots.count()) or fetched(docs, spots))
+    short = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, short), (2, f"{short} {short} {short}"), (3, "nine ten eleven twelve thirteen"), (4, "nine ten eleven twelve fourteen")],
+                                 "doc_id long, text string")
+    assert set(lines.keys([short.encode()])[0]) & set(lines.keys([f"{short} {short} {short}".encode()])[0])
+    lines.mark(docs.filter("doc_id < 3")).collect()
+    assert sent == [0]
+    assert {r.doc_id: list(r.removed) for r in lines.mark(docs).collect()} == {1: [], 2: [], 3: [], 4: [0]}
+    assert sent[1] > 0
