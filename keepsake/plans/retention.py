@@ -72,9 +72,11 @@ def _even_plan(tables: DataFrame, backups: DataFrame, live: DataFrame, cfg: Conf
              .join(cand.select(F.col("id").alias("parent_id")), "parent_id", "left_semi"))
     newest = (F.col("created").desc(), F.col("id").desc())
     young = F.to_date("created") >= date_lit(months_before_date(cfg.as_of_date, cfg.young_months))
-    by_table = Window.partitionBy("parent_id")
-    rows = avail.withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy("parent_id", "table_id")))
-    rows = rows.withColumn("dup", F.max(F.col("_same") > 1).over(by_table))
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    # whole tables, in the order in which their rows come from the window before
+    by_table = lambda *order: Window.partitionBy("parent_id").orderBy(*order).rowsBetween(*whole)
+    rows = avail.withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy("parent_id", "table_id").orderBy("id").rowsBetween(*whole)))
+    rows = rows.withColumn("dup", F.max(F.col("_same") > 1).over(by_table("table_id")))
     rows = rows.withColumn("_of_day", F.row_number().over(Window.partitionBy("parent_id", F.to_date("created")).orderBy(*newest)) == 1)
     rows = rows.withColumn("young", young)
     rows = rows.withColumn("_rn", F.row_number().over(Window.partitionBy("parent_id", "young", "_of_day").orderBy(*newest)))
@@ -83,7 +85,7 @@ def _even_plan(tables: DataFrame, backups: DataFrame, live: DataFrame, cfg: Conf
             .when(~F.col("young") & (F.col("_rn") > 1), "old_not_newest").otherwise("kept"))
     before_grace = F.to_date("created") < date_lit(months_before_date(cfg.as_of_date, cfg.grace_months))
     rows = rows.withColumn("_step", step)
-    rows = rows.withColumn("_old", F.coalesce(F.max((F.col("_step") == "kept") & before_grace).over(by_table), F.lit(False)))
+    rows = rows.withColumn("_old", F.coalesce(F.max((F.col("_step") == "kept") & before_grace).over(by_table("young")), F.lit(False)))
     # P8 by table: tables are matched with the live catalog, then brought to the buckets
     asked = rows.join(R.grace_lookup(cand, live, cfg.as_of, cfg.grace_months), "parent_id", "left")
     needed = F.col("_old") & ~F.col("dup") & ~F.col("seen")
