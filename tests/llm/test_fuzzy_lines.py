@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from keepsake.llm import lines
@@ -109,3 +110,49 @@ def test_buckets_of_two_sizes_are_not_compared(spark, monkeypatch):
     assert sent == [0]
     assert {r.doc_id: list(r.removed) for r in lines.mark(docs).collect()} == {1: [], 2: [], 3: [], 4: [0]}
     assert sent[1] > 0
+
+
+def test_bounds_of_the_distance():
+    """The walk never finds less than the true distance and settles most alike pairs; tests on sets and places of 3- and 4-grams lose none."""
+    rng, met, found = random.Random(9), 0, 0
+    for _ in range(400):
+        a = "".join(rng.choice("abcdefgh é你") for _ in range(rng.randrange(4, 300)))
+        b = a
+        for _ in range(rng.randrange(int(len(a) * 0.3) + 1)):
+            at = rng.randrange(len(b) + 1)
+            b = b[:at] + rng.choice(("", "x", b[at:at + 1] + "yz")) + b[at + 1:]
+        most, true = int(max(len(a), len(b)) * (1 - lines.SIMILARITY) + 1e-9), data.levenshtein(a, b)
+        for x, y in ((a, b), (b, a)):
+            assert lines._bound(x, y, most) >= true
+            g, h = ([k, lines._wider(k)] for k in (lines._grams(x), lines._grams(y)))
+            assert lines._alike(x, y, g, h) == (true <= most)
+            if true <= most:
+                met, found = met + 1, found + (lines._bound(x, y, most) <= most)
+                for width, i, j in ((3, g[0], h[0]), (4, g[1], h[1])):
+                    sets = lines._sets([i, j], max(len(x), len(y)))
+                    assert lines._missing(sets[0], sets[1]) <= width * most
+                    assert lines._near(i, lines._placed(j), len(y) - len(x), most, width)
+                    near = lines._all_near([i, i[:0]], lines._placed(j), np.array([len(y) - len(x), 0]), np.array([most, 1]), width)
+                    assert near.tolist() == [True, True]
+    assert met > 300 and found > 100
+
+
+def test_rounds_and_gaps(spark, monkeypatch):
+    """The same lines go however many rounds send them; lines of a key are sent only with others that they fit."""
+    sent = []
+    fetched = lines._fetched
+    monkeypatch.setattr(lines, "_fetched", lambda docs, spots: sent.append(spots.count()) or fetched(docs, spots))
+    all_ = texts(1)
+    docs = spark.createDataFrame([(d, "\n".join(all_[d * 10:d * 10 + 10])) for d in range(-(-len(all_) // 10))], "doc_id long, text string")
+    found = lambda: {r.doc_id: list(r.removed) for r in lines.mark(docs).collect()}
+    want, whole = found(), list(sent)
+    assert len(whole) == 1 and any(want.values())
+    sent.clear()
+    monkeypatch.setattr(lines, "ROUND", 1)
+    assert found() == want
+    assert len(sent) > 1 and sum(sent) == whole[0]
+    first = "struct<null_id:boolean,doc_id:long,th:long,line_no:int,size:int,keys:array<long>>"
+    each = spark.createDataFrame([((False, i, 0, 0, n, [1]),) for i, n in enumerate((10, 12, 14, 30, 31, 90))], f"first {first}")
+    rows = lines.buckets(each).collect()
+    assert sorted(r.doc_id for r in rows) == [0, 1, 2, 3, 4] and len({r.key for r in rows if r.doc_id < 3}) == 1
+    assert len({r.key for r in rows}) == 2
