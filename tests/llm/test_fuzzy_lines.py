@@ -156,3 +156,58 @@ def test_rounds_and_gaps(spark, monkeypatch):
     rows = lines.buckets(each).collect()
     assert sorted(r.doc_id for r in rows) == [0, 1, 2, 3, 4] and len({r.key for r in rows if r.doc_id < 3}) == 1
     assert len({r.key for r in rows}) == 2
+
+
+@pytest.mark.parametrize("letters", [lines.LETTERS, 4])
+def test_distances_at_once(monkeypatch, letters):
+    """Pairs tested together come out as each one alone, however many are left open and if rare characters share a number."""
+    monkeypatch.setattr(lines, "LETTERS", letters)
+    monkeypatch.setattr(lines, "PAIRS", 512)
+    rng, all_ = random.Random(12), []
+    for _ in range(500):
+        a = "".join(rng.choice("abcdefgh é你") for _ in range(rng.randrange(1, 400)))
+        b = a
+        for _ in range(rng.randrange(int(len(a) * 0.4) + 2)):
+            at = rng.randrange(len(b) + 1)
+            b = b[:at] + rng.choice(("", "x", b[at:at + 1] + "yz")) + b[at + 1:]
+        all_ += [a, b or "z"]
+    chart = lines._chart(all_)
+    a, b = np.arange(0, len(all_), 2), np.arange(1, len(all_), 2)
+    b[::5] = np.roll(b[::5], 1)
+    fit = lines._meet(chart[2], np.full(len(all_), -1), a, b)
+    a, b = a[fit], b[fit]
+    want = [alike(all_[i], all_[j]) for i, j in zip(a, b)]
+    assert lines._tested(chart, all_, a, b).tolist() == want and 100 < sum(want) < len(want) - 20
+
+
+def test_places_of_runs(spark, monkeypatch):
+    """Lines that share runs at places too far apart are not fetched; a run that stands twice tells no place; no alike pair with an unedited run fails."""
+    rng, met = random.Random(13), 0
+    for _ in range(300):
+        a = "".join(rng.choice("abcdefghé") for _ in range(rng.randrange(20, 200)))
+        b = a
+        for _ in range(rng.randrange(1, int(len(a) * 0.15))):
+            at = rng.randrange(len(b) + 1)
+            b = b[:at] + rng.choice(("", "x", b[at:at + 1] + "yz")) + b[at + 1:]
+        if alike(a, b):
+            ends, keys, places = lines._keyed([a.encode(), b.encode()])
+            x, y = (dict(zip(keys[i:j].tolist(), places[i:j].tolist())) for i, j in zip(ends, ends[1:]))
+            size = np.array([len(a), len(b)])
+            shared = set(x) & set(y)
+            fine = [lines._meet(size, np.array([x[k], y[k]]), np.array([0]), np.array([1])).all() for k in shared]
+            met += bool(fine)
+            assert sum(fine) >= 0.9 * len(fine)
+    assert met > 100
+    line = "0 0 0 0 0 0 0 0 0 0 0 0 0 0 1 0"
+    docs = spark.createDataFrame([(1, line), (2, "0 1" + line[3:])], "doc_id long, text string")
+    assert sorted(list(r.removed) for r in lines.mark(docs).collect()) == [[], [0]]
+    sent = []
+    fetched = lines._fetched
+    monkeypatch.setattr(lines, "_fetched", lambda docs, spots: sent.append(spots.count()) or fetched(docs, spots))
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    common, rest = " ".join(word() for _ in range(14)), [[word() for _ in range(16)] for _ in range(2)]
+    docs = spark.createDataFrame([(1, f"{common} {' '.join(rest[0])}"), (2, f"{' '.join(rest[1])} {common}")], "doc_id long, text string")
+    x, y = (set(k) for k in lines.keys([r.text.encode() for r in docs.collect()]))
+    assert x & y
+    assert [list(r.removed) for r in lines.mark(docs).collect()] == [[], []]
+    assert sent == [0]
